@@ -1,0 +1 @@
+"""Relationship-catalog analytics on Spark."""
