@@ -24,7 +24,7 @@ def walk_json(df: DataFrame, keys: Sequence[str], payload: str, depth: int = 8,
         out = cells if out is None else out.unionByName(cells)
         inner = df.where(f"{kind} LIKE 'OBJECT%' OR {kind} LIKE 'ARRAY%'")
         df = _level(inner, keys, skip_below)
-    deep = df.where(f"{kind} <> 'VOID'").select(*keys, F.lit("").alias("path"), F.lit("").alias("norm_path"), F.lit("").alias("key"), F.raise_error(F.lit("payload deeper than walk_json goes")).cast("string").alias("value"), F.lit("").alias("type"))
+    deep = df.where(f"{kind} <> 'VOID'").select(*keys, F.lit("").alias("path"), F.lit("").alias("norm_path"), F.lit("").alias("key"), F.raise_error(F.concat(F.lit("payload deeper than walk_json goes, below "), F.col("path"))).cast("string").alias("value"), F.lit("").alias("type"))
     return out.unionByName(deep)
 
 
