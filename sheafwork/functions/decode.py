@@ -43,7 +43,7 @@ def enum_case(cases: Column, value: Column) -> Column:
 
 def flag_names(cases: Column, mask: Column) -> Column:
     """Names of the bits that are set, lowest first."""
-    bits = F.transform(cases, lambda c, i: F.when(F.shiftright(mask, i).bitwiseAND(F.lit(1)) == 1, c))
+    bits = F.transform(cases, lambda c, i: F.when(F.getbit(mask.cast("bigint"), i) == 1, c))
     return F.filter(bits, lambda x: x.isNotNull())
 
 

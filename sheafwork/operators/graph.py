@@ -6,6 +6,7 @@ else persisted, so that a round's plan does not hold all rounds before it."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -25,15 +26,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def distances(nodes: DataFrame, edges: DataFrame, sources: DataFrame, most: int = 1000) -> DataFrame:
     """(node, distance) by edges (a, b) in their direction from the nearest source; nodes out of reach are left out.
     Raises after ``most`` rounds."""
-    found = cut_lineage(sources.join(nodes, "node", "left_semi").select("node", F.lit(0).alias("distance")).distinct())
-    frontier = found
+    rings = [cut_lineage(sources.join(nodes, "node", "left_semi").select("node", F.lit(0).alias("distance")).distinct())]
     step = edges.select(F.col("a").alias("node"), F.col("b").alias("next"))
     for d in range(1, most + 1):
-        new = frontier.join(step, "node").select(F.col("next").alias("node")).distinct().join(found, "node", "left_anti")
-        frontier = cut_lineage(new.select("node", F.lit(d).alias("distance")))
-        if frontier.isEmpty():
+        found = reduce(DataFrame.unionByName, rings)
+        new = rings[-1].join(step, "node").select(F.col("next").alias("node")).distinct().join(found, "node", "left_anti")
+        ring = cut_lineage(new.select("node", F.lit(d).alias("distance")))
+        if ring.isEmpty():
             return found
-        found = cut_lineage(found.unionByName(frontier))
+        if len(rings) > 12:  # so that a round's plan stays short
+            rings = [cut_lineage(reduce(DataFrame.unionByName, rings))]
+        rings.append(ring)
     raise RuntimeError(f"not done after {most} rounds")
 
 

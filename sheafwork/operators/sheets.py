@@ -18,7 +18,7 @@ def identified(dictionary: DataFrame, lines: DataFrame) -> DataFrame:
     """Lines with their id: the column of code 0, or ``<sheet>-NNNN`` where the sheet has none."""
     keys = dictionary.where(type_code(F.col("type_str")) == "0").groupBy("sheet").agg(F.min("name").alias("_id_col"))
     at = lines.join(F.broadcast(keys), "sheet", "left")
-    own = at.where("_id_col IS NOT NULL").withColumn("id", F.get_json_object("row", F.concat(F.lit("$."), F.col("_id_col"))))
+    own = at.where("_id_col IS NOT NULL").withColumn("id", F.expr("get_json_object(row, concat('$.', _id_col))"))
     made = synthetic_ids(at.where("_id_col IS NULL"), "", ["ord"], by=["sheet"]).withColumn("id", F.concat("sheet", "id"))
     return own.unionByName(made).drop("_id_col")
 

@@ -57,10 +57,11 @@ catalog AS (
   FROM counts)"""
 
 
-@query(f"WITH {_EDGES_SQL} SELECT from_kind, to_kind, \"column\", valid, count(*) AS edges FROM edges GROUP BY ALL")
+@query(f"WITH {_EDGES_SQL} SELECT from_kind, to_kind, \"column\", coalesce(CAST(valid AS VARCHAR), 'unknown') AS valid, count(*) AS edges FROM edges GROUP BY ALL")
 def fk_resolve_valid(spark: SparkSession, d: str) -> DataFrame:
     """Every reference of every table with its three-valued verdict, counted."""
-    return edges_of(spark, d).groupBy("from_kind", "to_kind", "column", "valid").agg(F.count("*").alias("edges"))
+    verdict = F.coalesce(F.col("valid").cast("string"), F.lit("unknown")).alias("valid")
+    return edges_of(spark, d).groupBy("from_kind", "to_kind", "column", verdict).agg(F.count("*").alias("edges"))
 
 
 @query(f"WITH {_CATALOG_SQL} SELECT * FROM catalog")
@@ -184,10 +185,10 @@ def token_confirmation(spark: SparkSession, d: str) -> DataFrame:
     return c.withColumn("status", F.when(F.col("found") == F.col("tokens"), "confirmed").when(F.col("found") > 0, "partial").otherwise("pending"))
 
 
-@query("""SELECT doc_id, quality, CAST(NULL AS VARCHAR) AS lang FROM labels UNION ALL SELECT doc_id, NULL, lang FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
+@query("""SELECT doc_id, coalesce(quality, -1) AS quality, CAST(NULL AS VARCHAR) AS lang FROM labels UNION ALL SELECT doc_id, -1, lang FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
 def anti_fallback(spark: SparkSession, d: str) -> DataFrame:
     """Labels, and stubs for the documents that have none."""
-    return R.anti_fallback(table(spark, d, "labels").select("doc_id", "quality"), table(spark, d, "documents").select("doc_id", "lang"), ["doc_id"]).select("doc_id", "quality", "lang")
+    return R.anti_fallback(table(spark, d, "labels").select("doc_id", "quality"), table(spark, d, "documents").select("doc_id", "lang"), ["doc_id"]).select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality"), "lang")
 
 
 @query("""SELECT l_orderkey, l_linenumber, coalesce(s_name, p_name, CAST(l_suppkey AS VARCHAR)) AS name FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey LEFT JOIN part ON p_partkey = l_suppkey""")
