@@ -47,9 +47,11 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats each document as often as the mix takes it; those that it doesn't take go."""
-    taken = mixing.mix(docs).where("taken > 0").select(F.col("doc_id").alias("id"), F.expr("CAST(taken DIV size AS INT)").alias("times")).distinct()
-    copies = docs.select(*COLUMNS).join(taken, F.col("doc_id").eqNullSafe(F.col("id")))
-    return copies.select(*COLUMNS, F.explode(F.sequence(F.lit(1), "times"))).select(*COLUMNS)
+    taken = mixing.mix(docs).where("taken > 0 AND doc_id IS NOT NULL")
+    times = taken.groupBy(F.col("doc_id").alias("id")).agg(F.max(F.expr("CAST(taken DIV size AS INT)")).alias("times"))
+    docs = docs.select(*COLUMNS)
+    copies = docs.join(times, F.col("doc_id") == F.col("id")).select(*COLUMNS, F.explode(F.sequence(F.lit(1), "times"))).select(*COLUMNS)
+    return copies.unionByName(docs.where("doc_id IS NULL"))
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
