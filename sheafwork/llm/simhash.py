@@ -70,7 +70,7 @@ def links_between(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray
     left, right = [], []
     step = max(1, (1 << 22) // max(1, len(b)))
     for i in range(0, len(a), step):
-        near = np.bitwise_count(a[i : i + step, None] ^ b[None, :]) <= radius
+        near = np.bitwise_count((a[i : i + step, None] ^ b[None, :]).view(np.uint64)) <= radius  # of signed numbers, it counts the absolute value
         x, y = np.nonzero(near)
         left.append(x + i)
         right.append(y)
