@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import DATA
+from tests.conftest import DATA
 
 from sheafwork.plans.catalog import ORACLE, QUERIES
 
