@@ -23,6 +23,13 @@ def references(df: DataFrame, from_kind: str, from_id: Column, to_kind: str, col
     )
 
 
+def all_references(df: DataFrame, from_kind: str, from_id: Column, columns: Sequence[tuple[str, str]]) -> DataFrame:
+    """references of several (to kind, column) in one scan of df."""
+    cells = F.array(*[F.struct(F.lit(to).alias("to_kind"), F.col(c).cast("string").alias("to_id"), F.lit(c).alias("column")) for to, c in columns])
+    out = df.select(from_id.cast("string").alias("from_id"), F.explode(cells).alias("x")).where("x.to_id IS NOT NULL")
+    return out.select(F.lit(from_kind).alias("from_kind"), "x.to_kind", "from_id", "x.to_id", "x.column", F.lit("hard").alias("mechanism"))
+
+
 def resolve(refs: DataFrame, ids: DataFrame) -> DataFrame:
     """Adds valid to refs (to_kind, to_id, ...) from ids (kind, id).
 

@@ -22,17 +22,24 @@ REFERENCES = [
 KINDS = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey", "events": "event_id", "documents": "doc_id"}
 
 
-def ids_of(spark: SparkSession, d: str) -> DataFrame:
-    return reduce(DataFrame.unionByName, [table(spark, d, k).select(F.lit(k).alias("kind"), F.col(c).cast("string").alias("id")) for k, c in KINDS.items()])
+def ids_of(tables: dict[str, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [tables[k].select(F.lit(k).alias("kind"), F.col(c).cast("string").alias("id")) for k, c in KINDS.items()])
 
 
-def refs_of(spark: SparkSession, d: str) -> DataFrame:
-    parts = [R.references(table(spark, d, k), k, F.concat_ws("/", *ids), to, c) for k, ids, to, c in REFERENCES]
-    return reduce(DataFrame.unionByName, parts)
+def refs_of(tables: dict[str, DataFrame]) -> DataFrame:
+    """All references; a table with several is scanned once."""
+    kinds = list(dict.fromkeys(k for k, *_ in REFERENCES))
+    return reduce(DataFrame.unionByName, [R.all_references(tables[k], k, F.concat_ws("/", *next(ids for x, ids, *_ in REFERENCES if x == k)), [(to, c) for x, _, to, c in REFERENCES if x == k]) for k in kinds])
+
+
+def tables_of(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Each table is opened once a query."""
+    return {k: table(spark, d, k) for k in dict.fromkeys([*KINDS, *(k for k, *_ in REFERENCES)])}
 
 
 def edges_of(spark: SparkSession, d: str) -> DataFrame:
-    return R.resolve(refs_of(spark, d), ids_of(spark, d)).select(*R.EDGE)
+    tables = tables_of(spark, d)
+    return R.resolve(refs_of(tables), ids_of(tables)).select(*R.EDGE)
 
 
 _IDS_SQL = " UNION ALL ".join(f"SELECT '{k}' AS kind, CAST({c} AS VARCHAR) AS id FROM {k}" for k, c in KINDS.items())
@@ -151,7 +158,7 @@ def residual_value_join(spark: SparkSession, d: str) -> DataFrame:
     """What exact values suggest beyond the pinned reference of orders: one equi join of all values with all ids."""
     cell = lambda k, c: table(spark, d, k).select(F.lit(k).alias("kind"), F.lit(c).alias("norm_path"), F.col(c).cast("string").alias("value"))
     cells = reduce(DataFrame.unionByName, [cell("orders", "o_custkey"), cell("lineitem", "l_suppkey"), cell("customer", "c_mktsegment"), cell("nation", "n_regionkey")])
-    ids = ids_of(spark, d).where("kind IN ('customer', 'supplier', 'region', 'nation')")
+    ids = ids_of(tables_of(spark, d)).where("kind IN ('customer', 'supplier', 'region', 'nation')")
     pinned = spark.createDataFrame([("orders", "o_custkey")], "kind string, norm_path string")
     return R.residual_values(cells, ids, pinned).withColumn("rank", F.col("rank").cast("bigint"))
 
