@@ -162,3 +162,48 @@ def square_side(n_bytes: Column, width: int) -> Column:
     return F.when(side * side * width == n_bytes, side)
 
 
+
+
+def downsampled_tiles(tiles: DataFrame, size: int, by: str = "layer") -> DataFrame:
+    """Tiles of one zoom level less: each 2 x 2 group of (layer, x, y, data: size * size bytes) as one tile of the same size by
+    2 x 2 means; missing tiles count as zero.  A group has at most four tiles, so it is bounded."""
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        big = np.zeros((2 * size, 2 * size), np.uint16)
+        for x, y, data in zip(pdf.x, pdf.y, pdf.data):
+            r, c = int(y) % 2 * size, int(x) % 2 * size
+            big[r : r + size, c : c + size] = np.frombuffer(data, np.uint8).reshape(size, size)
+        small = big.reshape(size, 2, size, 2).sum(axis=(1, 3)) // 4
+        return pd.DataFrame({by: [pdf[by].iloc[0]], "x": [int(pdf.x.iloc[0]) // 2], "y": [int(pdf.y.iloc[0]) // 2], "data": [small.astype(np.uint8).tobytes()]})
+
+    keyed = tiles.withColumns({"_tx": F.floor(F.col("x") / 2), "_ty": F.floor(F.col("y") / 2)})
+    return keyed.groupBy(by, "_tx", "_ty").applyInPandas(merge, f"{by} string, x bigint, y bigint, data binary")
+
+
+def coast_sides(cells: DataFrame, x: str, y: str, land: str) -> DataFrame:
+    """For each side (dx, dy), land cells whose neighbour on that side is water or missing, and their share of all land."""
+    at = cells.where(F.col(land)).select(x, y)
+    step = F.explode(F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a, b in ((1, 0), (-1, 0), (0, 1), (0, -1))]))
+    moved = at.select(x, y, step.alias("s")).select("s.dx", "s.dy", (F.col(x) + F.col("s.dx")).alias(x), (F.col(y) + F.col("s.dy")).alias(y))
+    there = at.withColumn("_land", F.lit(True))
+    return moved.join(there, [x, y], "left").groupBy("dx", "dy").agg(F.count_if(F.col("_land").isNull()).alias("coast"), F.avg(F.col("_land").isNull().cast("double")).alias("share"))
+
+
+def channel_census(pixels: DataFrame, channels: Sequence[str], pair: tuple[str, str], total: int = 255) -> DataFrame:
+    """How many different values each channel has, its range, and how many pixels break ``a + b = total`` for a pair."""
+    out = [F.count_distinct(c).alias(f"{c}_values") for c in channels] + [F.min(c).alias(f"{c}_low") for c in channels] + [F.max(c).alias(f"{c}_high") for c in channels]
+    return pixels.agg(*out, F.count_if(F.col(pair[0]) + F.col(pair[1]) != total).alias("pair_breaks"), F.count("*").alias("pixels"))
+
+
+def registration_curve(values: DataFrame, mask: DataFrame, reach: int) -> DataFrame:
+    """Mean of values (row, col, value) below a mask (row, col) moved by each (dx, dy) up to reach."""
+    span = F.sequence(F.lit(-reach), F.lit(reach))
+    moved = mask.select("row", "col", F.explode(span).alias("dx")).select("*", F.explode(span).alias("dy"))
+    moved = moved.withColumns({"row": F.col("row") + F.col("dy"), "col": F.col("col") + F.col("dx")})
+    return moved.join(values, ["row", "col"]).groupBy("dx", "dy").agg(F.count("*").alias("n"), F.avg("value").alias("mean"))
+
+
+def transform_verdict(df: DataFrame, **gates: Column) -> DataFrame:
+    """CONFIRMED if all gates hold, else the gates that don't."""
+    failed = F.array_join(F.filter(F.array(*[F.when(~F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in gates.items()]), lambda x: x.isNotNull()), ",")
+    return df.withColumn("verdict", F.when(failed == "", "CONFIRMED").otherwise(F.concat(F.lit("REFUSED:"), failed)))
