@@ -1,11 +1,12 @@
 """Operator 10, benchmark decontamination by template canonicalisation, in DataFrame functions only.
 
-Numbers, units after a number, and names (capitalised words within a sentence) become the typed placeholders ``0``, ``2``
-and ``1``; everything else is lower-cased words.  Windows of WINDOW canonical words are hashed and joined with those of the
-benchmark.  A document holds an item if SHARE or more of the item's distinct windows occur in it.  Placeholders hide values,
-so for items that have any, the values behind matched windows are compared: each value of the item has to stand for one
-value of the document, and the other way round, for CONSISTENT of the item's values.  That catches questions whose
-numbers and names were exchanged, and lets texts go that only share a pattern.
+Numbers, units after a number, and names (words with a capital and small letters, within a sentence) become the typed
+placeholders ``0``, ``2`` and ``1``; everything else is lower-cased words.  Windows of WINDOW canonical words are hashed and
+joined with those of the benchmark.  A document holds an item if SHARE or more of the item's distinct windows occur in it,
+the first also with its first word as a name.  Placeholders hide values, so for items that have any, the values behind
+matched windows are compared: each value of the item has to stand for one value of the document, and the other way round,
+for CONSISTENT of the item's values.  That catches questions whose numbers and names were exchanged, and lets texts go that
+only share a pattern.
 
 The benchmark's windows are broadcast if there are at most BROADCAST_WINDOWS of them (their number is counted first);
 beyond that, both sides are shuffled by the window's hash.
@@ -43,7 +44,7 @@ def canonical(text: Column) -> Column:
     numbered = F.regexp_replace(text, r"(?<![\p{L}\p{N}])\p{L}*\p{N}[\p{L}\p{N}]*", NUMBER)
     numbered = F.regexp_replace(numbered, rf"(?i)(?<=\b{NUMBER} )(?:{UNITS})(?![\p{{L}}\p{{N}}])", UNIT)
     marked = F.when(text.rlike(r"\p{N}"), numbered).otherwise(text)
-    return F.lower(F.regexp_replace(marked, r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{L}*", NAME))
+    return F.lower(F.regexp_replace(marked, r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}\p{L}*", NAME))
 
 
 def shifted(words: Column, names: list[str]) -> Column:
@@ -65,16 +66,27 @@ def windows(df: DataFrame, key: str, text: str, values: bool = False) -> DataFra
     return out.select(key, "at", F.xxhash64(*words).alias("hash"), *extra)
 
 
+def item_windows(items: DataFrame) -> DataFrame:
+    """(item_id, place, hash): the windows of items, equal ones at the first place they have.  The first window has a second
+    hash, with a name for its first word: within another sentence, that word's capital makes it one."""
+    every = windows(items, "item_id", "item_text", values=True)
+    first = every.groupBy("item_id", "hash").agg(F.min("at").alias("place"))
+    begin = every.where((F.col("at") == 0) & ~F.col("canon")[0].isin(NUMBER, NAME, UNIT))
+    second = begin.select("item_id", "at", "hash", F.xxhash64(F.lit(NAME), *[F.col("canon")[k] for k in range(1, WINDOW)]).alias("named"))
+    second = second.join(first, ["item_id", "hash"]).select("item_id", "place", F.col("named").alias("hash"))
+    return first.select("item_id", "place", "hash").unionByName(second).distinct()
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, matched, windows, share, slots, consistency) of each document and item it holds.  slots counts the
     item's values behind placeholders; consistency is null without any."""
     docs = docs.select("doc_id", "text")
     items = benchmark.select("item_id", F.col("text").alias("item_text"))
-    theirs = windows(items, "item_id", "item_text").select("item_id", "hash").distinct()
-    sizes = theirs.groupBy("item_id").agg(F.count("*").alias("windows"))
+    theirs = item_windows(items)
+    sizes = theirs.groupBy("item_id").agg(F.count_distinct("place").alias("windows"))
     few = theirs.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     small = (lambda d: F.broadcast(d)) if few else (lambda d: d)
-    met = windows(docs, "doc_id", "text").join(small(theirs), "hash").select("doc_id", "item_id", "hash").distinct()
+    met = windows(docs, "doc_id", "text").join(small(theirs), "hash").select("doc_id", "item_id", "place").distinct()
     found = met.groupBy("doc_id", "item_id").agg(F.count("*").alias("matched")).join(small(sizes), "item_id")
     found = found.where(F.col("matched") >= F.lit(SHARE) * F.col("windows"))
     blank = F.array(*map(F.lit, (NUMBER, NAME, UNIT)))
@@ -115,8 +127,8 @@ numbered AS (
     '(?i)((?:^|[^\p{{L}}\p{{N}}])0 )(?:{_UNITS})($|[^\p{{L}}\p{{N}}])', '\12\2', 'g') AS n
   FROM joined),
 named AS (
-  SELECT side, id, t, regexp_replace(regexp_replace(n, '([\p{{L}}\p{{N}},;] )\p{{Lu}}\p{{L}}*', '\11', 'g'),
-    '([\p{{L}}\p{{N}},;] )\p{{Lu}}\p{{L}}*', '\11', 'g') AS c
+  SELECT side, id, t, regexp_replace(regexp_replace(n, '([\p{{L}}\p{{N}},;] )\p{{Lu}}\p{{Ll}}\p{{L}}*', '\11', 'g'),
+    '([\p{{L}}\p{{N}},;] )\p{{Lu}}\p{{Ll}}\p{{L}}*', '\11', 'g') AS c
   FROM numbered),
 words AS (
   SELECT side, id,
@@ -126,10 +138,14 @@ words AS (
 wins AS (
   SELECT side, id, w, v, unnest(range(1, len(w) - {WINDOW} + 2)) AS i FROM words WHERE len(w) >= {WINDOW}),
 win AS (SELECT side, id, i, array_to_string(w[i:i + {WINDOW} - 1], ' ') AS h, w[i:i + {WINDOW} - 1] AS cw, v[i:i + {WINDOW} - 1] AS vw FROM wins),
-sizes AS (SELECT id AS item_id, count(DISTINCT h) AS windows FROM win WHERE side = 'b' GROUP BY id),
+places AS (SELECT id AS item_id, h, min(i) AS place FROM win WHERE side = 'b' GROUP BY id, h),
+theirs AS (
+  SELECT item_id, place, h FROM places
+  UNION SELECT p.item_id, p.place, '1 ' || array_to_string(w.cw[2:], ' ') FROM win w JOIN places p ON w.id = p.item_id AND w.h = p.h
+  WHERE w.side = 'b' AND w.i = 1 AND w.cw[1] NOT IN ('0', '1', '2')),
+sizes AS (SELECT item_id, count(DISTINCT place) AS windows FROM theirs GROUP BY item_id),
 met AS (
-  SELECT d.id AS doc_id, b.id AS item_id, count(DISTINCT d.h) AS matched
-  FROM win d JOIN win b ON d.h = b.h WHERE d.side = 'd' AND b.side = 'b' GROUP BY d.id, b.id),
+  SELECT d.id AS doc_id, b.item_id, count(DISTINCT b.place) AS matched FROM win d JOIN theirs b ON d.h = b.h WHERE d.side = 'd' GROUP BY d.id, b.item_id),
 found AS (SELECT doc_id, item_id, matched, windows FROM met JOIN sizes USING (item_id) WHERE matched >= {SHARE} * windows),
 cells AS (
   SELECT f.doc_id, f.item_id, unnest(d.cw) AS kind, lower(unnest(b.vw)) AS a, lower(unnest(d.vw)) AS b
