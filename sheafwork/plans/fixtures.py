@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sheafwork.functions.decode import is_media, type_label
 from sheafwork.functions.text import collapse_lines, render_path, render_template, safe_path
-from sheafwork.operators import graph, locale, sheets, spatial, walk
+from sheafwork.operators import graph, locale, relations, sheets, spatial, walk
 from sheafwork.plans.registry import query
 from sheafwork.sources import binary, markup
 
@@ -164,3 +164,9 @@ def path_rendering(spark: SparkSession, d: str) -> DataFrame:
 def mosaic_layout(spark: SparkSession, d: str) -> DataFrame:
     tiles = spark.createDataFrame([("l", 0, 0, bytearray(b"\x01" * 4)), ("l", 1, 1, bytearray(b"\x02" * 4))], "layer string, x bigint, y bigint, data binary")
     return spatial.mosaic(tiles, 2).drop("data")
+
+
+@query("SELECT * FROM (VALUES ('item', 'guild', CAST(2 AS BIGINT), CAST(2 AS BIGINT), CAST(2 AS BIGINT), '1:1'), ('item', 'item', 2, 1, 2, '1:many'), ('item', 'place', 1, 1, 1, '1:1')) t(from_kind, to_kind, edges, from_ids, to_ids, cardinality)")
+def sheet_pair_catalog(spark: SparkSession, d: str) -> DataFrame:
+    """The relation catalog of a sheet database's edges."""
+    return relations.pair_catalog(sheets.sheet_edges(*_sheets(spark))).select("from_kind", "to_kind", "edges", "from_ids", "to_ids", "cardinality")

@@ -42,6 +42,11 @@ def edges_of(spark: SparkSession, d: str) -> DataFrame:
     return R.resolve(refs_of(tables), ids_of(tables)).select(*R.EDGE)
 
 
+def catalog_of(spark: SparkSession, d: str) -> DataFrame:
+    tables = tables_of(spark, d)
+    return R.reference_catalog(refs_of(tables), ids_of(tables))
+
+
 _IDS_SQL = " UNION ALL ".join(f"SELECT '{k}' AS kind, CAST({c} AS VARCHAR) AS id FROM {k}" for k, c in KINDS.items())
 _REFS_SQL = " UNION ALL ".join(
     f"SELECT '{k}' AS from_kind, '{to}' AS to_kind, concat_ws('/', {', '.join(ids)}) AS from_id, CAST({c} AS VARCHAR) AS to_id, '{c}' AS \"column\", 'hard' AS mechanism FROM {k} WHERE {c} IS NOT NULL"
@@ -68,12 +73,14 @@ catalog AS (
 def fk_resolve_valid(spark: SparkSession, d: str) -> DataFrame:
     """Every reference of every table with its three-valued verdict, counted."""
     verdict = F.coalesce(F.col("valid").cast("string"), F.lit("unknown")).alias("valid")
-    return edges_of(spark, d).groupBy("from_kind", "to_kind", "column", verdict).agg(F.count("*").alias("edges"))
+    tables = tables_of(spark, d)
+    targets = refs_of(tables).groupBy("from_kind", "to_kind", "column", "to_id").agg(F.count("*").alias("n"))
+    return R.resolve(targets, ids_of(tables)).groupBy("from_kind", "to_kind", "column", verdict).agg(F.sum("n").alias("edges"))
 
 
 @query(f"WITH {_CATALOG_SQL} SELECT * FROM catalog")
 def pair_catalog(spark: SparkSession, d: str) -> DataFrame:
-    return R.pair_catalog(edges_of(spark, d))
+    return catalog_of(spark, d)
 
 
 @query(f"""WITH {_CATALOG_SQL},
@@ -91,20 +98,20 @@ def direction_ladder(spark: SparkSession, d: str) -> DataFrame:
     """All directions between the kinds with their status; kinds without any reference column are in the ledger."""
     kinds = spark.createDataFrame([(k,) for k in [*KINDS, "lineitem", "labels", "conversations", "case"]], "kind string")
     ledger = kinds.where("kind IN ('case', 'region')").select(F.col("kind").alias("from_kind")).join(F.broadcast(kinds.select(F.col("kind").alias("to_kind"))), F.col("from_kind") != F.col("to_kind")).withColumn("reason", F.lit("no reference column"))
-    return R.direction_ladder(kinds, R.pair_catalog(edges_of(spark, d)), ledger)
+    return R.direction_ladder(kinds, catalog_of(spark, d), ledger)
 
 
 @query(f"""WITH {_CATALOG_SQL} SELECT least(from_kind, to_kind) AS a, greatest(from_kind, to_kind) AS b, CAST(sum(edges) AS BIGINT) AS edges, count(*) AS directions FROM catalog GROUP BY 1, 2""")
 def unordered_pairs(spark: SparkSession, d: str) -> DataFrame:
     """The catalog by unordered pair: either direction has the same key."""
-    c = R.pair_catalog(edges_of(spark, d))
+    c = catalog_of(spark, d)
     return c.groupBy(F.least("from_kind", "to_kind").alias("a"), F.greatest("from_kind", "to_kind").alias("b")).agg(F.sum("edges").alias("edges"), F.count("*").alias("directions"))
 
 
 @query(f"""WITH {_CATALOG_SQL} SELECT count(*) AS pairs, CAST(sum(edges) AS BIGINT) AS edges, CAST(sum(valid_true) AS BIGINT) AS valid_true, CAST(sum(valid_false) AS BIGINT) AS valid_false,
   CAST(sum(valid_null) AS BIGINT) AS valid_null, CAST(sum(valid_true) + sum(valid_false) + sum(valid_null) AS BIGINT) = CAST(sum(edges) AS BIGINT) AS closes FROM catalog""")
 def matrix_totals(spark: SparkSession, d: str) -> DataFrame:
-    c = R.pair_catalog(edges_of(spark, d)).agg(F.count("*").alias("pairs"), *[F.sum(x).alias(x) for x in ("edges", "valid_true", "valid_false", "valid_null")])
+    c = catalog_of(spark, d).agg(F.count("*").alias("pairs"), *[F.sum(x).alias(x) for x in ("edges", "valid_true", "valid_false", "valid_null")])
     return c.withColumn("closes", F.col("valid_true") + F.col("valid_false") + F.col("valid_null") == F.col("edges"))
 
 
