@@ -17,38 +17,43 @@ WIDTHS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 ESCAPE = 1
 
 
-def encode(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words of all blocks one after another, and the number of words of each block.  starts: where blocks begin in
-    values.  All blocks advance together, one word at a time, so the loop is as long as the longest block."""
+def encode(values: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words of all blocks of ``block`` values (the last may be shorter) one after another, and how many words each has.
+
+    For every place, the selector that packs most is found first: a selector fits where the widest of the next so many
+    values is narrow enough, and maxima over longer runs come from those over shorter ones.  Then all blocks are packed
+    together, one word at a time, so the loop is as long as the longest block."""
     v = np.ascontiguousarray(values, dtype=np.uint64)
     n = len(v)
-    starts = np.asarray(starts, dtype=np.int64)
     if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(starts), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    starts = np.arange(0, n, block, dtype=np.int64)
     ends = np.append(starts[1:], n)
     # bits of each value; those from 2**53 on may round up by one, which costs room but no value
-    width = np.frexp(v.astype(np.float64))[1].astype(np.uint8)
-    best = np.full(n, ESCAPE, np.uint8)
-    taken = np.ones(n, np.uint8)
-    at = np.arange(n, dtype=np.int32 if n < 1 << 31 else np.int64)
-    left = np.repeat(ends, ends - starts).astype(at.dtype) - at  # to the end of the block
-    np.copyto(best, 15, where=width <= 60)
-    widest = int(width.max())
-    for s in reversed(range(15)):  # from the fewest values in a word to the most: the last that fits wins
+    width = np.zeros((len(starts), block + int(COUNTS[0])), np.uint8)  # nothing follows a block's end, and nothing fits anywhere
+    bits_of = np.frexp(v.astype(np.float64))[1].astype(np.uint8)
+    whole = n // block
+    width[:whole, :block] = bits_of[: whole * block].reshape(whole, block)
+    if whole < len(starts):
+        width[whole, : n - whole * block] = bits_of[whole * block :]
+    best = np.full((len(starts), block), ESCAPE, np.uint8)
+    widest, reach = width, 1  # widest[i, j]: of the reach values from j on
+    for s in range(15, -1, -1):  # from the fewest values in a word to the most: the last that fits wins
         bits, count = int(WIDTHS[s]), int(COUNTS[s])
-        if s == ESCAPE or not (width <= bits).any():
+        if s == ESCAPE:
             continue
-        n_here = np.minimum(count, left)
-        if widest <= bits:
-            good = None
-        else:
-            bad = np.where(width > bits, at, at.dtype.type(n))
-            good = np.minimum.accumulate(bad[::-1])[::-1] - at >= n_here
-        np.copyto(best, s, where=True if good is None else good)
-        np.copyto(taken, n_here, where=True if good is None else good, casting="unsafe")
+        while reach < count:
+            more = min(reach, count - reach)
+            widest = np.maximum(widest[:, : widest.shape[1] - more], widest[:, more:])
+            reach += more
+        good = widest[:, :block] <= bits
+        if s < 15 and not good.any() and bits <= 2:
+            break
+        np.copyto(best, s, where=good)
+    best = best.ravel()[:n]
+    taken = np.minimum(np.where(best == ESCAPE, 1, COUNTS[best]), np.repeat(ends, ends - starts) - np.arange(n))
     # follow the chain of words in every block
-    pos, live = starts.copy(), np.flatnonzero(ends > starts)
-    taken = taken.astype(np.int64)
+    pos, live = starts.copy(), np.arange(len(starts))
     firsts: list[np.ndarray] = []
     while len(live):
         p = pos[live]
@@ -77,9 +82,7 @@ def encode(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
             packed[has] |= v[first[has] + k] << np.uint64(k * bits)
     words[place] = packed
     words[place[escaped] + 1] = v[first[escaped]]
-    block = np.searchsorted(starts, first, side="right") - 1
-    # equal starts are empty blocks: the last of them has the values
-    return words, np.bincount(block, weights=1 + escaped, minlength=len(starts)).astype(np.int64)
+    return words, np.bincount(first // block, weights=1 + escaped, minlength=len(starts)).astype(np.int64)
 
 
 def decode(words: np.ndarray, n: int) -> np.ndarray:

@@ -5,7 +5,7 @@ A file holds the documents of one range of doc_id in ascending order::
     magic "SH8B" | u32 blocks | u64 documents | u64 ids | per block: u64 byte offset, u32 words, u32 ids
     | per document: i64 doc_id, u8 null flag, u64 ids | the words of all blocks
 
-Numbers are little-endian.  Blocks hold 4096 ids (the last fewer), so any block can be decoded alone through its offset.
+Numbers are little-endian.  Blocks hold 1024 ids (the last fewer), so any block can be decoded alone through its offset.
 Texts are dealt out by ranges of doc_id; each task writes the files of its ranges under a fresh name and returns their
 paths, so that only what a finished task wrote is ever read.
 
@@ -20,6 +20,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -31,10 +32,13 @@ from pyspark.sql import functions as F
 from sheafwork.llm.shared import fresh_path, open_fs, staged, table, write_file
 from sheafwork.llm.simple8b import decode, encode
 
-MAGIC, BLOCK = b"SH8B", 4096
+#: Ids of a block, and of so many blocks as are packed at once.
+MAGIC, BLOCK, STRIDE = b"SH8B", 1024, 1 << 18
 END_ID = 0
 #: Pieces whose ids a worker keeps; when full it starts anew, so its memory is bounded.
 CACHE = 500_000
+#: Punctuation that the pattern keeps together and apart from letters; without the apostrophe, which begins its own parts.
+MARKS = ".,;:!?*&%$#|()+-=/"
 # White_Space of the Unicode character database, the \s of the tokenizer's own pattern, and all of it but space and \n.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 ODD = WHITE.replace(" ", "").replace("\n", "")
@@ -69,7 +73,8 @@ class PieceTokenizer(dict):
         self.model = self.tokenizer.model
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.dtype, self.code = (np.uint16, "H") if self.tokenizer.get_vocab_size() <= 1 << 16 else (np.uint32, "I")
+        self.marks: dict[str, bytes] = {}
         self.letters = byte_letters()
         #: the byte-level pre-tokenizer's pattern
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -86,18 +91,31 @@ class PieceTokenizer(dict):
     def merged(self, part: str) -> bytes:
         """What the pattern keeps together."""
         word = part.replace(" ", "Ġ") if part.isascii() and part.isprintable() else part.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(word)], self.dtype).tobytes()
+        return array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def mark(self, part: str) -> bytes:
+        """Of a run of punctuation."""
+        if part not in self.marks:
+            if len(self.marks) >= CACHE:
+                self.marks.clear()
+            self.marks[part] = self.merged(part)
+        return self.marks[part]
 
     def piece(self, piece: str) -> bytes:
         if piece.isalpha():
             return self.merged(piece)
+        base = piece.rstrip(MARKS)  # most pieces are a word and the marks behind it, which the pattern parts
+        if base != piece and base.isalpha():
+            return self.merged(base) + self.mark(piece[len(base) :])
+        if base != piece and base[:1] == " " and base[1:].isalpha():
+            return self[base[1:]] + self.mark(piece[len(base) :])
         return b"".join(self[p[1:]] if p[:1] == " " and len(p) > 1 and p[1:] != piece[1:] else self.merged(p) for p in self.pattern.findall(piece))
 
     def __missing__(self, key: str) -> bytes:
         if len(self) >= CACHE:
             self.clear()
         if key[:1] == "\n":
-            out = self.merged("\n") + self.piece(key[1:])
+            out = self.mark("\n") + self.piece(key[1:])
         else:
             out = self.merged(f" {key}") if key.isalpha() else self.piece(f" {key}")
         self[key] = out
@@ -129,8 +147,10 @@ def tokenizer(path: str) -> PieceTokenizer:
 def pack_file(docs: list[tuple[int | None, np.ndarray]]) -> list[bytes]:
     """The bytes of a file with these (doc_id, ids)."""
     ids = np.concatenate([x for _, x in docs]) if docs else np.zeros(0, np.uint32)
+    coded = [encode(ids[i : i + STRIDE], BLOCK) for i in range(0, len(ids), STRIDE)]
+    words = np.concatenate([w for w, _ in coded]) if coded else np.zeros(0, np.uint64)
+    counts = np.concatenate([c for _, c in coded]) if coded else np.zeros(0, np.int64)
     starts = np.arange(0, len(ids), BLOCK, dtype=np.int64)
-    words, counts = encode(ids, starts)
     sizes = np.diff(np.append(starts, len(ids)))
     offset = len(MAGIC) + 20 + 16 * len(starts) + 17 * len(docs)
     blocks = b"".join(struct.pack("<QII", offset + 8 * int(at), int(w), int(n)) for at, w, n in zip(np.cumsum(counts) - counts, counts, sizes))
