@@ -36,7 +36,7 @@ ORDER = 2
 #: Hashes of the marks before the first and after the last word of a text; 0 is no word's hash but by chance.
 BEGIN, END = np.uint64(1), np.uint64(2)
 #: N-grams that a map task adds up before it hands them on, words whose hash a worker keeps, bytes of text a bucket.
-FLUSH, KEPT_WORDS, BUCKET_BYTES = 2_000_000, 300_000, 12_000_000
+FLUSH, KEPT_WORDS, BUCKET_BYTES = 1_000_000, 300_000, 8_000_000
 NONE = np.uint64(0)
 
 

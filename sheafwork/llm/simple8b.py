@@ -87,16 +87,19 @@ def encode(values: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
 
 def decode(words: np.ndarray, n: int) -> np.ndarray:
     """The n values of one block."""
+    return decode_blocks(words, np.array([len(words)]), np.array([n]))
+
+
+def decode_blocks(words: np.ndarray, n_words: np.ndarray, n_values: np.ndarray) -> np.ndarray:
+    """The values of blocks that follow each other: block b has n_words[b] words and n_values[b] values."""
     words = np.ascontiguousarray(words, dtype=np.uint64)
     sel = (words >> np.uint64(60)).astype(np.int64)
-    marks = np.flatnonzero(sel == ESCAPE)
-    raw = np.zeros(len(words), bool)
-    last = -2
-    for m in marks:  # an escaped value may look like an escape itself
-        if m != last + 1 or not raw[m]:
-            if m + 1 < len(words) and not raw[m]:
-                raw[m + 1] = True
-        last = m
+    raw = np.zeros(len(words), bool)  # whole words behind an escape
+    for m in np.flatnonzero(sel == ESCAPE).tolist():  # an escaped value may look like an escape itself
+        if not raw[m]:
+            raw[m + 1] = True
+    n_words, n_values = np.asarray(n_words, np.int64), np.asarray(n_values, np.int64)
+    block = np.repeat(np.arange(len(n_words)), n_words)[~raw]
     sel, body, extra = sel[~raw], words[~raw], words[raw]
     cnt = np.where(sel == ESCAPE, 1, COUNTS[sel])
     start = np.cumsum(cnt) - cnt
@@ -107,7 +110,10 @@ def decode(words: np.ndarray, n: int) -> np.ndarray:
         if s == ESCAPE:
             out[start[mine]] = extra
         elif width:
-            mask = np.uint64((1 << width) - 1)
+            mask, at, rest = np.uint64((1 << width) - 1), start[mine], body[mine]
             for k in range(int(COUNTS[s])):
-                out[start[mine] + k] = (body[mine] >> np.uint64(k * width)) & mask
-    return out[:n]
+                out[at + k] = (rest >> np.uint64(k * width)) & mask
+    # the last word of a block may hold more than the block
+    full = np.bincount(block, weights=cnt, minlength=len(n_words)).astype(np.int64)
+    skip = np.repeat(np.cumsum(full) - full - (np.cumsum(n_values) - n_values), n_values)
+    return out[np.arange(len(skip)) + skip]

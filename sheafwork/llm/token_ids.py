@@ -30,10 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafwork.llm.shared import fresh_path, open_fs, staged, table, write_file
-from sheafwork.llm.simple8b import decode, encode
+from sheafwork.llm.simple8b import decode_blocks, encode
 
 #: Ids of a block, and of so many blocks as are packed at once.
 MAGIC, BLOCK, STRIDE = b"SH8B", 1024, 1 << 18
+#: Blocks that are read and decoded at once.
+AT_ONCE = 256
 END_ID = 0
 #: Pieces whose ids a worker keeps; when full it starts anew, so its memory is bounded.
 CACHE = 500_000
@@ -172,29 +174,28 @@ class TokenFile:
         self.blocks = np.frombuffer(raw, dtype=[("offset", "<u8"), ("words", "<u4"), ("ids", "<u4")], count=blocks)
         self.docs = np.frombuffer(raw, dtype=[("doc_id", "<i8"), ("null", "u1"), ("ids", "<u8")], count=docs, offset=16 * blocks)
 
-    def block(self, k: int) -> np.ndarray:
-        b = self.blocks[k]
-        return decode(np.frombuffer(self.file.read_at(8 * int(b["words"]), int(b["offset"])), "<u8"), int(b["ids"]))
+    def decoded(self, first: int, end: int) -> np.ndarray:
+        """The ids of blocks [first, end), by one range read."""
+        b = self.blocks[first:end]
+        words = np.frombuffer(self.file.read_at(8 * int(b["words"].sum()), int(b["offset"][0])), "<u8")
+        return decode_blocks(words, b["words"], b["ids"])
 
     def ids(self, start: int, end: int) -> np.ndarray:
         """The ids [start, end) of the file."""
         if start >= end:
             return np.zeros(0, np.uint64)
-        first, last = start // BLOCK, (end - 1) // BLOCK
-        return np.concatenate([self.block(k) for k in range(first, last + 1)])[start - first * BLOCK : end - first * BLOCK]
+        first = start // BLOCK
+        return self.decoded(first, (end - 1) // BLOCK + 1)[start - first * BLOCK : end - first * BLOCK]
 
     def documents(self) -> Iterator[tuple[int | None, np.ndarray]]:
-        """All documents in order; a block is decoded once."""
-        held: list[np.ndarray] = []
-        have, k = 0, 0
+        """All documents in order; a block is decoded once, many at a time."""
+        held, k = np.zeros(0, np.uint64), 0
         for doc_id, null, n in self.docs.tolist():
-            while have < n:
-                held.append(self.block(k))
-                have += len(held[-1])
-                k += 1
-            joined = held[0] if len(held) == 1 else np.concatenate(held) if held else np.zeros(0, np.uint64)
-            yield None if null else doc_id, joined[:n]
-            held, have = [joined[n:]], have - n
+            while len(held) < n:
+                held = np.concatenate([held, self.decoded(k, k + AT_ONCE)])
+                k += AT_ONCE
+            yield None if null else doc_id, held[:n]
+            held = held[n:]
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, out: str) -> DataFrame:

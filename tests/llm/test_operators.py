@@ -319,7 +319,7 @@ def test_random_access_by_block(tmp_path):
     (tmp_path / "x").write_bytes(b"".join(token_ids.pack_file(docs)))
     f = token_ids.TokenFile(f"file://{tmp_path}/x")
     every = np.concatenate([x for _, x in docs])
-    assert f.ids(1020, 1030).tolist() == every[1020:1030].tolist() and f.block(2).tolist() == every[2048:3003].tolist()
+    assert f.ids(1020, 1030).tolist() == every[1020:1030].tolist() and f.decoded(2, 3).tolist() == every[2048:3003].tolist()
     assert [(i, x.tolist()) for i, x in f.documents()] == [(i, x.tolist()) for i, x in docs]
 
 
