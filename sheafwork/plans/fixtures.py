@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import json
+import shutil
+import tempfile
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +16,7 @@ from sheafwork.functions.decode import is_media, type_label
 from sheafwork.functions.text import collapse_lines, render_path, render_template, safe_path
 from sheafwork.operators import graph, locale, relations, sheets, spatial, walk
 from sheafwork.plans.registry import query
-from sheafwork.sources import binary, markup
+from sheafwork.sources import archive, binary, markup
 
 DICTIONARY = [("item", "id", "0", False, None), ("item", "name", "1", False, "localizable"), ("item", "maker", "6:guild", True, None), ("item", "parts", "8", True, None), ("item@parts", "of", "6:item", False, None), ("item@parts", "place", "6:place", True, None), ("guild", "id", "0", False, None), ("note", "text", "1", False, None), ("place", "id", "0", False, None)]
 LINES = [
@@ -170,3 +174,28 @@ def mosaic_layout(spark: SparkSession, d: str) -> DataFrame:
 def sheet_pair_catalog(spark: SparkSession, d: str) -> DataFrame:
     """The relation catalog of a sheet database's edges."""
     return relations.pair_catalog(sheets.sheet_edges(*_sheets(spark))).select("from_kind", "to_kind", "edges", "from_ids", "to_ids", "cardinality")
+
+
+ARCHIVED = {"a.txt": b"hello", "d/notes.bin": bytes(300), "d/e/empty": b"", "d/e/big": b"xyz" * 1000}
+
+
+def _archive(spark: SparkSession) -> str:
+    """A new archive in the folder that driver and executors share; where none is set, in a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        folder = tempfile.mkdtemp(prefix="sheafwork-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    uri = f"{folder.rstrip('/')}/{uuid.uuid4().hex}.pak"
+    archive.write_pak(uri, ARCHIVED, wide=frozenset({"d/e/big"}))
+    where = spark._jvm.org.apache.hadoop.fs.Path(archive.full_uri(uri))
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(where)
+    return uri
+
+
+@query("SELECT * FROM (VALUES ('a.txt', 0, CAST(5 AS BIGINT), CAST(103547413 AS BIGINT), 'hel'), ('d/notes.bin', 0, 300, 19660801, ''), ('d/e/empty', 0, 0, 1, ''), ('d/e/big', 2, 3000, 421235268, 'xyz')) t(path, flags, size, adler, head)")
+def pak_entries(spark: SparkSession, d: str) -> DataFrame:
+    """Entries of an archive with the first letters of their payloads, whose checksums the tasks verify as they read."""
+    spark.dataSource.register(archive.PakSource)
+    entries = spark.read.format("pak").option("payload", "true").option("split", "100").load(_archive(spark))
+    head = F.regexp_replace(F.substring("content", 1, 3).cast("string"), "\u0000", "")
+    return entries.select("path", "flags", "size", "adler", head.alias("head"))

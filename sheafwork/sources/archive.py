@@ -35,10 +35,12 @@ class Entry:
     adler: int
 
 
+def full_uri(uri: str) -> str:
+    return uri if "://" in uri or uri.startswith("file:") else f"file://{uri}"
+
+
 def opened(uri: str):
-    if "://" not in uri and not uri.startswith("file:"):
-        uri = f"file://{uri}"
-    fs, path = pafs.FileSystem.from_uri(uri)
+    fs, path = pafs.FileSystem.from_uri(full_uri(uri))
     return fs.open_input_file(path)
 
 
@@ -157,7 +159,7 @@ class PakSource(DataSource):
         return PakReader(self.options)
 
 
-def write_pak(path: str, files: dict[str, bytes], version: int = 0, wide: frozenset[str] = frozenset()) -> None:
+def write_pak(uri: str, files: dict[str, bytes], version: int = 0, wide: frozenset[str] = frozenset()) -> None:
     """An archive with these files, for tests and small exports; ``wide`` names get 64-bit positions."""
     tree: dict = {}
     for name in files:
@@ -177,7 +179,8 @@ def write_pak(path: str, files: dict[str, bytes], version: int = 0, wide: frozen
         return head + (b"\x02" + struct.pack("<d", pos) if what in wide else b"\x00" + struct.pack("<i", pos)) + struct.pack("<II", len(body), zlib.adler32(body))
 
     index = node("", tree)
-    with open(path, "wb") as f:
+    fs, path = pafs.FileSystem.from_uri(full_uri(uri))
+    with fs.open_output_stream(path) as f:
         f.write(b"PAK" + bytes([version]) + struct.pack("<ii", 12 + len(index) + 4, len(data)) + index + b"DATA" + bytes(data))
 
 
