@@ -6,7 +6,11 @@ joined with those of the benchmark.  A document holds an item if SHARE or more o
 the first also with its first word as a name.  Placeholders hide values, so for items that have any, the values behind
 matched windows are compared: each value of the item has to stand for one value of the document, and the other way round,
 for CONSISTENT of the item's values.  That catches questions whose numbers and names were exchanged, and lets texts go that
-only share a pattern.
+only share a pattern.  Values are compared over all matched windows of the document first.  Where these contradict each
+other (two items of one template, an item beside its altered copy, a run of numbers), each occurrence is judged alone: the
+matched windows at one distance between the places in document and item, or at distances less than WINDOW apart, so that
+a word put in or left out does not tear it.  An occurrence has SHARE of the item's windows; one whose words are all
+placeholders tells nothing but its values, so CONSISTENT of these have to be equal.
 
 The benchmark's windows are broadcast if there are at most BROADCAST_WINDOWS of them (their number is counted first);
 beyond that, both sides are shuffled by the window's hash.
@@ -18,10 +22,12 @@ table gives no rows; columns other than those named are dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sheafwork.llm.shared import table
+from sheafwork.llm.shared import staged, table
 
 WINDOW, SHARE, CONSISTENT = 5, 0.8, 0.8
 BROADCAST_WINDOWS = 1_000_000
@@ -98,15 +104,56 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ask = found.join(small(slotted), "item_id", "left_semi").select("doc_id", "item_id")
     ours = windows(docs.join(ask.select("doc_id").distinct(), "doc_id", "left_semi"), "doc_id", "text", values=True).select("doc_id", "hash", F.col("own").alias("doc_own"))
     both = ours.join(small(own), "hash").join(ask, ["doc_id", "item_id"], "left_semi")
+    fair = consistency(both, ["doc_id", "item_id"])
+    judged = staged(told.join(fair, ["doc_id", "item_id"], "left"), "leaks")
+    passed = judged.where("consistency IS NULL OR consistency >= " + str(CONSISTENT))
+    torn = judged.where("consistency < " + str(CONSISTENT))
+    if not torn.isEmpty():
+        alone = occurrences(docs, items, torn.select("doc_id", "item_id"), small)
+        passed = passed.unionByName(torn.drop("slots", "consistency").join(alone, ["doc_id", "item_id"]))
+    return passed.select("doc_id", "item_id", "matched", "windows", "share", F.coalesce("slots", F.lit(0)).cast("bigint").alias("slots"), F.round("consistency", 6).alias("consistency"))
+
+
+def consistency(both: DataFrame, by: list[str]) -> DataFrame:
+    """(by, slots, consistency, equal) from matched windows with canon, item_own and doc_own; equal is the share of pairs of
+    values that are the same value."""
     zipped = F.explode(F.arrays_zip("canon", "item_own", "doc_own")).alias("x")
-    pairs = both.select("doc_id", "item_id", zipped).where(F.array_contains(blank, F.col("x.canon")))
-    pairs = pairs.select("doc_id", "item_id", F.col("x.canon").alias("kind"), F.lower("x.item_own").alias("a"), F.lower("x.doc_own").alias("b")).distinct()
-    by = ["doc_id", "item_id", "kind"]
-    of_a = pairs.groupBy(*by, "a").agg(F.count("*").alias("bs"), F.min("b").alias("b"))
-    of_b = pairs.groupBy(*by, "b").agg(F.count("*").alias("as_"))
-    fair = of_a.join(of_b, [*by, "b"]).groupBy("doc_id", "item_id").agg(F.count("*").alias("slots"), F.avg(((F.col("bs") == 1) & (F.col("as_") == 1)).cast("double")).alias("consistency"))
-    out = told.join(fair, ["doc_id", "item_id"], "left").where("consistency IS NULL OR consistency >= " + str(CONSISTENT))
-    return out.select("doc_id", "item_id", "matched", "windows", "share", F.coalesce("slots", F.lit(0)).cast("bigint").alias("slots"), F.round("consistency", 6).alias("consistency"))
+    pairs = both.select(*by, zipped).where(F.col("x.canon").isin(NUMBER, NAME, UNIT))
+    pairs = pairs.select(*by, F.col("x.canon").alias("kind"), F.lower("x.item_own").alias("a"), F.lower("x.doc_own").alias("b")).distinct()
+    of_a = pairs.groupBy(*by, "kind", "a").agg(F.count("*").alias("bs"), F.min("b").alias("b"))
+    of_b = pairs.groupBy(*by, "kind", "b").agg(F.count("*").alias("as_"))
+    true = ((F.col("bs") == 1) & (F.col("as_") == 1)).cast("double")
+    return of_a.join(of_b, [*by, "kind", "b"]).groupBy(*by).agg(F.count("*").alias("slots"), F.avg(true).alias("consistency"), F.avg((F.col("a") == F.col("b")).cast("double")).alias("equal"))
+
+
+def occurrences(docs: DataFrame, items: DataFrame, ask: DataFrame, small: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(doc_id, item_id, slots, consistency) of the best occurrence that passes, for those pairs of ask that have one."""
+    key = ["doc_id", "item_id"]
+    asked = items.where("item_text IS NOT NULL").distinct().join(small(ask.select("item_id").distinct()), "item_id", "left_semi")
+    asked = asked.withColumn("copy", F.xxhash64("item_text"))
+    theirs = windows(asked.withColumn("it", F.struct("item_id", "copy")), "it", "item_text", values=True)
+    theirs = theirs.select("it.item_id", "it.copy", F.col("at").alias("place"), "hash", "canon", F.col("own").alias("item_own"))
+    sizes = theirs.groupBy("item_id", "copy").agg(F.count("*").alias("size"))
+    named = theirs.where((F.col("place") == 0) & ~F.col("canon")[0].isin(NUMBER, NAME, UNIT))
+    named = named.withColumn("hash", F.xxhash64(F.lit(NAME), *[F.col("canon")[k] for k in range(1, WINDOW)]))
+    texts = docs.where("text IS NOT NULL").distinct().join(ask.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("text_copy", F.xxhash64("text"))
+    ours = windows(texts.withColumn("it", F.struct("doc_id", "text_copy")), "it", "text", values=True)
+    ours = ours.select("it.doc_id", "it.text_copy", "at", "hash", F.col("own").alias("doc_own"))
+    both = ours.join(small(theirs.unionByName(named)), "hash").join(ask, key, "left_semi").withColumn("off", F.col("at") - F.col("place"))
+    one = [*key, "copy", "text_copy"]
+    # Occurrences at one distance, and runs of distances less than WINDOW apart; of a place's windows in a run all count.
+    before = F.lag("off").over(Window.partitionBy(*one).orderBy("off"))
+    far = (F.col("off") - F.coalesce(before, F.col("off")) >= WINDOW).cast("int")
+    run = both.withColumn("_far", far).withColumn("run", F.sum("_far").over(Window.partitionBy(*one).orderBy("off").rangeBetween(Window.unboundedPreceding, 0))).drop("_far")
+    tried = run.withColumn("way", F.explode(F.array(F.struct(F.lit(False).alias("runs"), F.col("off").cast("bigint").alias("k")), F.struct(F.lit(True).alias("runs"), F.col("run").cast("bigint").alias("k")))))
+    by = [*one, "way"]
+    literal = F.exists("canon", lambda w: ~w.isin(NUMBER, NAME, UNIT))
+    full = tried.groupBy(*by).agg(F.count_distinct("place").alias("places"), F.max(literal).alias("literal")).join(small(sizes), ["item_id", "copy"])
+    full = full.where(F.col("places") >= F.lit(SHARE) * F.col("size")).select(*by, "literal")
+    found = consistency(tried.join(full.drop("literal"), by, "left_semi"), by).join(full, by)
+    found = found.where((F.col("consistency") >= CONSISTENT) & (F.col("literal") | (F.col("equal") >= CONSISTENT)))
+    best = F.max(F.struct("consistency", "slots")).alias("x")
+    return found.groupBy(*key).agg(best).select(*key, "x.slots", "x.consistency")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

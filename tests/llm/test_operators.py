@@ -447,3 +447,19 @@ def test_decontamination_plan_is_native(spark):
     leaks = catalog.QUERIES["op10_decontamination"](spark, str(DATA))
     plan = leaks._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_occurrences_are_judged_alone(spark):
+    ask = "Yesterday the farmer sold {} apples and {} pears at the old market before he walked home with {} coins."
+    first, second = ask.format(3, 8, 20), ask.format(5, 9, 31)
+    run = "Continue this series of numbers 2 3 5 7 11 13 17 19 23 29 with the next one that fits."
+    digits = "4 8 15 16 23 42 108 7"
+    bench = spark.createDataFrame([(1, first), (2, second), (3, run), (4, digits)], "item_id bigint, text string")
+    torn = "Yesterday the farmer sold 3 apples and 3 pears at the old market before he walked home with 3 coins."
+    texts = [
+        (1, f"{first} Some words between them. {second}"), (2, f"{first} Some words between them. {ask.format(70, 80, 90)}"), (3, f"Before it. {run} After it."), (4, f"A table row {digits} ends here."),
+        (5, "A table row 1 2 3 4 5 6 7 9 ends here."), (6, f"{torn} Some words between them. {torn}"), (7, f"{first.replace('old market', 'old town market')} Some words between them. {second}"), (None, f"{first} {second}"),
+    ]
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(spark.createDataFrame(texts, "doc_id bigint, text string"), bench).collect()}
+    both = {(d, i) for d in (1, 2, 7) for i in (1, 2)}  # one template: a text with other values holds both items
+    assert got >= both | {(3, 3), (4, 4)} and not [k for k in got if k[0] in (5, 6)]
