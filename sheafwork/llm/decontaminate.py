@@ -15,8 +15,10 @@ placeholders tells nothing but its values, so CONSISTENT of these have to be equ
 The benchmark's windows are broadcast if there are at most BROADCAST_WINDOWS of them (their number is counted first);
 beyond that, both sides are shuffled by the window's hash.
 
-Defined cases: null and empty texts hold nothing; items of fewer than WINDOW words have no window and are never found;
-repeated documents of one id count as one, as do repeated items; rows with a null doc_id are reported under null; an empty
+Letters of scripts without spaces (UNSPACED) are words of their own.  An item of fewer than WINDOW words has one window of
+its own length, of its words as they are but lower-cased: so short a template would fit any text.  It has no slots.
+
+Defined cases: null and empty texts hold nothing, and so does an item without a word; repeated documents of one id count as one, as do repeated items; rows with a null doc_id are reported under null; an empty
 table gives no rows; columns other than those named are dropped.
 """
 
@@ -34,6 +36,9 @@ BROADCAST_WINDOWS = 1_000_000
 # Units that make a placeholder after a number.
 UNITS = "kg|g|mg|lb|lbs|oz|km|m|cm|mm|mi|ft|in|l|ml|s|ms|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|miles?|meters?|metres?|kilometers?|kilometres?|grams?|kilograms?|pounds?|dollars?|euros?|cents?|percent|usd|eur"
 NUMBER, NAME, UNIT = "0", "1", "2"
+#: Scripts that put no spaces between words, and a wider range that is quicker to look for.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+MAY_BE_UNSPACED = r"[\x{E00}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{FFDC}\x{16FE0}-\x{16FFF}\x{1AFF0}-\x{1B16F}\x{1F200}\x{20000}-\x{3FFFF}]"
 
 
 def joined_numbers(text: Column) -> Column:
@@ -41,6 +46,11 @@ def joined_numbers(text: Column) -> Column:
     return F.when(text.rlike("[0-9][.,:/-][0-9]"), F.regexp_replace(text, "(?<=[0-9])[.,:/-](?=[0-9])", "")).otherwise(text)
 
 
+def spaced(text: Column) -> Column:
+    """Spaces around each letter of an unspaced script."""
+    return F.when(text.rlike(MAY_BE_UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
+
+
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, r"[^\p{L}\p{N}]+"), "")
 
@@ -62,7 +72,7 @@ def shifted(words: Column, names: list[str]) -> Column:
 
 def windows(df: DataFrame, key: str, text: str, values: bool = False) -> DataFrame:
     """(key, at, hash) of every window; with values also canon and own, arrays of its canonical and original words."""
-    clean = df.where(F.col(text).isNotNull()).select(key, joined_numbers(F.col(text)).alias("_t"))
+    clean = df.where(F.col(text).isNotNull()).select(key, spaced(joined_numbers(F.col(text))).alias("_t"))
     cut = clean.select(key, words_of(canonical(F.col("_t"))).alias("_w"), *([words_of(F.col("_t")).alias("_v")] if values else []))
     names = [f"_{k}" for k in range(WINDOW)]
     cut = cut.where(F.size("_w") >= WINDOW)
@@ -72,6 +82,29 @@ def windows(df: DataFrame, key: str, text: str, values: bool = False) -> DataFra
     return out.select(key, "at", F.xxhash64(*words).alias("hash"), *extra)
 
 
+def n_canonical(text: str) -> Column:
+    return F.when(F.col(text).isNotNull(), F.size(words_of(canonical(spaced(joined_numbers(F.col(text))))))).otherwise(0)
+
+
+def short_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """leaks() of items of fewer than WINDOW words: their words have to stand side by side in the document."""
+    own = lambda text: words_of(F.lower(spaced(joined_numbers(F.col(text)))))
+    short = items.where(n_canonical("item_text").between(1, WINDOW - 1)).select("item_id", own("item_text").alias("_w")).distinct()
+    short = short.select("item_id", F.size("_w").alias("n"), F.xxhash64("_w").alias("hash"))
+    sizes = sorted(r["n"] for r in short.select("n").distinct().collect())
+    words = docs.where("text IS NOT NULL").select("doc_id", own("text").alias("_w"))
+
+    def runs(n: int) -> Column:
+        hashes = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("_w") - n + 1), lambda i: F.xxhash64(F.slice("_w", i, n))))
+        return F.when(F.size("_w") >= n, F.transform(hashes, lambda h: F.struct(F.lit(n).alias("n"), h.alias("hash")))).otherwise(F.array())
+
+    met = words.select("doc_id", F.explode(F.concat(*map(runs, sizes))).alias("x")).select("doc_id", "x.n", "x.hash")
+    few = short.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
+    met = met.join(F.broadcast(short) if few else short, ["n", "hash"]).select("doc_id", "item_id").distinct()
+    one = F.lit(1).cast("bigint")
+    return met.select("doc_id", "item_id", one.alias("matched"), one.alias("windows"), F.lit(1.0).alias("share"), F.lit(0).cast("bigint").alias("slots"), F.lit(None).cast("double").alias("consistency"))
+
+
 def item_windows(items: DataFrame) -> DataFrame:
     """(item_id, place, hash): the windows of items, equal ones at the first place they have.  The first window has a second
     hash, with a name for its first word: within another sentence, that word's capital makes it one."""
@@ -88,6 +121,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     item's values behind placeholders; consistency is null without any."""
     docs = docs.select("doc_id", "text")
     items = benchmark.select("item_id", F.col("text").alias("item_text"))
+    found = long_leaks(docs, items)
+    if items.where(n_canonical("item_text").between(1, WINDOW - 1)).isEmpty():
+        return found
+    # An item_id with a long and a short text has one row for a document: that of the long one.
+    short = short_leaks(docs, items)
+    by = ["doc_id", "item_id"]
+    both = found.withColumn("_short", F.lit(0)).unionByName(short.withColumn("_short", F.lit(1)))
+    rest = [c for c in found.columns if c not in by]
+    return both.groupBy(*by).agg(F.min(F.struct("_short", *rest)).alias("x")).select(*by, *[f"x.{c}" for c in rest])
+
+
+def long_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """leaks() of items of WINDOW words or more."""
     theirs = item_windows(items)
     sizes = theirs.groupBy("item_id").agg(F.count_distinct("place").alias("windows"))
     few = theirs.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS

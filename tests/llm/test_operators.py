@@ -463,3 +463,11 @@ def test_occurrences_are_judged_alone(spark):
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(spark.createDataFrame(texts, "doc_id bigint, text string"), bench).collect()}
     both = {(d, i) for d in (1, 2, 7) for i in (1, 2)}  # one template: a text with other values holds both items
     assert got >= both | {(3, 3), (4, 4)} and not [k for k in got if k[0] in (5, 6)]
+
+
+def test_short_and_unspaced_items(spark):
+    chinese = "小明昨天买了三个苹果然后回家"
+    bench = spark.createDataFrame([(1, "The Blue Whale"), (2, "Paris."), (3, chinese), (4, "!?"), (5, "長剣"), (6, "the blue Whale swims away"), (7, "ประเทศไทย"), (8, "Whale 1,5")], "item_id bigint, text string")
+    texts = [(1, "It was the blue whale, again."), (2, "He lives in PARIS now"), (3, f"他说：{chinese}。"), (4, "小明回家。然后昨天"), (5, "blue the whale Parisian"), (6, "巨獣長剣だ"), (7, "whale"), (8, None), (9, ""), (None, "in Paris"), (10, "ใน ประเทศไทย นี้"), (11, "a whale 1,5"), (12, "a whale 1,6")]
+    got = sorted((str(r["doc_id"]), r["item_id"]) for r in decontaminate.leaks(spark.createDataFrame(texts, "doc_id bigint, text string"), bench).collect())
+    assert got == sorted([("1", 1), ("2", 2), ("3", 3), ("6", 5), ("None", 2), ("10", 7), ("11", 8)])
