@@ -16,14 +16,18 @@ from sheafwork.llm import decontaminate, language_id, mixing, simhash, token_ids
 from sheafwork.llm.shared import fresh_path, staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A text whose best language has a lower mean word probability than this is no text of a language.
+#: A text whose words' best labels have a lower mean probability than this is no text of any languages.
 MIN_LANGUAGE_SCORE = 0.4
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter, and those in which no language is likely enough."""
-    found = language_id.identify(docs, language_id.fit(docs))
-    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    """Drops texts without a letter, and those whose words fit no language well enough; a text may switch languages.  Where no
+    row has a lang there is nothing to judge by, and all are kept."""
+    crf = language_id.fit(docs)
+    if crf is None:
+        return docs.select(*COLUMNS)
+    found = language_id.identify(docs, crf)
+    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("certainty") >= MIN_LANGUAGE_SCORE)
     return docs.select(*COLUMNS).join(found.where(~known).select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
 
 

@@ -158,10 +158,10 @@ def train(texts: list[str], langs: list[str], seed: int = 0) -> Crf | None:
     return crf
 
 
-def label_texts(crf: Crf, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(label number, score) of each text; label -1 where no word has a letter."""
+def label_texts(crf: Crf, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(label number, score, certainty) of each text; label -1 where no word has a letter."""
     k = len(crf.labels)
-    label, score = np.full(len(texts), -1), np.zeros(len(texts))
+    label, score, certainty = np.full(len(texts), -1), np.zeros(len(texts)), np.zeros(len(texts))
     for begin, part in chunks(texts):
         w = words_of(part)
         if not len(w):
@@ -189,7 +189,8 @@ def label_texts(crf: Crf, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             best = total.argmax(axis=1)
             label[begin + group] = np.where(lettered > 0, best, -1)
             score[begin + group] = np.where(lettered > 0, total[np.arange(len(group)), best] / np.maximum(lettered, 1), 0)
-    return label, score
+            certainty[begin + group] = np.bincount(cols, weights=post.max(axis=1), minlength=len(group)) / np.maximum(lettered, 1)
+    return label, score, certainty
 
 
 def fit(docs: DataFrame, lang: str = "lang") -> Crf | None:
@@ -205,24 +206,26 @@ def fit(docs: DataFrame, lang: str = "lang") -> Crf | None:
 
 
 def identify(docs: DataFrame, crf: Crf | None) -> DataFrame:
-    """(doc_id, lang_pred, score) of docs (doc_id, text)."""
+    """(doc_id, lang_pred, score, certainty) of docs (doc_id, text).  certainty is the mean over words with letters of the
+    largest label probability, whatever the label: it is high for a text that switches languages, each word of which is clear."""
     model = docs.sparkSession.sparkContext.broadcast(crf)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             if model.value is None:
-                label, score, names = np.full(len(texts), -1), np.zeros(len(texts)), []
+                label, score, certainty, names = np.full(len(texts), -1), np.zeros(len(texts)), np.zeros(len(texts)), []
             else:
                 names = model.value.labels
-                label, score = label_texts(model.value, texts)
+                label, score, certainty = label_texts(model.value, texts)
             told = [names[k] if k >= 0 and any(map(str.isalpha, t)) else None for k, t in zip(label.tolist(), texts)]
+            bounded = lambda v: pa.array([float(min(1, max(0, s))) if x is not None else 0.0 for x, s in zip(told, v)], pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([x or UNKNOWN for x in told]), pa.array([float(min(1, max(0, s))) if x else 0.0 for x, s in zip(told, score)], pa.float64())],
-                names=["doc_id", "lang_pred", "score"],
+                [batch.column("doc_id"), pa.array([UNKNOWN if x is None else x for x in told], pa.string()), bounded(score), bounded(certainty)],
+                names=["doc_id", "lang_pred", "score", "certainty"],
             )
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(work, "doc_id bigint, lang_pred string, score double")
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(work, "doc_id bigint, lang_pred string, score double, certainty double")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,3 +42,12 @@ def test_run(spark):
         assert set(now) == before - gone and len(now) == len(set(now))
         docs = after
     assert P.run(spark, str(DATA)).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_switching_texts_and_unlabelled_tables_stay(spark):
+    words = {"en": "the cat and dog were here with that thing", "fr": "le chat est sur une table dans la maison", "de": "der Hund und die Katze sind nicht hier", "es": "los perros del pueblo comen pan por las noches"}
+    rows = [(4 * i + k, f"{t} {t}", g, "a", 0) for i in range(30) for k, (g, t) in enumerate(words.items())]
+    rows.append((1000, " ".join(f"{t} {t}" for t in words.values()), "en", "a", 0))
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert P.keep_known_languages(spark, d, "").where("doc_id = 1000").count() == 1
+    assert P.keep_known_languages(spark, d.withColumn("lang", P.F.lit(None).cast("string")), "").count() == len(rows)
