@@ -15,6 +15,7 @@ equal results; columns other than those named are dropped.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +28,8 @@ from sheafwork.llm.shared import fold, table
 from sheafwork.llm.word_arrays import AFFIX_BITS, TRIGRAM_BITS, WORD_BITS, Words, chunks, words_of
 
 UNKNOWN = "und"
-#: Bounds of the training sample: labelled texts of each language, and languages (the most frequent).
+#: Bounds of the training sample: labelled texts of each language, and how many languages may have so many.  Beyond that each
+#: language has fewer texts (one at least) and each label fewer buckets, so sample and model stay as large.
 MOST_PER_LANG, MOST_LANGS = 300, 200
 SEQUENCE, BATCH, STEPS = 48, 64, 260
 
@@ -41,9 +43,16 @@ class Crf:
     whole: np.ndarray
     start: np.ndarray
     step: np.ndarray  # from label x to label
+    fold: int = 0  # the buckets of a feature are 2**fold to one
+
+    def buckets(self, w: Words) -> Words:
+        """w with its features in this model's buckets; 0 stays no feature."""
+        part = lambda codes: (codes + ((1 << self.fold) - 1)) >> self.fold
+        return Words(w.doc, w.start, part(w.trigram), part(w.prefix), part(w.suffix), part(w.whole), w.letters) if self.fold else w
 
     def emissions(self, w: Words) -> np.ndarray:
         """words x labels"""
+        w = self.buckets(w)
         out = np.empty((len(w), len(self.labels)), np.float32)
         codes = w.trigram[w.start[0] :] if len(w) else w.trigram
         for k in range(len(self.labels)):
@@ -92,10 +101,11 @@ def pair_expectation(e: np.ndarray, start: np.ndarray, step: np.ndarray) -> tupl
     for t in range(n - 2, -1, -1):
         now = (beta[t + 1] * p[t + 1]) @ move.T
         beta[t] = now / now.sum(axis=1, keepdims=True)
-    pairs = alpha[:-1, :, :, None] * move * (beta[1:] * p[1:])[:, :, None, :]
-    pairs /= pairs.sum(axis=(2, 3), keepdims=True)
+    after = beta[1:] * p[1:]
+    total = ((alpha[:-1] @ move) * after).sum(axis=2, keepdims=True)
+    pairs = move * ((alpha[:-1] / total).reshape(-1, k).T @ after.reshape(-1, k))
     post = alpha * beta
-    return post / post.sum(axis=2, keepdims=True), pairs.sum(axis=(0, 1))
+    return post / post.sum(axis=2, keepdims=True), pairs
 
 
 def train(texts: list[str], langs: list[str], seed: int = 0) -> Crf | None:
@@ -105,14 +115,17 @@ def train(texts: list[str], langs: list[str], seed: int = 0) -> Crf | None:
     w = words_of(texts)
     if not k or not len(w):
         return None
-    gold_of = np.array([labels.index(x) for x in langs])
+    number = {x: i for i, x in enumerate(labels)}
+    gold_of = np.array([number[x] for x in langs])
     rng = np.random.default_rng(seed)
     first = np.searchsorted(w.doc, np.arange(len(texts)))
     count = np.searchsorted(w.doc, np.arange(len(texts)), side="right") - first
     by_label = [np.flatnonzero((gold_of == i) & (count > 0)) for i in range(k)]
     present = [i for i in range(k) if len(by_label[i])]
-    shapes = {"trigram": 1 << TRIGRAM_BITS, "prefix": 1 << AFFIX_BITS, "suffix": 1 << AFFIX_BITS, "whole": 1 << WORD_BITS}
-    crf = Crf(labels, *[np.zeros((k, n), np.float32) for n in shapes.values()], np.zeros(k, np.float32), np.zeros((k, k), np.float32))
+    fold_ = min(AFFIX_BITS - 4, max(0, math.ceil(math.log2(k / MOST_LANGS))))
+    bits = {"trigram": TRIGRAM_BITS, "prefix": AFFIX_BITS, "suffix": AFFIX_BITS, "whole": WORD_BITS}
+    shapes = {name: (1 << b - fold_) + (fold_ > 0) for name, b in bits.items()}
+    crf = Crf(labels, *[np.zeros((k, n), np.float32) for n in shapes.values()], np.zeros(k, np.float32), np.zeros((k, k), np.float32), fold_)
     seen = {name: np.full((k, n), 1e-3, np.float32) for name, n in shapes.items()}
     seen_start, seen_step = np.full(k, 1e-3), np.full((k, k), 1e-3)
     reach = np.diff(np.append(w.start, len(w.trigram)))
@@ -139,6 +152,7 @@ def train(texts: list[str], langs: list[str], seed: int = 0) -> Crf | None:
         want = np.eye(k, dtype=np.float32)[gold_]
         grad = (want - post).reshape(-1, k)
         grad[~sub.letters] = 0
+        sub = crf.buckets(sub)
         for name, codes, weights in (("trigram", sub.trigram, np.repeat(grad, sizes, axis=0)), ("prefix", sub.prefix, grad), ("suffix", sub.suffix, grad), ("whole", sub.whole, grad)):
             x, s = getattr(crf, name), seen[name]
             for j in range(k):
@@ -173,7 +187,7 @@ def label_texts(crf: Crf, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.
         order = order[count[order] > 0]
         at = 0
         while at < len(order):  # texts of like length together, longest first
-            group = order[at : at + max(32, 200_000 // int(count[order[at]]))]
+            group = order[at : at + max(32, 200_000 * MOST_LANGS // max(k, MOST_LANGS) // int(count[order[at]]))]
             at += len(group)
             sizes = count[group]
             n = int(sizes[0])
@@ -194,15 +208,23 @@ def label_texts(crf: Crf, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def fit(docs: DataFrame, lang: str = "lang") -> Crf | None:
-    """Learns from docs (text, lang, doc_id): at most MOST_PER_LANG texts of each of MOST_LANGS languages."""
+    """Learns from docs (text, lang, doc_id): at most MOST_PER_LANG texts of each language, fewer if there are more than
+    MOST_LANGS of them, but of each language one at least."""
     known = docs.where(F.col(lang).isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", F.col(lang).alias("lang"))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()
+    counts = known.groupBy("lang").count().collect()
     if not counts:
         return None
-    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, MOST_PER_LANG / r["count"])))])
+    most = min(MOST_PER_LANG, max(1, MOST_PER_LANG * MOST_LANGS // len(counts)))
+    shares = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, most / r["count"])) for r in counts], "lang string, _share double")
     chance = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(3)), F.lit(1 << 40)) / float(1 << 40)
-    sample = known.where(chance < F.coalesce(F.element_at(share, F.col("lang")), F.lit(0.0))).orderBy("doc_id").collect()
-    return train([r["text"] for r in sample], [r["lang"] for r in sample])
+    drawn = known.join(F.broadcast(shares), "lang").where(chance < F.col("_share"))
+    sample = [(r["text"], r["lang"]) for r in drawn.select("doc_id", "text", "lang").orderBy("doc_id").collect()]
+    missed = sorted({r["lang"] for r in counts} - {x for _, x in sample})
+    if missed:
+        of_missed = known.join(F.broadcast(docs.sparkSession.createDataFrame([(x,) for x in missed], "lang string")), "lang")
+        one = of_missed.groupBy("lang").agg(F.min(F.struct(chance.alias("c"), "text")).alias("x"))
+        sample += sorted((r["text"], r["lang"]) for r in one.select("x.text", "lang").collect())
+    return train([t for t, _ in sample], [x for _, x in sample])
 
 
 def identify(docs: DataFrame, crf: Crf | None) -> DataFrame:

@@ -114,6 +114,30 @@ def test_code_switched_words():
     assert post.tolist() == [0] * 10 + [1] * 10 and crf.step[0, 0] > crf.step[0, 1]
 
 
+def test_more_languages_than_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANGS", 2)
+    monkeypatch.setattr(language_id, "MOST_PER_LANG", 4)
+    stems = ["bak", "dro", "fli", "gum", "pez", "wyx"]
+    rows = [(10 * k + i, " ".join(f"{s}{e}" for e in "aeiou"[i % 5 :] * 8), s) for k, s in enumerate(stems) for i in range(10 - k)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    crf = language_id.fit(d)
+    assert crf.labels == stems and crf.fold == 2
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(d, crf).collect()}
+    assert got == {i: s for i, _, s in rows}
+
+
+def test_pair_expectation_by_enumeration():
+    rng = np.random.default_rng(2)
+    e, start, step = rng.normal(size=(3, 2, 3)), rng.normal(size=3), rng.normal(size=(3, 3))
+    want = np.zeros((3, 3))
+    for b in range(2):
+        ways = {ys: math.exp(start[ys[0]] + sum(e[t, b, y] for t, y in enumerate(ys)) + sum(step[x, y] for x, y in zip(ys, ys[1:]))) for ys in np.ndindex(3, 3, 3)}
+        for ys, w in ways.items():
+            for x, y in zip(ys, ys[1:]):
+                want[x, y] += w / sum(ways.values())
+    assert np.allclose(language_id.pair_expectation(e, start, step)[1], want)
+
+
 # -- 4 -------------------------------------------------------------------------------------------------------------------
 
 
