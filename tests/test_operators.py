@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 
 import pytest
@@ -36,6 +38,20 @@ def test_search_form(spark):
     assert spark.createDataFrame([(None,)], "raw string").select(normalize_name(F.col("raw"))).first()[0] is None
 
 
+def test_normalize_all_reads_whole_texts(spark, tmp_path):
+    from sheafwork.plans.texts import normalize_all
+
+    def brute(text):
+        text = re.sub(r"<[^>]*>|\[[^\]]*\]|::[A-Za-z0-9_]+::", " ", text)
+        text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+        return " ".join(text.lower().replace("ł", "l").split())
+
+    texts = ["First Line\n Épée <b>two</b>\n\nŁódź [X] three", "\n\nonly later", "one", "", "a\r\n" + "Straße\n" * 3000]
+    spark.createDataFrame([*enumerate(texts), (9, None)], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["norm"] for r in normalize_all(spark, str(tmp_path)).collect()}
+    assert got == {**{i: brute(t) for i, t in enumerate(texts)}, 9: None}
+
+
 @pytest.mark.parametrize("turn", [0, 7])
 def test_search_ranking(spark, turn):
     rows = spark.createDataFrame(ROWS[turn:] + ROWS[:turn], "kind string, id string, name string").withColumn("n", normalize_name(F.col("name"))).cache()
