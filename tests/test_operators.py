@@ -52,6 +52,17 @@ def test_normalize_all_reads_whole_texts(spark, tmp_path):
     assert got == {**{i: brute(t) for i, t in enumerate(texts)}, 9: None}
 
 
+def test_sizes_and_forms_of_all_rows(spark, tmp_path):
+    from sheafwork.plans.texts import human_sizes, normalize_benchmark
+
+    sizes = {1: (0, "0 B"), 2: (1023, "1023 B"), 3: (1536, "1.5 KiB"), 4: (1 << 20, "1.0 MiB"), 5: (5 << 19, "2.5 MiB"), 6: (1 << 30, "1.0 GiB"), 7: (None, None)}
+    spark.createDataFrame([(i, n) for i, (n, _) in sizes.items()], "doc_id bigint, n_chars bigint").write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r["doc_id"]: r["size"] for r in human_sizes(spark, str(tmp_path)).collect()} == {i: want for i, (_, want) in sizes.items()}
+    spark.createDataFrame([*enumerate(raw for raw, _ in NORMAL), (99, None)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = {r["item_id"]: r["norm"] for r in normalize_benchmark(spark, str(tmp_path)).collect()}
+    assert got == {**dict(enumerate(want for _, want in NORMAL)), 99: None}
+
+
 @pytest.mark.parametrize("turn", [0, 7])
 def test_search_ranking(spark, turn):
     rows = spark.createDataFrame(ROWS[turn:] + ROWS[:turn], "kind string, id string, name string").withColumn("n", normalize_name(F.col("name"))).cache()
