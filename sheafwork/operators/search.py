@@ -5,8 +5,11 @@ and id.  Names are normalised once when the index is made, not at every query.""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +18,8 @@ from sheafwork.operators.ordinals import shared_budget
 from sheafwork.operators.quality import reconcile
 
 LEAST_QUERY = 2
+#: Characters of ids in a piece of a manifest.
+PIECE = 1 << 14
 
 
 def tier(name: Column, query: Column) -> Column:
@@ -80,6 +85,50 @@ def strays(rows: DataFrame, kinds: Sequence[str], locales: Sequence[str]) -> Dat
 
 
 def manifest(index: DataFrame) -> DataFrame:
-    """Rows of each locale and a digest of its ids in order; equal digests mean equal id lists."""
-    ids = F.array_join(F.sort_array(F.collect_list(F.concat_ws("/", "kind", "id"))), "\n")
-    return index.groupBy("locale").agg(F.count("*").alias("rows"), F.sha2(ids, 256).alias("ids_sha256"))
+    """Rows of each locale and a digest of its ids in order; equal digests mean equal id lists.
+
+    Ids are sorted in ranges over all tasks and packed into pieces of about PIECE bytes; one task for each locale then streams
+    its pieces, in order, through SHA-256.  No row or task holds a locale's ids, though one hash has to read them in turn."""
+    kind = index.schema["locale"].dataType.simpleString()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seq, piece, size, now = TaskContext.get().partitionId(), 0, [], 0, None
+        schema = None
+
+        def full() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([now], schema), pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([len(piece)], pa.int64()), pa.array(["\n".join(piece).encode()], pa.binary())], names=["locale", "part", "seq", "n", "data"])
+
+        for batch in batches:
+            schema = batch.column("locale").type
+            for locale, id_ in zip(batch.column("locale").to_pylist(), batch.column("id").to_pylist()):
+                if piece and (locale != now or size >= PIECE):
+                    yield full()
+                    seq, piece, size = seq + 1, [], 0
+                now = locale
+                piece.append(id_)
+                size += len(id_)
+        if piece:
+            yield full()
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows, sha, schema = None, 0, hashlib.sha256(), None
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([now], schema), pa.array([rows], pa.int64()), pa.array([sha.hexdigest()])], names=["locale", "rows", "ids_sha256"])
+
+        for batch in batches:
+            schema = batch.column("locale").type
+            for locale, n, data in zip(batch.column("locale").to_pylist(), batch.column("n").to_pylist(), batch.column("data")):
+                if rows and locale != now:
+                    yield done()
+                    rows, sha = 0, hashlib.sha256()
+                if rows:
+                    sha.update(b"\n")
+                sha.update(data.as_buffer())
+                now, rows = locale, rows + n
+        if rows:
+            yield done()
+
+    ids = index.select("locale", F.concat_ws("/", "kind", "id").alias("id")).repartitionByRange("locale", "id").sortWithinPartitions("locale", "id")
+    pieces = ids.mapInArrow(pack, f"locale {kind}, part int, seq bigint, n bigint, data binary")
+    return pieces.repartition("locale").sortWithinPartitions("locale", "part", "seq").mapInArrow(digest, f"locale {kind}, rows bigint, ids_sha256 string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 import zlib
@@ -156,3 +157,13 @@ def test_empty_tables(spark):
     assert relations.pair_catalog(e).count() == 0
     assert spatial.grid_holes(spark.createDataFrame([], "x int, y int"), "x", "y").count() == 0
     assert quality.multiset_diff(e, e).count() == 0
+
+
+def test_manifest_gathers_no_locale(spark):
+    rows = [(None if i % 5 == 0 else "en" if i % 3 else "fr", "doc", str(i * 7919 % 20011)) for i in range(20_000)] + [("en", "doc", "7")] * 3
+    out = search.manifest(spark.createDataFrame(rows, "locale string, kind string, id string").repartition(5))
+    want = {}
+    for g, k, i in rows:
+        want.setdefault(g, []).append(f"{k}/{i}")
+    assert {r["locale"]: (r["rows"], r["ids_sha256"]) for r in out.collect()} == {g: (len(v), hashlib.sha256("\n".join(sorted(v)).encode()).hexdigest()) for g, v in want.items()}
+    assert "collect_list" not in out._jdf.queryExecution().toString()
