@@ -1,43 +1,50 @@
 """Operator 4, language-model scoring: interpolated modified Kneser-Ney, counted in Spark, held in sorted hash arrays.
 
-Words are 64-bit hashes.  Map tasks cut training texts into n-grams, add equal ones up and hand them on as packed arrays,
-dealt by a hash of the n-gram's context (all but its last word).  A bucket adds up what it gets and writes two sorted
-arrays to the shared folder: n-gram hashes with their counts, and context hashes with their totals and the numbers of
-followers seen once, twice and more.  It passes the next lower order its continuation counts: how many different words
-came before.  The lowest order is one array of words with raw and continuation counts.
+Words are 64-bit hashes.  Texts are cut into tokens once and kept as token chunks in the shared folder; all later steps
+read those, so that a chunk is the same whenever it is read.
 
-Workers memory-map the arrays and look up whole batches of n-grams at once, in the order of their hashes, so a page is
-touched once a batch.  Files in a store that cannot be mapped are fetched to the worker's own folder while it runs.
+*Counting.*  Map tasks add up the n-grams of a chunk and deal them by the n-gram's own hash, so the followers of a frequent
+word are spread over all files.  A bucket is a range of hashes; a file holds many buckets, one after another, with a
+directory at its end, so its keys ascend throughout.  A file's task adds up one bucket at a time, appends its sorted
+array, and hands on what the next step needs: its part of each context's totals (followers seen once, twice, more), and the
+n-grams without their first word, each with its raw count and 1 as continuation count.  These are added up in the same way,
+down to single words.  All orders are one job.
+
+*Scoring.*  Each chunk asks for its different n-grams, contexts and words, sorted and dealt to the file that has them.  A
+worker memory-maps that one file and answers all chunks bucket by bucket (in a store that can't be mapped, it reads each
+bucket by its range).  The answers meet at the chunk, in the order of its questions.
 
 The query uses order 2.  Order 3 gives the same code one more pass; on these texts four fifths of all trigrams occur once,
-and its arrays alone would pass the disk budget (see the README).
+and their arrays alone would pass the disk budget (see the README).
 
 Defined cases: null and empty texts are the end token alone; without training texts every token is unknown and has
-probability 1; rows with a null id are not held out, so they teach; repeated rows count as often as they occur.
+probability 1; rows with a null id are not held out, so they teach; repeated rows count as often as they occur.  Counts have
+64 bits (those in n-gram arrays one byte, with a list of the larger ones beside), so none overflows.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
+import json
+import mmap
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafwork.llm.shared import byte_words, fold, fresh_path, mix64, open_fs, staged, table, write_file
+from sheafwork.llm.shared import byte_words, fold, fresh_path, mix64, open_fs, read_range, staged, table
 
 ORDER = 2
 #: Hashes of the marks before the first and after the last word of a text; 0 is no word's hash but by chance.
 BEGIN, END = np.uint64(1), np.uint64(2)
-#: N-grams that a map task adds up before it hands them on, words whose hash a worker keeps, bytes of text a bucket.
-FLUSH, KEPT_WORDS, BUCKET_BYTES = 1_000_000, 300_000, 8_000_000
-NONE = np.uint64(0)
+#: Characters of a token chunk (one longer text is a chunk of its own), words whose hash a worker keeps, tokens of training
+#: text for each bucket, files of a table (beyond that many buckets, files hold several), files a worker keeps mapped.
+CHUNK_CHARS, KEPT_WORDS, BUCKET_TOKENS, MOST_FILES, MOST_MAPPED = 5_000_000, 300_000, 1_250_000, 10_000, 64
 
 
 class WordHashes(dict):
@@ -87,23 +94,33 @@ def join_hash(cols: list[np.ndarray]) -> np.ndarray:
     return h
 
 
-def added_up(cols: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Equal rows of words together, in the order of (context hash, last word); counts summed."""
-    if not len(cols[0]):
-        return cols, counts
+# -- arrays on their way -------------------------------------------------------------------------------------------------
+
+
+def added_up(cols: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """(hashes, cols, counts): equal rows of words together, in the order of their hashes; counts summed."""
     key = join_hash(cols)
+    if not len(key):
+        return key, cols, counts
     order = np.argsort(key, kind="stable")
-    new = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
-    return [c[order[new]] for c in cols], [np.add.reduceat(c[order], new) for c in counts]
+    key = key[order]
+    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[new], [c[order[new]] for c in cols], [np.add.reduceat(c[order], new) for c in counts]
+
+
+def small_counts(c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts as bytes; those of 255 and more as 255, and their places and values beside."""
+    at = np.flatnonzero(c >= 255)
+    return np.minimum(c, 255).astype(np.uint8), at.astype("<u8"), c[at].astype("<u8")
 
 
 def packed(cols: list[np.ndarray], counts: list[np.ndarray]) -> bytes:
-    """Words as 8 bytes; counts as 4 bytes, or none if all are 1."""
-    out = []
+    """Words as 8 bytes, counts as one byte and a list of the larger ones."""
+    out = [np.array([len((cols + counts)[0])], "<u8").tobytes(), *(c.astype("<u8").tobytes() for c in cols)]
     for c in counts:
-        ones = bool((c == 1).all())
-        out.append(np.array([ones], np.uint8).tobytes() + (b"" if ones else c.astype("<u4").tobytes()))
-    return np.array([len(cols[0])], "<u8").tobytes() + b"".join(c.astype("<u8").tobytes() for c in cols) + b"".join(out)
+        small, at, big = small_counts(c)
+        out += [np.array([len(at)], "<u8").tobytes(), at.tobytes(), big.tobytes(), small.tobytes()]
+    return b"".join(out)
 
 
 def unpacked(data: bytes, n_cols: int, n_counts: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -113,77 +130,249 @@ def unpacked(data: bytes, n_cols: int, n_counts: int) -> tuple[list[np.ndarray],
         cols.append(np.frombuffer(data, "<u8", n, at))
         at += 8 * n
     for _ in range(n_counts):
-        ones, at = data[at], at + 1
-        counts.append(np.ones(n, np.int64) if ones else np.frombuffer(data, "<u4", n, at).astype(np.int64))
-        at += 0 if ones else 4 * n
+        m = int(np.frombuffer(data, "<u8", 1, at)[0])
+        where, big = np.frombuffer(data, "<u8", m, at + 8), np.frombuffer(data, "<u8", m, at + 8 + 8 * m)
+        c = np.frombuffer(data, np.uint8, n, at + 8 + 16 * m).astype(np.int64)
+        c[where] = big
+        counts.append(c)
+        at += 8 + 16 * m + n
     return cols, counts
 
 
-def dealt(cols: list[np.ndarray], counts: list[np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
-    """One row (bucket, data) for each bucket that gets something; cols are dealt by their context."""
-    target = (mix64(join_hash(cols[:-1]) if len(cols) > 1 else cols[0]) >> np.uint64(20)) % np.uint64(buckets)
-    order = np.argsort(target, kind="stable")
-    cut = np.searchsorted(target[order], np.arange(buckets + 1))
-    for b in range(buckets):
-        own = order[cut[b] : cut[b + 1]]
-        if len(own):
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([packed([c[own] for c in cols], [c[own] for c in counts])], pa.binary())], names=["bucket", "data"])
+def together(parts: list[bytes], n_cols: int, n_counts: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """added_up() of packed arrays."""
+    some = [unpacked(x, n_cols, n_counts) for x in parts]
+    parts.clear()
+    return added_up([np.concatenate(c) for c in zip(*[p[0] for p in some])], [np.concatenate(c) for c in zip(*[p[1] for p in some])])
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How hashes are dealt: equal ranges of them are buckets, runs of buckets are files."""
+
+    buckets: int
+    files: int
+
+    def bucket(self, key: np.ndarray) -> np.ndarray:
+        return ((key >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)
+
+    def file(self, bucket: np.ndarray) -> np.ndarray:
+        return bucket * np.uint64(self.files) // np.uint64(self.buckets)
+
+
+def runs(x: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(value, begin, end) of the runs of equal values; only values that occur cost anything."""
+    if len(x):
+        cut = np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1, [len(x)]]).tolist()
+        yield from zip(x[cut[:-1]].tolist(), cut[:-1], cut[1:])
+
+
+SENT = pa.schema([("file", pa.int32()), ("what", pa.string()), ("bucket", pa.int64()), ("data", pa.binary())])
+SENT_DDL = "file int, what string, bucket bigint, data binary"
+
+
+def sent(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), SENT)] if rows else [pa.array([], f.type) for f in SENT], schema=SENT)
+
+
+def dealt(what: str, key: np.ndarray, cols: list[np.ndarray], counts: list[np.ndarray], layout: Layout) -> pa.RecordBatch:
+    """One row for each bucket that gets something; key ascends."""
+    bucket = layout.bucket(key)
+    file = layout.file(bucket)
+    return sent([(int(file[s]), what, b, packed([c[s:e] for c in cols], [c[s:e] for c in counts])) for b, s, e in runs(bucket)])
 
 
-LAYOUT = {
-    "ngrams": [("key", "<u8"), ("count", "<u4")],
-    "contexts": [("key", "<u8"), ("total", "<u8"), ("one", "<u4"), ("two", "<u4"), ("more", "<u4")],
-    "words": [("key", "<u8"), ("raw", "<u8"), ("cont", "<u4")],
-}
+# -- token chunks --------------------------------------------------------------------------------------------------------
 
 
-def save(folder: str, kind: str, name: str, **arrays: np.ndarray) -> tuple[str, int]:
-    """One file: all arrays of a table, one after another, in their LAYOUT.  The reader knows the number of rows."""
-    path = f"{folder}/{kind}-{name}-{uuid.uuid4().hex}.arr"
-    write_file(path, [np.ascontiguousarray(arrays[c], dtype=t).tobytes() for c, t in LAYOUT[kind]])
-    return path, len(arrays["key"])
+@dataclass
+class Chunk:
+    ids: list[int | None]
+    learn: np.ndarray  # of each text: whether the model learns from it
+    sizes: np.ndarray
+    tokens: np.ndarray
+
+    def to_bytes(self) -> bytes:
+        """Tokens as places in the list of different ones, frequent ones first, in byte planes that compress well."""
+        own, index, often = np.unique(self.tokens, return_inverse=True, return_counts=True)
+        order = np.argsort(-often, kind="stable")
+        place = np.empty(len(own), "<u4")
+        place[order] = np.arange(len(own))
+        planes = pa.compress(np.ascontiguousarray(place[index].view(np.uint8).reshape(-1, 4).T).tobytes(), codec="zstd", asbytes=True)
+        n = len(self.ids)
+        return b"".join([np.array([n, len(self.tokens), len(own)], "<u8").tobytes(), np.array([i or 0 for i in self.ids], "<i8").tobytes(), bytes(i is None for i in self.ids),
+                         self.learn.astype(np.uint8).tobytes(), self.sizes.astype("<u8").tobytes(), own[order].astype("<u8").tobytes(), planes])
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> Chunk:
+        n, n_tokens, n_own = np.frombuffer(data, "<u8", 3).tolist()
+        at = 24
+        ids, null = np.frombuffer(data, "<i8", n, at).tolist(), data[at + 8 * n : at + 9 * n]
+        at += 9 * n
+        learn, sizes, own = np.frombuffer(data, np.uint8, n, at).astype(bool), np.frombuffer(data, "<u8", n, at + n).astype(np.int64), np.frombuffer(data, "<u8", n_own, at + 9 * n)
+        planes = np.frombuffer(pa.decompress(data[at + 9 * n + 8 * n_own :], 4 * n_tokens, codec="zstd", asbytes=True), np.uint8)
+        return cls([None if x else i for i, x in zip(ids, null)], learn, sizes, own[np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()])
+
+    def learned(self) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens, sizes) of the texts to learn from."""
+        return self.tokens[np.repeat(self.learn, self.sizes)], self.sizes[self.learn]
+
+
+CHUNK_DDL = "path string, at bigint, length bigint, tokens bigint, learned bigint"
+
+
+def tokenised(docs: DataFrame, learn: Column | None = None) -> DataFrame:
+    """Writes docs (doc_id if there is one, text) as token chunks; one row (path, at, length, tokens, learned) for each.  The
+    model learns from the rows where learn is true, from all if it isn't given."""
+    folder = fresh_path(docs.sparkSession, "tokens")
+    doc_id = F.col("doc_id").cast("bigint") if "doc_id" in docs.columns else F.lit(None).cast("bigint")
+    rows = docs.select(doc_id.alias("doc_id"), "text", (F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))).alias("learn"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, out, at = f"{folder}/{uuid.uuid4().hex}.tok", None, 0
+        held: list[tuple] = []
+        size = 0
+
+        def chunk() -> pa.RecordBatch:
+            nonlocal out, at
+            ids, texts, learns = zip(*held)
+            tokens, sizes = hashes_of(texts)
+            own = np.array(learns, bool)
+            data = Chunk(list(ids), own, sizes, tokens).to_bytes()
+            if out is None:
+                fs, local = open_fs(path)
+                fs.create_dir(local.rpartition("/")[0], recursive=True)
+                out = fs.open_output_stream(local)
+            out.write(data)
+            row = {"path": [path], "at": [at], "length": [len(data)], "tokens": [len(tokens)], "learned": [int(sizes[own].sum())]}
+            at += len(data)
+            return pa.RecordBatch.from_pydict(row)
+
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "learn"))):
+                held.append(row)
+                size += len(row[1] or "")
+                if size >= CHUNK_CHARS:
+                    yield chunk()
+                    held, size = [], 0
+        if held:
+            yield chunk()
+        if out is not None:
+            out.close()
+
+    return staged(rows.mapInArrow(work, CHUNK_DDL), "token-chunks")
+
+
+def read_chunk(path: str, at: int, length: int) -> Chunk:
+    return Chunk.from_bytes(read_range(path, at, length))
+
+
+def spread(chunks: DataFrame) -> DataFrame:
+    """The chunks' rows (path, at, length), few to a task."""
+    return chunks.select("path", "at", "length").repartition(max(1, min(chunks.count(), 20_000)))
 
 
-_MAPPED: dict[str, dict[str, np.ndarray]] = {}
-_FETCHED: list[tempfile.TemporaryDirectory] = []
+# -- tables in files -----------------------------------------------------------------------------------------------------
 
+#: Columns of 8 bytes beside the key; n-grams have small_counts instead.
+COLUMNS = {"ngrams": [], "contexts": ["total", "one", "two", "more"], "words": ["raw", "cont"]}
 
-def mapped(path: str, kind: str, rows: int) -> dict[str, np.ndarray]:
-    """A file's arrays, memory-mapped."""
-    if path not in _MAPPED:
+
+class TableWriter:
+    """A table's file: for each bucket its ascending keys and its columns, at the end the directory and where that is."""
+
+    def __init__(self, folder: str, table: str, file: int) -> None:
+        self.table, self.path, self.at, self.rows = table, f"{folder}/{table}-{file}-{uuid.uuid4().hex}.arr", 0, 0
+        fs, local = open_fs(self.path)
+        fs.create_dir(local.rpartition("/")[0], recursive=True)
+        self.out, self.directory = fs.open_output_stream(local), []
+
+    def add(self, bucket: int, key: np.ndarray, columns: list[np.ndarray]) -> None:
+        parts, big = [key.astype("<u8").tobytes()], 0
+        if self.table.startswith("ngrams"):
+            small, at, values = small_counts(columns[0])
+            big = len(at)
+            parts += [at.tobytes(), values.tobytes(), small.tobytes(), bytes(-len(small) % 8)]
+        else:
+            parts += [c.astype("<u8").tobytes() for c in columns]
+        data = b"".join(parts)
+        self.out.write(data)
+        self.directory.append((bucket, self.at, len(data), len(key), big))
+        self.at += len(data)
+        self.rows += len(key)
+
+    def close(self) -> None:
+        self.out.write(np.array(self.directory, "<u8").tobytes())
+        self.out.write(np.array([self.at, len(self.directory)], "<u8").tobytes())
+        self.out.close()
+
+
+class TableFile:
+    """Finds keys in a table's file, which is memory-mapped where the store allows it."""
+
+    def __init__(self, path: str, table: str) -> None:
+        self.path, self.columns, self.map = path, COLUMNS[table.rstrip("0123456789")], None
         fs, local = open_fs(path)
-        if fs.type_name != "local":
-            if not _FETCHED:
-                _FETCHED.append(tempfile.TemporaryDirectory())
-            own = os.path.join(_FETCHED[0].name, os.path.basename(local))
-            with fs.open_input_stream(local) as src, open(own, "wb") as dst:
-                while part := src.read(1 << 24):
-                    dst.write(part)
-            local = own
-        out, at = {}, 0
-        for name, kind_ in LAYOUT[kind]:
-            out[name] = np.memmap(local, kind_, "r", at, (rows,)) if rows else np.zeros(0, kind_)
-            at += np.dtype(kind_).itemsize * rows
-        _MAPPED[path] = out
+        if fs.type_name == "local":
+            with open(local, "rb") as f:
+                self.map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+            size = len(self.map)
+        else:
+            size = fs.get_file_info(local).size
+        begin, n = np.frombuffer(self.data(size - 16, 16), "<u8").tolist()
+        directory = np.frombuffer(self.data(begin, 40 * n), "<u8").reshape(-1, 5).tolist()
+        self.directory = {b: where for b, *where in directory}
+
+    def data(self, at: int, length: int) -> bytes | memoryview:
+        return memoryview(self.map)[at : at + length] if self.map is not None else read_range(self.path, at, length)
+
+    def find(self, bucket: int, wanted: np.ndarray) -> list[np.ndarray]:
+        """The columns' values of wanted keys of one bucket, 0 where a key isn't there."""
+        out = [np.zeros(len(wanted), np.int64) for _ in self.columns or ["count"]]
+        if bucket not in self.directory:
+            return out
+        at, length, n, big = self.directory[bucket]
+        data = self.data(at, length)
+        keys = np.frombuffer(data, "<u8", n)
+        place = np.minimum(np.searchsorted(keys, wanted), n - 1)
+        hit = np.flatnonzero(keys[place] == wanted)
+        place = place[hit]
+        if self.columns:
+            for k, c in enumerate(out):
+                c[hit] = np.frombuffer(data, "<u8", n, 8 * n * (k + 1))[place]
+            return out
+        found = np.frombuffer(data, np.uint8, n, 8 * n + 16 * big)[place].astype(np.int64)
+        if big:
+            where, values = np.frombuffer(data, "<u8", big, 8 * n), np.frombuffer(data, "<u8", big, 8 * n + 8 * big)
+            full = np.flatnonzero(found == 255)
+            found[full] = values[np.searchsorted(where, place[full])]
+        out[0][hit] = found
+        return out
+
+
+_MAPPED: OrderedDict[str, TableFile] = OrderedDict()
+
+
+def table_file(path: str, table: str) -> TableFile:
+    """An open file; a worker keeps the MOST_MAPPED last used, the others' maps end with their last array."""
+    if path in _MAPPED:
+        _MAPPED.move_to_end(path)
+    else:
+        _MAPPED[path] = TableFile(path, table)
+        while len(_MAPPED) > MOST_MAPPED:
+            _MAPPED.popitem(last=False)
     return _MAPPED[path]
 
 
-def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Position of each wanted hash in the sorted keys, -1 if it isn't there."""
-    if not len(keys):
-        return np.full(len(wanted), -1)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
+# -- counting ------------------------------------------------------------------------------------------------------------
 
 
 @dataclass
 class Model:
     order: int
-    buckets: int
-    #: by order and bucket: (path, rows) of n-grams and contexts
-    ngrams: dict[int, dict[int, tuple[str, int]]] = field(default_factory=dict)
-    contexts: dict[int, dict[int, tuple[str, int]]] = field(default_factory=dict)
-    words: dict[int, tuple[str, int]] = field(default_factory=dict)
+    layout: Layout
+    #: by table (``ngrams2``, ``contexts2``, ``words``) and file: its path
+    files: dict[str, dict[int, str]] = field(default_factory=dict)
     discounts: dict[int, tuple[float, float, float]] = field(default_factory=dict)
     tokens: int = 0  # of the training texts
     vocabulary: int = 0  # different ones
@@ -201,176 +390,222 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
     return tuple(min(max(x, 0.05), k) for x, k in zip(d, (1.0, 2.0, 3.0)))
 
 
-def count(docs: DataFrame, order: int = ORDER) -> Model:
-    """The model of all texts of docs."""
-    spark = docs.sparkSession
+def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, list[bytes]]]:
+    """(what, file, bucket, data) of rows that are sorted by what and bucket."""
+    at, held = None, []
+    for batch in batches:
+        for file, what, bucket, data in zip(*(batch.column(c).to_pylist() for c in SENT.names)):
+            if at is not None and at != (what, file, bucket):
+                yield *at, held
+                held = []
+            at = (what, file, bucket)
+            held.append(data)
+    if held:
+        yield *at, held
+
+
+def count_chunks(chunks: DataFrame, order: int = ORDER) -> Model:
+    """The model of the chunks' texts to learn from."""
+    if order < 2:
+        raise ValueError("the order has to be 2 or more")
+    spark = chunks.sparkSession
     folder = fresh_path(spark, "kneser-ney")
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-int(size) // BUCKET_BYTES))
-    model = Model(order, buckets)
+    learned = chunks.agg(F.sum("learned")).first()[0] or 0
+    buckets = max(1, -(-int(learned) // BUCKET_TOKENS))
+    layout = Layout(buckets, min(buckets, MOST_FILES))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        n = 0
+        for batch in batches:
+            for where in zip(*(batch.column(c).to_pylist() for c in ("path", "at", "length"))):
+                tokens, sizes = read_chunk(*where).learned()
+                if len(tokens):
+                    yield dealt(f"ngrams{order}", *added_up(context_columns(tokens, sizes, order), [np.ones(len(tokens), np.int64)]), layout)
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            cols, counts = added_up([np.concatenate(c) for c in zip(*held)], [np.ones(n, np.int64)])
-            yield from dealt(cols, counts, buckets)
+    def adder(level: int):
+        top = level == order
 
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            begin, size = 0, 0
-            for i, t in enumerate([*texts, None]):
-                size += len(t or "")
-                if i == len(texts) or size > 4_000_000:
-                    tokens, sizes = hashes_of(texts[begin : i + 1] if i < len(texts) else texts[begin:])
-                    begin, size = i + 1, 0
-                    held.append(context_columns(tokens, sizes, order))
-                    n += len(tokens)
-                    if n >= FLUSH:
-                        yield from flush()
-                        held, n = [], 0
-        if n:
-            yield from flush()
-
-    rows = docs.select("text").mapInArrow(cut, "bucket int, data binary")
-    for k in range(order, 1, -1):
-        top = k == order
-
-        def merge(key: tuple, data: pa.Table) -> pa.Table:  # runs within this turn of the loop
-            b = key[0].as_py()
-            parts = [unpacked(x, k, 1 if top else 2) for x in data.column("data").to_pylist()]
-            del data
-            cols, counts = added_up([np.concatenate(c) for c in zip(*[p[0] for p in parts])], [np.concatenate(c) for c in zip(*[p[1] for p in parts])])
-            del parts
-            raw, adjusted = counts[0], counts[-1]
-            context, whole = join_hash(cols[:-1]), join_hash(cols)
-            order_ = np.argsort(context, kind="stable")
-            new = np.flatnonzero(np.concatenate([[True], context[order_][1:] != context[order_][:-1]]))
-            a = adjusted[order_]
-            c_path, c_rows = save(folder, "contexts", f"{k}-{b}", key=context[order_][new], total=np.add.reduceat(a, new), **{c: np.add.reduceat(x.astype(np.int64), new) for c, x in (("one", a == 1), ("two", a == 2), ("more", a > 2))})
-            by = np.argsort(whole)
-            n_path, n_rows = save(folder, "ngrams", f"{k}-{b}", key=whole[by], count=adjusted[by])
-            told = [int((adjusted == i).sum()) for i in (1, 2, 3, 4)]
-            # the next lower order: raw counts, and one for each different first word
-            lower, lower_counts = added_up(cols[1:], [raw, np.ones(len(raw), np.int64)])
-            out = [{"bucket": -1, "data": b"", "info": [b, n_rows, c_rows, *told], "paths": [n_path, c_path]}]
-            for batch in dealt(lower, lower_counts, buckets):
-                out += [{"bucket": r["bucket"], "data": r["data"], "info": None, "paths": None} for r in batch.to_pylist()]
-            return pa.Table.from_pylist(out, schema=pa.schema([("bucket", pa.int32()), ("data", pa.binary()), ("info", pa.list_(pa.int64())), ("paths", pa.list_(pa.string()))]))
-
-        merged = staged(rows.groupBy("bucket").applyInArrow(merge, "bucket int, data binary, info array<bigint>, paths array<string>"), f"kn-{k}")
-        told = merged.where("bucket = -1").select("info", "paths").collect()  # one row a bucket
-        model.ngrams[k] = {r["info"][0]: (r["paths"][0], r["info"][1]) for r in told}
-        model.contexts[k] = {r["info"][0]: (r["paths"][1], r["info"][2]) for r in told}
-        model.discounts[k] = discounts([sum(r["info"][3 + i] for r in told) for i in range(4)])
-        rows = merged.where("bucket >= 0").select("bucket", "data")
-
-    def finish(key: tuple, data: pa.Table) -> pa.Table:
-        b = key[0].as_py()
-        parts = [unpacked(x, 1, 2) for x in data.column("data").to_pylist()]
-        cols, (raw, cont) = added_up([np.concatenate([p[0][0] for p in parts])], [np.concatenate([p[1][i] for p in parts]) for i in (0, 1)])
-        path, n = save(folder, "words", str(b), key=cols[0], raw=raw, cont=cont)
-        return pa.table({"bucket": pa.array([b], pa.int32()), "path": [path], "info": pa.array([[n, int(raw.sum()), int(cont.sum()), *[int((cont == i).sum()) for i in (1, 2, 3, 4)]]], pa.list_(pa.int64()))})
-
-    told = rows.groupBy("bucket").applyInArrow(finish, "bucket int, path string, info array<bigint>").collect()  # one row a bucket
-    model.words = {r["bucket"]: (r["path"], r["info"][0]) for r in told}
-    total = [sum(r["info"][i] for r in told) for i in range(7)]
-    model.vocabulary, model.tokens, model.bigrams = total[0], total[1], total[2]
-    model.discounts[1] = discounts(total[3:7])
-    model.kinds = (total[3], total[4], total[0] - total[3] - total[4])
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            writer, facts = None, np.zeros(6, np.int64)
+
+            def told() -> pa.RecordBatch:
+                writer.close()
+                return sent([(0, "told", 0, json.dumps([writer.table, at_file, writer.path, writer.rows, *facts.tolist()]).encode())])
+
+            at_file = 0
+            for what, file, bucket, parts in groups(batches):
+                if what == "told":
+                    yield sent([(0, what, 0, x) for x in parts])
+                    continue
+                name = "words" if what == "ngrams1" else what
+                if writer is None or (writer.table, at_file) != (name, file):
+                    if writer is not None:
+                        yield told()
+                    writer, at_file, facts = TableWriter(folder, name, file), file, np.zeros(6, np.int64)
+                if what.startswith("contexts"):
+                    key, _, counts = together(parts, 1, 4)
+                    writer.add(bucket, key, counts)
+                    continue
+                key, cols, counts = together(parts, level, 1 if top else 2)
+                raw, adjusted = counts[0], counts[-1]
+                writer.add(bucket, key, [adjusted] if level > 1 else [raw, adjusted])
+                facts += [*(int((adjusted == i).sum()) for i in (1, 2, 3, 4)), int(raw.sum()), int(adjusted.sum())]
+                if level > 1:
+                    ones = np.ones(len(key), np.int64)
+                    stats = [adjusted, *((x).astype(np.int64) for x in (adjusted == 1, adjusted == 2, adjusted > 2))]
+                    yield dealt(f"contexts{level}", *added_up([join_hash(cols[:-1])], stats), layout)
+                    yield dealt(f"ngrams{level - 1}", *added_up(cols[1:], [raw, ones]), layout)
+            if writer is not None:
+                yield told()
+
+        return work
+
+    rows = spread(chunks).mapInArrow(cut, SENT_DDL)
+    for level in range(order, 0, -1):
+        rows = rows.repartitionById(layout.files, F.col("file")).sortWithinPartitions("what", "file", "bucket").mapInArrow(adder(level), SENT_DDL)
+    told = [json.loads(r["data"]) for r in rows.where("what = 'told'").select("data").collect()]  # one row a file
+    model = Model(order, layout)
+    for name, file, path, *_ in told:
+        model.files.setdefault(name, {})[file] = path
+    for k in range(1, order + 1):
+        mine = [t for t in told if t[0] == ("words" if k == 1 else f"ngrams{k}")]
+        facts = [sum(t[i] for t in mine) for i in range(3, 10)]
+        model.discounts[k] = discounts(facts[1:5])
+        if k == 1:
+            model.vocabulary, model.tokens, model.bigrams = facts[0], facts[5], facts[6]
+            model.kinds = (facts[1], facts[2], facts[0] - facts[1] - facts[2])
     return model
 
 
-def by_bucket(target: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(target, kind="stable")
-    cut = np.searchsorted(target[order], np.arange(buckets + 1))
-    for b in range(buckets):
-        if cut[b] < cut[b + 1]:
-            yield b, order[cut[b] : cut[b + 1]]
+def count(docs: DataFrame, order: int = ORDER) -> Model:
+    """The model of all texts of docs."""
+    return count_chunks(tokenised(docs), order)
 
 
-def target_of(context: np.ndarray, buckets: int) -> np.ndarray:
-    return ((mix64(context) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+# -- scoring -------------------------------------------------------------------------------------------------------------
+
+
+def questions(model: Model, tokens: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """(table, different keys in ascending order, the place of each token's key among them)."""
+    yield "words", *np.unique(tokens, return_inverse=True)
+    cols = context_columns(tokens, sizes, model.order)
+    for k in range(2, model.order + 1):
+        part = cols[model.order - k :]
+        yield f"contexts{k}", *np.unique(join_hash(part[:-1]), return_inverse=True)
+        yield f"ngrams{k}", *np.unique(join_hash(part), return_inverse=True)
+
+
+def look_up(files: dict[int, str], name: str, layout: Layout, wanted: np.ndarray) -> list[np.ndarray]:
+    """The columns of a table for wanted keys, which ascend."""
+    bucket = layout.bucket(wanted)
+    file = layout.file(bucket)
+    found = []
+    for b, s, e in runs(bucket):
+        path = files.get(int(file[s]))
+        found.append(table_file(path, name).find(b, wanted[s:e]) if path else [np.zeros(e - s, np.int64) for _ in COLUMNS[name.rstrip("0123456789")] or ["count"]])
+    return [np.concatenate(c) for c in zip(*found)]
 
 
 def discount_of(c: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
     return np.where(c == 0, 0.0, np.where(c == 1, d[0], np.where(c == 2, d[1], d[2])))
 
 
+def probabilities(model: Model, tokens: np.ndarray, sizes: np.ndarray, answer) -> tuple[np.ndarray, np.ndarray]:
+    """Of each token: its raw count in training, and its probability after the words before; answer(table, keys) gives a
+    table's columns for keys."""
+    p, raw, gamma, total = np.ones(len(tokens)), None, None, None
+    for name, keys, place in questions(model, tokens, sizes):
+        found = answer(name, keys)
+        if name == "words":
+            raw, cont = found[0][place], found[1]
+            if not model.bigrams:
+                return raw, p
+            d = model.discounts[1]
+            left = sum(x * n for x, n in zip(d, model.kinds)) / model.bigrams
+            p = (np.maximum(cont - discount_of(cont, d), 0) / model.bigrams + left / (model.vocabulary + 1))[place]
+        elif name.startswith("contexts"):
+            d = model.discounts[int(name[8:])]
+            whole, one, two, more = found
+            total = np.maximum(whole, 1)[place]
+            gamma = np.where(whole > 0, (d[0] * one + d[1] * two + d[2] * more) / np.maximum(whole, 1), 1.0)[place]
+        else:
+            c = found[0]
+            p = np.maximum(c - discount_of(c, model.discounts[int(name[6:])]), 0)[place] / total + gamma * p
+    return raw, p
+
+
 def score_tokens(model: Model, tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each token: its raw count in training, and the model's probability of it after the words before."""
-    own, back = np.unique(tokens, return_inverse=True)
-    raw, cont = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
-    for b, mine in by_bucket(target_of(own, model.buckets), model.buckets):
-        if b in model.words:
-            t = mapped(*_of(model.words[b], "words"))
-            at = find(t["key"], own[mine])
-            hit = at >= 0
-            raw[mine[hit]], cont[mine[hit]] = t["raw"][at[hit]], t["cont"][at[hit]]
-    d = model.discounts[1]
-    if not model.bigrams:
-        return raw[back], np.ones(len(tokens))
-    left = sum(x * n for x, n in zip(d, model.kinds)) / model.bigrams
-    p = (np.maximum(cont - discount_of(cont, d), 0) / model.bigrams + left / (model.vocabulary + 1))[back]
-    cols = context_columns(tokens, sizes, model.order)
-    for k in range(2, model.order + 1):
-        part = cols[model.order - k :]
-        context, whole = join_hash(part[:-1]), join_hash(part)
-        d = model.discounts[k]
-        there, inverse = np.unique(context, return_inverse=True)
-        total, gamma = np.zeros(len(there)), np.ones(len(there))
-        target = target_of(there, model.buckets)
-        for b, mine in by_bucket(target, model.buckets):
-            if b in model.contexts[k]:
-                t = mapped(*_of(model.contexts[k][b], "contexts"))
-                at = find(t["key"], there[mine])
-                mine, at = mine[at >= 0], at[at >= 0]
-                total[mine] = t["total"][at]
-                gamma[mine] = (d[0] * t["one"][at] + d[1] * t["two"][at] + d[2] * t["more"][at]) / total[mine]
-        count_ = np.zeros(len(tokens), np.int64)
-        known = np.flatnonzero(total[inverse] > 0)
-        for b, some in by_bucket(target[inverse[known]], model.buckets):
-            t = mapped(*_of(model.ngrams[k][b], "ngrams"))
-            mine = known[some]
-            mine = mine[np.argsort(whole[mine])]
-            at = find(t["key"], whole[mine])
-            count_[mine[at >= 0]] = t["count"][at[at >= 0]]
-        base = np.maximum(total[inverse], 1)
-        p = np.maximum(count_ - discount_of(count_, d), 0) / base + gamma[inverse] * p
-    return raw[back], p
-
-
-def _of(file: tuple[str, int], kind: str) -> tuple[str, str, int]:
-    return file[0], kind, file[1]
+    """probabilities() by looking into all files at hand: for a few texts."""
+    return probabilities(model, tokens, sizes, lambda name, keys: look_up(model.files.get(name, {}), name, model.layout, keys))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, n_tokens, n_known, base_score, score) of docs (doc_id, text)."""
-    schema = "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
+def score_chunks(chunks: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, n_tokens, n_known, base_score, score) of all texts of chunks."""
+    layout, files = model.layout, model.files
+    n_chunks = max(1, min(chunks.count(), 20_000))
+    asked = "file int, what string, path string, at bigint, length bigint, data binary"
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            begin, size = 0, 0
-            for i, t in enumerate(texts):
-                size += len(t or "")
-                if i + 1 < len(texts) and size < 6_000_000:
-                    continue
-                tokens, sizes = hashes_of(texts[begin : i + 1])
-                raw, p = score_tokens(model, tokens, sizes)
-                first = np.cumsum(sizes) - sizes
-                base = np.log10((raw + 0.5) / (model.tokens + 0.5 * (model.vocabulary + 1)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[begin : i + 1], pa.int64()), pa.array(sizes), pa.array(np.add.reduceat((raw > 0).astype(np.int64), first)), pa.array(np.add.reduceat(base, first)), pa.array(np.add.reduceat(np.log10(p), first))],
-                    names=["doc_id", "n_tokens", "n_known", "base_score", "score"],
-                )
-                begin, size = i + 1, 0
+            for where in zip(*(batch.column(c).to_pylist() for c in ("path", "at", "length"))):
+                chunk = read_chunk(*where)
+                for name, keys, _ in questions(model, chunk.tokens, chunk.sizes):
+                    cut = list(runs(layout.file(layout.bucket(keys))))
+                    yield pa.RecordBatch.from_pydict({
+                        "file": pa.array([f for f, *_ in cut], pa.int32()), "what": [name] * len(cut), **{c: [x] * len(cut) for c, x in zip(("path", "at", "length"), where)},
+                        "data": pa.array([packed_keys(keys[s:e]) for _, s, e in cut], pa.binary()),
+                    })
+
+    def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = [packed([], look_up({f: files[w][f]} if f in files.get(w, {}) else {}, w, layout, unpacked_keys(x)))
+                    for f, w, x in zip(*(batch.column(c).to_pylist() for c in ("file", "what", "data")))]
+            yield batch.set_column(batch.schema.get_field_index("data"), "data", pa.array(data, pa.binary()))
+
+    def total(key: tuple, rows: pa.Table) -> pa.Table:
+        chunk = read_chunk(*(k.as_py() for k in key))
+        parts: dict[str, list[tuple[int, bytes]]] = {}
+        for f, w, x in zip(*(rows.column(c).to_pylist() for c in ("file", "what", "data"))):
+            parts.setdefault(w, []).append((f, x))
+
+        def answer(name: str, keys: np.ndarray) -> list[np.ndarray]:
+            some = [unpacked(x, 0, len(COLUMNS[name.rstrip("0123456789")]) or 1)[1] for _, x in sorted(parts.pop(name))]
+            return [np.concatenate(c) for c in zip(*some)]
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(work, schema)
+        raw, p = probabilities(model, chunk.tokens, chunk.sizes, answer)
+        first = np.cumsum(chunk.sizes) - chunk.sizes
+        base = np.log10((raw + 0.5) / (model.tokens + 0.5 * (model.vocabulary + 1)))
+        return pa.table({
+            "doc_id": pa.array(chunk.ids, pa.int64()), "n_tokens": chunk.sizes, "n_known": np.add.reduceat((raw > 0).astype(np.int64), first),
+            "base_score": np.add.reduceat(base, first), "score": np.add.reduceat(np.log10(p), first),
+        })
+
+    where = ["path", "at", "length"]
+    replies = spread(chunks).mapInArrow(ask, asked).repartitionById(layout.files, F.col("file")).sortWithinPartitions("what", "file").mapInArrow(reply, asked)
+    return replies.repartition(n_chunks, *where).groupBy(*where).applyInArrow(total, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending hashes by the steps between them, in as many bytes as the largest step takes."""
+    steps = np.diff(keys)
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
+    return bytes([width]) + keys[:1].astype("<u8").tobytes() + np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    width = data[0]
+    raw = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
+    steps = np.zeros((len(raw), 8), np.uint8)
+    steps[:, :width] = raw
+    return np.cumsum(np.concatenate([np.frombuffer(data, "<u8", 1, 1), steps.view("<u8").ravel()]), dtype=np.uint64)
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, n_tokens, n_known, base_score, score) of docs (doc_id, text)."""
+    return score_chunks(tokenised(docs), model)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = count(docs.where(fold(F.col("doc_id"), 5) != 1))
-    return score(docs, model).select("doc_id", (fold(F.col("doc_id"), 5) == 1).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
+    held_out = fold(F.col("doc_id"), 5) == 1
+    chunks = tokenised(table(spark, sf_dir, "documents").select("doc_id", "text"), ~held_out)
+    model = count_chunks(chunks)
+    return score_chunks(chunks, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
