@@ -11,6 +11,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow.fs as pafs
@@ -60,9 +62,16 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(df_path: str, spark: SparkSession) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(df_path)
-    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that run within drop their shuffle files when they end, not when the driver next collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
