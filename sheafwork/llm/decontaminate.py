@@ -12,7 +12,7 @@ matched windows at one distance between the places in document and item, or at d
 a word put in or left out does not tear it.  An occurrence has SHARE of the item's windows; one whose words are all
 placeholders tells nothing but its values, so CONSISTENT of these have to be equal.
 
-The benchmark's windows are broadcast if there are at most BROADCAST_WINDOWS of them (their number is counted first);
+What belongs to the benchmark's windows is broadcast if there are at most BROADCAST_WINDOWS of them (their number is counted first);
 beyond that, both sides are shuffled by the window's hash.
 
 Letters of scripts without spaces (UNSPACED) are words of their own.  An item of fewer than WINDOW words has one window of
@@ -132,20 +132,44 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return both.groupBy(*by).agg(F.min(F.struct("_short", *rest)).alias("x")).select(*by, *[f"x.{c}" for c in rest])
 
 
+def if_few(df: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """broadcast() for tables with a row or less for each of df's, if these are few."""
+    return F.broadcast if df.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS else lambda d: d
+
+
+def rare_windows(theirs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(template, hash): so many of a template's places that a document without any of them has less than SHARE, the places
+    that fewest templates share; a window that very many of them share asks for no documents."""
+    shared = theirs.groupBy("hash").agg(F.count_distinct("template").alias("others"))
+    places = theirs.join(shared, "hash").groupBy("template", "place").agg(F.max("others").alias("others")).join(sizes, "template")
+    rank = F.row_number().over(Window.partitionBy("template").orderBy("others", "place"))
+    enough = places.withColumn("rank", rank).where(F.col("rank") <= F.col("windows") - F.ceil(F.lit(SHARE) * F.col("windows")) + 1)
+    return theirs.join(enough.select("template", "place"), ["template", "place"]).select("template", "hash").distinct()
+
+
 def long_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """leaks() of items of WINDOW words or more."""
-    theirs = item_windows(items)
-    sizes = theirs.groupBy("item_id").agg(F.count_distinct("place").alias("windows"))
-    few = theirs.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
-    small = (lambda d: F.broadcast(d)) if few else (lambda d: d)
-    met = windows(docs, "doc_id", "text").join(small(theirs), "hash").select("doc_id", "item_id", "place").distinct()
-    found = met.groupBy("doc_id", "item_id").agg(F.count("*").alias("matched")).join(small(sizes), "item_id")
-    found = found.where(F.col("matched") >= F.lit(SHARE) * F.col("windows"))
+    """leaks() of items of WINDOW words or more.  Items with equal windows are one template until their values are compared."""
+    every = item_windows(items)
+    shape = F.md5(F.to_json(F.sort_array(F.collect_list(F.struct("place", "hash")))).cast("binary"))
+    members = staged(every.groupBy("item_id").agg(shape.alias("template")), "templates")
+    theirs = staged(every.join(members, "item_id").select("template", "place", "hash").distinct(), "template-windows")
+    small = if_few(theirs)
+    sizes = theirs.groupBy("template").agg(F.count_distinct("place").alias("windows"))
+    rare = rare_windows(theirs, sizes)
+    maybe = staged(windows(docs, "doc_id", "text").join(small(rare), "hash").select("doc_id", "template").distinct(), "leak-candidates")
+    # of candidates only: the template's windows, each looked for in the document
+    ids = maybe.select(F.col("doc_id").alias("_id")).distinct()
+    held = windows(docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"), "doc_id", "text").select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct()
+    wanted = maybe.join(small(theirs), "template")
+    met = wanted.join(held, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")), "left_semi").select("doc_id", "template", "place").distinct()
+    found = met.groupBy("doc_id", "template").agg(F.count("*").alias("matched")).join(small(sizes), "template").where(F.col("matched") >= F.lit(SHARE) * F.col("windows"))
+    found = staged(found.join(small(members), "template").select("doc_id", "item_id", "matched", "windows"), "leaks-found")
     blank = F.array(*map(F.lit, (NUMBER, NAME, UNIT)))
     own = windows(items, "item_id", "item_text", values=True).select("item_id", "hash", F.col("canon"), F.col("own").alias("item_own")).where(F.arrays_overlap("canon", blank))
     told = found.select("doc_id", "item_id", "matched", "windows", F.round(F.col("matched") / F.col("windows"), 6).alias("share"))
     if own.isEmpty():
         return told.withColumns({"slots": F.lit(0).cast("bigint"), "consistency": F.lit(None).cast("double")})
+    small = if_few(own)
     slotted = own.select("item_id").distinct()
     ask = found.join(small(slotted), "item_id", "left_semi").select("doc_id", "item_id")
     ours = windows(docs.join(ask.select("doc_id").distinct(), "doc_id", "left_semi"), "doc_id", "text", values=True).select("doc_id", "hash", F.col("own").alias("doc_own"))

@@ -187,7 +187,7 @@ def label_texts(crf: Crf, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.
         order = order[count[order] > 0]
         at = 0
         while at < len(order):  # texts of like length together, longest first
-            group = order[at : at + max(32, 200_000 * MOST_LANGS // max(k, MOST_LANGS) // int(count[order[at]]))]
+            group = order[at : at + max(1, 200_000 * MOST_LANGS // max(k, MOST_LANGS) // int(count[order[at]]))]
             at += len(group)
             sizes = count[group]
             n = int(sizes[0])
@@ -216,9 +216,9 @@ def fit(docs: DataFrame, lang: str = "lang") -> Crf | None:
         return None
     most = min(MOST_PER_LANG, max(1, MOST_PER_LANG * MOST_LANGS // len(counts)))
     shares = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, most / r["count"])) for r in counts], "lang string, _share double")
-    chance = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(3)), F.lit(1 << 40)) / float(1 << 40)
+    chance = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("text"), F.lit(3)), F.lit(1 << 40)) / float(1 << 40)
     drawn = known.join(F.broadcast(shares), "lang").where(chance < F.col("_share"))
-    sample = [(r["text"], r["lang"]) for r in drawn.select("doc_id", "text", "lang").orderBy("doc_id").collect()]
+    sample = [(r["text"], r["lang"]) for r in drawn.select("doc_id", "text", "lang").distinct().orderBy("doc_id", "text", "lang").collect()]
     missed = sorted({r["lang"] for r in counts} - {x for _, x in sample})
     if missed:
         of_missed = known.join(F.broadcast(docs.sparkSession.createDataFrame([(x,) for x in missed], "lang string")), "lang")
@@ -228,7 +228,7 @@ def fit(docs: DataFrame, lang: str = "lang") -> Crf | None:
 
 
 def identify(docs: DataFrame, crf: Crf | None) -> DataFrame:
-    """(doc_id, lang_pred, score, certainty) of docs (doc_id, text).  certainty is the mean over words with letters of the
+    """(doc_id, lang_pred, score, certainty) of docs (doc_id of any type, text).  certainty is the mean over words with letters of the
     largest label probability, whatever the label: it is high for a text that switches languages, each word of which is clear."""
     model = docs.sparkSession.sparkContext.broadcast(crf)
 
@@ -247,10 +247,11 @@ def identify(docs: DataFrame, crf: Crf | None) -> DataFrame:
                 names=["doc_id", "lang_pred", "score", "certainty"],
             )
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(work, "doc_id bigint, lang_pred string, score double, certainty double")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {kind}, lang_pred string, score double, certainty double")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     crf = fit(docs.where(fold(F.col("doc_id"), 4) != 2))
     return identify(docs, crf).select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")

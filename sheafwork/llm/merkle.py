@@ -2,8 +2,8 @@
 
 Leaves are the paragraphs' sentences (cut after 8 words if longer, counted from the start of the sentence, so that an
 edit moves no other leaf), then come paragraphs (lines), sections (runs of paragraphs that end at a blank line or after a
-paragraph whose hash is 0 modulo 8) and the root.  Equal roots mean equal texts; :func:`diff` goes down differing
-branches only and names the edited paragraphs.  The fingerprint is the root and the leaf digests in order, sections
+paragraph whose hash is 0 modulo 8) and the root.  Equal roots mean equal texts; :func:`diff` goes down the differing
+branches of two fingerprints and names the edited paragraphs.  The fingerprint is the root and the leaf digests in order, sections
 divided by ``/`` and paragraphs by ``.``, so that any two fingerprints can be compared without their texts.
 
 Defined cases: a null text is the empty text; two empty texts have likeness 1, an empty and another one 0; rows with
@@ -18,12 +18,13 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from difflib import SequenceMatcher
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sheafwork.llm.shared import table
+from sheafwork.llm.shared import RANGE_PREFIX, in_ranges, table
 
 #: A sentence or table cell with its closing marks, or up to 8 of its words.
 LEAF = re.compile(r"\s*(?:[^\s.!?|]+\s*){1,8}[.!?|]*\S{0,8}\s*|\s*[.!?|]+\s*|\s+")
@@ -79,26 +80,26 @@ def likeness(a: str, b: str) -> float:
     return 2 * (Counter(x) & Counter(y)).total() / (len(x) + len(y))
 
 
-def diff(a: str | None, b: str | None) -> list[tuple[str, int, int]]:
-    """The paragraphs in which two texts differ, as (side, section, paragraph): only branches that differ are entered."""
-    x, y = build_tree(a), build_tree(b)
-    if x.root == y.root:
+def differing(a: list[str], b: list[str]) -> tuple[list[int], list[int]]:
+    """Places of a and of b that no common subsequence of equal nodes matches."""
+    left, right = [], []
+    for kind, i, j, k, m in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
+        if kind != "equal":
+            left += range(i, j)
+            right += range(k, m)
+    return left, right
+
+
+def diff(a: str, b: str) -> list[tuple[str, int, int]]:
+    """The paragraphs in which the texts of two fingerprints differ, as (side, section, paragraph): equal roots end the search,
+    and only sections that differ are entered.  A node's digest is made of its leaves', which the fingerprints hold."""
+    if a[:ROOT_HEX] == b[:ROOT_HEX]:
         return []
-    key = lambda s: digest(b"".join(digest(b"".join(p)) for p in s))
-    out = []
-    for side, own, other in (("a", x, y), ("b", y, x)):
-        there = Counter(key(s) for s in other.sections)
-        whole = Counter(digest(b"".join(p)) for s in other.sections for p in s)
-        for i, s in enumerate(own.sections):
-            if there[key(s)] > 0:
-                there[key(s)] -= 1
-                continue
-            for j, p in enumerate(s):
-                if whole[digest(b"".join(p))] > 0:
-                    whole[digest(b"".join(p))] -= 1
-                else:
-                    out.append((side, i, j))
-    return out
+    x, y = ([s for s in p[ROOT_HEX + 1 :].split("/") if s] for p in (a, b))
+    own, other = differing(x, y)
+    paragraphs = [[(i, j, p) for i in some for j, p in enumerate(z[i].split("."))] for z, some in ((x, own), (y, other))]
+    left, right = differing(*[[p for *_, p in some] for some in paragraphs])
+    return [("a", *paragraphs[0][k][:2]) for k in left] + [("b", *paragraphs[1][k][:2]) for k in right]
 
 
 def edit(text: str, following: str) -> str:
@@ -112,24 +113,22 @@ def with_next(docs: DataFrame) -> DataFrame:
     bucket is repeated at the end of the bucket before (turn 1), so that each task sees every next document; the first
     bucket's goes to the end of the last.
 
-    Only the bounds of the buckets, one id each, come to the driver; texts are shuffled once."""
+    Only the heads of the buckets, an id and the start of a text each, come to the driver; texts are shuffled once."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     spark = docs.sparkSession
     n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bounds = sorted({int(x) for x in docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.002 if n > 50 else 0.01)}, reverse=True)
-    #: bucket k has the ids below bounds[k - 1] and from bounds[k] on; null ids come last
-    cuts = F.lit(bounds).cast("array<bigint>") if bounds else F.array().cast("array<bigint>")
-    bucket = F.when(F.col("doc_id").isNull(), len(bounds)).otherwise(F.size(F.filter(cuts, lambda b: b > F.col("doc_id"))))
-    dealt = docs.withColumn("bucket", bucket)
-    heads = dealt.groupBy("bucket").agg(F.max("doc_id").alias("head")).collect()
+    dealt = in_ranges(docs, n, descending=True)
+    # the place of a row in the order: null ids last, larger ids first, then the text, of which a prefix will do here
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.bitwise_not("doc_id").alias("id"), F.left("text", F.lit(RANGE_PREFIX)).alias("p"))
+    heads = dealt.groupBy("bucket").agg(F.min(place).alias("head")).select("bucket", "head.*").collect()  # one row a bucket
     if not heads:
         return dealt.select("bucket", "doc_id", "text", F.lit(0).alias("turn"))
     order = sorted(r["bucket"] for r in heads)
     before = {b: order[i - 1] for i, b in enumerate(order)}  # of the first: the last
-    firsts = spark.createDataFrame([(r["head"], before[r["bucket"]]) for r in heads], "head bigint, before int")
+    firsts = spark.createDataFrame([(r["bucket"], r["id"], r["p"], before[r["bucket"]]) for r in heads], "at int, id bigint, p string, before int")
     rank = Window.partitionBy("before").orderBy("text")
     turned = (
-        docs.join(F.broadcast(firsts), F.col("doc_id").eqNullSafe(F.col("head")))
+        dealt.join(F.broadcast(firsts), (F.col("bucket") == F.col("at")) & F.bitwise_not("doc_id").eqNullSafe(F.col("id")) & (F.left("text", F.lit(RANGE_PREFIX)) == F.col("p")))
         .withColumn("rn", F.row_number().over(rank)).where("rn = 1")
         .select(F.col("before").alias("bucket"), "doc_id", "text", F.lit(1).alias("turn"))
     )

@@ -112,9 +112,11 @@ def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of docs (doc_id, text, source)."""
-    sized = staged(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "mix-sizes")
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED, drawn_by: Column | None = None) -> DataFrame:
+    """(doc_id, size, source_size, target, taken) of docs (doc_id of any type, text, source); documents of a length are drawn by
+    the hash of drawn_by, or of doc_id."""
+    draw = F.pmod(F.xxhash64((F.col("doc_id") if drawn_by is None else drawn_by).cast("string"), F.lit(seed)), F.lit(1 << 40))
+    sized = staged(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), draw.alias("draw")), "mix-sizes")
     counts = staged(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-counts")
     shares = staged(targets(counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words")), weights, cap), "mix-targets")
 
@@ -128,10 +130,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, s
     fitted = joined.groupBy("source").applyInPandas(fit, "source string, size bigint, n bigint, words bigint, target double, times bigint, extra bigint")
     fitted = staged(fitted.withColumn("slices", F.ceil(F.col("n") / SLICE)), "mix-fit")
 
-    draw = F.pmod(F.xxhash64(F.col("d.doc_id").cast("string"), F.lit(seed)), F.lit(1 << 40))
     dealt = staged(
         sized.alias("d").join(fitted.alias("f"), same(F.col("d.source"), F.col("f.source")) & (F.col("d.size") == F.col("f.size")))
-        .select("d.doc_id", "d.source", "d.size", "words", "target", "times", "extra", draw.alias("draw"), F.floor(draw * F.col("slices") / F.lit(1 << 40)).alias("slice")),
+        .select("d.doc_id", "d.source", "d.size", "words", "target", "times", "extra", "draw", F.floor(F.col("draw") * F.col("slices") / F.lit(1 << 40)).alias("slice")),
         "mix-dealt",
     )
     # how many documents of a length are in the slices before: only for lengths that are cut into slices and taken in part

@@ -7,6 +7,7 @@ executors see.  Paths are URIs and are opened through ``pyarrow.fs``, so any fil
 from __future__ import annotations
 
 import atexit
+import json
 import os
 import shutil
 import tempfile
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 SPACES = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Rows that are drawn for each range of in_ranges, and code points of a text that count in its bounds.
+RANGE_SAMPLE, RANGE_PREFIX = 60, 100
 ASCII_LOWER = str.maketrans(UPPER, LOWER)
 
 
@@ -124,6 +127,39 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
+def in_ranges(docs: DataFrame, n: int, descending: bool = False, seed: int = 11) -> DataFrame:
+    """docs (doc_id, text) with ``bucket``: at most n even ranges in the order of (doc_id, text), or of descending doc_id and
+    ascending text; null ids come first, or last.
+
+    Bounds are taken from about RANGE_SAMPLE rows for each range, as (doc_id, first RANGE_PREFIX code points of the text), so rows
+    that share an id, or have none, are spread too.  A row finds its range by a coarse and a fine list of bounds."""
+    prefix = F.left(F.coalesce("text", F.lit("")), F.lit(RANGE_PREFIX))
+    total = docs.count()
+    rows = docs.select("doc_id", prefix.alias("p"))
+    if total > n * RANGE_SAMPLE:
+        rows = rows.sample(False, n * RANGE_SAMPLE / total, seed)
+    sign = -1 if descending else 1
+    order = lambda r: (r[0] is not None, sign * r[0] if r[0] is not None else 0, (r[1] or "").encode("utf-8", "surrogatepass"))
+    got = sorted(map(tuple, rows.collect()), key=lambda r: ((not order(r)[0]) if descending else order(r)[0], *order(r)[1:]))  # about n * RANGE_SAMPLE rows
+    bounds = list(dict.fromkeys(got[len(got) * k // n] for k in range(1, n))) if got else []
+    step = max(1, int(len(bounds) ** 0.5))
+    kind = f"array<struct<id:{docs.schema['doc_id'].dataType.simpleString()},p:string>>"
+    listed = lambda some: F.from_json(F.lit(json.dumps([{"id": i, "p": p} for i, p in some])), kind)
+    id_, none = F.col("doc_id"), F.col("doc_id").isNull()
+
+    def reached(b: Column) -> Column:
+        """Whether a row is at a bound or behind it."""
+        before = (b["id"] > id_) | (b["id"].isNotNull() & none) if descending else (b["id"] < id_) | (b["id"].isNull() & ~none)
+        return F.coalesce(before, F.lit(False)) | (b["id"].eqNullSafe(id_) & (b["p"] <= prefix))
+
+    count = lambda some: F.size(F.filter(some, reached))
+    coarse = count(listed(bounds[::step])) if bounds else F.lit(0)
+    found = docs.withColumn("_coarse", coarse)
+    begin = F.greatest(F.col("_coarse") - 1, F.lit(0)) * step
+    fine = F.when(F.col("_coarse") == 0, 0).otherwise(begin + count(F.slice(listed(bounds), begin + 1, F.lit(step)))) if bounds else F.lit(0)
+    return found.withColumn("bucket", fine.cast("int")).drop("_coarse")
+
+
 def hash_sample(df: DataFrame, key: Column, most: int, seed: int = 0) -> DataFrame:
     """About ``most`` rows of df chosen by a hash of key, all of them if there are fewer: the same rows at every run,
     whatever the partitions."""

@@ -55,14 +55,14 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp holds the fingerprint's bits as a signed number."""
+    """(doc_id of its own type, fp): fp holds the fingerprint's bits as a signed number."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([simhash(t, shingle) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(work, "doc_id bigint, fp bigint")
+    return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint")
 
 
 def links_between(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -206,4 +206,4 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents").withColumn("doc_id", F.col("doc_id").cast("bigint")))

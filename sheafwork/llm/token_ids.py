@@ -6,8 +6,8 @@ A file holds the documents of one range of doc_id in ascending order::
     | per document: i64 doc_id, u8 null flag, u64 ids | the words of all blocks
 
 Numbers are little-endian.  Blocks hold 1024 ids (the last fewer), so any block can be decoded alone through its offset.
-Texts are dealt out by ranges of doc_id; each task writes the files of its ranges under a fresh name and returns their
-paths, so that only what a finished task wrote is ever read.
+Texts are dealt out by ranges of (doc_id, text); each task writes the files of its ranges under a fresh name and returns
+their paths, so that only what a finished task wrote is ever read.
 
 Defined cases: a null text is the empty text and gives the end id alone; a null doc_id comes before all others; rows
 with equal ids are ordered by text; no rows give no files and no result rows.
@@ -22,14 +22,13 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sheafwork.llm.shared import fresh_path, open_fs, staged, table, write_file
+from sheafwork.llm.shared import fresh_path, in_ranges, open_fs, staged, table, write_file
 from sheafwork.llm.simple8b import decode_blocks, encode
 
 #: Ids of a block, and of so many blocks as are packed at once.
@@ -39,6 +38,8 @@ AT_ONCE = 256
 END_ID = 0
 #: Pieces whose ids a worker keeps; when full it starts anew, so its memory is bounded.
 CACHE = 500_000
+#: Ids after which a file is closed.
+FILE_IDS = 1 << 23
 #: Punctuation that the pattern keeps together and apart from letters; without the apostrophe, which begins its own parts.
 MARKS = ".,;:!?*&%$#|()+-=/"
 # White_Space of the Unicode character database, the \s of the tokenizer's own pattern, and all of it but space and \n.
@@ -199,47 +200,48 @@ class TokenFile:
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, out: str) -> DataFrame:
-    """Writes the files and returns the manifest (bucket, path, docs, ids), one row per file."""
+    """Writes the files and returns the manifest (bucket, part, path, docs, ids), one row per file; a range of doc_id has its
+    files in the order of part.  A file is closed at FILE_IDS ids, which is also what a task holds."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bounds = sorted({int(x) for x in docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.002 if n > 50 else 0.01)})
-    cuts = F.lit(bounds).cast("array<bigint>") if bounds else F.array().cast("array<bigint>")
-    bucket = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(cuts, lambda b: b <= F.col("doc_id"))))
-    dealt = docs.withColumn("bucket", bucket).repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket", F.col("doc_id").asc_nulls_first(), "text")
+    dealt = in_ranges(docs, n).repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket", F.col("doc_id").asc_nulls_first(), "text").select("bucket", "doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, at, held = tokenizer(tokenizer_path), None, []
+        coder, at, part, size, held = tokenizer(tokenizer_path), None, 0, 0, []
 
         def flush() -> pa.RecordBatch:
-            path = f"{out}/ids-{at:06d}-{uuid.uuid4().hex}.s8b"
+            path = f"{out}/ids-{at:06d}-{part:06d}-{uuid.uuid4().hex}.s8b"
             write_file(path, pack_file(held))
-            return pa.RecordBatch.from_pydict({"bucket": pa.array([at], pa.int32()), "path": [path], "docs": [len(held)], "ids": [sum(len(x) for _, x in held)]})
+            return pa.RecordBatch.from_pydict({"bucket": pa.array([at], pa.int32()), "part": pa.array([part], pa.int32()), "path": [path], "docs": [len(held)], "ids": [size]})
 
         for batch in batches:
-            buckets, ids, texts = (batch.column(c).to_pylist() for c in ("bucket", "doc_id", "text"))
-            coded = [coder.encode(t) for t in texts]
-            edges = [0, *[i for i in range(1, len(buckets)) if buckets[i] != buckets[i - 1]], len(buckets)]
-            for a, b in pairwise(edges):
-                if a == b:
-                    continue
-                if at is not None and buckets[a] != at:
+            for bucket, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("bucket", "doc_id", "text"))):
+                if held and (bucket != at or size >= FILE_IDS):
                     yield flush()
-                    held = []
-                at = buckets[a]
-                held += [(d, np.append(x, coder.dtype(END_ID))) for d, x in zip(ids[a:b], coded[a:b])]
+                    part, size, held = (part + 1 if bucket == at else 0), 0, []
+                at = bucket
+                ids = np.append(coder.encode(text), coder.dtype(END_ID))
+                held.append((doc_id, ids))
+                size += len(ids)
         if held:
             yield flush()
 
-    return staged(dealt.mapInArrow(write, "bucket int, path string, docs bigint, ids bigint"), "token-manifest")
+    return staged(dealt.mapInArrow(write, "bucket int, part int, path string, docs bigint, ids bigint"), "token-manifest")
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document in the files.  The manifest has one row per file."""
+    """(doc_id, start, n_tokens, ids_crc32) of every document in the files.  The manifest has one row per file; what comes before a
+    range is added up on the driver (one row a range), what comes before a file within its range in Spark."""
     spark = manifest.sparkSession
-    files = sorted((r["bucket"], r["path"], r["ids"]) for r in manifest.collect())
-    begin = np.cumsum([0, *[n for *_, n in files]]).tolist()
-    where = spark.createDataFrame([(path, start) for (_, path, _), start in zip(files, begin)], "path string, first bigint")
+    ranges = manifest.groupBy("bucket").agg(F.sum("ids").alias("ids"), F.count("*").alias("files")).orderBy("bucket").collect()
+    schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
+    if not ranges:
+        return spark.createDataFrame([], schema)
+    begin = np.cumsum([0, *[r["ids"] for r in ranges]]).tolist()
+    starts = spark.createDataFrame([(r["bucket"], first) for r, first in zip(ranges, begin)], "bucket int, first bigint")
+    before = F.coalesce(F.sum("ids").over(Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    where = manifest.withColumn("before", before).join(F.broadcast(starts), "bucket").select("path", (F.col("first") + F.col("before")).alias("first"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,10 +252,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     start += len(ids)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
-    if not files:
-        return spark.createDataFrame([], schema)
-    return where.repartition(len(files)).mapInArrow(read, schema)
+    return where.repartition(min(sum(r["files"] for r in ranges), 20_000)).mapInArrow(read, schema)
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:

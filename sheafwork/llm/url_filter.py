@@ -5,7 +5,7 @@ URL's path starts with the rule's.  Of the rules that fit, the one with the most
 the longest path; of an allow and a block entry for the same (host, path), the block entry wins.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path and gets the default verdict, as do hosts
-that no rule fits; a rule with an empty host fits every host; ports and user info count as part of the host text.
+that no rule fits; rules over MAX_RULES, or with very deep paths, are joined instead of broadcast; a rule with an empty host fits every host; ports and user info count as part of the host text.
 Repeated rows give repeated results; columns of the input are kept or replaced only under the names given.
 """
 
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from sheafwork.llm.shared import ascii_lower, table
 
-#: Rules are broadcast, so their number is bounded; longer lists belong in a join on the host.
-MAX_RULES = 2_000_000
+#: Rules that are broadcast as a trie, and segments of their paths (a trie is sent node in node); more are joined.
+MAX_RULES, MAX_SEGMENTS = 500_000, 300
 
 
 @dataclass(frozen=True)
@@ -62,9 +62,7 @@ def stronger(old: Rule | None, new: Rule) -> Rule:
 
 def build_trie(rules: Iterable[Rule]) -> HostNode:
     root = HostNode()
-    for n, rule in enumerate(rules):
-        if n >= MAX_RULES:
-            raise ValueError(f"more than {MAX_RULES} rules")
+    for rule in rules:
         node = root
         for label in reversed(rule.host.split(".")) if rule.host else ():
             node = node.children.setdefault(label, HostNode())
@@ -113,6 +111,9 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def judge_urls(df: DataFrame, rules: list[Rule], url: str = "url", default: str = "allow") -> DataFrame:
     """Adds host, path, rule (text of the winning rule or null) and verdict to df."""
+    if len(rules) > MAX_RULES or any(r.path.count("/") > MAX_SEGMENTS or r.host.count(".") > MAX_SEGMENTS for r in rules):
+        listed = df.sparkSession.createDataFrame([(r.host, r.path, r.verdict) for r in rules], "host string, path string, verdict string")
+        return judge_by_join(df, listed, url, default)
     trie = df.sparkSession.sparkContext.broadcast(build_trie(rules))
 
     @F.pandas_udf("rule string, verdict string")
@@ -125,7 +126,30 @@ def judge_urls(df: DataFrame, rules: list[Rule], url: str = "url", default: str
     host, path = host_and_path(F.col(url))
     kept = [c for c in df.columns if c not in ("host", "path", "rule", "verdict")]
     out = df.select(*kept, host.alias("host"), path.alias("path"))
-    return out.withColumn("_won", walk("host", "path")).select(*kept, "host", "path", "_won.rule", "_won.verdict")
+    return out.select(*kept, "host", "path", walk("host", "path").alias("rule")).select(*kept, "host", "path", "rule.rule", "rule.verdict")
+
+
+def judge_by_join(df: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
+    """judge_urls() for a table of rules (host, path, verdict) of any size: the trie's edges as join keys.  Each different
+    (host, path) asks under all its host suffixes and leading runs of whole segments; a rule stands under its host and whole
+    segments, and what its path has beyond them is compared after the join."""
+    host, path = host_and_path(F.col(url))
+    kept = [c for c in df.columns if c not in ("host", "path", "rule", "verdict")]
+    out = df.select(*kept, host.alias("host"), path.alias("path"))
+    whole = lambda p: F.regexp_extract(p, "^(.*/)?", 0)
+    keyed = rules.select(F.col("host").alias("at"), whole(F.col("path")).alias("under"), F.col("path").alias("r_path"), "verdict").distinct()
+    labels, parts = F.split("host", "[.]"), F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    leading = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.concat(F.array_join(F.slice(parts, 1, i - 1), "/"), F.when(i > 1, F.lit("/")).otherwise(F.lit(""))))
+    asked = out.select("host", "path").distinct().select("host", "path", F.explode(F.array_distinct(F.array_append(above, F.lit("")))).alias("at"))
+    asked = asked.select("host", "path", "at", F.explode(leading).alias("under"))
+    depth = F.when(F.col("at") == "", 0).otherwise(F.size(F.split("at", "[.]")))
+    fit = asked.join(keyed, ["at", "under"]).where(F.col("path").startswith(F.col("r_path")))
+    best = fit.groupBy("host", "path").agg(F.max(F.struct(depth.alias("depth"), F.length("r_path").alias("n"), (F.col("verdict") == "block").alias("block"), F.concat("at", "r_path").alias("rule"), "verdict")).alias("won"))
+    best = best.select(F.col("host").alias("_h"), F.col("path").alias("_p"), F.col("won.rule").alias("rule"), F.col("won.verdict").alias("verdict"))
+    names = [f"_k{i}" for i in range(len(kept))]  # columns of any name pass through the join
+    wide = out.toDF(*names, "host", "path").join(best, (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")), "left")
+    return wide.select(*[F.col(a).alias(b) for a, b in zip(names, kept)], "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
 
 RULES = [

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -18,7 +19,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sheafwork.llm import catalog, decontaminate, kneser_ney, language_id, merkle, mixing, simhash, simple8b, token_ids, toxicity, url_filter, warc
-from sheafwork.llm.shared import ASCII_LOWER, byte_words, fold
+from sheafwork.llm.shared import ASCII_LOWER, byte_words, fold, in_ranges
 from tests.llm.conftest import LONG, TEXTS
 
 
@@ -47,6 +48,18 @@ def test_url_rules_by_brute_force(spark):
         fits = [x for x in rules if (host == x.host or host.endswith("." + x.host) or not x.host) and path.startswith(x.path)]
         best = max(fits, key=lambda x: (len(x.host.split(".")) if x.host else 0, len(x.path), x.verdict == "block"), default=None)
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == (host, path, best and best.text, best.verdict if best else "allow")
+    pages = spark.createDataFrame([(i, u, "x", "y") for i, u in enumerate(urls)], "page_id int, url string, _won string, rule string")
+    joined = url_filter.judge_by_join(pages, spark.createDataFrame([(x.host, x.path, x.verdict) for x in rules], "host string, path string, verdict string"), "url", "allow")
+    assert sorted(map(str, joined.select("page_id", "host", "path", "rule", "verdict", "_won").collect())) == sorted(map(str, url_filter.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict", "_won").collect()))
+    assert url_filter.judge_urls(pages.limit(0), rules).count() == 0
+
+
+def test_very_deep_url_rules(spark):
+    deep = "/a" * 3000 + "/"
+    rules = [url_filter.Rule("x.org", deep, "block"), url_filter.Rule("org", "/a/", "allow"), url_filter.Rule("org", "/a/", "block")]
+    pages = spark.createDataFrame([(1, "http://w.x.org" + deep + "q"), (2, "http://x.org/a/a"), (3, "http://x.org/"), (4, None)], "page_id int, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judge_urls(pages, rules).collect()}
+    assert got == {1: ("x.org" + deep, "block"), 2: ("org/a/", "block"), 3: (None, "allow"), 4: (None, "allow")}
 
 
 # -- 2 -------------------------------------------------------------------------------------------------------------------
@@ -67,6 +80,28 @@ def test_merkle_against_brute_force(spark, docs, no_docs):
     assert one["near_next"] == 1.0
 
 
+def test_merkle_tree_the_other_way_round():
+    """Nested lists of leaves first, then their hashes from the top down."""
+    h = lambda *parts: hashlib.blake2b(b"".join(parts), digest_size=16).digest()
+    for text in [t for _, t, *_ in TEXTS if t] + ["a. b! c?\n\nd | e | f\n" * 30, "\n\n", "one two three four five six seven eight nine ten."]:
+        lines = [[h(m.group().encode()) for m in merkle.LEAF.finditer(x)] or [h(b"")] for x in text.split("\n")]
+        cut = [i + 1 for i, x in enumerate(text.split("\n")) if not x.strip() or h(*lines[i])[0] % 8 == 0]
+        parts = [lines[a:b] for a, b in zip([0, *cut], [*cut, len(lines)]) if a < b]
+        root = h(*[h(*[h(*p) for p in s]) for s in parts])
+        assert "".join(m.group() for m in merkle.LEAF.finditer(text.replace("\n", ""))) == text.replace("\n", "")
+        assert merkle.build_tree(text).fingerprint() == root.hex() + ":" + "/".join(".".join("".join(x.hex()[:6] for x in p) for p in s) for s in parts)
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_ranges_are_even_and_in_order(spark, descending):
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, None if k % 50 == 0 else f"text {k * 7919 % 1000}") for k in range(3000)]
+    got = in_ranges(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), 16, descending).collect()
+    key = lambda x: (x["doc_id"] is None, -(x["doc_id"] or 0), x["text"] or "") if descending else (x["doc_id"] is not None, x["doc_id"] or 0, x["text"] or "")
+    assert [x["bucket"] for x in sorted(got, key=key)] == sorted(x["bucket"] for x in got) and len(got) == 3000
+    sizes = Counter(x["bucket"] for x in got)
+    assert set(sizes) == set(range(16)) and max(sizes.values()) < 3 * 3000 / 16
+
+
 def test_merkle_likeness_and_diff():
     text = "\n".join(f"Paragraph {i} says this and that. It has another sentence {i * 7}." for i in range(40))
     half = merkle.edit(text, "Something else entirely. " * 200)
@@ -74,7 +109,11 @@ def test_merkle_likeness_and_diff():
     far = merkle.likeness(merkle.build_tree(text).fingerprint(), merkle.build_tree("Nothing in common here.").fingerprint())
     assert 0.35 < near < 0.65 and far == 0
     changed = text.replace("Paragraph 17 says", "Paragraph 17 shouts")
-    assert len(merkle.diff(text, changed)) == 2 and merkle.diff(text, text) == []
+    print_ = lambda t: merkle.build_tree(t).fingerprint()
+    found = merkle.diff(print_(text), print_(changed))
+    assert [side for side, *_ in found] == ["a", "b"] and found[0][1:] == found[1][1:] and merkle.diff(print_(text), print_(text)) == []
+    moved = "\n".join([*text.split("\n")[1:], text.split("\n")[0]])
+    assert len(merkle.diff(print_(text), print_(moved))) in range(2, 20) and len(merkle.diff(print_(text), print_(""))) == 40
     assert merkle.build_tree("a\n").root != merkle.build_tree("a").root and merkle.build_tree("").root == merkle.build_tree(None).root
 
 
@@ -257,6 +296,24 @@ def test_fit_counts_by_brute_force(bag, budget, window):
         assert total == max(x for x in sums if x <= budget)
 
 
+def test_mix_takes_what_was_fitted(spark):
+    """Of each source and length, as many documents as the fit says, and which ones by the seeded hash alone."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    got = mixing.mix(docs.repartition(5)).join(docs.select("doc_id", "source"), "doc_id").toPandas()
+    draw = docs.select("doc_id", F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(mixing.SEED)), F.lit(1 << 40)).alias("draw")).toPandas().set_index("doc_id")["draw"]
+    for _, own in got.groupby("source", dropna=False):
+        words, target = own["size"].sum(), own["target"].iloc[0]
+        times = int(target // words)
+        assert times < 3 or target == 3 * words
+        sizes = own.groupby("size").size()
+        extra = dict(zip(sizes.index, mixing.fit_counts(sizes.index.to_numpy(), sizes.to_numpy(), int(round(target - times * words)))))
+        for size, some in own.groupby("size"):
+            more = some[some["taken"] > times * size]
+            assert len(more) == (extra[size] if size else 0) and set(some["taken"]) <= {times * size, (times + 1) * size}
+            first = sorted(some["doc_id"], key=lambda d: (draw[d], d))[: len(more)]
+            assert sorted(more["doc_id"]) == sorted(first)
+
+
 def test_mix(spark, docs, no_docs):
     got = mixing.query(spark, str(DATA)).join(spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "source"), "doc_id").toPandas()
     by = got.groupby("source").agg(size=("size", "sum"), whole=("source_size", "first"), target=("target", "first"), taken=("taken", "sum"))
@@ -346,7 +403,9 @@ def test_simple8b_round_trip(values, block):
     assert out == values and at == len(words)
 
 
-def test_token_files(spark, docs, no_docs):
+@pytest.mark.parametrize("most", [1 << 23, 3])
+def test_token_files(spark, docs, no_docs, monkeypatch, most):
+    monkeypatch.setattr(token_ids, "FILE_IDS", most)
     import public_tokenizers
     from tokenizers import Tokenizer
 
@@ -370,6 +429,18 @@ def test_pieces_encode_as_whole_texts():
         assert p.encode(t).tolist() == p.whole(t), t
 
 
+def test_pieces_of_random_texts():
+    """Awkward code points in any order: white space of all kinds, marks, apostrophes, digits, combining and unassigned ones."""
+    import public_tokenizers
+
+    p = token_ids.PieceTokenizer(str(public_tokenizers.path("byte_bpe_50k.json")))
+    rng = np.random.default_rng(3)
+    some = [*" \n\t\r\x0b\x0c\x1c\x1f\x85\xa0\u1680\u2003\u2028\u202f\u3000", *"'sStTrRvVmMlLdD", *".,;:!?*&%$#|()+-=/_<>\"`~^", *"aZßéΩж中あ가", *"019²½Ⅷ٣", "\u0301", "\u200d", "\ufeff", "\U0001f600", "\u0378", "<|endoftext|>", "'re", "'ll"]
+    for _ in range(20_000):
+        t = "".join(some[k] for k in rng.integers(0, len(some), rng.integers(1, 14)))
+        assert p.encode(t).tolist() == p.whole(t), t
+
+
 def test_random_access_by_block(tmp_path):
     docs = [(5, np.arange(3000) % 700), (6, np.array([0])), (None, np.array([1 << 40, 3]))]
     (tmp_path / "x").write_bytes(b"".join(token_ids.pack_file(docs)))
@@ -527,3 +598,20 @@ def test_short_and_unspaced_items(spark):
     texts = [(1, "It was the blue whale, again."), (2, "He lives in PARIS now"), (3, f"他说：{chinese}。"), (4, "小明回家。然后昨天"), (5, "blue the whale Parisian"), (6, "巨獣長剣だ"), (7, "whale"), (8, None), (9, ""), (None, "in Paris"), (10, "ใน ประเทศไทย นี้"), (11, "a whale 1,5"), (12, "a whale 1,6")]
     got = sorted((str(r["doc_id"]), r["item_id"]) for r in decontaminate.leaks(spark.createDataFrame(texts, "doc_id bigint, text string"), bench).collect())
     assert got == sorted([("1", 1), ("2", 2), ("3", 3), ("6", 5), ("None", 2), ("10", 7), ("11", 8)])
+
+
+def test_windows_that_many_items_share(spark):
+    """Many items of one template, and templates that begin alike: only what a document holds is found, values compared."""
+    same = [(k, f"A train leaves at {k} and comes back at {k + 500}, how many miles did it go in all") for k in range(10, 60)]
+    alike = [(1000 + k, f"please answer the next question with one word only: is the {'very ' * (k % 7)}old tower of town number{k} higher than the church beside it or is it not") for k in range(40)]
+    word = lambda k: "".join(chr(97 + int(c)) for c in str(k))
+    alike = [(i, t.replace(f"number{i - 1000}", word(i - 1000))) for i, t in alike]
+    texts = [(1, same[5][1]), (2, alike[3][1]), (3, "please answer the next question with one word only"), (4, " ".join(["some filler goes here"] * 30_000) + " " + alike[20][1]), (5, None), (None, alike[7][1])]
+    bench = spark.createDataFrame(same + alike, "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(spark.createDataFrame(texts, "doc_id bigint, text string"), bench).collect()}
+    assert {(1, 15), (2, 1003), (4, 1020), (None, 1007)} <= got and not [x for x in got if x[0] in (3, 5)]
+    plain = lambda t: re.findall(r"\w+", re.sub(r"\d+", "0", t.lower()))
+    runs = lambda t: {tuple(w[i : i + 5]) for w in [plain(t)] for i in range(len(w) - 4)}
+    for d, i in got:  # each has the share it needs, counted the plain way (a name at the begin aside)
+        text, item = dict(texts)[d], dict(same + alike)[i]
+        assert len(runs(text) & runs(item)) >= 0.8 * len(runs(item)) - 1
