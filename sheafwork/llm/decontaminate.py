@@ -33,6 +33,8 @@ from sheafwork.llm.shared import staged, table
 
 WINDOW, SHARE, CONSISTENT = 5, 0.8, 0.8
 BROADCAST_WINDOWS = 1_000_000
+#: Templates that share a window beyond which it finds no documents but is only looked for in those that others found.
+HOT = 64
 # Units that make a placeholder after a number.
 UNITS = "kg|g|mg|lb|lbs|oz|km|m|cm|mm|mi|ft|in|l|ml|s|ms|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|miles?|meters?|metres?|kilometers?|kilometres?|grams?|kilograms?|pounds?|dollars?|euros?|cents?|percent|usd|eur"
 NUMBER, NAME, UNIT = "0", "1", "2"
@@ -137,14 +139,14 @@ def if_few(df: DataFrame) -> Callable[[DataFrame], DataFrame]:
     return F.broadcast if df.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS else lambda d: d
 
 
-def rare_windows(theirs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(template, hash): so many of a template's places that a document without any of them has less than SHARE, the places
-    that fewest templates share; a window that very many of them share asks for no documents."""
+def asked_windows(theirs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(template, place, hash) of the windows that documents are searched for first: all but those that more than HOT templates
+    share, and in any case so many of a template's places, the least shared ones, that no document with SHARE lacks them all."""
     shared = theirs.groupBy("hash").agg(F.count_distinct("template").alias("others"))
     places = theirs.join(shared, "hash").groupBy("template", "place").agg(F.max("others").alias("others")).join(sizes, "template")
     rank = F.row_number().over(Window.partitionBy("template").orderBy("others", "place"))
-    enough = places.withColumn("rank", rank).where(F.col("rank") <= F.col("windows") - F.ceil(F.lit(SHARE) * F.col("windows")) + 1)
-    return theirs.join(enough.select("template", "place"), ["template", "place"]).select("template", "hash").distinct()
+    asked = places.withColumn("rank", rank).where((F.col("others") <= HOT) | (F.col("rank") <= F.col("windows") - F.ceil(F.lit(SHARE) * F.col("windows")) + 1))
+    return theirs.join(asked.select("template", "place"), ["template", "place"]).select("template", "place", "hash")
 
 
 def long_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -155,14 +157,20 @@ def long_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     theirs = staged(every.join(members, "item_id").select("template", "place", "hash").distinct(), "template-windows")
     small = if_few(theirs)
     sizes = theirs.groupBy("template").agg(F.count_distinct("place").alias("windows"))
-    rare = rare_windows(theirs, sizes)
-    maybe = staged(windows(docs, "doc_id", "text").join(small(rare), "hash").select("doc_id", "template").distinct(), "leak-candidates")
-    # of candidates only: the template's windows, each looked for in the document
-    ids = maybe.select(F.col("doc_id").alias("_id")).distinct()
-    held = windows(docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"), "doc_id", "text").select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct()
-    wanted = maybe.join(small(theirs), "template")
-    met = wanted.join(held, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")), "left_semi").select("doc_id", "template", "place").distinct()
-    found = met.groupBy("doc_id", "template").agg(F.count("*").alias("matched")).join(small(sizes), "template").where(F.col("matched") >= F.lit(SHARE) * F.col("windows"))
+    asked = staged(asked_windows(theirs, sizes), "template-asked")
+    sizes = sizes.join(asked.groupBy("template").agg(F.count_distinct("place").alias("asked")), "template").select("template", "windows", (F.col("windows") - F.col("asked")).alias("open"))
+    met = windows(docs, "doc_id", "text").join(small(asked), "hash").select("doc_id", "template", "place").distinct()
+    maybe = met.groupBy("doc_id", "template").agg(F.count("*").alias("matched")).join(small(sizes), "template")
+    maybe = staged(maybe.where(F.col("matched") + F.col("open") >= F.lit(SHARE) * F.col("windows")), "leak-candidates")
+    found = maybe.where("open = 0").select("doc_id", "template", "matched", "windows")
+    some = maybe.where("open > 0")
+    if not some.isEmpty():  # of these pairs only: the template's other windows, each looked for in the document
+        ids = some.select(F.col("doc_id").alias("_id")).distinct()
+        held = windows(docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"), "doc_id", "text").select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct()
+        others = theirs.join(asked.select("template", "place").distinct(), ["template", "place"], "left_anti")
+        more = some.join(small(others), "template").join(held, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")), "left_semi")
+        every = some.select("doc_id", "template", "windows", "matched").unionByName(more.select("doc_id", "template", "windows", "place").distinct().select("doc_id", "template", "windows", F.lit(1).cast("bigint").alias("matched")))
+        found = found.unionByName(every.groupBy("doc_id", "template", "windows").agg(F.sum("matched").alias("matched")).where(F.col("matched") >= F.lit(SHARE) * F.col("windows")).select("doc_id", "template", "matched", "windows"))
     found = staged(found.join(small(members), "template").select("doc_id", "item_id", "matched", "windows"), "leaks-found")
     blank = F.array(*map(F.lit, (NUMBER, NAME, UNIT)))
     own = windows(items, "item_id", "item_text", values=True).select("item_id", "hash", F.col("canon"), F.col("own").alias("item_own")).where(F.arrays_overlap("canon", blank))

@@ -600,15 +600,19 @@ def test_short_and_unspaced_items(spark):
     assert got == sorted([("1", 1), ("2", 2), ("3", 3), ("6", 5), ("None", 2), ("10", 7), ("11", 8)])
 
 
-def test_windows_that_many_items_share(spark):
+@pytest.mark.parametrize("hot", [64, 2, 0])
+def test_windows_that_many_items_share(spark, monkeypatch, hot):
     """Many items of one template, and templates that begin alike: only what a document holds is found, values compared."""
+    monkeypatch.setattr(decontaminate, "HOT", hot)
     same = [(k, f"A train leaves at {k} and comes back at {k + 500}, how many miles did it go in all") for k in range(10, 60)]
     alike = [(1000 + k, f"please answer the next question with one word only: is the {'very ' * (k % 7)}old tower of town number{k} higher than the church beside it or is it not") for k in range(40)]
     word = lambda k: "".join(chr(97 + int(c)) for c in str(k))
     alike = [(i, t.replace(f"number{i - 1000}", word(i - 1000))) for i, t in alike]
     texts = [(1, same[5][1]), (2, alike[3][1]), (3, "please answer the next question with one word only"), (4, " ".join(["some filler goes here"] * 30_000) + " " + alike[20][1]), (5, None), (None, alike[7][1])]
     bench = spark.createDataFrame(same + alike, "item_id bigint, text string")
-    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(spark.createDataFrame(texts, "doc_id bigint, text string"), bench).collect()}
+    rows = decontaminate.leaks(spark.createDataFrame(texts, "doc_id bigint, text string"), bench).collect()
+    got = {(r["doc_id"], r["item_id"]) for r in rows}
+    assert len(rows) == len(got) and {(r["doc_id"], r["item_id"]): r["matched"] / r["windows"] for r in rows}[1, 15] == 1
     assert {(1, 15), (2, 1003), (4, 1020), (None, 1007)} <= got and not [x for x in got if x[0] in (3, 5)]
     plain = lambda t: re.findall(r"\w+", re.sub(r"\d+", "0", t.lower()))
     runs = lambda t: {tuple(w[i : i + 5]) for w in [plain(t)] for i in range(len(w) - 4)}
