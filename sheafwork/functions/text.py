@@ -126,3 +126,44 @@ def direction_cell(status: Column, edges: Column, cardinality: Column) -> Column
 def parse_direction_cell(v: Column) -> Column:
     part = lambda k: F.regexp_extract(v, r"^(\w+) · E=(\d+) · card=(\S+)$", k)
     return F.struct(F.when(part(1) == "", v).otherwise(part(1)).alias("status"), F.coalesce(part(2).try_cast("bigint"), F.lit(0)).alias("edges"), F.nullif(part(3), F.lit("")).alias("cardinality"))
+
+
+def blank_spans(text: Column, pattern: str) -> Column:
+    """Text with each match of a pattern (comments, say) replaced by as many spaces, so that offsets in the rest hold."""
+    parts = F.regexp_extract_all(text, F.lit(f"(?s){pattern}|.[^/<#]*"), F.lit(0))
+    return F.array_join(F.transform(parts, lambda p: F.when(p.rlike(f"(?s)^(?:{pattern})$"), F.repeat(F.lit(" "), F.length(p))).otherwise(p)), "")
+
+
+def token_offsets(text: Column, pattern: str) -> Column:
+    """All matches of a pattern, each with its offset (code points from 0), in one pass over the matches."""
+    tokens = F.regexp_extract_all(text, F.lit(f"(?s){pattern}"), F.lit(0))
+    gaps = F.split(text, f"(?s){pattern}", -1)
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<token:string,offset:int>>").alias("found"))
+
+    def step(acc: Column, x: Column) -> Column:
+        here = acc["at"] + F.length(x["gap"])
+        return F.struct((here + F.length(x["token"])).alias("at"), F.array_append(acc["found"], F.struct(x["token"].alias("token"), here.alias("offset"))).alias("found"))
+
+    pairs = F.zip_with(tokens, F.slice(gaps, 1, F.size(tokens)), lambda t, g: F.struct(t.alias("token"), g.alias("gap")))
+    return F.aggregate(pairs, start, step)["found"]
+
+
+def filled(template: Column, **values: Column) -> Column:
+    """A template with each {name} replaced by a column."""
+    for name, c in values.items():
+        template = F.replace(template, F.lit("{" + name + "}"), c.cast("string"))
+    return template
+
+
+def signature_parts(signature: Column) -> Column:
+    """(arguments, result) of ``(a,(b)->c)->r``: arguments are cut at commas of the outermost level only."""
+    step = lambda acc, c: F.struct(
+        (acc["depth"] + F.when(c == "(", 1).when(c == ")", -1).otherwise(0)).alias("depth"), (acc["at"] + 1).alias("at"),
+        F.when((c == ")") & (acc["depth"] == 1) & (acc["close"] == 0), acc["at"]).otherwise(acc["close"]).alias("close"),
+        F.when((c == ",") & (acc["depth"] == 1) & (acc["close"] == 0), F.array_append(acc["cuts"], acc["at"])).otherwise(acc["cuts"]).alias("cuts"),
+    )
+    zero = F.struct(F.lit(0).alias("depth"), F.lit(1).alias("at"), F.lit(0).alias("close"), F.array().cast("array<int>").alias("cuts"))
+    seen = F.aggregate(F.split(signature, ""), zero, step)
+    edges = F.concat(F.array(F.lit(1)), seen["cuts"], F.array(seen["close"]))
+    arguments = F.transform(F.sequence(F.lit(1), F.size(edges) - 1), lambda i: F.substring(signature, F.element_at(edges, i) + 1, F.element_at(edges, i + 1) - F.element_at(edges, i) - 1))
+    return F.when(seen["close"] > 0, F.struct(F.array_remove(arguments, "").alias("arguments"), F.substring(signature, seen["close"] + 3, F.length(signature)).alias("result")))

@@ -147,9 +147,13 @@ def token_references(texts: DataFrame, id_: str, text: str, pattern: str, prefix
 
 
 def substring_matches(rows: DataFrame, text: str, tokens: DataFrame, token: str, most_tokens: int = 10_000) -> DataFrame:
-    """Rows whose text contains a token, case apart.  No equi key, so the tokens are broadcast, and only so many."""
+    """Rows whose text contains a token, case apart.  A few tokens are broadcast; more are joined by their first three letters
+    (shorter ones by all of them), and compared whole after that."""
     if tokens.limit(most_tokens + 1).count() > most_tokens:
-        raise ValueError(f"more than {most_tokens} tokens; cut texts into words and join on them instead")
+        low = F.lower(text)
+        pieces = lambda k: F.when(F.length(low) >= k, F.transform(F.sequence(F.lit(1), F.length(low) - k + 1), lambda i: F.substring(low, i, k))).otherwise(F.array().cast("array<string>"))
+        begin = F.explode(F.array_distinct(F.concat(F.array(F.lit("")), pieces(1), pieces(2), pieces(3)))).alias("_begin")
+        return rows.select("*", begin).join(tokens.withColumn("_begin", F.left(F.lower(token), F.lit(3))), "_begin").where(F.contains(F.lower(text), F.lower(token))).drop("_begin")
     return rows.join(F.broadcast(tokens), F.contains(F.lower(text), F.lower(token)))
 
 
@@ -165,3 +169,33 @@ def name_lookup(keys: DataFrame, key: str, *stages: tuple[DataFrame, str, str])
         out = out.join(dim.select(F.col(id_).alias(f"_k{k}"), F.col(name).alias(f"_n{k}")).dropDuplicates([f"_k{k}"]), F.col(key) == F.col(f"_k{k}"), "left").drop(f"_k{k}")
         names.append(f"_n{k}")
     return out.withColumn("name", F.coalesce(*names, F.col(key).cast("string"))).drop(*names)
+
+
+def banned_names(rows: DataFrame, keys: Sequence[str], names: Sequence[str], banned: DataFrame) -> DataFrame:
+    """The ledger of names that may not be published: (…keys, column, name), names compared trimmed and case apart.
+    banned (name)."""
+    listed = banned.select(F.lower(F.trim("name")).alias("_low")).distinct()
+    cells = rows.select(*keys, F.explode(F.array(*[F.struct(F.lit(n).alias("column"), F.col(n).alias("name")) for n in names])).alias("x")).select(*keys, "x.*")
+    return cells.withColumn("_low", F.lower(F.trim("name"))).join(listed, "_low", "left_semi").drop("_low")
+
+
+def constants_of(owners: DataFrame, id_: str, indexes: str, pool: DataFrame) -> DataFrame:
+    """Fields by their place in a pool (index, value): (id, field, value), value null for a place the pool lacks."""
+    fields = owners.select(F.col(id_).alias("id"), F.posexplode(indexes).alias("field", "index"))
+    return fields.join(pool.select("index", "value"), "index", "left").select("id", "field", "value")
+
+
+def aligned(left: DataFrame, right: DataFrame, by: Sequence[str], place: str) -> DataFrame:
+    """The n-th row of left beside the n-th of right within each group, and what one side has beyond the other: side says
+    both, left or right.  place is each row's number."""
+    on = [*by, place]
+    both = left.withColumn("_l", F.lit(True)).join(right.withColumn("_r", F.lit(True)), on, "full_outer")
+    return both.withColumn("side", F.when(F.col("_l") & F.col("_r"), "both").when(F.col("_l"), "left").otherwise("right")).drop("_l", "_r")
+
+
+def drift(entities: DataFrame, bridged: DataFrame, absent: DataFrame, by: Sequence[str], key: str) -> DataFrame:
+    """For each kind: entities against the sum of bridged and absent ones (distinct keys); off is what is unaccounted for."""
+    tagged = [d.select(*by, key, F.lit(t).alias("_t")).distinct() for d, t in ((entities, "entities"), (bridged, "bridged"), (absent, "absent"))]
+    every = tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+    n = every.groupBy(*by).agg(*[F.count_if(F.col("_t") == t).alias(t) for t in ("entities", "bridged", "absent")])
+    return n.withColumn("off", F.col("entities") - F.col("bridged") - F.col("absent"))

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheafwork.operators.graph import cut_lineage
+
 
 def affine(x: Column, y: Column, m: Sequence[float]) -> tuple[Column, Column]:
     """(a, b, c, d, e, f): x' = a x + b y + c, y' = d x + e y + f."""
@@ -65,28 +68,35 @@ def lookup_pixels(points: DataFrame, row: Column, col: Column, raster: DataFrame
     return at.join(raster.select(F.col("row").alias("_r"), F.col("col").alias("_c"), "value"), ["_r", "_c"], "left").withColumn("value", F.coalesce("value", F.lit(missing))).drop("_r", "_c")
 
 
-def nearest_neighbours(points: DataFrame, id_: str, x: str, y: str, cell: float, rounds: int = 24) -> DataFrame:
-    """(id, nearest, distance) of each point's nearest other point, the smaller id among equals.
+def nearest_neighbours(points: DataFrame, id_: str, x: str, y: str, cell: float) -> DataFrame:
+    """(id, nearest, distance) of each point's nearest other point, the smaller id among equals; nearest is null for a point
+    that is alone, and for null or infinite coordinates.
 
     Points are put into cells and meet only points of the 3 x 3 cells around; who finds none within a cell's width goes on
-    with cells of twice the width.  So work follows local density, with no cross join; a cell's width doubles at most
-    ``rounds`` times."""
-    todo, done, width = points.select(F.col(id_).alias("i"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")), None, float(cell)
-    every = todo
+    with wider cells.  So work follows local density, with no cross join.  Rounds end at the latest when a cell is as wide as
+    all points together; each is cut from the plan of those before."""
+    given = points.select(F.col(id_).alias("i"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+    every = given.where(finite("x") & finite("y"))
+    extent = every.agg(F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y"))).first()[0] or 0.0
+    todo, found, width = every, [], float(cell)
     steps = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
-    for _ in range(rounds):
+    while True:
         there = every.select(F.col("i").alias("j"), F.col("x").alias("u"), F.col("y").alias("v"), floor_cell(F.col("x"), width).alias("cx"), floor_cell(F.col("y"), width).alias("cy"))
         here = todo.select("i", "x", "y", floor_cell(F.col("x"), width).alias("_cx"), floor_cell(F.col("y"), width).alias("_cy"), steps.alias("s"))
         here = here.select("i", "x", "y", (F.col("_cx") + F.col("s.a")).alias("cx"), (F.col("_cy") + F.col("s.b")).alias("cy"))
         d = F.sqrt((F.col("x") - F.col("u")) ** 2 + (F.col("y") - F.col("v")) ** 2)
         met = here.join(there, ["cx", "cy"]).where("i <> j").groupBy("i").agg(F.min(F.struct(d.alias("distance"), F.col("j").alias("nearest"))).alias("m"))
-        sure = met.where(F.col("m.distance") <= width).select(F.col("i").alias("id"), F.col("m.nearest").alias("nearest"), F.col("m.distance").alias("distance"))
-        done = sure if done is None else done.unionByName(sure)
-        todo = todo.join(sure.select(F.col("id").alias("i")), "i", "left_anti")
-        if todo.isEmpty():
+        last = width > extent
+        sure = met if last else met.where(F.col("m.distance") <= width)
+        found.append(cut_lineage(sure.select(F.col("i").alias("id"), F.col("m.nearest").alias("nearest"), F.col("m.distance").alias("distance"))))
+        todo = cut_lineage(todo.join(found[-1].select(F.col("id").alias("i")), "i", "left_anti"))
+        if last or todo.isEmpty():
             break
-        width *= 2
-    return done
+        width *= 4
+    near = reduce(DataFrame.unionByName, found)
+    rest = given.where(~(finite("x") & finite("y"))).unionByName(todo).select(F.col("i").alias("id"))
+    return near.unionByName(rest, allowMissingColumns=True)
 
 
 def shift_scores(cells: DataFrame, mask: DataFrame, reach: int) -> DataFrame:
@@ -207,3 +217,31 @@ def transform_verdict(df: DataFrame, **gates: Column) -> DataFrame:
     """CONFIRMED if all gates hold, else the gates that don't."""
     failed = F.array_join(F.filter(F.array(*[F.when(~F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in gates.items()]), lambda x: x.isNotNull()), ",")
     return df.withColumn("verdict", F.when(failed == "", "CONFIRMED").otherwise(F.concat(F.lit("REFUSED:"), failed)))
+
+
+def mask_slice(raster: DataFrame, row0: int, row1: int, col0: int, col1: int) -> DataFrame:
+    """The rectangle [row0, row1) x [col0, col1) of a raster (row, col, value), from its own corner; cells out of the raster
+    are missing rows, so a mean or a join sees them as null.  The bounds reach the scan."""
+    inside = F.col("row").between(row0, row1 - 1) & F.col("col").between(col0, col1 - 1)
+    return raster.where(inside).select((F.col("row") - row0).alias("row"), (F.col("col") - col0).alias("col"), "value")
+
+
+def box_overlap(a: DataFrame, b: DataFrame, by: Sequence[str], low: str, high: str) -> DataFrame:
+    """Overlap of the ranges (low, high) that two tables give for the same keys: (…by, overlap, apart)."""
+    both = a.select(*by, F.col(low).alias("_a0"), F.col(high).alias("_a1")).join(b.select(*by, F.col(low).alias("_b0"), F.col(high).alias("_b1")), list(by))
+    overlap = F.least("_a1", "_b1") - F.greatest("_a0", "_b0")
+    return both.select(*by, F.greatest(overlap, F.lit(0)).alias("overlap"), (overlap < 0).alias("apart"))
+
+
+def smoothness(cells: DataFrame, x: str, y: str, value: str) -> DataFrame:
+    """Mean |difference| to the right and upper neighbour, by two equi joins in one: the smaller, the smoother a layout."""
+    near = cells.select((F.col(x) - 1).alias(x), y, F.col(value).alias("_v")).unionByName(cells.select(x, (F.col(y) - 1).alias(y), F.col(value).alias("_v")))
+    return cells.join(near, [x, y]).agg(F.count("*").alias("pairs"), F.avg(F.abs(F.col(value) - F.col("_v"))).alias("score"))
+
+
+def layout_sweep(cells: DataFrame, x: str, y: str, value: str, widths: Sequence[int], place: str) -> DataFrame:
+    """smoothness of cells laid out by their running place in rows of each width: (width, pairs, score)."""
+    laid = cells.select(F.col(place).alias("_p"), F.col(value).alias("_value"), F.explode(F.array(*map(F.lit, widths))).alias("width"))
+    laid = laid.select("width", (F.col("_p") % F.col("width")).alias(x), F.floor(F.col("_p") / F.col("width")).alias(y), "_value")
+    near = laid.select("width", (F.col(x) - 1).alias(x), y, F.col("_value").alias("_v")).unionByName(laid.select("width", x, (F.col(y) - 1).alias(y), F.col("_value").alias("_v")))
+    return laid.join(near, ["width", x, y]).groupBy("width").agg(F.count("*").alias("pairs"), F.avg(F.abs(F.col("_value") - F.col("_v"))).alias("score"))

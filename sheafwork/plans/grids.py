@@ -114,3 +114,27 @@ def point_in_polygon(spark: SparkSession, d: str) -> DataFrame:
     pts = table(spark, d, "customer").select(F.col("c_custkey").alias("point"), F.col("c_acctbal").alias("x"), F.col("c_nationkey").cast("double").alias("y"))
     rings = [("triangle", [(0.0, 0.0), (8000.0, 0.0), (0.0, 24.0)]), ("band", [(-500.0, 3.5), (9000.0, 3.5), (9000.0, 9.5), (-500.0, 9.5)])]
     return P.points_in_polygons(pts, spark.createDataFrame(rings, "polygon string, ring array<struct<x: double, y: double>>"), 1000.0)
+
+
+@query(f"""WITH {_CELLS_SQL} SELECT x - 2 AS row, y - 5 AS col, n AS value FROM cells WHERE x BETWEEN 2 AND 8 AND y BETWEEN 5 AND 14""")
+def mask_rectangle(spark: SparkSession, d: str) -> DataFrame:
+    raster = _cells(spark, d).select(F.col("x").alias("row"), F.col("y").alias("col"), F.col("n").alias("value"))
+    return P.mask_slice(raster, 2, 9, 5, 15)
+
+
+@query("""WITH a AS (SELECT c_nationkey AS k, min(c_acctbal) AS lo, max(c_acctbal) AS hi FROM customer WHERE c_custkey % 2 = 0 GROUP BY 1), b AS (SELECT s_nationkey AS k, min(s_acctbal) AS lo, max(s_acctbal) AS hi FROM supplier GROUP BY 1)
+SELECT a.k, round(CAST(greatest(least(a.hi, b.hi) - greatest(a.lo, b.lo), 0) AS DOUBLE), 4) AS overlap, least(a.hi, b.hi) - greatest(a.lo, b.lo) < 0 AS apart FROM a JOIN b ON a.k = b.k""")
+def range_overlap(spark: SparkSession, d: str) -> DataFrame:
+    """Ranges of two planes for the same cell."""
+    span = lambda t, k, v: t.groupBy(F.col(k).alias("k")).agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
+    a, b = span(table(spark, d, "customer").where("c_custkey % 2 = 0"), "c_nationkey", "c_acctbal"), span(table(spark, d, "supplier"), "s_nationkey", "s_acctbal")
+    return P.box_overlap(a, b, ["k"], "lo", "hi").select("k", F.round(F.col("overlap").cast("double"), 4).alias("overlap"), "apart")
+
+
+@query("""WITH w AS (SELECT unnest([5, 7, 25]) AS width), c AS (SELECT width, p_partkey % width AS x, p_partkey // width AS y, p_size AS v FROM part, w),
+n AS (SELECT width, x - 1 AS x, y, v FROM c UNION ALL SELECT width, x, y - 1, v FROM c)
+SELECT c.width, count(*) AS pairs, round(avg(abs(c.v - n.v)), 6) AS score FROM c JOIN n ON c.width = n.width AND c.x = n.x AND c.y = n.y GROUP BY 1""")
+def layout_smoothness(spark: SparkSession, d: str) -> DataFrame:
+    """How smooth part sizes are when laid out in rows of several widths."""
+    s = P.layout_sweep(table(spark, d, "part"), "x", "y", "p_size", [5, 7, 25], "p_partkey")
+    return s.select("width", "pairs", F.round("score", 6).alias("score"))

@@ -150,3 +150,10 @@ def id_manifest(spark: SparkSession, d: str) -> DataFrame:
     from sheafwork.operators.search import manifest
 
     return manifest(table(spark, d, "documents").select(F.col("lang").alias("locale"), F.lit("doc").alias("kind"), F.col("doc_id").cast("string").alias("id")))
+
+
+@query("""SELECT CAST(-count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS INT) AS off FROM customer""")
+def unreconciled_planted(spark: SparkSession, d: str) -> DataFrame:
+    """Subtotals that lack a segment, against the grand total."""
+    t = A.totals_with_grand(table(spark, d, "customer"), "c_mktsegment", n=F.count("*")).where("c_mktsegment <> 'BUILDING'")
+    return A.unreconciled(t, "c_mktsegment", ["n"]).select(F.col("n").cast("int").alias("off"))

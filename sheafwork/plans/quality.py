@@ -124,3 +124,18 @@ def cell_fidelity(spark: SparkSession, d: str) -> DataFrame:
     raw = table(spark, d, "customer").select(F.lit("c").alias("kind"), F.col("c_custkey").cast("string").alias("id"), F.lit("seg").alias("path"), F.col("c_mktsegment").alias("value"))
     emitted = raw.withColumn("id", F.when(F.col("value") == "BUILDING", F.concat("id", F.lit("x"))).otherwise(F.col("id"))).withColumn("value", F.when(F.col("value") == "MACHINERY", "M").otherwise(F.col("value")))
     return Q.fidelity(raw, emitted).groupBy("class").agg(F.count("*").alias("n"))
+
+
+@query("""WITH u AS (SELECT DISTINCT p_partkey AS k FROM part WHERE p_partkey % 10 <> 3), h AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_partkey % 7 <> 2)
+SELECT k, 'missing' AS side, CAST(1 AS BIGINT) AS keys FROM u WHERE k NOT IN (SELECT k FROM h) UNION ALL SELECT k, 'extra', 1 FROM h WHERE k NOT IN (SELECT k FROM u)""")
+def universe_diff_planted(spark: SparkSession, d: str) -> DataFrame:
+    """universe_diff with keys taken away on both sides."""
+    u, h = table(spark, d, "part").select(F.col("p_partkey").alias("k")).where("k % 10 <> 3"), table(spark, d, "lineitem").select(F.col("l_partkey").alias("k")).where("k % 7 <> 2")
+    return Q.universe_diff(u, h, ["k"]).groupBy("k", "side").agg(F.count("*").alias("keys"))
+
+
+@query("""WITH c AS (SELECT lang, source FROM documents WHERE NOT (lang = 'de' AND source = 'src0')) SELECT lang, count(DISTINCT source) AS layers FROM c GROUP BY lang HAVING count(DISTINCT source) < (SELECT count(DISTINCT source) FROM c)""")
+def cell_layers_planted(spark: SparkSession, d: str) -> DataFrame:
+    """cell_layers with one language taken from one source."""
+    docs = table(spark, d, "documents").select("lang", "source").where("NOT (lang = 'de' AND source = 'src0')")
+    return Q.cells_on_all_layers(docs, ["lang"], "source")

@@ -224,3 +224,48 @@ def collected_children(spark: SparkSession, d: str) -> DataFrame:
     """One to many, collected in order."""
     j = table(spark, d, "customer").join(F.broadcast(table(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
     return j.groupBy("n_name").agg(F.count("*").alias("customers"), F.array_join(F.sort_array(F.collect_list("c_name")), ",").alias("names"))
+
+
+@query("""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z]+')) AS w FROM documents), s AS (SELECT doc_id, CASE WHEN length(w) > 6 THEN 'Part' ELSE 'Nation' END AS prefix, CAST(length(w) AS VARCHAR) AS to_id FROM t)
+SELECT CASE prefix WHEN 'Part' THEN 'part' ELSE 'nation' END AS to_kind, CASE WHEN k.id IS NOT NULL THEN 'true' ELSE 'false' END AS valid, count(*) AS refs
+FROM s LEFT JOIN (SELECT 'part' AS kind, CAST(p_partkey AS VARCHAR) AS id FROM part WHERE p_partkey > 8 UNION ALL SELECT 'nation', CAST(n_nationkey AS VARCHAR) FROM nation WHERE n_nationkey > 2) k ON k.kind = CASE prefix WHEN 'Part' THEN 'part' ELSE 'nation' END AND k.id = s.to_id GROUP BY ALL""")
+def script_token_references(spark: SparkSession, d: str) -> DataFrame:
+    """Tokens like Part.9 (made of each word's length) resolved by their prefix; some ends are taken away."""
+    docs = table(spark, d, "documents")
+    script = F.array_join(F.transform(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)), lambda w: F.concat(F.when(F.length(w) > 6, "Part.").otherwise("Nation."), F.length(w).cast("string"))), " ")
+    ids = table(spark, d, "part").where("p_partkey > 8").select(F.lit("part").alias("kind"), F.col("p_partkey").cast("string").alias("id"))
+    ids = ids.unionByName(table(spark, d, "nation").where("n_nationkey > 2").select(F.lit("nation").alias("kind"), F.col("n_nationkey").cast("string").alias("id")))
+    prefixes = spark.createDataFrame([("Part", "part"), ("Nation", "nation")], "prefix string, kind string")
+    found = R.token_references(docs.select("doc_id", script.alias("script")), "doc_id", "script", r"[A-Z][a-z]+\.\d+", prefixes, ids)
+    return found.groupBy("to_kind", F.col("valid").cast("string").alias("valid")).agg(F.count("*").alias("refs"))
+
+
+@query("""SELECT c_custkey, 'c_mktsegment' AS "column", c_mktsegment AS name FROM customer WHERE lower(trim(c_mktsegment)) IN ('building', 'none')""")
+def banned_name_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """Names that may not be published."""
+    banned = spark.createDataFrame([(" Building ",), ("none",)], "name string")
+    return R.banned_names(table(spark, d, "customer"), ["c_custkey"], ["c_mktsegment"], banned)
+
+
+@query("""SELECT o_orderkey AS id, CAST(f AS INT) AS field, n_name AS value FROM (SELECT o_orderkey, unnest([0, 1]) AS f, unnest([o_custkey % 30, o_orderkey % 30]) AS i FROM orders) LEFT JOIN nation ON n_nationkey = i""")
+def constant_materialisation(spark: SparkSession, d: str) -> DataFrame:
+    """Fields by their place in a pool that lacks the last places."""
+    o = table(spark, d, "orders").select("o_orderkey", F.array(F.col("o_custkey") % 30, F.col("o_orderkey") % 30).alias("fields"))
+    return R.constants_of(o, "o_orderkey", "fields", table(spark, d, "nation").select(F.col("n_nationkey").alias("index"), F.col("n_name").alias("value")))
+
+
+@query("""SELECT side, count(*) AS n FROM (SELECT CASE WHEN a.k IS NULL THEN 'right' WHEN b.k IS NULL THEN 'left' ELSE 'both' END AS side
+FROM (SELECT l_orderkey AS k, l_linenumber AS n FROM lineitem WHERE l_linenumber < 4) a FULL JOIN (SELECT l_orderkey AS k, l_linenumber AS n FROM lineitem WHERE l_quantity > 20) b ON a.k = b.k AND a.n = b.n) GROUP BY side""")
+def positional_alignment(spark: SparkSession, d: str) -> DataFrame:
+    """The n-th line of one plane beside the n-th of another."""
+    li = table(spark, d, "lineitem")
+    a, b = li.where("l_linenumber < 4").select("l_orderkey", "l_linenumber"), li.where("l_quantity > 20").select("l_orderkey", "l_linenumber", "l_quantity")
+    return R.aligned(a, b, ["l_orderkey"], "l_linenumber").groupBy("side").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT o_orderpriority, count(DISTINCT o_orderkey) AS entities, count(DISTINCT o_orderkey) FILTER (WHERE o_orderstatus = 'F') AS bridged, count(DISTINCT o_orderkey) FILTER (WHERE o_orderstatus = 'O') AS absent,
+  count(DISTINCT o_orderkey) - count(DISTINCT o_orderkey) FILTER (WHERE o_orderstatus = 'F') - count(DISTINCT o_orderkey) FILTER (WHERE o_orderstatus = 'O') AS off FROM orders GROUP BY 1""")
+def drift_reconciliation(spark: SparkSession, d: str) -> DataFrame:
+    """Entities that neither of two states accounts for."""
+    o = table(spark, d, "orders")
+    return R.drift(o, o.where("o_orderstatus = 'F'"), o.where("o_orderstatus = 'O'"), ["o_orderpriority"], "o_orderkey")

@@ -94,14 +94,21 @@ def consistency_gate(spark: SparkSession, d: str) -> DataFrame:
     return S.index_conflicts(av, ov).groupBy("class").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, round(least(2.5, 1.0 + greatest(0.0, l_quantity - 10) * 0.05), 6) AS factor, CAST(ceil(100.0 * power(l_linenumber, 1.5)) AS BIGINT) AS xp,
-  round(greatest(0.05, least(0.95, sqrt(greatest(0.0, l_discount)) + 0.1)), 6) AS odds, CASE WHEN l_tax <= 0 THEN 0.0 ELSE round(greatest(1.0, l_tax * 100 - 3), 6) END AS left_over FROM lineitem""")
+@query("""SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 + CASE WHEN l_linenumber = 7 THEN 0.2 ELSE power(greatest(l_quantity * 4.0 - 50, 0) / 120, 1.5) END), 6) AS local_price,
+  CAST(ceil(l_partkey * CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 1.25 END / 20) * 20 AS BIGINT) AS next_xp, round(greatest(0.2, least(2.0, power(l_quantity / 20.0, 0.7))), 6) AS xp_ratio,
+  round(100 + sqrt(greatest(0.0, least(1.0, (l_quantity / 50.0 - 0.1) / 0.4))) * -50, 6) AS capture_chance,
+  CAST(greatest(least(l_linenumber * 12 + l_quantity, 80) - ceil(least(l_linenumber * 12 + l_quantity, 80) * (l_partkey % 100) / 100) - CASE WHEN l_linestatus = 'F' THEN 50 ELSE 0 END, 0) AS BIGINT) AS guard_left,
+  CAST(10 + l_linenumber * 10 + CASE l_suppkey % 3 WHEN 1 THEN 20 WHEN 2 THEN 30 ELSE 0 END AS BIGINT) AS weapon_price, round((l_extendedprice * 2 + l_quantity * 3) / 1000 - 1, 6) AS craft_margin FROM lineitem""")
 def price_curves(spark: SparkSession, d: str) -> DataFrame:
-    """The documented curves over all lines."""
-    q = table(spark, d, "lineitem")
-    return q.select(
-        "l_orderkey", "l_linenumber", F.round(formulas.distance_price_factor(F.col("l_quantity"), 10, 0.05, 2.5), 6).alias("factor"), formulas.xp_for_level(F.col("l_linenumber"), 100.0, 1.5).alias("xp"),
-        F.round(formulas.capture_odds(F.col("l_discount"), F.lit(0.1), 0.05, 0.95), 6).alias("odds"), F.round(F.when(F.col("l_tax") <= 0, 0.0).otherwise(F.greatest(F.lit(1.0), F.col("l_tax") * 100 - 3)), 6).alias("left_over"),
+    """The rules over all lines, with their columns in the part of distance, level, health and guard."""
+    c, q = F.col, F.col("l_quantity").cast("double")
+    parts = F.array(F.struct(c("l_extendedprice").cast("double").alias("price"), F.lit(2).alias("count")), F.struct(q.alias("price"), F.lit(3).alias("count")))
+    return table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.round(formulas.local_price(c("l_extendedprice").cast("double"), F.when(c("l_linenumber") != 7, q * 4.0), 120, 1.5), 6).alias("local_price"),
+        formulas.next_level_xp(c("l_partkey"), F.when(c("l_returnflag") != "R", 1.25)).alias("next_xp"), F.round(formulas.xp_ratio(q / 20.0, 0.7), 6).alias("xp_ratio"),
+        F.round(formulas.capture_chance(q / 50.0, 0.1, 0.5, 100, 50), 6).alias("capture_chance"),
+        formulas.guard_left(c("l_linenumber") * 12, q, c("l_partkey") % 100, c("l_linestatus") == "F", 80, 50).alias("guard_left"),
+        formulas.weapon_price(c("l_linenumber"), c("l_suppkey") % 3).cast("bigint").alias("weapon_price"), F.round(formulas.craft_margin(parts, F.lit(1000.0)), 6).alias("craft_margin"),
     )
 
 
@@ -122,3 +129,27 @@ def human_sizes(spark: SparkSession, d: str) -> DataFrame:
 def adler_checksums(spark: SparkSession, d: str) -> DataFrame:
     """Adler-32 of every document; neither Spark nor DuckDB has it built in."""
     return table(spark, d, "documents").select("doc_id", D.adler32(F.encode("text", "utf-8")).alias("adler"))
+
+
+@query(r"""SELECT doc_id, CASE WHEN n_chars >= 1048576 THEN format('{:,.1f}', n_chars / 1048576.0) || ' MiB' WHEN n_chars >= 1024 THEN format('{:,.1f}', n_chars / 1024.0) || ' KiB' WHEN n_chars IS NOT NULL THEN CAST(n_chars AS VARCHAR) || ' B' END AS size
+FROM (SELECT doc_id, n_chars FROM documents UNION ALL SELECT -1 - doc_id, n_chars * 4096 FROM documents UNION ALL SELECT NULL, NULL)""")
+def human_sizes_all(spark: SparkSession, d: str) -> DataFrame:
+    """Sizes of all documents, of 4096 times as much, and of nothing."""
+    docs = table(spark, d, "documents").select("doc_id", "n_chars")
+    every = docs.unionByName(docs.select((-1 - F.col("doc_id")).alias("doc_id"), (F.col("n_chars") * 4096).alias("n_chars"))).unionByName(spark.range(1).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("bigint").alias("n_chars")))
+    return every.select("doc_id", T.human_size(F.col("n_chars")).alias("size"))
+
+
+@query(r"""WITH s AS (SELECT page_id, regexp_replace(html, '<!--.*?-->', '', 'gs') AS t FROM pages) SELECT page_id, CAST(unnest(regexp_extract_all(t, 'href="(/[A-Za-z]+)"', 1)) AS VARCHAR) AS target FROM s""")
+def uncommented_links(spark: SparkSession, d: str) -> DataFrame:
+    """Links outside comments."""
+    found = T.token_offsets(T.blank_spans(F.col("html"), "<!--.*?-->"), 'href="/[A-Za-z]+"')
+    return table(spark, d, "pages").select("page_id", F.explode(found).alias("x")).select("page_id", F.regexp_extract("x.token", '"(.*)"', 1).alias("target"))
+
+
+@query("""SELECT n_nationkey, replace('{count} in ' || n_name, '{count}', CAST(n_regionkey AS VARCHAR)) AS told, '/tiles/' || CAST(n_regionkey AS VARCHAR) || '/' || CAST(n_nationkey AS VARCHAR) || '/' || CAST(n_nationkey % 3 AS VARCHAR) || '.webp' AS url FROM nation""")
+def url_and_count_templates(spark: SparkSession, d: str) -> DataFrame:
+    """Templates filled in from columns."""
+    n = table(spark, d, "nation")
+    fill = {"z": F.col("n_regionkey"), "x": F.col("n_nationkey"), "y": F.col("n_nationkey") % 3}
+    return n.select("n_nationkey", T.filled(F.concat(F.lit("{count} in "), "n_name"), count=F.col("n_regionkey")).alias("told"), T.filled(F.lit("/tiles/{z}/{x}/{y}.webp"), **fill).alias("url"))

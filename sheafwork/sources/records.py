@@ -65,3 +65,33 @@ def rows_or_nothing(df: DataFrame, column: str) -> DataFrame:
     v = F.try_parse_json(column)
     arr = F.coalesce(F.try_variant_get(v, "$.rows", "array<variant>"), F.try_variant_get(v, "$", "array<variant>"))
     return df.select(F.explode(arr).alias("row")).select(F.to_json("row").alias("row"))
+
+
+def read_sheet_database(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(dictionary, lines, cases) of JSON documents {sheets: [{name, columns, lines}], customTypes: [{name, cases}]}: dictionary
+    (sheet, ord, name, type_str, opt, kind), lines (sheet, ord, row as JSON text), cases (type, ord, name).  A document is one
+    value of its file, so it has to fit a task; its sheets and lines are dealt out from there."""
+    doc = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("doc"))
+    sheet = doc.select(F.explode(F.try_variant_get("doc", "$.sheets", "array<variant>")).alias("s"))
+    name = F.try_variant_get("s", "$.name", "string").alias("sheet")
+    field = lambda v, p, t: F.try_variant_get(v, f"$.{p}", t)
+    columns = sheet.select(name, F.posexplode(F.try_variant_get("s", "$.columns", "array<variant>")).alias("ord", "c"))
+    dictionary = columns.select("sheet", "ord", field("c", "name", "string").alias("name"), field("c", "typeStr", "string").alias("type_str"), F.coalesce(field("c", "opt", "boolean"), F.lit(False)).alias("opt"), field("c", "kind", "string").alias("kind"))
+    lines = sheet.select(name, F.posexplode(F.try_variant_get("s", "$.lines", "array<variant>")).alias("ord", "l")).select("sheet", "ord", F.to_json("l").alias("row"))
+    types = doc.select(F.explode(F.try_variant_get("doc", "$.customTypes", "array<variant>")).alias("t"))
+    cases = types.select(F.try_variant_get("t", "$.name", "string").alias("type"), F.posexplode(F.try_variant_get("t", "$.cases", "array<variant>")).alias("ord", "c"))
+    return dictionary, lines, cases.select("type", "ord", field("c", "name", "string").alias("name"))
+
+
+def files_with_suffix(spark: SparkSession, folder: str, suffixes: list[str]) -> DataFrame:
+    """(path, length, content) of the files below a folder that end in one of the suffixes; other files are not opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*{" + ",".join(suffixes) + "}").load(folder)
+    return files.select("path", "length", "content")
+
+
+def terrain_index(files: DataFrame, roles: str = "hniw") -> DataFrame:
+    """(dir, tx, ty, one column of lengths for each role) from file paths ``<dir>/<tx>_<ty>_<role>.bin``; other names are left out."""
+    pattern = rf"([^/]*)/(-?\d+)_(-?\d+)_([{roles}])\.bin$"
+    part = lambda k: F.regexp_extract("path", pattern, k)
+    cut = files.where(F.col("path").rlike(pattern)).select(part(1).alias("dir"), part(2).cast("int").alias("tx"), part(3).cast("int").alias("ty"), part(4).alias("role"), "length")
+    return cut.groupBy("dir", "tx", "ty").agg(*[F.max(F.when(F.col("role") == r, F.col("length"))).alias(r) for r in roles])
