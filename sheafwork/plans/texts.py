@@ -131,7 +131,7 @@ def adler_checksums(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", D.adler32(F.encode("text", "utf-8")).alias("adler"))
 
 
-@query(r"""SELECT doc_id, CASE WHEN n_chars >= 1048576 THEN format('{:,.1f}', n_chars / 1048576.0) || ' MiB' WHEN n_chars >= 1024 THEN format('{:,.1f}', n_chars / 1024.0) || ' KiB' WHEN n_chars IS NOT NULL THEN CAST(n_chars AS VARCHAR) || ' B' END AS size
+@query(r"""SELECT doc_id, CASE WHEN n_chars >= 1073741824 THEN format('{:,.1f}', n_chars / 1073741824.0) || ' GiB' WHEN n_chars >= 1048576 THEN format('{:,.1f}', n_chars / 1048576.0) || ' MiB' WHEN n_chars >= 1024 THEN format('{:,.1f}', n_chars / 1024.0) || ' KiB' WHEN n_chars IS NOT NULL THEN CAST(n_chars AS VARCHAR) || ' B' END AS size
 FROM (SELECT doc_id, n_chars FROM documents UNION ALL SELECT -1 - doc_id, n_chars * 4096 FROM documents UNION ALL SELECT NULL, NULL)""")
 def human_sizes_all(spark: SparkSession, d: str) -> DataFrame:
     """Sizes of all documents, of 4096 times as much, and of nothing."""

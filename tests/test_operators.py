@@ -14,21 +14,34 @@ from sheafwork.functions.decode import adler32
 from sheafwork.functions.text import direction_cell, escape_pooled, normalize_name, parse_direction_cell, unescape_entities, unescape_pooled
 from sheafwork.operators import aggregates, graph, ordinals, quality, relations, search, spatial, walk
 
-# Golden vectors of the search form.
+# Code points whose search form has to be just this.
 NORMAL = [
-    ("Ёж", "еж"), ("Épée", "epee"), ("Włóczęga", "wloczega"), ("Łódź", "lodz"), ("<b>X</b>", "x"), ("<item>OilBrave</item> Concentrate", "oilbrave concentrate"),
-    ("Leiche von [NAME]", "leiche von"), ("[Guard]X", "x"), ("<bad>::value::</bad> X", "x"), ("한국", "한국"),
-    ("ㅎㅏㄴㄱㅜㄱ", "하ᄂ구ᄀ"), ("长剑", "长剑"), ("ＸＹ", "xy"), ("A   B\tC", "a b c"), ("ß Straße", "ß straße"),
+    ("Ёж", "еж"), ("Épée", "epee"), ("Włóczęga", "wloczega"), ("Łódź", "lodz"), ("한국", "\u1112\u1161\u11ab\u1100\u116e\u11a8"), ("ㅎㅏㄴㄱㅜㄱ", "\u1112\u1161\u1102\u1100\u116e\u1100"), ("长剑", "长剑"), ("ＸＹ", "xy"), ("ß Straße", "ß straße"),
+    # marks, brackets and white space, in our own words
+    ("<i>Anchor</i>", "anchor"), ("<u>Tar</u> and Rope", "tar and rope"), ("Letter to [PORT]", "letter to"), ("[Mate]Oar", "oar"), ("<x>::hook::</x> Oar", "oar"), ("Deck   on\tDeck", "deck on deck"),
 ]
 ROWS = [
-    ("item", "i-iron", "Iron Sword"), ("skill", "s-m", "Sword"), ("item", "i-z", "Sword"), ("class", "c-a", "Sword"), ("item", "i-pass", "Password"), ("item", "i-fish", "Swordfish"), ("item", "i-sworn", "Sworn"),
-    ("item", "i-ezh", "Ёж"), ("class", "c-epee", "Épée"), ("skill", "s-han", "한국"), ("item", "i-zh", "巨兽长剑"), ("item", "i-oil", "<item>OilBrave</item> Concentrate"), ("skill", "s-count", "Uncounted Count"),
+    ("ship", "h-1", "Sea Otter"), ("crew", "w-1", "Otter"), ("ship", "h-2", "Otter"), ("port", "p-1", "Otter"), ("ship", "h-3", "Lotterie"), ("ship", "h-4", "Otterfell"), ("ship", "h-5", "Ottos"), ("ship", "h-6", "Ёлка"),
+    ("port", "p-2", "Évora"), ("crew", "w-2", "부산"), ("ship", "h-7", "黄金海岸"), ("ship", "h-8", "<u>TarBarrel</u> Lantern"), ("crew", "w-3", "Remount Mount"), ("odd", "o-1", "Otter"),
 ]
-HITS = {
-    "sword": [("i-z", 1), ("s-m", 1), ("c-a", 1), ("i-fish", 2), ("i-iron", 2), ("i-pass", 3)], "ЁЖ": [("i-ezh", 1)], "epe": [("c-epee", 2)], "ㅎㅏ": [("s-han", 2)],
-    "swor": [("i-sworn", 2), ("i-z", 2), ("s-m", 2), ("c-a", 2), ("i-fish", 2), ("i-iron", 2), ("i-pass", 3)], "长剑": [("i-zh", 3)], "巨兽长剑": [("i-zh", 1)],
-    "concentrate": [("i-oil", 2)], "brave": [("i-oil", 3)], "count": [("s-count", 2)], "": [], " a ": [], "剑": [],
-}
+QUERIES = ["otter", "ott", "ЁЛ", "evo", "부산", "海岸", "黄金海岸", "lantern", "barrel", "mount", "", " a ", "金", "nothing"]
+
+
+def expected_hits(query):
+    """The rule, by plain Python over search forms: exact, at a word's begin, anywhere; then length, kind, id."""
+    q, kinds = plain_form(query), ["ship", "crew", "port"]
+    hits = []
+    for kind, id_, name in ROWS:
+        n = plain_form(name)
+        if len(q) >= 2 and q in n:
+            tier = 1 if n == q else 2 if any(n.startswith(q, i) and (i == 0 or n[i - 1] == " ") for i in range(len(n))) else 3
+            hits.append((tier, len(n), kinds.index(kind) if kind in kinds else len(kinds), id_))
+    return [(id_, tier) for tier, *_, id_ in sorted(hits)]
+
+
+def plain_form(text):
+    text = re.sub(r"<[^>]*>|\[[^\]]*\]|::[A-Za-z0-9_]+::", " ", text)
+    return " ".join("".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).lower().replace("ł", "l").split())
 
 
 def test_search_form(spark):
@@ -67,8 +80,9 @@ def test_sizes_and_forms_of_all_rows(spark, tmp_path):
 @pytest.mark.parametrize("turn", [0, 7])
 def test_search_ranking(spark, turn):
     rows = spark.createDataFrame(ROWS[turn:] + ROWS[:turn], "kind string, id string, name string").withColumn("n", normalize_name(F.col("name"))).cache()
-    for q, want in HITS.items():
-        assert [(r["id"], r["tier"]) for r in search.search(rows, q, ["item", "skill", "class"], "n").collect()] == want, q
+    for q in QUERIES:
+        assert [(r["id"], r["tier"]) for r in search.search(rows, q, ["ship", "crew", "port"], "n").collect()] == expected_hits(q), q
+    assert expected_hits("otter")[:3] == [("h-2", 1), ("w-1", 1), ("p-1", 1)] and expected_hits("mount") == [("w-3", 2)]
 
 
 def test_index_conflicts_and_strays(spark):
