@@ -1,10 +1,13 @@
 """Graphs: frontier loops, chains of parents, taxonomies, control flow.
 
-Loops run on the driver over DataFrames; each round is written with checkpoint() when the session has a checkpoint folder,
-else persisted, so that a round's plan does not hold all rounds before it."""
+Loops run on the driver over DataFrames; each round is written with checkpoint(), so that a round's plan does not hold all rounds
+before it."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 from collections.abc import Sequence
 from functools import reduce
 
@@ -14,15 +17,36 @@ from pyspark.sql import functions as F
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
+    """df by checkpoint(), in ``spark.checkpoint.dir``; where that is unset (tests, one machine) in a temporary folder that goes
+    when the driver ends."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        return df.persist()
     if spark.sparkContext.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            folder = tempfile.mkdtemp(prefix="sheafwork-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
 
 
+def in_ranges(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], part: str = "_part") -> DataFrame:
+    """df dealt into even ranges of (by, order), each row with its range's number: a group that is too large for one task lies in
+    several ranges, one after the other.  Written once, as bounds drawn anew would not be the same."""
+    return cut_lineage(df.repartitionByRange(*by, *order).withColumn(part, F.spark_partition_id()))
+
+
+def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], out: str) -> DataFrame:
+    """0, 1, ... within each group (or over all rows, if by is empty) in two passes: places within a range of in_ranges, and how many
+    rows the ranges before have.  No task sorts a whole group."""
+    ranged = in_ranges(df, by, order)
+    here = ranged.groupBy(*by, "_part").agg(F.count("*").alias("_n"))  # a row for each range and group
+    before = F.sum("_n").over(Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = here.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_part").alias("_at"), F.coalesce(before, F.lit(0)).alias("_before"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by], F.col("_part") == F.col("_at"))
+    place = F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order)) - 1
+    return ranged.join(starts, same).withColumn(out, (F.col("_before") + place).cast("bigint")).drop("_part", "_at", "_before", *[f"_by_{c}" for c in by])
+
+
 def distances(nodes: DataFrame, edges: DataFrame, sources: DataFrame, most: int = 1000) -> DataFrame:
     """(node, distance) by edges (a, b) in their direction from the nearest source; nodes out of reach are left out.
     Raises after ``most`` rounds."""

@@ -32,7 +32,7 @@ def structural_cells(ids: DataFrame, leaves: DataFrame, sheet_of: DataFrame, pat
     hit = F.lit(False)
     for p in patterns:
         hit = hit | F.col("path").rlike(p)
-    named = ids.join(F.broadcast(sheet_of), "kind").select("kind", "id", "sheet", F.col("id").alias("row"))
+    named = ids.join(sheet_of, "kind").select("kind", "id", "sheet", F.col("id").alias("row"))
     return named.join(leaves.where(hit), ["sheet", "row"]).select("kind", "id", "locale", "path", F.col("value").alias("text"), F.when(F.coalesce("value", F.lit("")) == "", "empty").otherwise("ok").alias("state"))
 
 
@@ -57,7 +57,7 @@ def trimodal_breaks(availability: DataFrame, locales: Sequence[str], exceptions:
     """Entities whose locales are neither none, all, nor a listed exception (kind, id)."""
     whole = F.array(*map(F.lit, sorted(locales)))
     off = availability.where((F.size("available") > 0) & (F.size(F.array_except(whole, F.col("available"))) > 0))
-    return off if exceptions is None else off.join(F.broadcast(exceptions), ["kind", "id"], "left_anti")
+    return off if exceptions is None else off.join(exceptions, ["kind", "id"], "left_anti")
 
 
 def with_stamp(inventory: DataFrame, build_id: str) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sheafwork.operators.graph import numbered
+
 
 def variant_ordinals(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], out: str = "variant") -> DataFrame:
     """1, 2, ... within each group: which re-declaration of an id, or which placement of a target, a row is."""
@@ -19,9 +21,9 @@ def occurrence_index(df: DataFrame, by: Sequence[str], order: Sequence[Column |
 
 
 def synthetic_ids(df: DataFrame, kind: str, order: Sequence[Column | str], by: Sequence[str] = (), width: int = 4, out: str = "id") -> DataFrame:
-    """``<kind>-0000``, ... for rows without ids.  Without ``by`` this is one global order, meant for small sheets."""
-    n = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
-    return df.withColumn(out, F.concat(F.lit(f"{kind}-"), F.lpad(n.cast("string"), width, "0")))
+    """``<kind>-0000``, ... for rows without ids, within each group of ``by`` or over all rows; longer numbers stay whole."""
+    n = F.col("_place").cast("string")
+    return numbered(df, by, order, "_place").withColumn(out, F.concat(F.lit(f"{kind}-"), F.lpad(n, F.greatest(F.length(n), F.lit(width)), F.lit("0")))).drop("_place")
 
 
 def repeated_ids(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -49,16 +51,16 @@ def stratified_sample(df: DataFrame, by: Sequence[str], key: str, each: int, tot
     """``each`` rows of every stratum, then, up to ``total``, rows of all strata by the seeded hash."""
     h = seeded(F.col(key), seed)
     ranked = df.withColumn("_in", F.row_number().over(Window.partitionBy(*by).orderBy(h, key))).withColumn("_h", h)
-    first = ranked.where(F.col("_in") <= each)
+    # No stratum gives more than total rows, so that the rank is planned with a group limit below the shuffle.
+    ranked = ranked.where(F.col("_in") <= (each if total is None else max(each, total)))
     if total is None:
-        return first.drop("_in", "_h")
+        return ranked.drop("_in", "_h")
     return ranked.orderBy((F.col("_in") > each).cast("int"), "_h", key).limit(total).drop("_in", "_h")
 
 
 def every_nth(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], step: int) -> DataFrame:
     """Rows 0, step, 2 * step, ... of each group."""
-    n = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
-    return df.withColumn("_n", n).where(F.col("_n") % step == 0).drop("_n")
+    return numbered(df, by, order, "_n").where(F.col("_n") % step == 0).drop("_n")
 
 
 def prefix_sums(cells: DataFrame, row: str, col: str, value: str, out: str = "total") -> DataFrame:
@@ -84,4 +86,4 @@ def shared_budget(hits: DataFrame, group_rank: Column, order: Sequence[Column |
     totals = hits.groupBy("kind").agg(F.count("*").alias("kind_total"))
     place = F.row_number().over(Window.orderBy(group_rank, *order))
     cut = hits.orderBy(group_rank, *order).limit(budget)  # so the global order is over the budget's rows only
-    return cut.withColumn("position", place.cast("bigint")).join(F.broadcast(totals), "kind")
+    return cut.withColumn("position", place.cast("bigint")).join(totals, "kind")

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sheafwork.operators.graph import in_ranges
+
 
 def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows that one side has more often, with how much more: side ``missing`` (right lacks) or ``over`` (right has more).
@@ -65,9 +68,17 @@ def cells_on_all_layers(df: DataFrame, cell: Sequence[str], layer: str) -> DataF
 def contiguity(extents: DataFrame, pos: str, size: str, by: Sequence[str] = ()) -> DataFrame:
     """Extents that don't begin where the one before ends: ``gap`` or ``overlap`` and by how much.
 
-    Give ``by`` (say, the file) on large tables: each group is sorted by one task."""
-    w = Window.partitionBy(*by).orderBy(pos, size)
-    ends = extents.withColumn("_end", F.lag(F.col(pos) + F.col(size)).over(w)).where("_end IS NOT NULL")
+    Extents are compared within even ranges, and the first of a range with the last of the range before, so a group (say, a file)
+    may have any number of them."""
+    end = F.col(pos) + F.col(size)
+    ranged = in_ranges(extents.select(*by, pos, size), by, [pos, size])
+    w = Window.partitionBy(*by, "_part").orderBy(pos, size)
+    last = ranged.groupBy(*by, "_part").agg(F.max_by(end, F.struct(pos, size)).alias("_last"))  # a row for each range and group
+    before = F.lag("_last").over(Window.partitionBy(*by).orderBy("_part"))
+    starts = last.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_part").alias("_at"), before.alias("_before"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by], F.col("_part") == F.col("_at"))
+    first = F.row_number().over(w) == 1
+    ends = ranged.join(starts, same).withColumn("_end", F.when(first, F.col("_before")).otherwise(F.lag(end).over(w))).where("_end IS NOT NULL")
     off = (F.col(pos) - F.col("_end")).alias("delta")
     return ends.where(F.col("_end") != F.col(pos)).select(*by, pos, size, F.when(F.col("_end") < F.col(pos), "gap").otherwise("overlap").alias("class"), off)
 

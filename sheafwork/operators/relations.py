@@ -3,6 +3,9 @@
 An edge is (from_kind, to_kind, from_id, to_id, column, mechanism, valid).  ``valid`` is true for a reference that its
 target has, false for a dangling one, and null where the target has no rows at all, so that nothing can be said; null is
 never folded into false.
+
+Dimensions that callers give (carriers, pins, prefixes, ledgers) are joined without a hint: Spark broadcasts them by their measured
+size.  Hints stand only where rows are bounded by the number of kinds.
 """
 
 from __future__ import annotations
@@ -82,7 +85,7 @@ def reference_catalog(refs: DataFrame, ids: DataFrame) -> DataFrame:
     text = lambda c: F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_set(c)))), ",")
     a = sums.groupBy(*pair).agg(F.sum("n").alias("edges"), F.count("*").alias("to_ids"), text("columns").alias("join_keys"), text("mechanisms").alias("mechanisms"), F.sum("t").alias("valid_true"), F.sum("f").alias("valid_false"), F.sum("u").alias("valid_null"))
     b = refs.select(*pair, "from_id").distinct().groupBy(*pair).agg(F.count("*").alias("from_ids"))
-    out = a.join(F.broadcast(b), pair).withColumn("cardinality", cardinality(F.col("edges"), F.col("from_ids"), F.col("to_ids")))
+    out = a.join(b, pair).withColumn("cardinality", cardinality(F.col("edges"), F.col("from_ids"), F.col("to_ids")))
     return out.select(*pair, "edges", "from_ids", "to_ids", "join_keys", "mechanisms", "valid_true", "valid_false", "valid_null", "cardinality")
 
 
@@ -97,9 +100,9 @@ def direction_ladder(kinds: DataFrame, catalog: DataFrame, ledger: DataFrame | N
     """Every direction with its status: modeled (has edges, none dangling), partial (has edges, some dangling), ledgered
     (no edges, but a reason), missing.  unblock says what would lift it."""
     d = all_directions(kinds).withColumns({"from_kind": F.when(F.col("side") == "ab", F.col("a")).otherwise(F.col("b")), "to_kind": F.when(F.col("side") == "ab", F.col("b")).otherwise(F.col("a"))})
-    d = d.join(F.broadcast(catalog), ["from_kind", "to_kind"], "left")
+    d = d.join(catalog, ["from_kind", "to_kind"], "left")
     if ledger is not None:
-        d = d.join(F.broadcast(ledger.select("from_kind", "to_kind", "reason")), ["from_kind", "to_kind"], "left")
+        d = d.join(ledger.select("from_kind", "to_kind", "reason"), ["from_kind", "to_kind"], "left")
     else:
         d = d.withColumn("reason", F.lit(None).cast("string"))
     status = F.when(F.col("edges").isNull(), F.when(F.col("reason").isNotNull(), "ledgered").otherwise("missing")).when(F.col("valid_false") > 0, "partial").otherwise("modeled")
@@ -119,7 +122,7 @@ def carrier_edges(cells: DataFrame, carriers: DataFrame, ids: DataFrame) -> tupl
     """Edges of all declared carriers in one join, and the values that no target has.
 
     cells (kind, id, path, norm_path, value), carriers (kind, norm_path, target, method), ids (kind, id)."""
-    typed = cells.join(F.broadcast(carriers), ["kind", "norm_path"]).where("value IS NOT NULL AND value <> ''")
+    typed = cells.join(carriers, ["kind", "norm_path"]).where("value IS NOT NULL AND value <> ''")
     known = ids.select(F.col("kind").alias("target"), F.col("id").cast("string").alias("value")).distinct()
     hit = typed.join(known, ["target", "value"])
     edges = first_k(hit, ["kind", "id", "target", "value", "method"], [F.col("path")], 3, "path")
@@ -131,7 +134,7 @@ def residual_values(cells: DataFrame, ids: DataFrame, pinned: DataFrame | None =
     """Directions that exact values suggest beyond the declared ones: one equi join of all values with all ids, whatever the
     kinds, without pinned (kind, norm_path) paths and references of a kind to itself."""
     if pinned is not None:
-        cells = cells.join(F.broadcast(pinned.select("kind", "norm_path").distinct()), ["kind", "norm_path"], "left_anti")
+        cells = cells.join(pinned.select("kind", "norm_path").distinct(), ["kind", "norm_path"], "left_anti")
     known = ids.select(F.col("kind").alias("target"), F.col("id").cast("string").alias("value")).distinct()
     hit = cells.where("value IS NOT NULL").join(known, "value").where("kind <> target")
     by_path = hit.groupBy("kind", "target", "norm_path").agg(F.count("*").alias("hits"), F.count_distinct("value").alias("values"))
@@ -143,7 +146,7 @@ def token_references(texts: DataFrame, id_: str, text: str, pattern: str, prefix
     """References like ``Prefix.Name`` in scripts: the prefix picks the target kind.  prefixes (prefix, kind)."""
     found = texts.select(F.col(id_).alias("from_id"), F.explode(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("token"))
     cut = found.select("from_id", F.substring_index("token", ".", 1).alias("prefix"), F.substring_index("token", ".", -1).alias("to_id"))
-    return resolve(cut.join(F.broadcast(prefixes), "prefix").select("from_id", F.col("kind").alias("to_kind"), "to_id"), ids)
+    return resolve(cut.join(prefixes, "prefix").select("from_id", F.col("kind").alias("to_kind"), "to_id"), ids)
 
 
 def substring_matches(rows: DataFrame, text: str, tokens: DataFrame, token: str, most_tokens: int = 10_000) -> DataFrame:

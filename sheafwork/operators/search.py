@@ -18,6 +18,8 @@ from sheafwork.operators.ordinals import shared_budget
 from sheafwork.operators.quality import reconcile
 
 LEAST_QUERY = 2
+#: Queries that search_all broadcasts at most.
+FEW_QUERIES = 10_000
 #: Characters of ids in a piece of a manifest.
 PIECE = 1 << 14
 
@@ -45,9 +47,16 @@ def search(rows: DataFrame, query: str, kinds: Sequence[str], normalized: str |
 
 
 def search_all(rows: DataFrame, queries: DataFrame, kinds: Sequence[str], k: int) -> DataFrame:
-    """The first k hits of every query (q, normalised) in rows (kind, id, norm).  The set of queries is broadcast, so keep
-    it to thousands; each row is read once."""
-    hits = rows.join(F.broadcast(queries), F.contains("norm", "q")).withColumn("tier", tier(F.col("norm"), F.col("q"))).where("tier IS NOT NULL")
+    """The first k hits of every query (q, normalised) in rows (kind, id, norm).  Up to FEW_QUERIES queries are broadcast and each
+    row is read once; more are joined by their first LEAST_QUERY letters, which every query has."""
+    if queries.limit(FEW_QUERIES + 1).count() <= FEW_QUERIES:
+        met = rows.join(F.broadcast(queries), F.contains("norm", "q"))
+    else:
+        n = F.length("norm") - LEAST_QUERY + 1
+        begin = F.explode(F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.substring("norm", i, LEAST_QUERY))))).alias("_begin")
+        by_begin = queries.where(F.length("q") >= LEAST_QUERY).withColumn("_begin", F.left("q", F.lit(LEAST_QUERY)))
+        met = rows.select("*", begin).join(by_begin, "_begin").where(F.contains("norm", "q")).drop("_begin")
+    hits = met.withColumn("tier", tier(F.col("norm"), F.col("q"))).where("tier IS NOT NULL")
     return rank_hits(hits, kinds, ["q"]).where(F.col("rank") <= k)
 
 

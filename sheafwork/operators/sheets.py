@@ -17,7 +17,7 @@ from sheafwork.operators.walk import walk_json
 def identified(dictionary: DataFrame, lines: DataFrame) -> DataFrame:
     """Lines with their id: the column of code 0, or ``<sheet>-NNNN`` where the sheet has none."""
     keys = dictionary.where(type_code(F.col("type_str")) == "0").groupBy("sheet").agg(F.min("name").alias("_id_col"))
-    at = lines.join(F.broadcast(keys), "sheet", "left")
+    at = lines.join(keys, "sheet", "left")
     own = at.where("_id_col IS NOT NULL").withColumn("id", F.expr("get_json_object(row, concat('$.', _id_col))"))
     made = synthetic_ids(at.where("_id_col IS NULL"), "", ["ord"], by=["sheet"]).withColumn("id", F.concat("sheet", "id"))
     return own.unionByName(made).drop("_id_col")
@@ -31,7 +31,7 @@ def declared_cells(dictionary: DataFrame, lines: DataFrame, depth: int = 6) -> D
     above = F.regexp_replace(bare, r"\.?[^.]*$", "")
     schema = F.when(above == "", F.col("sheet")).otherwise(F.concat(F.col("sheet"), F.lit("@"), F.regexp_replace(above, r"\.", "@")))
     d = dictionary.select(F.col("sheet").alias("schema"), F.col("name").alias("column"), type_code(F.col("type_str")).alias("code"), type_param(F.col("type_str")).alias("param"), F.col("kind").alias("column_kind"))
-    return cells.withColumns({"schema": schema, "column": F.regexp_replace(bare, r"^.*\.", "")}).join(F.broadcast(d), ["schema", "column"], "left")
+    return cells.withColumns({"schema": schema, "column": F.regexp_replace(bare, r"^.*\.", "")}).join(d, ["schema", "column"], "left")
 
 
 def undeclared(cells: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ def sheet_edges(dictionary: DataFrame, lines: DataFrame, kind_of: DataFrame | No
         return out
     for side in ("from_kind", "to_kind"):
         names = kind_of.select(F.col("sheet").alias(side), F.col("kind").alias("_kind"))
-        out = out.join(F.broadcast(names), side, "left").withColumn(side, F.coalesce("_kind", side)).drop("_kind")
+        out = out.join(names, side, "left").withColumn(side, F.coalesce("_kind", side)).drop("_kind")
     return out.select(*EDGE)
 
 

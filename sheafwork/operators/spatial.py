@@ -37,9 +37,11 @@ def within(x: Column, y: Column, box: Sequence[float]) -> Column:
 
 
 def grid_holes(cells: DataFrame, x: str, y: str) -> DataFrame:
-    """Cells of the bounding box that are not there.  The box is one row; its grid is built by explode, not by a cross join."""
+    """Cells of the bounding box that are not there.  The box is one row; its columns are exploded, dealt out, and exploded again, so
+    that no task builds the whole grid."""
     box = cells.agg(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1")).where("x0 IS NOT NULL")
-    grid = box.select(F.explode(F.sequence("x0", "x1")).alias(x), "y0", "y1").select(x, F.explode(F.sequence("y0", "y1")).alias(y))
+    columns = box.select(F.explode(F.sequence("x0", "x1")).alias(x), "y0", "y1").repartition(x)
+    grid = columns.select(x, F.explode(F.sequence("y0", "y1")).alias(y))
     return grid.join(cells.select(x, y).distinct(), [x, y], "left_anti")
 
 
@@ -152,18 +154,23 @@ def frame(chain: Column) -> Column:
 
 
 def mosaic(tiles: DataFrame, size: int, by: str = "layer") -> DataFrame:
-    """(layer, x0, y0, width, height, data, holes): the tiles (layer, x, y, data: size * size bytes) of each layer as one
-    raster over their bounding box, zero where no tile is.  One row a layer; meant for overview layers."""
-
-    def paint(pdf: pd.DataFrame) -> pd.DataFrame:
-        x0, y0 = int(pdf.x.min()), int(pdf.y.min())
-        w, h = int(pdf.x.max()) - x0 + 1, int(pdf.y.max()) - y0 + 1
-        out = np.zeros((h * size, w * size), np.uint8)
-        for x, y, data in zip(pdf.x, pdf.y, pdf.data):
-            out[(y - y0) * size : (y - y0 + 1) * size, (x - x0) * size : (x - x0 + 1) * size] = np.frombuffer(data, np.uint8).reshape(size, size)
-        return pd.DataFrame({by: [pdf[by].iloc[0]], "x0": [x0], "y0": [y0], "width": [w * size], "height": [h * size], "data": [out.tobytes()], "holes": [w * h - len(pdf[["x", "y"]].drop_duplicates())]})
-
-    return tiles.groupBy(by).applyInPandas(paint, f"{by} string, x0 bigint, y0 bigint, width bigint, height bigint, data binary, holes bigint")
+    """(layer, x0, y0, width, height, holes): the frame of each layer's tiles (layer, x, y, ...), in pixels but for its corner."""
+    at = tiles.groupBy(by, "x", "y").agg(F.lit(1).alias("_one"))
+    box = at.groupBy(by).agg(F.min("x").alias("x0"), F.min("y").alias("y0"), (F.max("x") - F.min("x") + 1).alias("_w"), (F.max("y") - F.min("y") + 1).alias("_h"), F.count("*").alias("_n"))
+    return box.select(by, "x0", "y0", (F.col("_w") * size).alias("width"), (F.col("_h") * size).alias("height"), (F.col("_w") * F.col("_h") - F.col("_n")).alias("holes"))
+
+
+def mosaic_rows(tiles: DataFrame, size: int, by: str = "layer") -> DataFrame:
+    """(layer, row, data): the pixel rows of the raster that each layer's tiles (layer, x, y, data: size * size bytes) make over
+    their frame, zero where no tile is.  A row of pixels is the largest group; a row of tiles that lacks all of them has no rows.
+    Of tiles at one place, that with the largest data is shown."""
+    one = tiles.groupBy(by, "x", "y").agg(F.max("data").alias("data"))
+    lines = one.select(by, "x", "y", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda k: F.substring("data", k * size + 1, size))).alias("_k", "_part"))
+    frame_of = mosaic(tiles, size, by).select(F.col(by).alias("_by"), "x0", "y0", "width")
+    placed = lines.join(frame_of, F.col(by).eqNullSafe(F.col("_by"))).select(by, ((F.col("y") - F.col("y0")) * size + F.col("_k")).alias("row"), (F.col("x") - F.col("x0")).alias("_x"), "_part", (F.col("width") / size).cast("int").alias("_tiles"))
+    row = placed.groupBy(by, "row").agg(F.map_from_entries(F.collect_list(F.struct("_x", "_part"))).alias("_parts"), F.first("_tiles").alias("_tiles"))
+    pieces = F.transform(F.sequence(F.lit(0), F.col("_tiles") - 1), lambda i: F.hex(F.coalesce(F.try_element_at("_parts", i.cast("bigint")), F.lit(bytes(size)))))
+    return row.select(by, "row", F.unhex(F.array_join(pieces, "")).alias("data"))
 
 
 def square_side(n_bytes: Column, width: int) -> Column:

@@ -167,7 +167,7 @@ def path_rendering(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT * FROM (VALUES ('l', CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(4 AS BIGINT), CAST(4 AS BIGINT), CAST(2 AS BIGINT))) t(layer, x0, y0, width, height, holes)")
 def mosaic_layout(spark: SparkSession, d: str) -> DataFrame:
     tiles = spark.createDataFrame([("l", 0, 0, bytearray(b"\x01" * 4)), ("l", 1, 1, bytearray(b"\x02" * 4))], "layer string, x bigint, y bigint, data binary")
-    return spatial.mosaic(tiles, 2).drop("data")
+    return spatial.mosaic(tiles, 2)
 
 
 @query("SELECT * FROM (VALUES ('item', 'guild', CAST(2 AS BIGINT), CAST(2 AS BIGINT), CAST(2 AS BIGINT), '1:1'), ('item', 'item', 2, 1, 2, '1:many'), ('item', 'place', 1, 1, 1, '1:1')) t(from_kind, to_kind, edges, from_ids, to_ids, cardinality)")

@@ -46,10 +46,13 @@ def content_sniff(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", D.sniff(F.encode("html", "utf-8")).alias("token"))
 
 
-@query(r"""SELECT item_id, trim(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace(text, '<[^>]*>', ' ', 'g'), '\[[^\]]*\]', ' ', 'g'), '::[A-Za-z0-9_]+::', ' ', 'g')), '\s+', ' ', 'g')) AS norm FROM benchmark WHERE regexp_full_match(text, '[\x00-\x7F]*')""")
+_NORM_SQL = r"trim(regexp_replace(replace(lower(strip_accents(regexp_replace(regexp_replace(regexp_replace(text, '<[^>]*>', ' ', 'g'), '\[[^\]]*\]', ' ', 'g'), '::[A-Za-z0-9_]+::', ' ', 'g'))), 'ł', 'l'), '[\s\x{0b}\x{85}\x{a0}\x{2000}-\x{200a}\x{3000}]+', ' ', 'g'))"
+
+
+@query(f"SELECT item_id, {_NORM_SQL} AS norm FROM benchmark")
 def normalize_text(spark: SparkSession, d: str) -> DataFrame:
-    """The search form of all-ASCII benchmark texts, where decomposition changes nothing and SQL can follow."""
-    return table(spark, d, "benchmark").where(F.col("text").rlike(r"\A[\x00-\x7F]*\z")).select("item_id", T.normalize_name(F.col("text")).alias("norm"))
+    """The search form of all benchmark texts.  The SQL strips marks of letters, which is all that these texts have to decompose."""
+    return table(spark, d, "benchmark").select("item_id", T.normalize_name(F.col("text")).alias("norm"))
 
 
 @query()

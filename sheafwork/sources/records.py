@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -49,8 +49,9 @@ def read_opcodes(spark: SparkSession, path: str, partitions: int) -> DataFrame:
 def matching_lines(spark: SparkSession, path: str, pattern: str, most: int = 3) -> DataFrame:
     """(file, lines): the numbers of the first matching lines of each text file."""
     lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\n")).alias("n", "line"))
-    hit = lines.where(F.col("line").rlike(pattern)).groupBy("file").agg(F.slice(F.sort_array(F.collect_list(F.col("n") + 1)), 1, most).alias("lines"))
-    return hit
+    first = F.row_number().over(Window.partitionBy("file").orderBy("n"))  # a group limit below the shuffle
+    hit = lines.where(F.col("line").rlike(pattern)).select("file", "n").withColumn("_rn", first).where(F.col("_rn") <= most)
+    return hit.groupBy("file").agg(F.sort_array(F.collect_list(F.col("n") + 1)).alias("lines"))
 
 
 def defaults_block(spark: SparkSession, path: str, begin: str, end: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sheafwork.functions import formulas
 from sheafwork.functions import text as T
-from sheafwork.operators import relations, spatial, walk
+from sheafwork.operators import graph, ordinals, quality, relations, search, spatial, walk
 from sheafwork.sources import records
 
 
@@ -82,3 +82,58 @@ def test_rules_by_hand(spark):
     assert [value(formulas.capture_chance(lit(h), 0.1, 0.5, 100, 50)) for h in (0.0, 0.1, 0.2, 0.5, 0.9)] == [100.0, 100.0, 75.0, 50.0, 50.0]
     assert value(formulas.guard_left(lit(70), lit(30), lit(25), lit(False), 80, 50)) == 60 and value(formulas.guard_left(lit(70), lit(30), lit(25), lit(True), 80, 50)) == 10
     assert [value(formulas.weapon_price(lit(3), lit(r))) for r in (0, 1, 2)] == [40, 60, 70]
+
+
+def test_numbers_across_ranges(spark):
+    rows = [(g, i * 7 % 501) for g in ("hot",) for i in range(500)] + [("cold", 3), (None, 2), (None, 1)]
+    got = graph.numbered(spark.createDataFrame(rows, "g string, v int").repartition(7), ["g"], ["v"], "n").collect()
+    want: dict = {}
+    for g, v in sorted(rows, key=lambda r: (r[0] or "", r[1])):
+        want[g, v] = sum(h == g for h, _ in want)
+    assert {(r["g"], r["v"]): r["n"] for r in got} == want
+    assert graph.numbered(spark.createDataFrame([], "g string, v int"), ["g"], ["v"], "n").count() == 0
+    ids = ordinals.synthetic_ids(spark.range(12).withColumnRenamed("id", "v"), "k", ["v"], width=1).orderBy("v").collect()
+    assert [r["id"] for r in ids] == [f"k-{i}" for i in range(12)]
+
+
+def test_extents_of_one_long_file(spark):
+    extents, at, faults = [], 0, []
+    for i in range(400):
+        shift = {50: 3, 51: -1, 250: 2}.get(i, 0)
+        if shift:
+            faults.append(("gap" if shift > 0 else "overlap", shift))
+        at += shift
+        extents.append(("f", at, 10))
+        at += 10
+    df = spark.createDataFrame([*extents, ("g", 5, 1)], "file string, pos long, size long").repartition(9)
+    got = quality.contiguity(df, "pos", "size", ["file"]).orderBy("pos").collect()
+    assert [(r["class"], r["delta"]) for r in got] == faults
+
+
+def test_stratified_sample_is_that_of_all_rows(spark):
+    df = spark.createDataFrame([(i % 3 if i < 90 else 3, i) for i in range(92)], "g int, id int")
+    ranked = {r["id"]: (r["g"], r["h"]) for r in df.withColumn("h", ordinals.seeded(F.col("id"), 5)).collect()}
+    order = sorted(ranked, key=lambda i: (sum(ranked[j][0] == ranked[i][0] and (ranked[j][1], j) < (ranked[i][1], i) for j in ranked) >= 2, ranked[i][1], i))
+    assert {r["id"] for r in ordinals.stratified_sample(df, ["g"], "id", 2, 30, seed=5).collect()} == set(order[:30])
+
+
+def test_mosaic_rows(spark):
+    tiles = spark.createDataFrame([("l", 4, 2, bytearray(b"abcd")), ("l", 5, 3, bytearray(b"wxyz")), ("l", 5, 3, bytearray(b"wxyz"))], "layer string, x bigint, y bigint, data binary")
+    rows = {r["row"]: bytes(r["data"]) for r in spatial.mosaic_rows(tiles, 2).collect()}
+    assert rows == {0: b"ab\0\0", 1: b"cd\0\0", 2: b"\0\0wx", 3: b"\0\0yz"}
+    assert spatial.mosaic(tiles, 2).first()["holes"] == 2
+
+
+def test_search_of_many_queries(spark, monkeypatch):
+    rows = spark.createDataFrame([("k", i, n) for i, n in enumerate(["oar", "long oar", "boar", "oa", "", None, "o"])], "kind string, id int, norm string")
+    queries = spark.createDataFrame([("oar",), ("oa",), ("bo",), ("o",)], "q string")
+    hits = lambda: sorted((r["q"], r["id"], r["tier"], r["rank"]) for r in search.search_all(rows, queries, ["k"], 3).collect())
+    few = hits()
+    monkeypatch.setattr(search, "FEW_QUERIES", 2)
+    assert hits() == few and ("oar", 2, 3, 3) in few
+
+
+def test_first_matching_lines(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("\n".join(f"line {i} {'x' if i % 2 else 'y'}" for i in range(10)))
+    (tmp_path / "b.txt").write_text("none")
+    assert [tuple(r) for r in records.matching_lines(spark, str(tmp_path), "x$").collect()] == [("a.txt", [2, 4, 6])]
