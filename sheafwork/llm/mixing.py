@@ -25,7 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sheafwork.llm.shared import n_words, staged, table
+from sheafwork.llm.shared import n_words, shared_dir, staged, table
+from sheafwork.operators.graph import numbered
 
 WEIGHTS, CAP, SEED = (1.0, 2.0, 3.0), 3, 42
 #: Budget that the dynamic programme covers, and documents of a length that one ranking task gets, about.
@@ -94,8 +95,10 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int =
 
     Capped sources are found in rounds; a round is one aggregate over the sources, and each but the last finds one at
     least that is above its cap."""
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1  # one row a source
-    weighed = staged(sources.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), F.pmod(rank, F.lit(len(weights))) + 1)), "mix-sources")
+    shared_dir(sources.sparkSession)  # where checkpoints go too
+    ranked = numbered(sources, [], [F.col("source").asc_nulls_last()], "rank")  # in ranges, as every host may be a source
+    weight = F.element_at(F.array(*map(F.lit, weights)), F.pmod("rank", F.lit(len(weights))).cast("int") + 1)
+    weighed = staged(ranked.select("source", "words", weight.alias("weight")), "mix-sources")
     total = weighed.agg(F.sum("words")).first()[0] or 0
     level = 0.0  # words for each unit of weight; sources whose cap is below level * weight are capped
     while True:
