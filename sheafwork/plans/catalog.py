@@ -1,6 +1,6 @@
 """All queries of the library's own operators and the SQL for their rows."""
 
-from sheafwork.plans import fixtures, grids, measures, ordering, quality, relations, texts  # noqa: F401  they register
+from sheafwork.plans import fixtures, grids, laws, measures, ordering, quality, relations, texts  # noqa: F401  they register
 from sheafwork.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
