@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheafwork.functions import decode
 from sheafwork.functions import text as T
 from sheafwork.operators import contracts, locale, spatial, walk
 from sheafwork.plans.grids import _CELLS_SQL, _cells
 from sheafwork.plans.registry import query
 from sheafwork.session import table
+from sheafwork.sources import records, writers
 
 
 @query(r"""SELECT item_id, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#39;') AS escaped, text AS unescaped, text AS stripped, replace(text, chr(10), '\n') AS pooled, text || chr(9) AS unpooled FROM benchmark""")
@@ -91,3 +93,23 @@ def coast_sides(spark: SparkSession, d: str) -> DataFrame:
     """Cells of high balance whose neighbour on a side is low or missing."""
     sides = spatial.coast_sides(_cells(spark, d).withColumn("land", F.col("v") > 2000), "x", "y", "land")
     return sides.select("dx", "dy", "coast", F.round("share", 6).alias("share"))
+
+
+@query("""SELECT c_custkey, abs(c_acctbal) * c_nationkey AS area, CASE WHEN c_acctbal > 0 AND c_nationkey > 4 THEN 'CONFIRMED' ELSE 'REFUSED:' || CASE WHEN c_acctbal > 0 THEN 'nation' WHEN c_nationkey > 4 THEN 'balance' ELSE 'balance,nation' END END AS verdict FROM customer""")
+def transform_gates(spark: SparkSession, d: str) -> DataFrame:
+    """Area of a box, and which of two gates refuse it."""
+    at = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    x, y = F.col("c_acctbal"), F.col("c_nationkey")
+    c = table(spark, d, "customer").withColumn("area", spatial.polygon_area_box(F.array(at(F.lit(0), F.lit(0)), at(x, F.lit(0)), at(x, y))))
+    return spatial.transform_verdict(c, balance=x > 0, nation=y > 4).select("c_custkey", "area", "verdict")
+
+
+@query("""SELECT n_nationkey, CASE WHEN n_regionkey <> 2 THEN 'nation' || n_nationkey END AS from_kind, CASE WHEN n_regionkey <> 2 THEN 'region' || n_regionkey END AS to_kind, n_regionkey = 1 AS media, '{"name":"' || n_name || '","key":' || n_nationkey || '}' AS line FROM nation""")
+def file_names(spark: SparkSession, d: str) -> DataFrame:
+    """Pair files by their names, media by their endings, and rows as canonical JSON."""
+    n = table(spark, d, "nation")
+    name = F.format_string("nation%d__region%d.%s", "n_nationkey", "n_regionkey", F.when(F.col("n_regionkey") == 2, "json").otherwise("jsonl"))
+    ending = F.when(F.col("n_regionkey") == 1, ".OGG").otherwise(".txt")
+    line = writers.canonical_json(n.withColumnsRenamed({"n_name": "name", "n_nationkey": "key"}), ["name", "key"]).select("value", F.get_json_object("value", "$.key").cast("int").alias("_key"))
+    names = n.select("n_nationkey", records.pair_of_file(name).alias("p"), decode.media_path(F.concat("n_name", ending)).alias("media")).select("n_nationkey", "p.*", "media")
+    return names.join(line, F.col("n_nationkey") == F.col("_key")).select("n_nationkey", "from_kind", "to_kind", "media", F.col("value").alias("line"))
