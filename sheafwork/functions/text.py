@@ -167,3 +167,16 @@ def signature_parts(signature: Column) -> Column:
     edges = F.concat(F.array(F.lit(1)), seen["cuts"], F.array(seen["close"]))
     arguments = F.transform(F.sequence(F.lit(1), F.size(edges) - 1), lambda i: F.substring(signature, F.element_at(edges, i) + 1, F.element_at(edges, i + 1) - F.element_at(edges, i) - 1))
     return F.when(seen["close"] > 0, F.struct(F.array_remove(arguments, "").alias("arguments"), F.substring(signature, seen["close"] + 3, F.length(signature)).alias("result")))
+
+
+def iso_seconds(at: Column) -> Column:
+    """A run report's timestamp to the second, in the session's time zone; derived artifacts have none."""
+    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def selected(module: Column, modules: list[str], prefixes: list[str]) -> Column:
+    """Whether a module is listed, or begins with a prefix."""
+    picked = module.isin(modules) if modules else F.lit(False)
+    for p in prefixes:
+        picked = picked | module.startswith(p)
+    return picked

@@ -106,3 +106,10 @@ def sheet_census(dictionary: DataFrame, lines: DataFrame, cells: DataFrame) -> D
     out = cols.join(rows, "sheet", "full_outer").join(full, "sheet", "left").join(refs, "sheet", "left")
     z = lambda c: F.coalesce(c, F.lit(0))
     return out.select("sheet", z("rows").alias("rows"), z("cols").alias("cols"), (z("rows") * z("cols")).alias("grid"), z("populated").alias("populated"), F.coalesce("referenced_by", F.lit("")).alias("referenced_by"))
+
+
+def throughput(df: DataFrame, by: Sequence[str], at: str, size: str) -> DataFrame:
+    """Rows, summed size, seconds from the first to the last row and size a second (null where these are one moment)."""
+    seconds = (F.unix_micros(F.max(at)) - F.unix_micros(F.min(at))) / 1e6
+    out = df.groupBy(*by).agg(F.count("*").alias("rows"), F.sum(size).alias("size"), seconds.alias("seconds"))
+    return out.withColumn("rate", F.col("size") / F.nullif(F.col("seconds"), F.lit(0.0)))

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sheafwork.functions.decode import adler32, extension
 from sheafwork.operators.graph import in_ranges
 
 
@@ -128,3 +129,25 @@ def require(checks: DataFrame) -> DataFrame:
     if failed:
         raise QualityError("; ".join(f"{r['id']}: {r['actual']} instead of {r['expected']}" for r in failed))
     return checks
+
+
+def known_answers(texts: DataFrame, id_: str, text: str, answers: DataFrame) -> DataFrame:
+    """(id, needle, found): whether each known answer (id, needle) stands in the text of its id; false too where there is no text.
+    Of texts that share an id, any will do."""
+    both = answers.select(F.col("id").alias("_id"), "needle").distinct().join(texts.select(F.col(id_).alias("_of"), F.col(text).alias("_text")), F.col("_id") == F.col("_of"), "left")
+    return both.groupBy(F.col("_id").alias("id"), "needle").agg(F.coalesce(F.bool_or(F.contains("_text", "needle")), F.lit(False)).alias("found"))
+
+
+def member_proofs(members: DataFrame, by: Sequence[str], nth: int, magics: dict[str, str]) -> DataFrame:
+    """(…by, ext, path, size, magic, checksum) of the nth path of each archive and ending, by path: content against the bytes its
+    ending asks for (hex; n/a for endings without any) and against the stored Adler-32 (path, content, stored).  Only the chosen
+    paths' contents are read for the sums: the choice is made on paths, under a group limit."""
+    paths = members.select(*by, extension(F.col("path")).alias("ext"), "path").distinct()
+    rank = F.row_number().over(Window.partitionBy(*by, "ext").orderBy("path"))
+    chosen = paths.withColumn("_n", rank).where(F.col("_n") <= nth).where(F.col("_n") == nth).drop("_n")
+    got = chosen.join(members.select(*by, "path", "content", "stored"), [*by, "path"])
+    head, want = F.hex(F.substring("content", 1, 16)), F.lit(None).cast("string")
+    for ext, magic in magics.items():
+        want = F.when(F.col("ext") == ext, magic.upper()).otherwise(want)
+    verdict = lambda ok: F.when(ok, "MATCH").otherwise("MISMATCH")
+    return got.select(*by, "ext", "path", F.length("content").cast("bigint").alias("size"), F.when(want.isNull(), "n/a").otherwise(verdict(head.startswith(want))).alias("magic"), verdict(F.coalesce(adler32(F.col("content")) == F.col("stored"), F.lit(False))).alias("checksum"))

@@ -202,3 +202,79 @@ def drift(entities: DataFrame, bridged: DataFrame, absent: DataFrame, by: Sequen
     every = tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
     n = every.groupBy(*by).agg(*[F.count_if(F.col("_t") == t).alias(t) for t in ("entities", "bridged", "absent")])
     return n.withColumn("off", F.col("entities") - F.col("bridged") - F.col("absent"))
+
+
+def family_classes(families: DataFrame, directions: DataFrame, self_kinds: DataFrame) -> DataFrame:
+    """families (family, from_kind, to_kind, edges, mechanisms) with class: ``derived`` for a direction without edges of its own,
+    ``fold`` for one that has some, ``fold-self`` or ``self-chain`` from a kind to itself (the first where self_kinds (kind) has
+    it), ``stray`` for a pair that is no direction."""
+    known = directions.select("from_kind", "to_kind", F.col("status").isin("modeled", "partial").alias("_own")).distinct()
+    own = self_kinds.select(F.col("kind").alias("from_kind"), F.lit(True).alias("_self")).distinct()
+    out = families.join(known, ["from_kind", "to_kind"], "left").join(own, "from_kind", "left")
+    kind = F.when(F.col("from_kind") == F.col("to_kind"), F.when(F.col("_self"), "fold-self").otherwise("self-chain"))
+    return out.withColumn("class", kind.when(F.col("_own").isNull(), "stray").when(F.col("_own"), "fold").otherwise("derived")).drop("_own", "_self")
+
+
+def wire_evidence(directions: DataFrame, classed: DataFrame, ledger: DataFrame) -> DataFrame:
+    """directions (from_kind, to_kind, status, unblock, ...) with what family_classes and a ledger (from_kind, to_kind, reason) say
+    of them: evidence and evidence_edges of derived families, folds onto directions that have edges of their own, reason, and
+    standing: modeled, derived, ledgered or open.  Counts of a direction's own edges stay as they were."""
+    pair = ["from_kind", "to_kind"]
+    names = lambda c: F.array_join(F.sort_array(F.collect_set(F.when(F.col("class") == c, F.col("family")))), ",")
+    held = classed.where("class IN ('derived', 'fold')").groupBy(*pair).agg(
+        F.nullif(names("derived"), F.lit("")).alias("evidence"), F.sum(F.when(F.col("class") == "derived", F.col("edges"))).alias("evidence_edges"),
+        F.nullif(names("fold"), F.lit("")).alias("folds"), F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.split("mechanisms", r"\+"))))), "+").alias("_mech"),
+    )
+    listed = ledger.groupBy(*pair).agg(F.min("reason").alias("reason"))
+    out = directions.join(held, pair, "left").join(listed, pair, "left")
+    standing = F.when(F.col("status").isin("modeled", "partial"), "modeled").when(F.col("evidence").isNotNull(), "derived").when(F.col("reason").isNotNull(), "ledgered").otherwise("open")
+    wired = F.concat(F.lit("wired: "), "evidence", F.lit(" · E="), F.col("evidence_edges").cast("string"), F.lit(" · mech="), "_mech")
+    unblock = F.when(standing == "derived", wired).when(standing == "ledgered", F.concat(F.lit("ledgered: "), "reason")).otherwise(F.col("unblock"))
+    return out.withColumns({"standing": standing, "unblock": unblock}).drop("_mech")
+
+
+def evidence_conflicts(directions: DataFrame, classed: DataFrame, ledger: DataFrame) -> DataFrame:
+    """(from_kind, to_kind, rule): families and ledger rows outside the directions, and ledger rows of a direction that has edges
+    of its own or families.  Empty if directions are split into modeled, derived and ledgered ones."""
+    pair = ["from_kind", "to_kind"]
+    stray = classed.where("class = 'stray'").select(*pair, F.lit("family_outside").alias("rule"))
+    listed = ledger.select(*pair).distinct().join(directions.select(*pair, F.col("status").alias("_status")), pair, "left")
+    listed = listed.join(classed.select(*pair, F.lit(True).alias("_family")).distinct(), pair, "left")
+    rules = F.array(F.when(F.col("_status").isNull(), "ledger_outside"), F.when(F.col("_status").isin("modeled", "partial"), "ledger_modeled"), F.when(F.col("_family"), "ledger_family"))
+    return stray.distinct().unionByName(listed.select(*pair, F.explode(F.array_compact(rules)).alias("rule")))
+
+
+def scene_owners(folders: DataFrame, scenes: DataFrame, folder: str, scene: str, ending: str = ".dat", scene_ending: str = ".prefab") -> DataFrame:
+    """(folder, owner, evidence) of each different folder ``<up>/<stem><ending>``: the scene beside it of the same stem, else of the
+    stem without its last ``.part``, else the shortest (then smallest) one whose stem goes on from it, else none (unowned).
+
+    Three equi joins: scenes are listed under all beginnings of their stems, so a directory with very many of them is no hot key."""
+    name = r"^(?:(.*)/)?([^/]*)$"
+
+    def cut(df: DataFrame, path: str, end: str) -> DataFrame:
+        p = F.col(path)
+        df = df.where(p.isNotNull()).select(p.alias("_path")).distinct()
+        stem = F.regexp_extract("_path", name, 2)
+        return df.select("_path", F.regexp_extract("_path", name, 1).alias("_up"), F.when(stem.endswith(end), F.expr(f"left(regexp_extract(_path, '{name}', 2), length(regexp_extract(_path, '{name}', 2)) - {len(end)})")).otherwise(stem).alias("_stem"))
+
+    s = cut(scenes.where(F.col(scene).endswith(scene_ending)), scene, scene_ending)
+    begins = s.where("_stem <> ''").select("_up", "_path", F.explode(F.transform(F.sequence(F.lit(1), F.length("_stem")), lambda n: F.left(F.col("_stem"), n))).alias("_stem"))
+    begins = begins.groupBy("_up", "_stem").agg(F.min(F.struct(F.length("_path").alias("n"), F.col("_path").alias("p"))).alias("x")).select("_up", "_stem", F.col("x.p").alias("_longer"))
+    f = cut(folders, folder, ending).withColumn("_less", F.regexp_extract("_stem", r"^(.*)\.[^.]*$", 1))
+    f = f.join(s.select("_up", "_stem", F.col("_path").alias("_same")), ["_up", "_stem"], "left").join(begins, ["_up", "_stem"], "left")
+    f = f.join(s.select("_up", F.col("_stem").alias("_less"), F.col("_path").alias("_cut")), ["_up", "_less"], "left")
+    evidence = F.when(F.col("_same").isNotNull(), "same-stem").when(F.col("_cut").isNotNull(), "strip-dot-variant").when(F.col("_longer").isNotNull(), "prefix-match").otherwise("unowned")
+    return f.select(F.col("_path").alias("folder"), F.coalesce("_same", "_cut", "_longer").alias("owner"), evidence.alias("evidence"))
+
+
+def operands_read(ops: DataFrame, keys: Sequence[str], op: str, args: str, reads: DataFrame) -> DataFrame:
+    """(…keys, place, register): the operands that each operation reads, by a table reads (op, places: 0-based positions)."""
+    at = ops.join(reads.select(F.col("op").alias("_op"), "places"), F.col(op) == F.col("_op"))
+    found = at.select(*keys, args, F.explode("places").alias("place"))
+    return found.select(*keys, "place", F.get(args, F.col("place")).alias("register")).where("register IS NOT NULL")
+
+
+def surfaces(universe: DataFrame, mapped: DataFrame, key: str) -> DataFrame:
+    """Every member of a universe with its surface, or ``deferred`` where mapped (key, surface) has none: no silent rest."""
+    m = mapped.groupBy(key).agg(F.min("surface").alias("surface"))
+    return universe.select(key).distinct().join(m, key, "left").select(key, F.coalesce("surface", F.lit("deferred")).alias("surface"))

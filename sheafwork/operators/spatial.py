@@ -252,3 +252,57 @@ def layout_sweep(cells: DataFrame, x: str, y: str, value: str, widths: Sequence[
     laid = laid.select("width", (F.col("_p") % F.col("width")).alias(x), F.floor(F.col("_p") / F.col("width")).alias(y), "_value")
     near = laid.select("width", (F.col(x) - 1).alias(x), y, F.col("_value").alias("_v")).unionByName(laid.select("width", x, (F.col(y) - 1).alias(y), F.col("_value").alias("_v")))
     return laid.join(near, ["width", x, y]).groupBy("width").agg(F.count("*").alias("pairs"), F.avg(F.abs(F.col("_value") - F.col("_v"))).alias("score"))
+
+
+def tile_geography(manifest: DataFrame, sea: str, placeholder: str, box: tuple[int, int, int, int] | None = None) -> DataFrame:
+    """(x, y, ground, placeholder) from a manifest (path, hash) of albedo and splat tiles: ``hole`` where the box (x0, y0, x1, y1, by
+    default that of the albedo tiles) has no albedo tile, ``sea`` where the splat tile has the hash sea, else ``land``;
+    placeholder tells albedo tiles of that hash.  One pass over the manifest, and equi joins on cells."""
+    part = lambda k: F.regexp_extract("path", r"/(albedo|splat)/[a-z]+_x(-?\d+)_y(\d+)", k)
+    at = manifest.where(part(1) != "").select(part(1).alias("layer"), part(2).cast("bigint").alias("x"), part(3).cast("bigint").alias("y"), "hash")
+    albedo, splat = F.col("layer") == "albedo", F.col("layer") == "splat"
+    cells = at.groupBy("x", "y").agg(F.bool_or(albedo).alias("_present"), F.bool_or(splat & (F.col("hash") == sea)).alias("_sea"), F.bool_or(albedo & (F.col("hash") == placeholder)).alias("placeholder"))
+    present = cells.where("_present").select("x", "y", F.when(F.col("_sea"), "sea").otherwise("land").alias("ground"), "placeholder")
+    corners = present if box is None else present.sparkSession.createDataFrame([(box[0], box[1]), (box[2], box[3])], "x bigint, y bigint")
+    holes = corners.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).where("x0 IS NOT NULL")
+    columns = holes.select(F.explode(F.sequence("x0", "x1")).alias("x"), "y0", "y1").repartition("x")
+    grid = columns.select("x", F.explode(F.sequence("y0", "y1")).alias("y")).join(present.select("x", "y"), ["x", "y"], "left_anti")
+    return present.unionByName(grid.select("x", "y", F.lit("hole").alias("ground"), F.lit(False).alias("placeholder")))
+
+
+def carrier_transform(carriers: DataFrame, offset: str, min_tile: str, world_size: str, tile_px: float, cells: int) -> DataFrame:
+    """Adds what a world's carriers say of its lattice: unit (world units a cell, offset / min_tile), span (cells of the mask), scale
+    (pixels a world unit) and broken: null, or the first rule that fails (``offset``: no whole unit, ``size``: the world is no
+    whole number of units, ``span``: of another number than cells).  Null where no unit can be told."""
+    whole = F.when((F.col(min_tile) != 0) & (F.try_mod(F.col(offset), F.col(min_tile)) == 0), F.floor(F.col(offset) / F.nullif(F.col(min_tile), F.lit(0))))
+    unit = F.when(whole > 0, whole)
+    out = carriers.withColumn("unit", unit)
+    rest = F.when(F.col("unit").isNotNull(), F.try_mod(F.col(world_size), F.col("unit")))
+    span = F.when(rest == 0, F.floor(F.col(world_size) / F.col("unit")))
+    broken = F.when(F.col("unit").isNull(), "offset").when(F.col("span").isNull(), "size").when(F.col("span") != cells, "span")
+    return out.withColumns({"span": span, "scale": F.lit(float(tile_px)) / F.col("unit")}).withColumn("broken", broken)
+
+
+def pyramid_agreement(full: DataFrame, small: DataFrame, k: int, by: Sequence[str]) -> DataFrame:
+    """How well tiles of a pyramid level (…by, row, col, value) agree with the k x k means of the full tiles of the same key: pixels
+    that both have, unpaired ones, mean |difference| and correlation (null for flat tiles)."""
+    down = box_means(full, "row", "col", "value", k, by).withColumnRenamed("value", "_f")
+    both = down.join(small.select(*by, "row", "col", F.col("value").alias("_s")), [*by, "row", "col"], "full_outer")
+    paired = F.col("_f").isNotNull() & F.col("_s").isNotNull()
+    on = lambda c: F.when(paired, F.col(c))
+    flat = (F.min(on("_f")) == F.max(on("_f"))) | (F.min(on("_s")) == F.max(on("_s")))
+    return both.groupBy(*by).agg(F.count_if(paired).alias("pixels"), F.count_if(~paired).alias("unpaired"), F.avg(F.abs(on("_f") - on("_s"))).alias("error"), F.when(~flat, F.corr(on("_f"), on("_s"))).alias("corr"))
+
+
+def passability(nodes: DataFrame, scene: str) -> DataFrame:
+    """Census of scene nodes (scene, type, name, points: array of (x, y) structs) that tell where units start and may go; name
+    classes are fixed values.  squares counts unit markers whose box is one unit of area."""
+    name, low, polygon = F.col("name"), F.lower(F.coalesce("name", F.lit(""))), F.col("type") == "polygon"
+    unit = name.isin("ally", "foe")
+    marker = unit & (F.size("points") >= 3)
+    return nodes.groupBy(scene).agg(
+        F.count_if(name == "ally").alias("ally"), F.count_if(name == "foe").alias("foe"), F.count_distinct(F.when(low.startswith("selector"), name)).alias("selectors"),
+        F.count_if((name == "navmesh") & polygon).alias("navmesh"), F.count_if(name == "obstacle").alias("obstacles"), F.count_if(name == "wall").alias("walls"),
+        F.count_if(low.startswith("reachzone")).alias("reach_zones"), F.count_if(name == "collide").alias("colliders"), F.count_if(marker).alias("markers"),
+        F.count_if(marker & (F.abs(polygon_area_box(F.col("points")) - 1) < 1e-6)).alias("squares"),
+    )

@@ -67,3 +67,12 @@ def markdown_table(df: DataFrame, order: Sequence[str], most: int = 5000) -> str
         raise ValueError(f"more than {most} rows")
     cell = lambda v: "" if v is None else str(v).replace("|", "\\|")
     return "\n".join([f"| {' | '.join(df.columns)} |", f"|{'---|' * len(df.columns)}", *[f"| {' | '.join(map(cell, r))} |" for r in rows]]) + "\n"
+
+
+def registry_document(layers: DataFrame, header: dict[str, str], order: Sequence[str], most: int = 5000) -> DataFrame:
+    """One row (value): a JSON document of a header and the summaries of its layers, keys in the order given, layers in that of
+    ``order``; more than ``most`` layers are refused, as a document of all is meant for summaries."""
+    if layers.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} layers")
+    rows = F.sort_array(F.collect_list(F.struct(F.struct(*order).alias("o"), F.struct(*layers.columns).alias("row"))))
+    return layers.agg(F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in header.items()], F.transform(rows, lambda r: r["row"]).alias("layers"))).alias("value"))
