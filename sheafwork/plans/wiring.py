@@ -55,11 +55,11 @@ e AS (SELECT from_kind, to_kind, string_agg(family, ',' ORDER BY family) AS evid
 o AS (SELECT from_kind, to_kind, string_agg(family, ',' ORDER BY family) AS folds FROM cl WHERE class = 'fold' GROUP BY ALL),
 s AS (SELECT *, CASE WHEN status <> 'missing' THEN 'modeled' WHEN evidence IS NOT NULL THEN 'derived' WHEN reason IS NOT NULL THEN 'ledgered' ELSE 'open' END AS standing
   FROM dirs LEFT JOIN e USING (from_kind, to_kind) LEFT JOIN o USING (from_kind, to_kind) LEFT JOIN m USING (from_kind, to_kind) LEFT JOIN led USING (from_kind, to_kind))
-SELECT from_kind, to_kind, status, edges, evidence, evidence_edges, folds, reason, standing,
+SELECT from_kind, to_kind, status, edges, evidence, coalesce(evidence_edges, 0) AS evidence_edges, folds, reason, standing,
   CASE standing WHEN 'derived' THEN 'wired: ' || evidence || ' · E=' || evidence_edges || ' · mech=' || mech WHEN 'ledgered' THEN 'ledgered: ' || reason END AS unblock FROM s""")
 def wired_directions(spark: SparkSession, d: str) -> DataFrame:
     """Directions with the families and the ledger's reasons wired in."""
-    return relations.wire_evidence(*_world(spark, d))
+    return relations.wire_evidence(*_world(spark, d)).withColumn("evidence_edges", F.coalesce("evidence_edges", F.lit(0)))
 
 
 @query(f"""WITH {_WORLD_SQL} SELECT DISTINCT from_kind, to_kind, 'family_outside' AS rule FROM cl WHERE class = 'stray'
@@ -117,12 +117,12 @@ def tile_geography(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""WITH c AS (SELECT p_partkey, -12 * (1 + p_partkey % 6) AS o, -(p_size % 13) AS m, 64 * (p_partkey % 5 + 1) AS w FROM part),
 u AS (SELECT *, CASE WHEN m <> 0 AND o % nullif(m, 0) = 0 THEN o // m END AS unit FROM c), s AS (SELECT *, CASE WHEN unit IS NOT NULL AND w % unit = 0 THEN w // unit END AS span FROM u)
-SELECT p_partkey, CAST(unit AS BIGINT) AS unit, CAST(span AS BIGINT) AS span, round(512.0 / unit, 6) AS scale, CASE WHEN unit IS NULL THEN 'offset' WHEN span IS NULL THEN 'size' WHEN span <> 64 THEN 'span' END AS broken FROM s""")
+SELECT p_partkey, CAST(coalesce(unit, -1) AS BIGINT) AS unit, CAST(coalesce(span, -1) AS BIGINT) AS span, coalesce(round(CAST(512 AS DOUBLE) / unit, 6), -1) AS scale, CASE WHEN unit IS NULL THEN 'offset' WHEN span IS NULL THEN 'size' WHEN span <> 64 THEN 'span' END AS broken FROM s""")
 def carrier_transform(spark: SparkSession, d: str) -> DataFrame:
-    """Cell units from two carriers, and which of their relations fails."""
+    """Cell units from two carriers (-1 where none can be told), and which of their relations fails."""
     k = F.col("p_partkey")
     c = table(spark, d, "part").select("p_partkey", (-12 * (1 + k % 6)).alias("o"), (-(F.col("p_size") % 13)).alias("m"), (64 * (k % 5 + 1)).alias("w"))
-    return spatial.carrier_transform(c, "o", "m", "w", 512, 64).select("p_partkey", "unit", "span", F.round("scale", 6).alias("scale"), "broken")
+    return spatial.carrier_transform(c, "o", "m", "w", 512, 64).select("p_partkey", *[F.coalesce(x, F.lit(-1)).alias(x) for x in ("unit", "span")], F.coalesce(F.round("scale", 6), F.lit(-1.0)).alias("scale"), "broken")
 
 
 @query("""WITH p AS (SELECT vec_id, unnest(range(64)) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
