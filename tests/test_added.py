@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sheafwork.functions import formulas
 from sheafwork.functions import text as T
 from sheafwork.operators import graph, ordinals, quality, relations, search, spatial, walk
-from sheafwork.sources import records
+from sheafwork.sources import records, writers
 
 
 def test_nearest_of_outliers_and_lonely_points(spark):
@@ -137,3 +137,43 @@ def test_first_matching_lines(spark, tmp_path):
     (tmp_path / "a.txt").write_text("\n".join(f"line {i} {'x' if i % 2 else 'y'}" for i in range(10)))
     (tmp_path / "b.txt").write_text("none")
     assert [tuple(r) for r in records.matching_lines(spark, str(tmp_path), "x$").collect()] == [("a.txt", [2, 4, 6])]
+
+
+def test_owners_by_ranked_names(spark):
+    folders = spark.createDataFrame([("a/m.dat",), ("a/m.2.dat",), ("a/k.dat",), ("b/m.dat",), ("top.dat",), ("a/m.dat",), (None,)], "folder string")
+    scenes = spark.createDataFrame([("a/m.prefab",), ("a/k_long.prefab",), ("a/k_b.prefab",), ("a/k_a.prefab",), ("top.prefab",), ("b/m.txt",), (None,)], "scene string")
+    got = {r["folder"]: (r["owner"], r["evidence"]) for r in relations.scene_owners(folders, scenes, "folder", "scene").collect()}
+    assert got == {
+        "a/m.dat": ("a/m.prefab", "same-stem"), "a/m.2.dat": ("a/m.prefab", "strip-dot-variant"), "a/k.dat": ("a/k_a.prefab", "prefix-match"),
+        "b/m.dat": (None, "unowned"), "top.dat": ("top.prefab", "same-stem"),
+    }
+
+
+def test_wiring_without_families_or_ledger(spark):
+    dirs = spark.createDataFrame([("a", "b", "modeled", None), ("b", "a", "missing", "find a carrier")], "from_kind string, to_kind string, status string, unblock string")
+    families = spark.createDataFrame([], "family string, from_kind string, to_kind string, edges bigint, mechanisms string")
+    classed = relations.family_classes(families, dirs, spark.createDataFrame([], "kind string"))
+    ledger = spark.createDataFrame([], "from_kind string, to_kind string, reason string")
+    got = {r["from_kind"]: (r["standing"], r["unblock"]) for r in relations.wire_evidence(dirs, classed, ledger).collect()}
+    assert got == {"a": ("modeled", None), "b": ("open", "find a carrier")}
+    assert relations.evidence_conflicts(dirs, classed, ledger).isEmpty()
+
+
+def test_geography_of_no_tiles_and_a_given_box(spark):
+    none = spark.createDataFrame([], "path string, hash string")
+    assert spatial.tile_geography(none, "s", "p").isEmpty()
+    one = spark.createDataFrame([("/w/albedo/t_x-1_y0.dds", "p"), ("/w/splat/t_x-1_y0.dds", "s"), ("/w/splat/t_x0_y0.dds", "s"), (None, "s")], "path string, hash string")
+    got = sorted(tuple(r) for r in spatial.tile_geography(one, "s", "p", (-1, 0, 0, 0)).collect())
+    assert got == [(-1, 0, "sea", True), (0, 0, "hole", False)]
+
+
+def test_carriers_that_do_not_agree(spark):
+    rows = [(-12, -3, 256), (-12, 0, 256), (-13, -3, 256), (-12, -3, 255), (-12, -3, 128), (None, -3, 256), (12, -3, 256)]
+    got = [r["broken"] for r in spatial.carrier_transform(spark.createDataFrame(rows, "o int, m int, w int"), "o", "m", "w", 512, 64).collect()]
+    assert got == [None, "offset", "offset", "size", "span", "offset", "offset"]
+
+
+def test_documents_refuse_many_layers(spark):
+    with pytest.raises(ValueError, match="more than 2"):
+        writers.registry_document(spark.range(3), {"kind": "map"}, ["id"], most=2)
+    assert writers.registry_document(spark.range(0), {"kind": "map"}, ["id"]).first()[0] == '{"kind":"map","layers":[]}'
