@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheafwork.llm import decontaminate, kneser_ney, language_id, merkle, mixing, simhash, token_ids, toxicity, url_filter, warc
+from sheafwork.llm import conversations, decontaminate, exact_dedup, kneser_ney, language_id, merkle, mixing, simhash, token_ids, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": url_filter.query,
@@ -19,7 +19,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_index": warc.query,
     "op9_simhash": simhash.query,
     "op10_decontamination": decontaminate.query,
+    "op11_exact_dedup": exact_dedup.query,
+    "op13_conversation_repair": conversations.query,
 }
 
 #: The others can't be put in SQL; tests hold them against brute force, round trips or held-out accuracy.
-ORACLE: dict[str, str] = {"op1_url_filter": url_filter.ORACLE, "op10_decontamination": decontaminate.ORACLE}
+ORACLE: dict[str, str] = {
+    "op1_url_filter": url_filter.ORACLE,
+    "op10_decontamination": decontaminate.ORACLE,
+    "op11_exact_dedup": exact_dedup.ORACLE,
+    "op13_conversation_repair": conversations.ORACLE,
+}
