@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheafwork.llm import conversations, decontaminate, exact_dedup, kneser_ney, language_id, merkle, mixing, simhash, token_ids, toxicity, url_filter, warc
+from sheafwork.llm import conversations, decontaminate, divergence, exact_dedup, kneser_ney, language_id, merkle, mixing, simhash, token_ids, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": url_filter.query,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": simhash.query,
     "op10_decontamination": decontaminate.query,
     "op11_exact_dedup": exact_dedup.query,
+    "op12_divergence_audit": divergence.query,
     "op13_conversation_repair": conversations.query,
 }
 
@@ -28,5 +29,6 @@ ORACLE: dict[str, str] = {
     "op1_url_filter": url_filter.ORACLE,
     "op10_decontamination": decontaminate.ORACLE,
     "op11_exact_dedup": exact_dedup.ORACLE,
+    "op12_divergence_audit": divergence.ORACLE,
     "op13_conversation_repair": conversations.ORACLE,
 }
