@@ -9,6 +9,7 @@ from __future__ import annotations
 import atexit
 import json
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -27,6 +28,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows that are drawn for each range of in_ranges, and code points of a text that count in its bounds.
 RANGE_SAMPLE, RANGE_PREFIX = 60, 100
 ASCII_LOWER = str.maketrans(UPPER, LOWER)
+BETWEEN_WORDS = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,10 +36,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """URI of the folder that driver and executors share: ``spark.checkpoint.dir``, or where that is unset (tests,
-    one machine) a temporary folder that is set there and removed at exit."""
+    """URI of the folder that driver and executors share: ``spark.checkpoint.dir``, or where that is unset on one machine (tests)
+    a temporary folder that is set there and removed at exit.  On a cluster it has to be set: a folder of one machine would be
+    another folder on each executor."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         own = tempfile.mkdtemp(prefix="sheafwork-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         found = f"file://{own}"
@@ -117,6 +122,17 @@ def byte_words(text: str | None) -> list[bytes]:
     return text.translate(ASCII_LOWER).encode("utf-8", "surrogatepass").split() if text else []
 
 
+def word_strips(text: str | None, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """byte_words of a text in lists from about ``size`` bytes each, so that a very long text is never held as a list of words."""
+    data = text.translate(ASCII_LOWER).encode("utf-8", "surrogatepass") if text else b""
+    at = 0
+    while at < len(data):
+        cut = BETWEEN_WORDS.search(data, at + size)
+        end = cut.start() if cut else len(data)
+        yield data[at:end].split()
+        at = end
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of unsigned 64-bit numbers."""
     with np.errstate(over="ignore"):

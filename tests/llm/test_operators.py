@@ -531,6 +531,47 @@ def test_links_by_brute_force(spark, monkeypatch, block):
     assert links.count() < 30 * len(prints)
 
 
+def test_second_covering_guarantee():
+    for kept in simhash.masks():
+        left = [i for i in range(64) if not kept >> i & 1]
+        again = simhash.masks(3, left)
+        assert len(again) == 15 and all(m & kept == 0 for m in again)
+        for bits in combinations(left[::2], 3):
+            assert any(not sum(1 << b for b in bits) & m for m in again)
+
+
+def test_forest_where_all_pairs_are_links():
+    """40,000 comparisons a strip and 9 million links: memory is that of a strip."""
+    import tracemalloc
+
+    flips = [0, *[1 << k for k in range(60)], *[1 << j | 1 << k for j, k in combinations(range(60), 2)]]
+    some = np.array(sorted(flips)[:1500], np.int64)
+    tracemalloc.start()
+    links = simhash.forest(some, None, 64)
+    assert tracemalloc.get_traced_memory()[1] < 120 << 20
+    assert len(links) == len(some) - 1
+
+
+def test_a_large_group_of_near_copies(spark):
+    """43,745 fingerprints within three bits of one: one component, by buckets that are dealt anew."""
+    base = 0x5A5A_0F0F_3C3C_1234
+    every = {base, *[base ^ sum(1 << b for b in bits) for n in (1, 2, 3) for bits in combinations(range(64), n)]}
+    frame = spark.createDataFrame([(simhash.signed(x),) for x in every], "fp bigint")
+    links = simhash.staged(simhash.edges(frame), "test-links")
+    assert links.count() < 40 * len(every)
+    roots = simhash.components(links)
+    assert roots.count() == len(every) - 1 and roots.select("root").distinct().count() == 1
+
+
+def test_strips_of_long_texts():
+    long = "é lorem Ipsum\n dolor  " * 200_000
+    words = byte_words(long)
+    h = np.array([xxhash.xxh64_intdigest(b" ".join(x), 42) for x in zip(words, words[1:], words[2:])], np.uint64)
+    want = sum(1 << b for b in range(64) if 2 * int(((h >> np.uint64(b)) & np.uint64(1)).sum()) > len(h))
+    assert simhash.simhash(long) == want
+    assert simhash.simhash("a b", 3) == xxhash.xxh64_intdigest(b"a b", 42) and simhash.simhash("a b c d", 2) != 0 and simhash.simhash("x", 1) == xxhash.xxh64_intdigest(b"x", 42)
+
+
 def test_simhash_query(spark, docs, no_docs):
     def brute(text):
         words = byte_words(text)
