@@ -18,8 +18,12 @@ beyond that, both sides are shuffled by the window's hash.
 Letters of scripts without spaces (UNSPACED) are words of their own.  An item of fewer than WINDOW words has one window of
 its own length, of its words as they are but lower-cased: so short a template would fit any text.  It has no slots.
 
-Defined cases: null and empty texts hold nothing, and so does an item without a word; repeated documents of one id count as one, as do repeated items; rows with a null doc_id are reported under null; an empty
-table gives no rows; columns other than those named are dropped.
+Each text is judged by itself: rows are told apart by doc_id and text, so texts that share an id, or have none, are never pooled.
+A doc_id has one row for an item, that of its text with the most matched windows (then the highest consistency).
+
+Defined cases: null and empty texts hold nothing, and so does an item without a word; rows alike in doc_id and text count as one, as
+do repeated items; all texts with a null doc_id are judged alike, slots included, and reported under null; very long texts are cut
+into windows whole; an empty table gives no rows; columns other than doc_id, text and item_id are dropped, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sheafwork.llm.shared import staged, table
+from sheafwork.llm.shared import spread, staged, table
 
 WINDOW, SHARE, CONSISTENT = 5, 0.8, 0.8
 BROADCAST_WINDOWS = 1_000_000
@@ -121,17 +125,17 @@ def item_windows(items: DataFrame) -> DataFrame:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, matched, windows, share, slots, consistency) of each document and item it holds.  slots counts the
     item's values behind placeholders; consistency is null without any."""
-    docs = docs.select("doc_id", "text")
+    # The row's key: its id, and two hashes of id and text.  Its fields may be null, the key itself is not, so it joins null ids too.
+    row = F.struct(F.col("doc_id").alias("id"), F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "doc_id", "text").alias("b"))
+    docs = spread(docs.select("doc_id", "text").where("text IS NOT NULL")).select(row.alias("doc_id"), "text")
     items = benchmark.select("item_id", F.col("text").alias("item_text"))
-    found = long_leaks(docs, items)
-    if items.where(n_canonical("item_text").between(1, WINDOW - 1)).isEmpty():
-        return found
+    found = long_leaks(docs, items).withColumn("_long", F.lit(True))
+    if not items.where(n_canonical("item_text").between(1, WINDOW - 1)).isEmpty():
+        found = found.unionByName(short_leaks(docs, items).withColumn("_long", F.lit(False)))
     # An item_id with a long and a short text has one row for a document: that of the long one.
-    short = short_leaks(docs, items)
-    by = ["doc_id", "item_id"]
-    both = found.withColumn("_short", F.lit(0)).unionByName(short.withColumn("_short", F.lit(1)))
-    rest = [c for c in found.columns if c not in by]
-    return both.groupBy(*by).agg(F.min(F.struct("_short", *rest)).alias("x")).select(*by, *[f"x.{c}" for c in rest])
+    rest = ["matched", "consistency", "windows", "share", "slots"]
+    best = found.groupBy(F.col("doc_id.id").alias("doc_id"), "item_id").agg(F.max(F.struct("_long", *rest)).alias("x"))
+    return best.select("doc_id", "item_id", *[f"x.{c}" for c in ("matched", "windows", "share", "slots", "consistency")])
 
 
 def if_few(df: DataFrame) -> Callable[[DataFrame], DataFrame]:
@@ -166,9 +170,9 @@ def long_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     some = maybe.where("open > 0")
     if not some.isEmpty():  # of these pairs only: the template's other windows, each looked for in the document
         ids = some.select(F.col("doc_id").alias("_id")).distinct()
-        held = windows(docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"), "doc_id", "text").select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct()
+        held = windows(docs.join(ids, F.col("doc_id") == F.col("_id"), "left_semi"), "doc_id", "text").select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct()
         others = theirs.join(asked.select("template", "place").distinct(), ["template", "place"], "left_anti")
-        more = some.join(small(others), "template").join(held, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")), "left_semi")
+        more = some.join(small(others), "template").join(held, (F.col("doc_id") == F.col("_id")) & (F.col("hash") == F.col("_hash")), "left_semi")
         every = some.select("doc_id", "template", "windows", "matched").unionByName(more.select("doc_id", "template", "windows", "place").distinct().select("doc_id", "template", "windows", F.lit(1).cast("bigint").alias("matched")))
         found = found.unionByName(every.groupBy("doc_id", "template", "windows").agg(F.sum("matched").alias("matched")).where(F.col("matched") >= F.lit(SHARE) * F.col("windows")).select("doc_id", "template", "matched", "windows"))
     found = staged(found.join(small(members), "template").select("doc_id", "item_id", "matched", "windows"), "leaks-found")
@@ -214,11 +218,10 @@ def occurrences(docs: DataFrame, items: DataFrame, ask: DataFrame, small: Callab
     sizes = theirs.groupBy("item_id", "copy").agg(F.count("*").alias("size"))
     named = theirs.where((F.col("place") == 0) & ~F.col("canon")[0].isin(NUMBER, NAME, UNIT))
     named = named.withColumn("hash", F.xxhash64(F.lit(NAME), *[F.col("canon")[k] for k in range(1, WINDOW)]))
-    texts = docs.where("text IS NOT NULL").distinct().join(ask.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("text_copy", F.xxhash64("text"))
-    ours = windows(texts.withColumn("it", F.struct("doc_id", "text_copy")), "it", "text", values=True)
-    ours = ours.select("it.doc_id", "it.text_copy", "at", "hash", F.col("own").alias("doc_own"))
+    texts = docs.join(ask.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    ours = windows(texts, "doc_id", "text", values=True).select("doc_id", "at", "hash", F.col("own").alias("doc_own"))
     both = ours.join(small(theirs.unionByName(named)), "hash").join(ask, key, "left_semi").withColumn("off", F.col("at") - F.col("place"))
-    one = [*key, "copy", "text_copy"]
+    one = [*key, "copy"]
     # Occurrences at one distance, and runs of distances less than WINDOW apart; of a place's windows in a run all count.
     before = F.lag("off").over(Window.partitionBy(*one).orderBy("off"))
     far = (F.col("off") - F.coalesce(before, F.col("off")) >= WINDOW).cast("int")
@@ -240,8 +243,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _UNITS = UNITS.replace("?:", "")
 ORACLE = rf"""
-WITH texts AS (
-  SELECT 'd' AS side, doc_id AS id, text FROM documents WHERE text IS NOT NULL
+WITH rows AS (SELECT doc_id, text, row_number() OVER () AS row_id FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)),
+texts AS (
+  SELECT 'd' AS side, row_id AS id, text FROM rows
   UNION ALL SELECT 'b', item_id, text FROM benchmark WHERE text IS NOT NULL),
 joined AS (
   SELECT side, id, regexp_replace(regexp_replace(text, '([0-9])[.,:/-]([0-9])', '\1\2', 'g'), '([0-9])[.,:/-]([0-9])', '\1\2', 'g') AS t
@@ -282,8 +286,9 @@ back AS (SELECT doc_id, item_id, kind, b, count(*) AS as_ FROM pairs GROUP BY AL
 fair AS (
   SELECT j.doc_id, j.item_id, count(*) AS slots, avg(CASE WHEN bs = 1 AND as_ = 1 THEN 1.0 ELSE 0.0 END) AS consistency
   FROM judged j JOIN back k ON j.doc_id = k.doc_id AND j.item_id = k.item_id AND j.kind = k.kind AND j.b = k.b GROUP BY j.doc_id, j.item_id)
-SELECT f.doc_id, f.item_id, CAST(matched AS BIGINT) AS matched, CAST(windows AS BIGINT) AS windows, round(matched / windows, 6) AS share,
+SELECT t.doc_id, f.item_id, CAST(matched AS BIGINT) AS matched, CAST(windows AS BIGINT) AS windows, round(matched / windows, 6) AS share,
   CAST(coalesce(slots, 0) AS BIGINT) AS slots, round(CAST(consistency AS DOUBLE), 6) AS consistency
-FROM found f LEFT JOIN fair r ON f.doc_id = r.doc_id AND f.item_id = r.item_id
+FROM found f JOIN rows t ON f.doc_id = t.row_id LEFT JOIN fair r ON f.doc_id = r.doc_id AND f.item_id = r.item_id
 WHERE consistency IS NULL OR consistency >= {CONSISTENT}
+QUALIFY row_number() OVER (PARTITION BY t.doc_id, f.item_id ORDER BY matched DESC, consistency DESC NULLS LAST) = 1
 """

@@ -35,6 +35,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where its files make fewer partitions than there are (a small table in one file); as it is otherwise."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def few(df: DataFrame, most: int) -> DataFrame:
+    """df with a hint to broadcast it if it has at most that many rows, which are counted; rows are to be short."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """URI of the folder that driver and executors share: ``spark.checkpoint.dir``, or where that is unset on one machine (tests)
     a temporary folder that is set there and removed at exit.  On a cluster it has to be set: a folder of one machine would be

@@ -611,6 +611,20 @@ def test_reparameterised_questions(spark, docs, no_docs):
     assert decontaminate.leaks(no_docs, bench).count() == 0 and decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_texts_without_an_id_or_of_one_id_are_judged_alone(spark):
+    """Values exchanged against each other are no leak under any id, and texts of one id are not put together."""
+    item = "Yesterday John bought 12 apples and 30 pears at 5 dollars each, then Mary gave John another 12 apples and 30 more pears for free."
+    torn = "Yesterday John bought 7 apples and 8 pears at 9 dollars each, then Mary gave Paul another 3 apples and 4 more pears for free."
+    same = torn.replace("Paul", "John").replace("another 3 apples and 4", "another 7 apples and 8")
+    long = "the keeper of the old lighthouse counts every passing ship before the morning fog comes in from the sea"
+    words = long.split()
+    halves = [(4, " ".join(words[:10]) + " then something else"), (4, "something else then " + " ".join(words[8:]))]
+    bench = spark.createDataFrame([(1, item), (2, long)], "item_id bigint, text string")
+    texts = [(1, f"Intro words. {torn} End."), (None, f"Intro words. {torn} End."), (None, f"Other words. {same} End."), (3, f"Intro words. {torn} End."), (3, f"Some words. {same} End."), *halves, (None, halves[0][1]), (None, halves[1][1]), (5, long), (5, long)]
+    got = sorted((str(r["doc_id"]), r["item_id"]) for r in decontaminate.leaks(spark.createDataFrame(texts, "doc_id bigint, text string"), bench).collect())
+    assert got == [("3", 1), ("5", 2), ("None", 1)]
+
+
 def test_decontamination_plan_is_native(spark):
     leaks = catalog.QUERIES["op10_decontamination"](spark, str(DATA))
     plan = leaks._jdf.queryExecution().toString()
