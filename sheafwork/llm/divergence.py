@@ -33,13 +33,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sheafwork.llm.shared import staged, table
+from sheafwork.llm.shared import few, spread, staged, table
 
 MIN_DOCS, TOP, UNIT = 10, 10, 1_000_000_000
 #: Terms that a task holds before it hands them on; bytes of a text that are cut at a time.
 HELD, STRIP = 400_000, 1 << 20
 #: Terms of a group that the first round evaluates, and how much more each further round does.
 FIRST, FASTER = 64, 16
+#: Languages, and groups, that are broadcast (counted first); more are joined by a shuffle.
+FEW = 50_000
 #: Bytes of terms as they are, A-Z as a-z, and the others as spaces.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 BETWEEN = re.compile(rb"[\x00-\x40\x5B-\x60\x7B-\x7F]")
@@ -156,20 +158,21 @@ def pair_sums(postings: DataFrame, buckets: DataFrame, groups: DataFrame) -> Dat
 
 def audit(docs: DataFrame, top: int = TOP, min_docs: int = MIN_DOCS) -> DataFrame:
     """(lang, source, part, item, value, rank) of the documents (text, lang, source)."""
-    docs = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", *KEY)])
+    docs = spread(docs).select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", *KEY)])
     counts = staged(term_counts(docs), "divergence-counts")
     kept = staged(counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total")).where(F.col("docs") >= min_docs).select("lang", "term", "total"), "divergence-kept")
-    langs = kept.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("total").alias("lang_n"))
+    langs = few(staged(kept.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("total").alias("lang_n")), "divergence-langs"), FEW)
     held = staged(counts.join(kept, ["lang", "term"]).select(*KEY, "term", "n", "total"), "divergence-postings")
     sizes = held.groupBy(*KEY).agg(F.sum("n").alias("size"))
-    groups = docs.select(*KEY).distinct().join(langs, "lang", "left").join(sizes, KEY, "left").withColumns({"kept": F.coalesce("kept", F.lit(0)), "size": F.coalesce("size", F.lit(0))})
+    groups = docs.select(*KEY).distinct().join(langs, "lang", "left").join(sizes, KEY, "left").withColumns({"kept": F.coalesce("kept", F.lit(0)), "lang_n": F.coalesce("lang_n", F.lit(0)), "size": F.coalesce("size", F.lit(0))})
     groups = staged(groups.withColumn("z", probability(F.lit(0).cast("bigint"), F.col("size"), F.col("kept"))), "divergence-groups")
     of_lang = lambda total: probability(total, F.col("lang_n"), F.col("kept"))
-    buckets = held.groupBy(*KEY, "n").agg(F.count("*").alias("terms"), F.min("total").alias("least"), F.max("total").alias("most")).join(groups, KEY)
+    named = few(groups, FEW)
+    buckets = held.groupBy(*KEY, "n").agg(F.count("*").alias("terms"), F.min("total").alias("least"), F.max("total").alias("most")).join(named, KEY)
     buckets = staged(buckets.select(*KEY, "n", "terms", probability(F.col("n"), F.col("size"), F.col("kept")).alias("p"), of_lang(F.col("least")).alias("least_q"), of_lang(F.col("most")).alias("most_q")), "divergence-bounds")
     given = held.join(langs, "lang").select(*KEY, "term", "n", of_lang(F.col("total")).alias("q"))
     terms = best_terms(given, buckets, top)
-    listed = held.join(groups.select(*KEY, "size", "kept", "z"), KEY).select(*KEY, "term", probability(F.col("n"), F.col("size"), F.col("kept")).alias("p"), "z")
+    listed = held.join(named, KEY).select(*KEY, "term", probability(F.col("n"), F.col("size"), F.col("kept")).alias("p"), "z")
     sums = pair_sums(listed, buckets.select(*KEY, "terms", "p"), groups.select(*KEY, "kept", "z"))
     pairs = sums.select("lang", F.explode(F.array(F.struct(F.col("a").alias("source"), F.col("b").alias("item")), F.struct(F.col("b").alias("source"), F.col("a").alias("item")))).alias("x"), "value")
     parts = [pairs.select("lang", "x.source", F.lit("pair").alias("part"), "x.item", "value"), terms.select(*KEY, F.lit("term").alias("part"), "item", "value")]
