@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafwork.llm.quotient_filter import QuotientFilter
-from sheafwork.llm.shared import staged, table
+from sheafwork.llm.shared import spread, staged, table
 
 SPACES = r"[\x20\x09-\x0D]+"
 #: Fingerprints of a filter, bits of a merged shard's fingerprints, shards at least (as bits), rows of a broadcast.
@@ -113,7 +113,7 @@ def repeated(filters: DataFrame, shards: int) -> DataFrame:
 def exact_duplicates(docs: DataFrame, bits: int = 64) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) for every row of docs.  ``bits``: of the fingerprints, fewer to test
     what happens to texts that share one."""
-    texts = docs.select("doc_id", normalised(F.col("text")).alias("norm")).withColumn("fp", fingerprint(F.col("norm"), bits))
+    texts = spread(docs.select("doc_id", "text")).select("doc_id", normalised(F.col("text")).alias("norm")).withColumn("fp", fingerprint(F.col("norm"), bits))
     prints = staged(texts.select("doc_id", "fp", F.sha2(F.col("norm"), 256).alias("sha"), F.monotonically_increasing_id().alias("row")), "exact-prints")
     total = prints.count()
     shards = max(FEWEST, (total >> SHARD).bit_length())

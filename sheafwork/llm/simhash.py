@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafwork.llm.shared import staged, table, word_strips
+from sheafwork.llm.shared import spread, staged, table, word_strips
 
 RADIUS, BITS, SHINGLE, SEED = 3, 64, 3, 42
 #: Fingerprints of a bucket that one task compares at once, and comparisons of a strip.
@@ -71,7 +71,7 @@ def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fps = np.array([simhash(t, shingle) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], names=["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint")
+    return spread(docs.select("doc_id", "text")).mapInArrow(work, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint")
 
 
 def forest(a: np.ndarray, b: np.ndarray | None, radius: int) -> list[tuple[int, int]]:
