@@ -5,27 +5,25 @@ before it."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 from collections.abc import Sequence
 from functools import reduce
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sheafwork.session import shared_folder
+
+#: Rows of a group that one task may sort; larger groups are numbered in ranges.
+MOST_IN_GROUP = 1_000_000
+
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """df by checkpoint(), in ``spark.checkpoint.dir``; where that is unset (tests, one machine) in a temporary folder that goes
-    when the driver ends."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            folder = tempfile.mkdtemp(prefix="sheafwork-")
-            atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        spark.sparkContext.setCheckpointDir(folder)
+    """df by checkpoint(), in the folder that driver and executors share."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
@@ -47,12 +45,37 @@ def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], ou
     return ranged.join(starts, same).withColumn(out, (F.col("_before") + place).cast("bigint")).drop("_part", "_at", "_before", *[f"_by_{c}" for c in by])
 
 
-def distances(nodes: DataFrame, edges: DataFrame, sources: DataFrame, most: int = 1000) -> DataFrame:
-    """(node, distance) by edges (a, b) in their direction from the nearest source; nodes out of reach are left out.
-    Raises after ``most`` rounds."""
+def same_group(by: Sequence[str], prefix: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in by], F.lit(True))
+
+
+def split_by_size(df: DataFrame, by: Sequence[str], most: int) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of the groups of up to ``most`` rows, rows of larger ones or None if there are none): groups are counted first."""
+    if not by:
+        return df.limit(0), df
+    sizes = df.groupBy(*by).agg(F.count("*").alias("_n")).where(F.col("_n") > most)
+    large = cut_lineage(sizes.select(*[F.col(c).alias(f"_of_{c}") for c in by]))
+    if large.isEmpty():
+        return df, None
+    return df.join(large, same_group(by, "_of_"), "left_anti"), df.join(large, same_group(by, "_of_"), "left_semi")
+
+
+def places(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], out: str, most: int = MOST_IN_GROUP) -> DataFrame:
+    """0, 1, ... within each group: a window for the groups that one task can sort, ranges for larger ones."""
+    small, large = split_by_size(df, by, most)
+    here = small.withColumn(out, (F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1).cast("bigint")) if by else None
+    if large is None:
+        return here
+    there = numbered(large, by, order, out)
+    return there if here is None else here.unionByName(there)
+
+
+def distances(nodes: DataFrame, edges: DataFrame, sources: DataFrame) -> DataFrame:
+    """(node, distance) by edges (a, b) in their direction from the nearest source; nodes out of reach are left out.  There are as
+    many rounds as the farthest node has steps: each finds new nodes, or is the last."""
     rings = [cut_lineage(sources.join(nodes, "node", "left_semi").select("node", F.lit(0).alias("distance")).distinct())]
     step = edges.select(F.col("a").alias("node"), F.col("b").alias("next"))
-    for d in range(1, most + 1):
+    for d in count(1):
         found = reduce(DataFrame.unionByName, rings)
         new = rings[-1].join(step, "node").select(F.col("next").alias("node")).distinct().join(found, "node", "left_anti")
         ring = cut_lineage(new.select("node", F.lit(d).alias("distance")))
@@ -61,7 +84,6 @@ def distances(nodes: DataFrame, edges: DataFrame, sources: DataFrame, most: int
         if len(rings) > 12:  # so that a round's plan stays short
             rings = [cut_lineage(reduce(DataFrame.unionByName, rings))]
         rings.append(ring)
-    raise RuntimeError(f"not done after {most} rounds")
 
 
 def grid_edges(cells: DataFrame, x: str, y: str) -> DataFrame:
@@ -73,21 +95,23 @@ def grid_edges(cells: DataFrame, x: str, y: str) -> DataFrame:
     return moved.join(at, [x, y]).select("a", node(F.col(x), F.col(y)).alias("b"))
 
 
-def ancestors(links: DataFrame, child: str, parent: str, most: int = 64) -> DataFrame:
-    """(child, ancestor, depth), a node being its own ancestor at depth 0.  Depth doubles each round.  A cycle raises."""
+def ancestors(links: DataFrame, child: str, parent: str) -> DataFrame:
+    """(child, ancestor, depth), a node being its own ancestor at depth 0.  Depth doubles each round, so chains may have any length.
+    A cycle raises."""
     one = links.where(F.col(parent).isNotNull()).select(F.col(child).alias("child"), F.col(parent).alias("ancestor"))
     every = one.select("child").union(one.select("ancestor")).union(links.select(child)).distinct()
     out = every.select("child", F.col("child").alias("ancestor"), F.lit(0).alias("depth")).unionByName(one.distinct().withColumn("depth", F.lit(1)))
     reach = 1
-    while reach < most:
+    while True:
         out = cut_lineage(out)
+        if not out.where("depth > 0 AND child = ancestor").isEmpty():
+            raise RuntimeError("a node is among its own ancestors")
         far = out.where(F.col("depth") == reach).select(F.col("child"), F.col("ancestor").alias("_via"))
         more = far.join(out.where("depth > 0").select(F.col("child").alias("_via"), "ancestor", F.col("depth").alias("_d")), "_via").select("child", "ancestor", (F.col("_d") + reach).alias("depth"))
         if more.isEmpty():
             return out
         out = out.unionByName(more).distinct()
         reach *= 2
-    raise RuntimeError(f"chains longer than {most}, or a cycle")
 
 
 def first_along_chain(chain: DataFrame, values: DataFrame, id_: str, value: str) -> DataFrame:
@@ -112,7 +136,7 @@ def taxonomy(links: DataFrame, child: str, parent: str) -> DataFrame:
     return links.groupBy(parent).agg(F.array_join(F.sort_array(F.collect_list(F.col(child).cast("string"))), ",").alias("children"), F.count("*").alias("n"))
 
 
-def propagate_frames(roots: DataFrame, edges: DataFrame, most: int = 200) -> DataFrame:
+def propagate_frames(roots: DataFrame, edges: DataFrame) -> DataFrame:
     """World frame of every node: roots (node, x, y, angle), edges (a, b, x, y, angle, scale) place b within a.
 
     The first frame of a node is that of the lowest depth, then of the smallest path (the reference goes depth first; a
@@ -120,7 +144,7 @@ def propagate_frames(roots: DataFrame, edges: DataFrame, most: int = 200) -> Dat
     now = cut_lineage(roots.select("node", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), F.col("angle").cast("double").alias("angle"), F.col("node").cast("string").alias("path"), F.lit(0).alias("depth")))
     found = now
     e = edges.where("scale = 1").select(F.col("a").alias("node"), F.col("b").alias("_b"), F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("angle").alias("_angle"))
-    for d in range(1, most + 1):
+    for d in count(1):  # each round places new nodes, or is the last
         c, s = F.cos(F.radians("angle")), F.sin(F.radians("angle"))
         moved = now.join(e, "node").select(F.col("_b").alias("node"), (F.col("x") + c * F.col("_x") - s * F.col("_y")).alias("x"), (F.col("y") + s * F.col("_x") + c * F.col("_y")).alias("y"), (F.col("angle") + F.col("_angle")).alias("angle"), F.concat_ws("/", "path", F.col("_b").cast("string")).alias("path"))
         new = moved.join(found.select("node"), "node", "left_anti").withColumn("_rn", F.row_number().over(Window.partitionBy("node").orderBy("path", "x", "y"))).where("_rn = 1").drop("_rn").withColumn("depth", F.lit(d))
@@ -128,7 +152,6 @@ def propagate_frames(roots: DataFrame, edges: DataFrame, most: int = 200) -> Dat
         if now.isEmpty():
             return found
         found = cut_lineage(found.unionByName(now))
-    raise RuntimeError(f"not done after {most} rounds")
 
 
 # -- control flow -------------------------------------------------------------------------------------------------------
@@ -204,8 +227,3 @@ def flow_metrics(ops: DataFrame, function: str = "function") -> DataFrame:
 def rollup_metrics(metrics: DataFrame, by: Sequence[str]) -> DataFrame:
     """Package and file totals with the largest complexity."""
     return metrics.rollup(*by).agg(F.count("*").alias("functions"), F.sum("ops").alias("ops"), F.sum("blocks").alias("blocks"), F.sum("edges").alias("edges"), F.max("complexity").alias("max_complexity"))
-
-
-def item_price(own: Column, parent_chain: Column, factor: float = 1.0) -> Column:
-    """The first non-null of a price and its parents' (an array), times a factor."""
-    return F.coalesce(own, F.try_element_at(F.filter(parent_chain, lambda x: x.isNotNull()), F.lit(1))) * factor

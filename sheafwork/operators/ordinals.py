@@ -7,17 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheafwork.operators.graph import numbered
+from sheafwork.operators.graph import numbered, places
 
 
 def variant_ordinals(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], out: str = "variant") -> DataFrame:
     """1, 2, ... within each group: which re-declaration of an id, or which placement of a target, a row is."""
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint"))
+    return places(df, by, order, out).withColumn(out, F.col(out) + 1)
 
 
 def occurrence_index(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], out: str = "idx") -> DataFrame:
     """0, 1, ... of repeated tags below one parent."""
-    return df.withColumn(out, (F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1).cast("bigint"))
+    return places(df, by, order, out)
 
 
 def synthetic_ids(df: DataFrame, kind: str, order: Sequence[Column | str], by: Sequence[str] = (), width: int = 4, out: str = "id") -> DataFrame:

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sheafwork.operators.graph import cut_lineage
+
 EDGE = ["from_kind", "to_kind", "from_id", "to_id", "column", "mechanism", "valid"]
 
 
@@ -38,8 +40,9 @@ def resolve(refs: DataFrame, ids: DataFrame) -> DataFrame:
 
     The ids are made distinct before they are joined, so a repeated id multiplies no edge; the left join lets adaptive
     execution split a hot target.  Whether a kind has rows is one small aggregate, broadcast by its size of one row a kind."""
-    known = ids.select(F.col("kind").alias("_kind"), F.col("id").cast("string").alias("_id")).where("_id IS NOT NULL").distinct()
-    has_rows = known.select(F.col("_kind").alias("_has")).distinct()
+    ids = ids.where("id IS NOT NULL")
+    known = ids.select(F.col("kind").alias("_kind"), F.col("id").cast("string").alias("_id")).distinct()
+    has_rows = ids.select(F.col("kind").alias("_has")).distinct()  # added up in each task, so only kinds are sent
     joined = refs.join(known, (F.col("to_kind") == F.col("_kind")) & (F.col("to_id") == F.col("_id")), "left")
     joined = joined.join(F.broadcast(has_rows), F.col("to_kind") == F.col("_has"), "left")
     return joined.withColumn("valid", F.when(F.col("_has").isNull(), F.lit(None).cast("boolean")).otherwise(F.col("_id").isNotNull())).drop("_kind", "_id", "_has")
@@ -90,7 +93,8 @@ def reference_catalog(refs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def all_directions(kinds: DataFrame) -> DataFrame:
-    """(a, b, side) for every unordered pair of different kinds and both directions; kinds is a small dimension."""
+    """(a, b, side) for every unordered pair of different kinds and both directions; kinds is a small dimension, as the result has
+    all its pairs."""
     a, b = kinds.select(F.col("kind").alias("a")), kinds.select(F.col("kind").alias("b"))
     pairs = a.join(F.broadcast(b), F.col("a") < F.col("b"))
     return pairs.select("a", "b", F.explode(F.array(F.lit("ab"), F.lit("ba"))).alias("side"))
@@ -149,15 +153,38 @@ def token_references(texts: DataFrame, id_: str, text: str, pattern: str, prefix
     return resolve(cut.join(prefixes, "prefix").select("from_id", F.col("kind").alias("to_kind"), "to_id"), ids)
 
 
-def substring_matches(rows: DataFrame, text: str, tokens: DataFrame, token: str, most_tokens: int = 10_000) -> DataFrame:
-    """Rows whose text contains a token, case apart.  A few tokens are broadcast; more are joined by their first three letters
-    (shorter ones by all of them), and compared whole after that."""
-    if tokens.limit(most_tokens + 1).count() > most_tokens:
-        low = F.lower(text)
-        pieces = lambda k: F.when(F.length(low) >= k, F.transform(F.sequence(F.lit(1), F.length(low) - k + 1), lambda i: F.substring(low, i, k))).otherwise(F.array().cast("array<string>"))
-        begin = F.explode(F.array_distinct(F.concat(F.array(F.lit("")), pieces(1), pieces(2), pieces(3)))).alias("_begin")
-        return rows.select("*", begin).join(tokens.withColumn("_begin", F.left(F.lower(token), F.lit(3))), "_begin").where(F.contains(F.lower(text), F.lower(token))).drop("_begin")
-    return rows.join(F.broadcast(tokens), F.contains(F.lower(text), F.lower(token)))
+GRAM = 3
+
+
+def grams(text: Column, k: int) -> Column:
+    """The different runs of k letters of a text."""
+    return F.when(F.length(text) >= k, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - k + 1), lambda i: F.substring(text, i, k)))).otherwise(F.array().cast("array<string>"))
+
+
+def containing(rows: DataFrame, text: Column, needles: DataFrame, needle: Column, few: int) -> DataFrame:
+    """rows joined with the needles that their text contains.  Up to ``few`` needles are broadcast and tried on each row.  More
+    are joined by one gram each: of a needle's grams the one that the fewest rows have, counted over all rows first, so a
+    needle meets few rows that lack it, and a gram that is everywhere is nobody's choice.  Empty needles match nothing."""
+    asked = needles.withColumn("_needle", needle).where("_needle <> ''")
+    if asked.limit(few + 1).count() <= few:
+        return rows.join(F.broadcast(asked), F.contains(text, F.col("_needle"))).drop("_needle")
+    words = asked.select("_needle").distinct()
+    cut = F.when(F.length("_needle") >= GRAM, grams(F.col("_needle"), GRAM)).otherwise(F.array("_needle"))
+    wanted = words.select("_needle", F.explode(cut).alias("_gram"))
+    every = rows.withColumn("_text", text)
+    each = F.array_distinct(F.flatten(F.array(*[grams(F.col("_text"), k) for k in range(1, GRAM + 1)])))
+    held = every.select(F.explode(each).alias("_gram")).join(wanted.select("_gram").distinct(), "_gram", "left_semi").groupBy("_gram").agg(F.count("*").alias("_n"))
+    rarest = wanted.join(held, "_gram").groupBy("_needle").agg(F.min(F.struct("_n", "_gram")).alias("_x"), F.count("*").alias("_found"))
+    whole = rarest.join(wanted.groupBy("_needle").agg(F.count("*").alias("_all")), "_needle").where("_found = _all")  # a gram that no row has
+    chosen = cut_lineage(asked.join(whole.select("_needle", F.col("_x._gram").alias("_gram")), "_needle"))
+    asked_grams = chosen.select("_gram").distinct()
+    met = every.select("*", F.explode(each).alias("_gram")).join(asked_grams, "_gram", "left_semi").join(chosen, "_gram")
+    return met.where(F.contains("_text", "_needle")).drop("_text", "_gram", "_needle")
+
+
+def substring_matches(rows: DataFrame, text: str, tokens: DataFrame, token: str, most_tokens: int = 64) -> DataFrame:
+    """Rows whose text contains a token, case apart; see containing."""
+    return containing(rows, F.lower(text), tokens, F.lower(token), most_tokens)
 
 
 def anti_fallback(primary: DataFrame, fallback: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -260,7 +287,7 @@ def scene_owners(folders: DataFrame, scenes: DataFrame, folder: str, scene: str,
     s = cut(scenes.where(F.col(scene).endswith(scene_ending)), scene, scene_ending)
     begins = s.where("_stem <> ''").select("_up", "_path", F.explode(F.transform(F.sequence(F.lit(1), F.length("_stem")), lambda n: F.left(F.col("_stem"), n))).alias("_stem"))
     begins = begins.groupBy("_up", "_stem").agg(F.min(F.struct(F.length("_path").alias("n"), F.col("_path").alias("p"))).alias("x")).select("_up", "_stem", F.col("x.p").alias("_longer"))
-    f = cut(folders, folder, ending).withColumn("_less", F.regexp_extract("_stem", r"^(.*)\.[^.]*$", 1))
+    f = cut(folders, folder, ending).withColumn("_less", F.when(F.contains("_stem", F.lit(".")), F.regexp_extract("_stem", r"^(.*)\.[^.]*$", 1)))
     f = f.join(s.select("_up", "_stem", F.col("_path").alias("_same")), ["_up", "_stem"], "left").join(begins, ["_up", "_stem"], "left")
     f = f.join(s.select("_up", F.col("_stem").alias("_less"), F.col("_path").alias("_cut")), ["_up", "_less"], "left")
     evidence = F.when(F.col("_same").isNotNull(), "same-stem").when(F.col("_cut").isNotNull(), "strip-dot-variant").when(F.col("_longer").isNotNull(), "prefix-match").otherwise("unowned")

@@ -5,23 +5,19 @@ and id.  Names are normalised once when the index is made, not at every query.""
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafwork.functions.text import normalize_name
 from sheafwork.operators.ordinals import shared_budget
 from sheafwork.operators.quality import reconcile
+from sheafwork.operators.relations import containing
 
 LEAST_QUERY = 2
 #: Queries that search_all broadcasts at most.
-FEW_QUERIES = 10_000
-#: Characters of ids in a piece of a manifest.
-PIECE = 1 << 14
+FEW_QUERIES = 64
 
 
 def tier(name: Column, query: Column) -> Column:
@@ -48,14 +44,8 @@ def search(rows: DataFrame, query: str, kinds: Sequence[str], normalized: str |
 
 def search_all(rows: DataFrame, queries: DataFrame, kinds: Sequence[str], k: int) -> DataFrame:
     """The first k hits of every query (q, normalised) in rows (kind, id, norm).  Up to FEW_QUERIES queries are broadcast and each
-    row is read once; more are joined by their first LEAST_QUERY letters, which every query has."""
-    if queries.limit(FEW_QUERIES + 1).count() <= FEW_QUERIES:
-        met = rows.join(F.broadcast(queries), F.contains("norm", "q"))
-    else:
-        n = F.length("norm") - LEAST_QUERY + 1
-        begin = F.explode(F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.substring("norm", i, LEAST_QUERY))))).alias("_begin")
-        by_begin = queries.where(F.length("q") >= LEAST_QUERY).withColumn("_begin", F.left("q", F.lit(LEAST_QUERY)))
-        met = rows.select("*", begin).join(by_begin, "_begin").where(F.contains("norm", "q")).drop("_begin")
+    row is read once; more are joined by the rarest gram of each (see relations.containing)."""
+    met = containing(rows, F.col("norm"), queries.where(F.length("q") >= LEAST_QUERY), F.col("q"), FEW_QUERIES)
     hits = met.withColumn("tier", tier(F.col("norm"), F.col("q"))).where("tier IS NOT NULL")
     return rank_hits(hits, kinds, ["q"]).where(F.col("rank") <= k)
 
@@ -94,50 +84,11 @@ def strays(rows: DataFrame, kinds: Sequence[str], locales: Sequence[str]) -> Dat
 
 
 def manifest(index: DataFrame) -> DataFrame:
-    """Rows of each locale and a digest of its ids in order; equal digests mean equal id lists.
-
-    Ids are sorted in ranges over all tasks and packed into pieces of about PIECE bytes; one task for each locale then streams
-    its pieces, in order, through SHA-256.  No row or task holds a locale's ids, though one hash has to read them in turn."""
-    kind = index.schema["locale"].dataType.simpleString()
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, piece, size, now = TaskContext.get().partitionId(), 0, [], 0, None
-        schema = None
-
-        def full() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([now], schema), pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([len(piece)], pa.int64()), pa.array(["\n".join(piece).encode()], pa.binary())], names=["locale", "part", "seq", "n", "data"])
-
-        for batch in batches:
-            schema = batch.column("locale").type
-            for locale, id_ in zip(batch.column("locale").to_pylist(), batch.column("id").to_pylist()):
-                if piece and (locale != now or size >= PIECE):
-                    yield full()
-                    seq, piece, size = seq + 1, [], 0
-                now = locale
-                piece.append(id_)
-                size += len(id_)
-        if piece:
-            yield full()
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows, sha, schema = None, 0, hashlib.sha256(), None
-
-        def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([now], schema), pa.array([rows], pa.int64()), pa.array([sha.hexdigest()])], names=["locale", "rows", "ids_sha256"])
-
-        for batch in batches:
-            schema = batch.column("locale").type
-            for locale, n, data in zip(batch.column("locale").to_pylist(), batch.column("n").to_pylist(), batch.column("data")):
-                if rows and locale != now:
-                    yield done()
-                    rows, sha = 0, hashlib.sha256()
-                if rows:
-                    sha.update(b"\n")
-                sha.update(data.as_buffer())
-                now, rows = locale, rows + n
-        if rows:
-            yield done()
-
-    ids = index.select("locale", F.concat_ws("/", "kind", "id").alias("id")).repartitionByRange("locale", "id").sortWithinPartitions("locale", "id")
-    pieces = ids.mapInArrow(pack, f"locale {kind}, part int, seq bigint, n bigint, data binary")
-    return pieces.repartition("locale").sortWithinPartitions("locale", "part", "seq").mapInArrow(digest, f"locale {kind}, rows bigint, ids_sha256 string")
+    """Rows of each locale and a digest of its ids: equal digests mean equal sorted id lists.
+
+    The digest is of the count and of two sums over hashes of the ids, so ids are added up in every task, in whatever order, and no
+    task reads a locale's list."""
+    hash_ = F.md5(F.concat_ws("/", "kind", "id").cast("binary"))
+    part = lambda at: F.sum(F.conv(F.substring(hash_, at, 15), 16, 10).cast("decimal(38,0)"))
+    sums = index.groupBy("locale").agg(F.count("*").alias("rows"), part(1).alias("_a"), part(16).alias("_b"))
+    return sums.select("locale", "rows", F.sha2(F.concat_ws(",", "rows", "_a", "_b").cast("binary"), 256).alias("ids_digest"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -10,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafwork.operators.graph import cut_lineage
+from sheafwork.session import staged
 
 
 def affine(x: Column, y: Column, m: Sequence[float]) -> tuple[Column, Column]:
@@ -70,34 +71,119 @@ def lookup_pixels(points: DataFrame, row: Column, col: Column, raster: DataFrame
     return at.join(raster.select(F.col("row").alias("_r"), F.col("col").alias("_c"), "value"), ["_r", "_c"], "left").withColumn("value", F.coalesce("value", F.lit(missing))).drop("_r", "_c")
 
 
-def nearest_neighbours(points: DataFrame, id_: str, x: str, y: str, cell: float) -> DataFrame:
+#: Points of a leaf of a point tree, bits of a coordinate on its lattice and bits that a step down takes.
+LEAF, LATTICE, STEP = 64, 48, 2
+
+
+def cell_at(c: str, step: Column | int) -> Column:
+    step = step if isinstance(step, Column) else F.lit(step)
+    return F.call_function("shiftright", F.col(c), (F.lit(LATTICE) - step * STEP).cast("int"))
+
+
+def point_tree(points: DataFrame, n: int, width: float, low: tuple[float, float]) -> tuple[DataFrame, DataFrame]:
+    """(nodes, leaves) of n points (i, x, y) at different places in the square from ``low``, ``width`` wide: cells of 4 x 4 of the step
+    before, beginning where even points would be LEAF to a cell, and cut again until a cell has LEAF points or the lattice ends.
+
+    nodes (s, cx, cy, n, x0, x1, y0, y1, leaf) are the cells that have points, up to the whole square, with the box of those; leaves
+    (i, x, y, ix, iy, s, cx, cy, n) are the points with the cell that was not cut further.  A round counts only points of cut cells."""
+    on_lattice = lambda c, at: F.least(F.floor((F.col(c) - at) / width * 2.0**LATTICE).cast("bigint"), F.lit((1 << LATTICE) - 1))
+    todo = staged(points.select("i", "x", "y", on_lattice("x", low[0]).alias("ix"), on_lattice("y", low[1]).alias("iy")), "points")
+    first = s = max(0, int(math.log(max(1.0, n / LEAF), 4**STEP)))
+    box = [f(c).alias(k) for k, f, c in (("x0", F.min, "x0"), ("x1", F.max, "x1"), ("y0", F.min, "y0"), ("y1", F.max, "y1"))]
+    nodes, leaves = [], []
+    while True:
+        at = todo.withColumns({"s": F.lit(s), "cx": cell_at("ix", s), "cy": cell_at("iy", s)})
+        boxed = at.withColumns({"x0": F.col("x"), "x1": F.col("x"), "y0": F.col("y"), "y1": F.col("y")})
+        cells = boxed.groupBy("s", "cx", "cy").agg(F.count("*").alias("n"), *box)
+        nodes.append(staged(cells.withColumn("leaf", (F.col("n") <= LEAF) | F.lit(s * STEP >= LATTICE)), "cells"))
+        held = at.join(nodes[-1].select("s", "cx", "cy", "n", "leaf"), ["s", "cx", "cy"])
+        leaves.append(held.where("leaf").select("i", "x", "y", "ix", "iy", "s", "cx", "cy", "n"))
+        if nodes[-1].where("NOT leaf").isEmpty():
+            break
+        todo, s = staged(held.where("NOT leaf").select("i", "x", "y", "ix", "iy"), "points"), s + 1
+    if first:  # the cells above, from those of the first round
+        up = nodes[0].drop("leaf").select(F.explode(F.sequence(F.lit(0), F.lit(first - 1))).alias("u"), "*")
+        lift = lambda c: F.call_function("shiftright", F.col(c), ((F.lit(first) - F.col("u")) * STEP).cast("int")).alias(f"_{c}")
+        up = up.select("u", lift("cx"), lift("cy"), "n", "x0", "x1", "y0", "y1").groupBy("u", "_cx", "_cy").agg(F.sum("n").alias("n"), *box)
+        nodes.append(up.select(F.col("u").alias("s"), F.col("_cx").alias("cx"), F.col("_cy").alias("cy"), "n", "x0", "x1", "y0", "y1", F.lit(False).alias("leaf")))
+    return staged(reduce(DataFrame.unionByName, nodes), "nodes"), staged(reduce(DataFrame.unionByName, leaves), "leaves")
+
+
+def distance(x: Column, y: Column, u: Column, v: Column) -> Column:
+    return F.sqrt((x - u) ** 2 + (y - v) ** 2)
+
+
+def away(low: Column, high: Column, at: Column) -> Column:
+    """How far a place lies outside a range."""
+    return F.greatest(low - at, at - high, F.lit(0.0))
+
+
+def nearest_places(points: DataFrame) -> DataFrame:
+    """(i, nearest, distance) of points (i, x, y) at different places, two of them at least.
+
+    The points of its leaf, or the box of the smallest cell with others, bound how far a point's nearest can be.  It then looks at the
+    cells of about that width around it, and from there down only into cells whose box is within the bound, so in a dense cell it
+    meets the few points near it, and few points look into any one cell."""
+    low = points.agg(F.count("*").alias("n"), F.min("x").alias("x"), F.min("y").alias("y"), F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("w")).first()
+    width = float(low["w"])
+    nodes, leaves = point_tree(points, low["n"], width, (float(low["x"]), float(low["y"])))
+    cells = nodes.select(F.col("s").alias("ps"), F.col("cx").alias("px"), F.col("cy").alias("py"), "n", "x0", "x1", "y0", "y1", "leaf")
+    mates = leaves.select("s", "cx", "cy", F.col("i").alias("j"), F.col("x").alias("u"), F.col("y").alias("v"))
+    d = distance(F.col("x"), F.col("y"), F.col("u"), F.col("v"))
+    place = ["i", "x", "y", "ix", "iy", "s"]
+    own = leaves.where("n > 1").join(mates, ["s", "cx", "cy"]).where("i <> j").groupBy(*place).agg(F.min(d).alias("reach"))
+    alone = leaves.where("n = 1 AND s > 0").select(*place, F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("ps"))
+    alone = alone.withColumns({"px": cell_at("ix", F.col("ps")), "py": cell_at("iy", F.col("ps"))}).join(cells.where("n > 1").select("ps", "px", "py", "x0", "x1", "y0", "y1"), ["ps", "px", "py"])
+    far = alone.groupBy(*place).agg(F.min(distance(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))).alias("reach"))
+    # The step whose cells are at least twice as wide as the reach, so that few of them hold the whole circle.
+    deepest = F.floor(F.log2(F.lit(width) / (F.greatest(F.col("reach"), F.lit(1e-300)) * 2)) / STEP)
+    begun = staged(own.unionByName(far), "reach").withColumn("t", F.greatest(F.least(F.col("s"), deepest), F.lit(0)).cast("int"))
+    margin = F.col("reach") / width * 2.0**LATTICE + 2  # and what rounding may take
+    corner = lambda c, sign: F.call_function("shiftright", F.least(F.greatest(F.floor(F.col(c) + sign * margin).cast("bigint"), F.lit(0)), F.lit((1 << LATTICE) - 1)), (F.lit(LATTICE) - F.col("t") * STEP).cast("int"))
+    begun = begun.select("i", "x", "y", "reach", "t", F.explode(F.sequence(corner("ix", -1), corner("ix", 1))).alias("cx"), corner("iy", -1).alias("y_a"), corner("iy", 1).alias("y_b"))
+    begun = begun.select("i", "x", "y", "reach", "t", "cx", F.explode(F.sequence("y_a", "y_b")).alias("cy"))
+    # Such a cell is a node, or lies within a larger leaf.
+    begun = begun.select("*", F.explode(F.sequence(F.lit(0), F.col("t"))).alias("ps"))
+    lift = ((F.col("t") - F.col("ps")) * STEP).cast("int")
+    begun = begun.select("i", "x", "y", "reach", "ps", (F.col("ps") == F.col("t")).alias("own"), F.call_function("shiftright", "cx", lift).alias("px"), F.call_function("shiftright", "cy", lift).alias("py"))
+    inside = distance(away(F.col("x0"), F.col("x1"), F.col("x")), away(F.col("y0"), F.col("y1"), F.col("y")), F.lit(0.0), F.lit(0.0)) <= F.col("reach")
+    hit = staged(begun.join(cells, ["ps", "px", "py"]).where("leaf OR own").where(inside).select("i", "x", "y", "reach", "ps", "px", "py", "leaf").distinct(), "cells-near")
+    seen = [hit.where("leaf")]
+    below = cells.where("ps > 0").select("*", (F.col("ps") - 1).alias("us"), F.shiftright("px", STEP).alias("ux"), F.shiftright("py", STEP).alias("uy"))
+    while True:
+        open_ = hit.where("NOT leaf").select("i", "x", "y", "reach", F.col("ps").alias("us"), F.col("px").alias("ux"), F.col("py").alias("uy"))
+        if open_.isEmpty():
+            break
+        hit = staged(open_.join(below, ["us", "ux", "uy"]).where(inside).select("i", "x", "y", "reach", "ps", "px", "py", "leaf"), "cells-near")
+        seen.append(hit.where("leaf"))
+    asked = reduce(DataFrame.unionByName, seen).select("i", "x", "y", F.col("ps").alias("s"), F.col("px").alias("cx"), F.col("py").alias("cy"))
+    met = asked.join(mates, ["s", "cx", "cy"]).where("i <> j").groupBy("i").agg(F.min(F.struct(d.alias("distance"), F.col("j").alias("nearest"))).alias("m"))
+    return met.select("i", "m.nearest", "m.distance")
+
+
+def nearest_neighbours(points: DataFrame, id_: str, x: str, y: str) -> DataFrame:
     """(id, nearest, distance) of each point's nearest other point, the smaller id among equals; nearest is null for a point
     that is alone, and for null or infinite coordinates.
 
-    Points are put into cells and meet only points of the 3 x 3 cells around; who finds none within a cell's width goes on
-    with wider cells.  So work follows local density, with no cross join.  Rounds end at the latest when a cell is as wide as
-    all points together; each is cut from the plan of those before."""
-    given = points.select(F.col(id_).alias("i"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    Points at one place are one point first, so any number of them costs one aggregate; the places meet through a point tree that
+    is cut finer where they are dense (nearest_places), with no cross join and no cell of more than LEAF points."""
+    given = points.select(F.col(id_).alias("id"), (F.col(x).cast("double") + 0.0).alias("x"), (F.col(y).cast("double") + 0.0).alias("y"))
     finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
     every = given.where(finite("x") & finite("y"))
-    extent = every.agg(F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y"))).first()[0] or 0.0
-    todo, found, width = every, [], float(cell)
-    steps = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
-    while True:
-        there = every.select(F.col("i").alias("j"), F.col("x").alias("u"), F.col("y").alias("v"), floor_cell(F.col("x"), width).alias("cx"), floor_cell(F.col("y"), width).alias("cy"))
-        here = todo.select("i", "x", "y", floor_cell(F.col("x"), width).alias("_cx"), floor_cell(F.col("y"), width).alias("_cy"), steps.alias("s"))
-        here = here.select("i", "x", "y", (F.col("_cx") + F.col("s.a")).alias("cx"), (F.col("_cy") + F.col("s.b")).alias("cy"))
-        d = F.sqrt((F.col("x") - F.col("u")) ** 2 + (F.col("y") - F.col("v")) ** 2)
-        met = here.join(there, ["cx", "cy"]).where("i <> j").groupBy("i").agg(F.min(F.struct(d.alias("distance"), F.col("j").alias("nearest"))).alias("m"))
-        last = width > extent
-        sure = met if last else met.where(F.col("m.distance") <= width)
-        found.append(cut_lineage(sure.select(F.col("i").alias("id"), F.col("m.nearest").alias("nearest"), F.col("m.distance").alias("distance"))))
-        todo = cut_lineage(todo.join(found[-1].select(F.col("id").alias("i")), "i", "left_anti"))
-        if last or todo.isEmpty():
-            break
-        width *= 4
-    near = reduce(DataFrame.unionByName, found)
-    rest = given.where(~(finite("x") & finite("y"))).unionByName(todo).select(F.col("i").alias("id"))
+    at = staged(every.groupBy("x", "y").agg(F.min("id").alias("i"), F.count("*").alias("n")), "places")
+    shared = at.where("n > 1").select("x", "y", "i")
+    others = every.join(shared, ["x", "y"]).select("id", "i")
+    second = others.where("id > i").groupBy("i").agg(F.min("id").alias("second"))
+    same = others.join(second, "i").select("id", F.when(F.col("id") == F.col("i"), F.col("second")).otherwise(F.col("i")).alias("nearest"), F.lit(0.0).alias("distance"))
+    same = same.unionByName(others.join(second, "i", "left_anti").select("id", F.col("i").alias("nearest"), F.lit(0.0).alias("distance")))
+    places_ = at.select("i", "x", "y")
+    alone = at.where("n = 1").select("i")
+    near = same
+    if places_.limit(2).count() == 2:
+        near = near.unionByName(nearest_places(places_).join(alone, "i", "left_semi").select(F.col("i").alias("id"), "nearest", "distance"))
+        rest = given.where(~(finite("x") & finite("y"))).select("id")
+    else:
+        rest = given.where(~(finite("x") & finite("y"))).select("id").unionByName(alone.withColumnRenamed("i", "id"))
     return near.unionByName(rest, allowMissingColumns=True)
 
 
@@ -132,14 +218,34 @@ def point_in_ring(x: Column, y: Column, ring: Column) -> Column:
     return F.when(n >= 3, F.size(F.filter(edges, lambda e: F.coalesce(crosses(e), F.lit(False)))) % 2 == 1).otherwise(False)
 
 
+def broken_rings(polygons: DataFrame) -> DataFrame:
+    """The ledger of polygons (polygon, ring) that hold no point because their ring is none: (polygon, reason), reason being
+    ``missing``, ``short`` (fewer than three vertices) or ``vertex`` (one without finite coordinates)."""
+    number = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
+    whole = F.forall("ring", lambda p: p.isNotNull() & number(p["x"]) & number(p["y"]))
+    reason = F.when(F.col("ring").isNull(), "missing").when(F.size("ring") < 3, "short").when(~F.coalesce(whole, F.lit(False)), "vertex")
+    return polygons.select("polygon", reason.alias("reason")).where("reason IS NOT NULL")
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float) -> DataFrame:
-    """(point, polygon) for each polygon (polygon, ring) a point (point, x, y) is in: both are put into cells, polygons into
-    all cells of their box, so only points nearby are tested."""
-    lo = lambda f: F.floor(F.array_min(F.transform("ring", lambda p: p[f])) / cell)
-    hi = lambda f: F.floor(F.array_max(F.transform("ring", lambda p: p[f])) / cell)
-    spread = polygons.select("polygon", "ring", F.explode(F.sequence(lo("x"), hi("x"))).alias("cx")).select("*", F.explode(F.sequence(lo("y"), hi("y"))).alias("cy"))
-    at = points.withColumns({"cx": F.floor(F.col("x") / cell), "cy": F.floor(F.col("y") / cell)})
-    return at.join(spread, ["cx", "cy"]).where(point_in_ring(F.col("x"), F.col("y"), F.col("ring"))).select("point", "polygon").distinct()
+    """(point, polygon) for each polygon (polygon, ring) a point (point, x, y) is in.
+
+    A polygon is put into cells as wide as its box (``cell`` or that doubled as often as needed), so it lies in four of them at most,
+    however large it is; points are put into a cell of each width that polygons have.  Polygons of broken_rings hold nothing."""
+    side = lambda f, of: of(F.transform("ring", lambda p: p[f]))
+    bad = broken_rings(polygons).select(F.col("polygon").alias("_bad"))
+    good = polygons.join(bad, F.col("polygon").eqNullSafe(F.col("_bad")), "left_anti")
+    boxed = good.select("polygon", "ring", *[side(f, of).alias(f"{f}{k}") for f in "xy" for k, of in ((0, F.array_min), (1, F.array_max))])
+    wide = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
+    boxed = boxed.withColumn("level", F.greatest(F.ceil(F.log2(F.greatest(wide, F.lit(float(cell))) / float(cell))), F.lit(0)).cast("int"))
+    unit = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("level"))
+    lattice = lambda c: F.floor(c / unit)
+    spread_ = boxed.select("polygon", "ring", "x0", "x1", "y0", "y1", "level", F.explode(F.sequence(lattice(F.col("x0")), lattice(F.col("x1")))).alias("cx"), lattice(F.col("y0")).alias("_y0"), lattice(F.col("y1")).alias("_y1"))
+    spread_ = spread_.select("polygon", "ring", "x0", "x1", "y0", "y1", "level", "cx", F.explode(F.sequence("_y0", "_y1")).alias("cy"))
+    levels = boxed.select("level").distinct()  # at most about a thousand, as coordinates are doubles
+    at = points.join(F.broadcast(levels)).withColumns({"cx": lattice(F.col("x")), "cy": lattice(F.col("y"))})
+    near = at.join(spread_, ["level", "cx", "cy"]).where(F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1")))
+    return near.where(point_in_ring(F.col("x"), F.col("y"), F.col("ring"))).select("point", "polygon").distinct()
 
 
 def frame(chain: Column) -> Column:
@@ -180,7 +286,6 @@ def square_side(n_bytes: Column, width: int) -> Column:
 
 
 
-
 def downsampled_tiles(tiles: DataFrame, size: int, by: str = "layer") -> DataFrame:
     """Tiles of one zoom level less: each 2 x 2 group of (layer, x, y, data: size * size bytes) as one tile of the same size by
     2 x 2 means; missing tiles count as zero.  A group has at most four tiles, so it is bounded."""

@@ -59,7 +59,7 @@ m AS (SELECT a.i AS id, b.i AS nearest, sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2
 SELECT id, nearest, round(distance, 6) AS distance FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, nearest) AS rn FROM m) WHERE rn = 1""")
 def nearest_neighbour(spark: SparkSession, d: str) -> DataFrame:
     pts = table(spark, d, "supplier").select("s_suppkey", F.col("s_acctbal").alias("x"), (F.col("s_nationkey") * 100.0).alias("y"))
-    return P.nearest_neighbours(pts, "s_suppkey", "x", "y", 250.0).withColumn("distance", F.round("distance", 6))
+    return P.nearest_neighbours(pts, "s_suppkey", "x", "y").withColumn("distance", F.round("distance", 6))
 
 
 @query(f"""WITH {_CELLS_SQL}, l AS (SELECT x AS col, y AS row, n % 3 AS label FROM cells), s AS (SELECT unnest(range(-2, 3)) AS d),

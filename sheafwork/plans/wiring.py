@@ -72,7 +72,7 @@ def evidence_conflicts(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""WITH f AS (SELECT DISTINCT 'n' || c_nationkey AS up, 's' || (c_custkey % 40) || CASE WHEN c_custkey % 3 = 0 THEN '.1' ELSE '' END AS stem FROM customer),
-s AS (SELECT DISTINCT 'n' || (p_partkey % 25) AS up, 's' || (p_partkey % 17) || CASE WHEN p_partkey % 4 = 0 THEN '_01' ELSE '' END AS stem FROM part),
+s AS (SELECT DISTINCT 'n' || (p_partkey % 25) AS up, 's' || (p_partkey % 17) || CASE WHEN p_partkey % 4 = 0 THEN '_01' ELSE '' END AS stem FROM part UNION SELECT DISTINCT 'n' || (p_partkey % 25), '' FROM part WHERE p_partkey % 5 = 0),
 c AS (SELECT f.up, f.stem, s.stem AS hit, CASE WHEN s.stem = f.stem THEN 1 WHEN contains(f.stem, '.') AND s.stem = string_split(f.stem, '.')[1] THEN 2 WHEN starts_with(s.stem, f.stem) THEN 3 END AS rank FROM f JOIN s ON f.up = s.up),
 b AS (SELECT * FROM c WHERE rank IS NOT NULL QUALIFY row_number() OVER (PARTITION BY up, stem ORDER BY rank, length(hit), hit) = 1)
 SELECT f.up || '/' || f.stem || '.dat' AS folder, f.up || '/' || hit || '.prefab' AS owner, CASE coalesce(rank, 4) WHEN 1 THEN 'same-stem' WHEN 2 THEN 'strip-dot-variant' WHEN 3 THEN 'prefix-match' ELSE 'unowned' END AS evidence
@@ -81,7 +81,9 @@ def scene_owners(spark: SparkSession, d: str) -> DataFrame:
     """Which scene a data folder belongs to, by ranked rules on names."""
     folder = F.format_string("n%d/s%d%s.dat", "c_nationkey", F.col("c_custkey") % 40, F.when(F.col("c_custkey") % 3 == 0, ".1").otherwise(""))
     scene = F.format_string("n%d/s%d%s.prefab", F.col("p_partkey") % 25, F.col("p_partkey") % 17, F.when(F.col("p_partkey") % 4 == 0, "_01").otherwise(""))
-    return relations.scene_owners(table(spark, d, "customer").select(folder.alias("folder")), table(spark, d, "part").select(scene.alias("scene")), "folder", "scene")
+    nameless = F.format_string("n%d/.prefab", F.col("p_partkey") % 25)  # belongs to no folder whose stem has no dot
+    scenes = table(spark, d, "part").select(F.explode(F.array_compact(F.array(scene, F.when(F.col("p_partkey") % 5 == 0, nameless)))).alias("scene"))
+    return relations.scene_owners(table(spark, d, "customer").select(folder.alias("folder")), scenes, "folder", "scene")
 
 
 @query("""WITH o AS (SELECT l_returnflag AS op, [l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT)] AS args FROM lineitem), r AS (SELECT 'A' AS op, unnest([0, 2]) AS place UNION ALL SELECT 'N', 1 UNION ALL SELECT 'R', unnest([0, 5]))

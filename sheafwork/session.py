@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import atexit
+import re
+import shutil
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "sheafwork", master: str | None = None, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -21,6 +27,38 @@ def session(app: str = "sheafwork", master: str | None = None, shuffle_partition
     return b.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or where that is unset on one machine (tests) a temporary
+    folder that is set there and removed at exit.  On a cluster it has to be set: a folder of one machine would be another folder
+    on each executor."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    own = tempfile.mkdtemp(prefix="sheafwork-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", f"file://{own}")
+    return f"file://{own}"
+
+
+def staged(df: DataFrame, tag: str = "stage") -> DataFrame:
+    """df written once as Parquet in the shared folder and read again: lineage, and what the planner guesses of sizes, end there; a
+    lost executor costs a read.  The files go when the driver's JVM ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(where)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where its files make fewer partitions than there are (a small table in one file); as it is otherwise."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """A table of the driver's layout: one Parquet file or folder for each name."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

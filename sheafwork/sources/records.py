@@ -91,8 +91,21 @@ def files_with_suffix(spark: SparkSession, folder: str, suffixes: list[str]) ->
 
 
 def terrain_index(files: DataFrame, roles: str = "hniw") -> DataFrame:
-    """(dir, tx, ty, one column of lengths for each role) from file paths ``<dir>/<tx>_<ty>_<role>.bin``; other names are left out."""
-    pattern = rf"([^/]*)/(-?\d+)_(-?\d+)_([{roles}])\.bin$"
+    """(dir, tx, ty, one column of lengths for each role) from file paths ``<dir>/<tx>_<ty>_<role>.bin``; other names are left out.
+    dir is the whole path of the folder, so folders of one name below different parents stay apart.  Names that say the same
+    tile and role twice (``1_2_h`` and ``01_2_h``) are in terrain_repeats; the index has the length of the smallest path."""
+    cut = terrain_files(files, roles)
+    return cut.groupBy("dir", "tx", "ty").agg(*[F.min_by(F.when(F.col("role") == r, F.col("length")), F.when(F.col("role") == r, F.col("path"))).alias(r) for r in roles])
+
+
+def terrain_files(files: DataFrame, roles: str = "hniw") -> DataFrame:
+    """(path, dir, tx, ty, role, length) of the files that are a terrain tile's."""
+    pattern = rf"^(?:(.*)/)?(-?\d+)_(-?\d+)_([{roles}])\.bin$"
     part = lambda k: F.regexp_extract("path", pattern, k)
-    cut = files.where(F.col("path").rlike(pattern)).select(part(1).alias("dir"), part(2).cast("int").alias("tx"), part(3).cast("int").alias("ty"), part(4).alias("role"), "length")
-    return cut.groupBy("dir", "tx", "ty").agg(*[F.max(F.when(F.col("role") == r, F.col("length"))).alias(r) for r in roles])
+    return files.where(F.col("path").rlike(pattern)).select("path", part(1).alias("dir"), part(2).cast("int").alias("tx"), part(3).cast("int").alias("ty"), part(4).alias("role"), "length")
+
+
+def terrain_repeats(files: DataFrame, roles: str = "hniw") -> DataFrame:
+    """The ledger beside terrain_index: (dir, tx, ty, role, times, lengths differ) of roles that several files give."""
+    one = terrain_files(files, roles).groupBy("dir", "tx", "ty", "role")
+    return one.agg(F.count("*").alias("times"), (F.min("length") < F.max("length")).alias("differ")).where("times > 1")
