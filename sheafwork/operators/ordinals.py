@@ -39,7 +39,8 @@ def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], k: in
 
 
 def seeded(key: Column, seed: int) -> Column:
-    return F.xxhash64(key.cast("string"), F.lit(seed))
+    """A hash of a key that any engine can say: md5 of ``seed:key``."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
@@ -58,6 +59,16 @@ def stratified_sample(df: DataFrame, by: Sequence[str], key: str, each: int, tot
     return ranked.orderBy((F.col("_in") > each).cast("int"), "_h", key).limit(total).drop("_in", "_h")
 
 
+def half_and_half(df: DataFrame, key: str, first: Column, n: int, seed: int = 0) -> DataFrame:
+    """n rows by the seeded hash, half of them (rounded up) of those that ``first`` holds for and the others of the rest; what one side
+    lacks the other gives.  Adds half: 1 or 2."""
+    half = F.when(F.coalesce(first, F.lit(False)), 1).otherwise(2)
+    ranked = df.withColumn("half", half).withColumn("_h", seeded(F.col(key), seed))
+    ranked = ranked.withColumn("_in", F.row_number().over(Window.partitionBy("half").orderBy("_h", key))).where(F.col("_in") <= n)  # a group limit
+    fair = F.when(F.col("half") == 1, F.lit(-(-n // 2))).otherwise(F.lit(n // 2))
+    return ranked.orderBy((F.col("_in") > fair).cast("int"), "_in", "half").limit(n).drop("_h", "_in")
+
+
 def every_nth(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], step: int) -> DataFrame:
     """Rows 0, step, 2 * step, ... of each group."""
     return numbered(df, by, order, "_n").where(F.col("_n") % step == 0).drop("_n")

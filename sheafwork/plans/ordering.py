@@ -55,18 +55,26 @@ def systematic_sample(spark: SparkSession, d: str) -> DataFrame:
     return O.every_nth(table(spark, d, "part").select("p_partkey", "p_brand"), ["p_brand"], ["p_partkey"], 7)
 
 
-@query()
+@query("SELECT o_orderkey FROM orders ORDER BY md5('7:' || o_orderkey), o_orderkey LIMIT 10")
 def seeded_sample(spark: SparkSession, d: str) -> DataFrame:
-    """Ten orders by a seeded hash (a sampling operator); Spark's hash has no counterpart in SQL."""
+    """Ten orders by a seeded hash (a sampling operator)."""
     return O.seeded_sample(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 10, seed=7)
 
 
-@query()
+@query("""WITH r AS (SELECT doc_id, source, md5('7:' || doc_id) AS h FROM documents), k AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY h, doc_id) AS n FROM r)
+SELECT doc_id, source FROM k ORDER BY CASE WHEN n > 1 THEN 1 ELSE 0 END, h, doc_id LIMIT 36""")
 def stratified_sample(spark: SparkSession, d: str) -> DataFrame:
     """One document of each source at least, 36 in all (a sampling operator)."""
     return O.stratified_sample(table(spark, d, "documents").select("doc_id", "source"), ["source"], "doc_id", 1, 36, seed=7)
 
 
+@query("""WITH r AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 2 END AS half, md5('5:' || o_orderkey) AS h FROM orders), k AS (SELECT *, row_number() OVER (PARTITION BY half ORDER BY h, o_orderkey) AS n FROM r)
+SELECT o_orderkey, half FROM k ORDER BY CASE WHEN n > 15 THEN 1 ELSE 0 END, n, half LIMIT 30""")
+def audit_halves(spark: SparkSession, d: str) -> DataFrame:
+    """Thirty orders, half of them partly shipped, by a seeded hash (a sampling operator)."""
+    return O.half_and_half(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey", F.col("o_orderstatus") == "P", 30, seed=5).select("o_orderkey", "half")
+
+
 _GRID_SQL = """days AS (SELECT DISTINCT date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS r FROM events), types AS (SELECT DISTINCT event_type AS c FROM events),
 g AS (SELECT r, c, count(e.event_id) AS n FROM days CROSS JOIN types LEFT JOIN events e ON date_diff('day', DATE '1970-01-01', CAST(e.ts AS DATE)) = r AND e.event_type = c GROUP BY r, c)"""
 

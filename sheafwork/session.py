@@ -42,15 +42,20 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{own}"
 
 
-def staged(df: DataFrame, tag: str = "stage") -> DataFrame:
-    """df written once as Parquet in the shared folder and read again: lineage, and what the planner guesses of sizes, end there; a
-    lost executor costs a read.  The files go when the driver's JVM ends."""
-    spark = df.sparkSession
+def fresh_folder(spark: SparkSession, tag: str) -> str:
+    """The name of a new folder below the shared one; what is written there goes when the driver's JVM ends."""
     path = f"{shared_folder(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(where)
+    return path
+
+
+def staged(df: DataFrame, tag: str = "stage") -> DataFrame:
+    """df written once as Parquet in the shared folder and read again: lineage, and what the planner guesses of sizes, end there; a
+    lost executor costs a read.  The files go when the driver's JVM ends."""
+    path = fresh_folder(df.sparkSession, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -6,13 +6,16 @@ from __future__ import annotations
 
 import json
 import struct
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BinaryType, StringType
 
 # The tags of the object notation, and the forms of a string word's top two bits.
 TAGS = {"zero": 0, "u8": 1, "i32": 2, "f64": 3, "true": 4, "false": 5, "null": 6, "empty_object": 7, "object_u8": 8, "object_i32": 9, "string": 10, "empty_array": 11, "array_u8": 12, "array_i32": 13}
@@ -81,11 +84,34 @@ def encode_value(value: object, magic: bytes = b"HBSON\x00") -> bytes:
     return bytes(out)
 
 
-def decode_value(data: bytes, magic: bytes = b"HBSON\x00") -> object:
-    """The value of a blob; the last of equal keys counts, and bytes behind the value are an error."""
+# -- written forms ----------------------------------------------------------------------------------------------------------
+# One value can be written in several ways: a small number in one byte, four or eight, a count in one or four, a text in full or as
+# the number of an earlier one.  A form tape keeps the way that was taken beside each value, so the same bytes can be written again.
+
+
+@dataclass(frozen=True)
+class Form:
+    """One step of a document, in the order of its bytes.  what: ``value`` (a tag with its value or count) or ``key``; form: that of
+    the string's word, if there is one."""
+
+    what: str
+    tag: int
+    value: object = None
+    form: int | None = None
+
+
+CONTAINERS = {TAGS["object_u8"], TAGS["object_i32"], TAGS["array_u8"], TAGS["array_i32"]}
+OBJECTS = {TAGS["object_u8"], TAGS["object_i32"]}
+NUMBERS = {TAGS["u8"]: "<B", TAGS["i32"]: "<i", TAGS["object_u8"]: "<B", TAGS["object_i32"]: "<i", TAGS["array_u8"]: "<B", TAGS["array_i32"]: "<i"}
+PLAIN = {TAGS["zero"]: 0, TAGS["true"]: True, TAGS["false"]: False, TAGS["null"]: None}
+TAG_NAMES = {v: k for k, v in TAGS.items()}
+
+
+def read_forms(data: bytes, magic: bytes = b"HBSON\x00") -> list[Form]:
+    """The form tape of a blob; nesting may be of any depth.  Bytes behind the value are an error."""
     if not data.startswith(magic):
         raise NotationError("no object notation")
-    at, strings = len(magic), []
+    at, strings, tape = len(magic), 0, []
 
     def take(n: int) -> bytes:
         nonlocal at
@@ -94,57 +120,138 @@ def decode_value(data: bytes, magic: bytes = b"HBSON\x00") -> object:
         at += n
         return data[at - n : at]
 
-    def number(fmt: str) -> int | float:
-        return struct.unpack(fmt, take(struct.calcsize(fmt)))[0]
-
-    def text() -> str:
-        word = number("<I")
+    def text(what: str) -> Form:
+        nonlocal strings
+        word = struct.unpack("<I", take(4))[0]
         form, n = word >> 30, word & 0x3FFFFFFF
         if form == REPEATED:
-            if n >= len(strings):
-                raise NotationError(f"string {n} of {len(strings)}")
-            return strings[n]
+            if n >= strings:
+                raise NotationError(f"string {n} of {strings}")
+            return Form(what, TAGS["string"], n, form)
+        raw = take(n)
         try:
-            s = take(n).decode()
+            raw.decode("ascii" if form == ASCII else "utf-8")
         except UnicodeDecodeError as e:
-            raise NotationError(f"a string before {at} is no UTF-8") from e
-        if form == ASCII:
+            raise NotationError(f"a string before {at} is not of its form") from e
+        strings += form == ASCII
+        return Form(what, TAGS["string"], raw, form)
+
+    left = [(False, 1)]  # (of an object, members still to come)
+    while left:
+        keyed, n = left.pop()
+        if not n:
+            continue
+        left.append((keyed, n - 1))
+        if keyed:
+            tape.append(text("key"))
+        tag = take(1)[0]
+        if tag not in TAG_NAMES:
+            raise NotationError(f"tag {tag} at {at - 1}")
+        if tag == TAGS["string"]:
+            tape.append(text("value"))
+        elif tag == TAGS["f64"]:
+            tape.append(Form("value", tag, take(8)))  # as bytes: not every number of eight bytes keeps its bits as a float
+        elif tag in NUMBERS:
+            value = struct.unpack(NUMBERS[tag], take(struct.calcsize(NUMBERS[tag])))[0]
+            tape.append(Form("value", tag, value))
+            if tag in CONTAINERS:
+                if value < 0:
+                    raise NotationError(f"{value} members at {at}")
+                left.append((tag in OBJECTS, value))
+        else:
+            tape.append(Form("value", tag))
+    if at != len(data):
+        raise NotationError(f"{len(data) - at} bytes behind the value")
+    return tape
+
+
+def write_forms(tape: list[Form], magic: bytes = b"HBSON\x00") -> bytes:
+    """The bytes that a form tape says."""
+    out = bytearray(magic)
+    for step in tape:
+        if step.what == "value":
+            out.append(step.tag)
+        if step.form is not None:
+            body = b"" if step.form == REPEATED else step.value
+            out += struct.pack("<I", step.form << 30 | (step.value if step.form == REPEATED else len(body))) + body
+        elif step.tag == TAGS["f64"]:
+            out += step.value
+        elif step.tag in NUMBERS:
+            out += struct.pack(NUMBERS[step.tag], step.value)
+    return bytes(out)
+
+
+def value_of(tape: list[Form]) -> object:
+    """The value that a form tape says; the last of equal keys counts."""
+    strings: list[str] = []
+
+    def text(step: Form) -> str:
+        if step.form == REPEATED:
+            return strings[step.value]
+        s = step.value.decode()
+        if step.form == ASCII:
             strings.append(s)
         return s
 
-    def several(tag: int, kind: str) -> int:
-        n = number("<B") if tag == TAGS[f"{kind}_u8"] else number("<i")
-        if n < 0:
-            raise NotationError(f"{n} members at {at}")
-        return n
+    root: list = []
+    open_: list[tuple[list | dict, int]] = [(root, 1)]  # (container, members still to come)
+    key = None
+    for step in tape:
+        while not open_[-1][1]:
+            open_.pop()
+        if step.what == "key":
+            key = text(step)
+            continue
+        if step.form is not None:
+            value: object = text(step)
+        elif step.tag == TAGS["f64"]:
+            value = struct.unpack("<d", step.value)[0]
+        elif step.tag in CONTAINERS or step.tag in (TAGS["empty_object"], TAGS["empty_array"]):
+            value = {} if step.tag in OBJECTS or step.tag == TAGS["empty_object"] else []
+        else:
+            value = PLAIN.get(step.tag, step.value)
+        into, n = open_[-1]
+        open_[-1] = (into, n - 1)
+        if isinstance(into, dict):
+            into[key] = value
+        else:
+            into.append(value)
+        if step.tag in CONTAINERS:
+            open_.append((value, step.value))
+    return root[0]
 
-    simple = {TAGS["zero"]: 0, TAGS["true"]: True, TAGS["false"]: False, TAGS["null"]: None}
-    numbers = {TAGS["u8"]: "<B", TAGS["i32"]: "<i", TAGS["f64"]: "<d"}
 
-    def get() -> object:
-        tag = take(1)[0]
-        if tag in simple:
-            return simple[tag]
-        if tag in numbers:
-            return number(numbers[tag])
-        if tag == TAGS["string"]:
-            return text()
-        if tag in (TAGS["empty_object"], TAGS["empty_array"]):
-            return {} if tag == TAGS["empty_object"] else []
-        if tag in (TAGS["object_u8"], TAGS["object_i32"]):
-            out = {}
-            for _ in range(several(tag, "object")):
-                key = text()
-                out[key] = get()
-            return out
-        if tag in (TAGS["array_u8"], TAGS["array_i32"]):
-            return [get() for _ in range(several(tag, "array"))]
-        raise NotationError(f"tag {tag} at {at - 1}")
-
-    value = get()
-    if at != len(data):
-        raise NotationError(f"{len(data) - at} bytes behind the value")
-    return value
+def decode_value(data: bytes, magic: bytes = b"HBSON\x00") -> object:
+    """The value of a blob; the last of equal keys counts, and bytes behind the value are an error."""
+    return value_of(read_forms(data, magic))
+
+
+def notation_forms(blobs: DataFrame) -> DataFrame:
+    """(path, forms, same, problem) of blobs (path, content): how often each written form occurs, as ``tag`` or for texts ``repeated``,
+    ``ascii`` or ``utf8``, and whether the tape writes the same bytes again.  Each blob is read by itself."""
+    names = {REPEATED: "repeated", ASCII: "ascii", UTF8: "utf8"}
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for content in batch.column("content"):
+                data = content.as_py() or b""
+                try:
+                    tape = read_forms(data)
+                    counts = Counter(names.get(x.form, "other") if x.form is not None else TAG_NAMES[x.tag] for x in tape)
+                    rows.append((sorted(counts.items()), write_forms(tape) == data, None))
+                except NotationError as e:
+                    rows.append((None, None, str(e)))
+            forms, same, problem = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(forms, pa.map_(pa.string(), pa.int64())), pa.array(same, pa.bool_()), pa.array(problem, pa.string())], names=["path", "forms", "same", "problem"])
+
+    return blobs.select(F.col("path").cast("string").alias("path"), "content").mapInArrow(work, "path string, forms map<string,bigint>, same boolean, problem string")
+
+
+@F.pandas_udf(BinaryType())
+def json_to_notation(text: pd.Series) -> pd.Series:
+    """Object notation of JSON texts."""
+    return text.map(lambda t: encode_value(json.loads(t)), na_action="ignore")
 
 
 @F.pandas_udf(StringType())
