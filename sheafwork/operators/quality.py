@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafwork.functions.decode import adler32, extension
+from sheafwork.functions.reports import markdown_cells
 from sheafwork.operators.graph import in_ranges
 
 
@@ -151,3 +152,66 @@ def member_proofs(members: DataFrame, by: Sequence[str], nth: int, magics: dict[
         want = F.when(F.col("ext") == ext, magic.upper()).otherwise(want)
     verdict = lambda ok: F.when(ok, "MATCH").otherwise("MISMATCH")
     return got.select(*by, "ext", "path", F.length("content").cast("bigint").alias("size"), F.when(want.isNull(), "n/a").otherwise(verdict(head.startswith(want))).alias("magic"), verdict(F.coalesce(adler32(F.col("content")) == F.col("stored"), F.lit(False))).alias("checksum"))
+
+
+def table_digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row (rows, digest) of a table's cells as text, whatever the order of its rows; any engine with MD5 can say it."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    hash_ = F.md5(text.cast("binary"))
+    part = lambda at: F.coalesce(F.sum(F.conv(F.substring(hash_, at, 15), 16, 10).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+    sums = df.agg(F.count("*").alias("rows"), part(1).alias("_a"), part(16).alias("_b"))
+    return sums.select("rows", F.sha2(F.concat_ws(",", "rows", "_a", "_b").cast("binary"), 256).alias("digest"))
+
+
+def catalog_parity(matrix: DataFrame, lines: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(…keys, column, matrix, rendered, class) of the cells in which a report's lines (line) are not as the matrix: ``differs``,
+    ``missing`` from the report or ``extra`` in it; and one row without keys, class ``marker``, if the line ``<!-- digest: … -->``
+    doesn't have the matrix's digest.  Empty if the report was made of this matrix."""
+    columns = matrix.columns
+    rest = [c for c in columns if c not in keys]
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    own = matrix.select(*[text(k).alias(k) for k in keys], F.explode(F.array(*[F.struct(F.lit(c).alias("column"), text(c).alias("matrix")) for c in rest])).alias("x")).select(*keys, "x.*")
+    shown = markdown_cells(lines, columns, keys).withColumnRenamed("value", "rendered")
+    both = own.join(shown, [*keys, "column"], "full_outer")
+    kind = F.when(F.col("rendered").isNull(), "missing").when(F.col("matrix").isNull(), "extra").when(F.col("matrix") != F.col("rendered"), "differs")
+    cells = both.withColumn("class", kind).where("class IS NOT NULL").select(*keys, "column", "matrix", "rendered", "class")
+    marker = lines.select(F.regexp_extract("line", r"^<!-- digest: ([0-9a-f]{64}) -->$", 1).alias("m")).where("m <> ''").agg(F.max("m").alias("rendered"))
+    stale = table_digest(matrix, columns).select(F.col("digest").alias("matrix")).join(marker).where(~F.col("matrix").eqNullSafe(F.col("rendered")))  # a row each
+    return cells.unionByName(stale.select(F.lit("digest").alias("column"), "matrix", "rendered", F.lit("marker").alias("class")), allowMissingColumns=True)
+
+
+def rederived(edges: DataFrame, rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """edges (from_kind, to_kind, from_id, to_id, path) with proof: what a second way to each edge's evidence says.  The cell at the
+    edge's path is read anew from the raw row (kind, id, row as JSON) and held against the target: ``ok``, ``no_row``, ``no_cell``,
+    ``other_value``, or ``dangling`` where no id of the target kind is meant."""
+    raw = rows.select(F.col("kind").alias("from_kind"), F.col("id").alias("from_id"), F.col("row").alias("_row"))
+    known = ids.select(F.col("kind").alias("to_kind"), F.col("id").cast("string").alias("to_id"), F.lit(True).alias("_known")).distinct()
+    at = edges.join(raw, ["from_kind", "from_id"], "left").join(known, ["to_kind", "to_id"], "left")
+    value = F.call_function("get_json_object", F.col("_row"), F.concat(F.lit("$."), F.col("path")))
+    proof = F.when(F.col("_row").isNull(), "no_row").when(value.isNull(), "no_cell").when(value != F.col("to_id"), "other_value").when(F.col("_known").isNull(), "dangling").otherwise("ok")
+    return at.select(*edges.columns, proof.alias("proof"))
+
+
+def strata_proofs(edges: DataFrame, proved: DataFrame) -> DataFrame:
+    """(from_kind, to_kind, edges, drawn, ok) of every direction: a direction that gave no sample shows as 0 drawn."""
+    by = ["from_kind", "to_kind"]
+    drawn = proved.groupBy(*by).agg(F.count("*").alias("drawn"), F.count_if(F.col("proof") == "ok").alias("ok"))
+    out = edges.groupBy(*by).agg(F.count("*").alias("edges")).join(drawn, by, "left")
+    return out.select(*by, "edges", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("drawn", "ok")])
+
+
+def off_expectation(found: DataFrame, expected: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(…by, measure, found, expected) of the measures in which classes are not exactly as expected; a class that one side lacks has
+    null there."""
+    measures = [c for c in expected.columns if c not in by]
+    tall = lambda df, name: df.select(*by, F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("string").alias(name)) for m in measures])).alias("x")).select(*by, "x.*")
+    both = tall(found, "found").withColumn("_f", F.lit(True)).join(tall(expected, "expected").withColumn("_e", F.lit(True)), [*by, "measure"], "full_outer")
+    return both.where(F.col("_f").isNull() | F.col("_e").isNull() | ~F.col("found").eqNullSafe(F.col("expected"))).select(*by, "measure", "found", "expected")
+
+
+def preconditions(facts: DataFrame, expected: DataFrame) -> DataFrame:
+    """(stage, fact, found, wanted, message) of the facts (fact, found) that a stage needs and doesn't have, by expected (fact, wanted,
+    stage, owner): the message names the stage that has to run first."""
+    at = expected.join(facts, "fact", "left").where(~F.col("found").eqNullSafe(F.col("wanted")))
+    said = F.format_string("%s needs %s = %s, found %s: run %s first", "stage", "fact", F.col("wanted").cast("string"), F.coalesce(F.col("found").cast("string"), F.lit("nothing")), "owner")
+    return at.select("stage", "fact", "found", "wanted", said.alias("message"))

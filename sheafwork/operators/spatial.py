@@ -8,7 +8,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafwork.session import staged
@@ -195,6 +195,76 @@ def shift_scores(cells: DataFrame, mask: DataFrame, reach: int) -> DataFrame:
     return moved.join(mask.select("row", "col", F.col("label").alias("_m")), ["row", "col"]).groupBy("dx", "dy").agg(F.count("*").alias("n"), F.avg((F.col("label") == F.col("_m")).cast("double")).alias("score"))
 
 
+def runs_of(cells: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(…keys, row, c0, c1): the runs [c0, c1) of cells side by side in each row of cells (…keys, row, col)."""
+    at = cells.select(*keys, "row", "col").distinct()
+    island = at.withColumn("_k", F.col("col") - F.row_number().over(Window.partitionBy(*keys, "row").orderBy("col")))
+    return island.groupBy(*keys, "row", "_k").agg(F.min("col").alias("c0"), (F.max("col") + 1).alias("c1")).drop("_k")
+
+
+def overlap_by_shift(moved: DataFrame, fixed: DataFrame, reach: int, moved_keys: Sequence[str] = (), fixed_keys: Sequence[str] = ()) -> DataFrame:
+    """(…moved_keys, …fixed_keys, dx, dy, n): cells that runs (…, row, c0, c1) share when one side is moved by each (dx, dy) up to
+    reach; shifts without any are left out.
+
+    All dx are had at once: over dx the overlap of two runs rises, stays and falls, so it is a sum of four ramps, and ramps of all runs
+    add up by where they begin.  Only runs are copied, once for each dy; cells never are."""
+    keys = [*moved_keys, *fixed_keys]
+    a = moved.select(*moved_keys, "row", F.col("c0").alias("a0"), F.col("c1").alias("a1"), F.explode(F.sequence(F.lit(-reach), F.lit(reach))).alias("dy")).withColumn("row", F.col("row") + F.col("dy"))
+    b = fixed.select(*fixed_keys, "row", F.col("c0").alias("b0"), F.col("c1").alias("b1"))
+    both = a.join(b, "row").where((F.col("a0") - reach < F.col("b1")) & (F.col("a1") + reach > F.col("b0")))
+    ramp = lambda begin, w: F.struct(begin.cast("bigint").alias("d"), F.lit(w).alias("w"))
+    ramps = F.array(ramp(F.col("b0") - F.col("a1"), 1), ramp(F.col("b0") - F.col("a0"), -1), ramp(F.col("b1") - F.col("a1"), -1), ramp(F.col("b1") - F.col("a0"), 1))
+    each = both.select(*keys, "dy", F.explode(ramps).alias("r")).where(F.col("r.d") <= reach)
+    begin = F.greatest(F.col("r.d"), F.lit(-reach))  # a ramp that begins before the first shift is one from there, and a step
+    sums = each.groupBy(*keys, "dy", begin.alias("d")).agg(F.sum("r.w").alias("w"), F.sum(F.col("r.w") * (begin - F.col("r.d"))).alias("k"))
+    at = sums.select(*keys, "dy", "d", "w", "k", F.explode(F.sequence(F.col("d"), F.lit(reach).cast("bigint"))).alias("dx"))
+    out = at.groupBy(*keys, "dx", "dy").agg(F.sum(F.col("w") * (F.col("dx") - F.col("d")) + F.col("k")).cast("bigint").alias("n"))
+    return out.where("n > 0").select(*keys, F.col("dx").cast("int").alias("dx"), F.col("dy").cast("int").alias("dy"), "n")
+
+
+def iou_by_shift(moved: DataFrame, fixed: DataFrame, reach: int) -> DataFrame:
+    """(dx, dy, tp, fp, fn, iou) of two masks (row, col) for each shift of the first: cells of both, of the moved one alone, of the
+    other alone; iou is null for empty masks."""
+    a, b = runs_of(moved), runs_of(fixed)
+    area = lambda runs, name: runs.agg(F.coalesce(F.sum(F.col("c1") - F.col("c0")), F.lit(0)).alias(name))
+    span = F.explode(F.sequence(F.lit(-reach), F.lit(reach)))
+    shifts = area(a, "_a").join(area(b, "_b")).select("_a", "_b", span.alias("dx")).select("*", span.alias("dy"))  # one row of areas
+    tp = F.coalesce("n", F.lit(0))
+    full = shifts.join(overlap_by_shift(a, b, reach), ["dx", "dy"], "left")
+    return full.select("dx", "dy", tp.alias("tp"), (F.col("_a") - tp).alias("fp"), (F.col("_b") - tp).alias("fn"), (tp / F.nullif(F.col("_a") + F.col("_b") - tp, F.lit(0))).alias("iou"))
+
+
+def majority_by_shift(cells: DataFrame, blocks: DataFrame, reach: int) -> DataFrame:
+    """(dx, dy, blocks, right, score): how many blocks (block, row0, col0, size, label) have their own label as the most frequent one
+    of the cells (row, col, label) that lie in them when all cells are moved by (dx, dy); of equals the smallest label counts, and
+    blocks without cells are not counted."""
+    rows = blocks.select("block", F.explode(F.sequence(F.col("row0"), F.col("row0") + F.col("size") - 1)).alias("row"), F.col("col0").alias("c0"), (F.col("col0") + F.col("size")).alias("c1"))
+    counts = overlap_by_shift(runs_of(cells.select(F.col("label").alias("_label"), "row", "col"), ["_label"]), rows, reach, ["_label"], ["block"])
+    first = counts.groupBy("block", "dx", "dy").agg(F.min(F.struct(-F.col("n"), F.col("_label").alias("label"))).alias("m"))
+    judged = first.join(blocks.select("block", F.col("label").alias("_own")), "block")
+    return judged.groupBy("dx", "dy").agg(F.count("*").alias("blocks"), F.count_if(F.col("m.label") == F.col("_own")).alias("right")).withColumn("score", F.col("right") / F.col("blocks"))
+
+
+def label_check(points: DataFrame, raster: DataFrame) -> DataFrame:
+    """(point, declared, sampled, verdict) of points (point, row, col, declared) against a raster (row, col, value): ``same``, ``other``, or
+    ``outside`` where the raster has no cell."""
+    at = points.join(raster.select("row", "col", F.col("value").alias("sampled")), ["row", "col"], "left")
+    return at.select("point", "declared", "sampled", F.when(F.col("sampled").isNull(), "outside").when(F.col("sampled").eqNullSafe(F.col("declared")), "same").otherwise("other").alias("verdict"))
+
+
+def boxes_overlap(a: DataFrame, b: DataFrame, by: Sequence[str], axes: Sequence[str]) -> DataFrame:
+    """(…by, one overlap for each axis, apart, share) of boxes (…by, <axis>0, <axis>1) of two tables: negative overlaps are gaps, apart
+    says that some axis has one, share is the common volume of the smaller box's (null for a flat box)."""
+    left = a.select(*by, *[F.col(f"{x}{k}").alias(f"_a{x}{k}") for x in axes for k in "01"])
+    right = b.select(*by, *[F.col(f"{x}{k}").alias(f"_b{x}{k}") for x in axes for k in "01"])
+    overlap = {x: F.least(f"_a{x}1", f"_b{x}1") - F.greatest(f"_a{x}0", f"_b{x}0") for x in axes}
+    product = lambda parts: reduce(lambda p, q: p * q, parts)
+    volume = lambda side: product([F.col(f"_{side}{x}1") - F.col(f"_{side}{x}0") for x in axes])
+    apart = reduce(lambda p, q: p | q, [o < 0 for o in overlap.values()])
+    share = F.when(apart, 0.0).otherwise(product(list(overlap.values())) / F.nullif(F.least(volume("a"), volume("b")), F.lit(0.0)))
+    return left.join(right, list(by)).select(*by, *[o.alias(x) for x, o in overlap.items()], apart.alias("apart"), share.alias("share"))
+
+
 def best_shift(scores: DataFrame) -> DataFrame:
     """The best score; of equals the smallest shift."""
     return scores.agg(F.max_by(F.struct("dx", "dy"), F.struct("score", -(F.abs("dx") + F.abs("dy")), -F.col("dx"), -F.col("dy"))).alias("s"), F.max("score").alias("score")).select("s.dx", "s.dy", "score")

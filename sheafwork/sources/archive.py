@@ -159,8 +159,9 @@ class PakSource(DataSource):
         return PakReader(self.options)
 
 
-def write_pak(uri: str, files: dict[str, bytes], version: int = 0, wide: frozenset[str] = frozenset()) -> None:
-    """An archive with these files, for tests and small exports; ``wide`` names get 64-bit positions."""
+def write_pak(uri: str, files: dict[str, bytes], version: int = 0, wide: frozenset[str] = frozenset(), harmed: frozenset[str] = frozenset()) -> None:
+    """An archive with these files, for tests and small exports; ``wide`` names get 64-bit positions, and of ``harmed`` ones the last
+    byte is not the one that the checksum is of."""
     tree: dict = {}
     for name in files:
         *folders, leaf = name.split("/")
@@ -175,11 +176,12 @@ def write_pak(uri: str, files: dict[str, bytes], version: int = 0, wide: frozens
         if isinstance(what, dict):
             return head + b"\x01" + struct.pack("<i", len(what)) + b"".join(node(k, v) for k, v in what.items())
         body, pos = files[what], len(data)
-        data.extend(body)
+        data.extend(body[:-1] + bytes([body[-1] ^ 1]) if what in harmed and body else body)
         return head + (b"\x02" + struct.pack("<d", pos) if what in wide else b"\x00" + struct.pack("<i", pos)) + struct.pack("<II", len(body), zlib.adler32(body))
 
     index = node("", tree)
     fs, path = pafs.FileSystem.from_uri(full_uri(uri))
+    fs.create_dir(path.rpartition("/")[0] or ".", recursive=True)
     with fs.open_output_stream(path) as f:
         f.write(b"PAK" + bytes([version]) + struct.pack("<ii", 12 + len(index) + 4, len(data)) + index + b"DATA" + bytes(data))
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheafwork.functions.reports import markdown_cells, markdown_head, markdown_lines  # noqa: F401  cells are read by those who write
 from sheafwork.operators.quality import universe_diff
 
 
@@ -60,26 +61,6 @@ def promote(draft: DataFrame, canonical_path: str, plan: DataFrame, key: Sequenc
     return n
 
 
-#: How a cell's characters are written in a Markdown table, in the order of replacing.
-ESCAPES = [("\\", "\\\\"), ("|", "\\|"), ("<br>", "\\<br>"), ("\n", "<br>")]
-
-
-def replaced(c: Column, pairs: Sequence[tuple[str, str]]) -> Column:
-    for old, new in pairs:
-        c = F.replace(c, F.lit(old), F.lit(new))
-    return c
-
-
-def markdown_lines(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """(line) of a table in Markdown: the rows in order over all tasks, for tables of any size; null is an empty cell."""
-    cells = [replaced(F.coalesce(F.col(c).cast("string"), F.lit("")), ESCAPES) for c in df.columns]
-    return df.orderBy(*order).select(F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
-
-
-def markdown_head(columns: Sequence[str]) -> list[str]:
-    return [f"| {' | '.join(columns)} |", f"|{'---|' * len(columns)}"]
-
-
 def markdown_table(df: DataFrame, order: Sequence[str], most: int = 5000) -> str:
     """A report's table as one text.  A text on the driver is for summaries: more than ``most`` rows are refused, and markdown_lines
     or write_markdown take them."""
@@ -95,18 +76,6 @@ def write_markdown(df: DataFrame, path: str, order: Sequence[str]) -> None:
     head.union(markdown_lines(df, order)).write.mode("overwrite").text(path)
 
 
-def markdown_cells(lines: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """(…keys, column, value) of a table's lines (line) read back; heads, rules and lines of other widths are left out, and an empty
-    cell is ''."""
-    back = [("\\\\", "\x01"), ("\\|", "|"), ("\\<br>", "\x02"), ("<br>", "\n"), ("\x02", "<br>"), ("\x01", "\\")]
-    cells = F.split(F.regexp_replace("line", r"^\| | \|$", ""), r" \| ", -1)  # a bar of a cell has a backslash before it
-    own = F.col("line").rlike(r"^\| .*\|$") & (F.col("line") != markdown_head(columns)[0])
-    rows = lines.where(own).select(F.transform(cells, lambda c: replaced(c, back)).alias("c")).where(F.size("c") == len(columns))
-    named = rows.select(*[F.col("c")[k].alias(c) for k, c in enumerate(columns)])
-    rest = [c for c in columns if c not in keys]
-    return named.select(*keys, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in rest])).alias("x")).select(*keys, "x.*")
-
-
 def registry_document(layers: DataFrame, header: dict[str, str], order: Sequence[str], most: int = 5000) -> DataFrame:
     """One row (value): a JSON document of a header and the summaries of its layers, keys in the order given, layers in that of
     ``order``.  The document is one value, so it is for summaries: more than ``most`` layers are refused, and canonical_json writes
