@@ -8,6 +8,8 @@ with the highest mean probability over the words that have letters, and that mea
 Training takes a bounded, hash-chosen sample of labelled texts (MOST_PER_LANG of each language), cuts runs of words from
 them and splices runs of different languages into sequences of SEQUENCE words, so that transitions are seen.
 
+Very long texts are labelled whole, some of them at a time.
+
 Defined cases: null texts and texts without a letter get ``und`` and score 0; rows with null lang teach nothing; if
 nothing can be learned, every text with a letter gets ``und``; rows with a null id are never held out; repeated rows get
 equal results; columns other than those named are dropped.
@@ -24,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafwork.llm.shared import fold, table
+from sheafwork.llm.shared import fold, spread, table
 from sheafwork.llm.word_arrays import AFFIX_BITS, TRIGRAM_BITS, WORD_BITS, Words, chunks, words_of
 
 UNKNOWN = "und"
 #: Bounds of the training sample: labelled texts of each language, and how many languages may have so many.  Beyond that each
 #: language has fewer texts (one at least) and each label fewer buckets, so sample and model stay as large.
-MOST_PER_LANG, MOST_LANGS = 300, 200
+MOST_PER_LANG, MOST_LANGS, SAMPLE_CHARS = 300, 200, 4000
 SEQUENCE, BATCH, STEPS = 48, 64, 260
 
 
@@ -176,7 +178,7 @@ def label_texts(crf: Crf, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.
     """(label number, score, certainty) of each text; label -1 where no word has a letter."""
     k = len(crf.labels)
     label, score, certainty = np.full(len(texts), -1), np.zeros(len(texts)), np.zeros(len(texts))
-    for begin, part in chunks(texts):
+    for begin, part in chunks(texts, 1 << 19):
         w = words_of(part)
         if not len(w):
             continue
@@ -209,7 +211,10 @@ def label_texts(crf: Crf, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.
 
 def fit(docs: DataFrame, lang: str = "lang") -> Crf | None:
     """Learns from docs (text, lang, doc_id): at most MOST_PER_LANG texts of each language, fewer if there are more than
-    MOST_LANGS of them, but of each language one at least."""
+    MOST_LANGS of them, but of each language one at least; of a longer text a piece of SAMPLE_CHARS code points from a place that its
+    hash says.  So the driver gets at most MOST_PER_LANG * MOST_LANGS pieces."""
+    spare = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
+    piece = F.call_function("substring", F.col("text"), (F.pmod(F.xxhash64("text"), spare) + 1).cast("int"), F.lit(SAMPLE_CHARS)).alias("text")
     known = docs.where(F.col(lang).isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", F.col(lang).alias("lang"))
     counts = known.groupBy("lang").count().collect()
     if not counts:
@@ -218,11 +223,11 @@ def fit(docs: DataFrame, lang: str = "lang") -> Crf | None:
     shares = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, most / r["count"])) for r in counts], "lang string, _share double")
     chance = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("text"), F.lit(3)), F.lit(1 << 40)) / float(1 << 40)
     drawn = known.join(F.broadcast(shares), "lang").where(chance < F.col("_share"))
-    sample = [(r["text"], r["lang"]) for r in drawn.select("doc_id", "text", "lang").distinct().orderBy("doc_id", "text", "lang").collect()]
+    sample = [(r["text"], r["lang"]) for r in drawn.select("doc_id", piece, "lang").distinct().orderBy("doc_id", "text", "lang").collect()]
     missed = sorted({r["lang"] for r in counts} - {x for _, x in sample})
     if missed:
         of_missed = known.join(F.broadcast(docs.sparkSession.createDataFrame([(x,) for x in missed], "lang string")), "lang")
-        one = of_missed.groupBy("lang").agg(F.min(F.struct(chance.alias("c"), "text")).alias("x"))
+        one = of_missed.groupBy("lang").agg(F.min(F.struct(chance.alias("c"), piece)).alias("x"))
         sample += sorted((r["text"], r["lang"]) for r in one.select("x.text", "lang").collect())
     return train([t for t, _ in sample], [x for _, x in sample])
 
@@ -254,4 +259,4 @@ def identify(docs: DataFrame, crf: Crf | None) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     crf = fit(docs.where(fold(F.col("doc_id"), 4) != 2))
-    return identify(docs, crf).select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+    return identify(spread(docs), crf).select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")

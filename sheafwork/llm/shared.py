@@ -6,13 +6,11 @@ executors see.  Paths are URIs and are opened through ``pyarrow.fs``, so any fil
 
 from __future__ import annotations
 
-import atexit
 import json
 import os
 import re
-import shutil
-import tempfile
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -20,13 +18,18 @@ import numpy as np
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sheafwork.session import shared_folder, spread  # noqa: F401  operators take spread from here
 
 #: The six ASCII whitespace bytes that separate words everywhere in this subpackage.
 SPACES = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rows that are drawn for each range of in_ranges, and code points of a text that count in its bounds.
-RANGE_SAMPLE, RANGE_PREFIX = 60, 100
+#: Rows that are drawn for each range of in_ranges, code points of a text that count in its bounds, and where many rows begin alike.
+RANGE_SAMPLE, RANGE_PREFIX, LONG_PREFIX = 60, 100, 3200
+#: Rows of which so long a beginning is drawn at most.
+MOST_LONG = 20_000
 ASCII_LOWER = str.maketrans(UPPER, LOWER)
 BETWEEN_WORDS = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -35,29 +38,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """df over all cores where its files make fewer partitions than there are (a small table in one file); as it is otherwise."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def few(df: DataFrame, most: int) -> DataFrame:
     """df with a hint to broadcast it if it has at most that many rows, which are counted; rows are to be short."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """URI of the folder that driver and executors share: ``spark.checkpoint.dir``, or where that is unset on one machine (tests)
-    a temporary folder that is set there and removed at exit.  On a cluster it has to be set: a folder of one machine would be
-    another folder on each executor."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        own = tempfile.mkdtemp(prefix="sheafwork-")
-        atexit.register(shutil.rmtree, own, ignore_errors=True)
-        found = f"file://{own}"
-        spark.conf.set("spark.checkpoint.dir", found)
+    """URI of the folder that driver and executors share."""
+    found = shared_folder(spark)
     return found if "://" in found or found.startswith("file:") else f"file://{os.path.abspath(found)}"
 
 
@@ -159,15 +147,24 @@ def in_ranges(docs: DataFrame, n: int, descending: bool = False, seed: int = 11)
     ascending text; null ids come first, or last.
 
     Bounds are taken from about RANGE_SAMPLE rows for each range, as (doc_id, first RANGE_PREFIX code points of the text), so rows
-    that share an id, or have none, are spread too.  A row finds its range by a coarse and a fine list of bounds."""
-    prefix = F.left(F.coalesce("text", F.lit("")), F.lit(RANGE_PREFIX))
+    that share an id, or have none, are spread too; where a range's worth of rows share both (a licence, a head that many texts
+    have), from their first LONG_PREFIX code points.  A row finds its range by a coarse and a fine list of bounds."""
+    prefix = F.left(F.coalesce("text", F.lit("")), F.lit(LONG_PREFIX))
     total = docs.count()
-    rows = docs.select("doc_id", prefix.alias("p"))
+    rows = docs.select("doc_id", F.left(prefix, F.lit(RANGE_PREFIX)).alias("p"), prefix.alias("long"))
     if total > n * RANGE_SAMPLE:
         rows = rows.sample(False, n * RANGE_SAMPLE / total, seed)
     sign = -1 if descending else 1
     order = lambda r: (r[0] is not None, sign * r[0] if r[0] is not None else 0, (r[1] or "").encode("utf-8", "surrogatepass"))
-    got = sorted(map(tuple, rows.collect()), key=lambda r: ((not order(r)[0]) if descending else order(r)[0], *order(r)[1:]))  # about n * RANGE_SAMPLE rows
+    drawn = list(map(tuple, rows.select("doc_id", "p").collect()))  # about n * RANGE_SAMPLE rows
+    alike = {k for k, times in Counter(drawn).items() if times >= RANGE_SAMPLE}
+    if alike:
+        heads = docs.sparkSession.createDataFrame(list(alike), T.StructType([docs.schema["doc_id"], T.StructField("p", T.StringType())])).select(F.col("doc_id").alias("_i"), F.col("p").alias("_p"))
+        tied = rows.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("p") == F.col("_p")), "left_semi")
+        longer = [tuple(r) for r in hash_sample(tied, F.col("long"), MOST_LONG).select("doc_id", "long").limit(2 * MOST_LONG).collect()]
+        times = max(1, sum(x in alike for x in drawn) // max(1, len(longer)))  # each stands for as many rows as were drawn
+        drawn = [x for x in drawn if x not in alike] + longer * times
+    got = sorted(drawn, key=lambda r: ((not order(r)[0]) if descending else order(r)[0], *order(r)[1:]))
     bounds = list(dict.fromkeys(got[len(got) * k // n] for k in range(1, n))) if got else []
     step = max(1, int(len(bounds) ** 0.5))
     kind = f"array<struct<id:{docs.schema['doc_id'].dataType.simpleString()},p:string>>"

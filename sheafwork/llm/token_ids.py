@@ -40,6 +40,8 @@ END_ID = 0
 CACHE = 500_000
 #: Ids after which a file is closed.
 FILE_IDS = 1 << 23
+#: Documents of a file, so that a file of empty ones is bounded too, and rows that a reader hands on at a time.
+FILE_DOCS, READ_ROWS = 1 << 18, 1 << 14
 #: Punctuation that the pattern keeps together and apart from letters; without the apostrophe, which begins its own parts.
 MARKS = ".,;:!?*&%$#|()+-=/"
 # White_Space of the Unicode character database, the \s of the tokenizer's own pattern, and all of it but space and \n.
@@ -201,7 +203,7 @@ class TokenFile:
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, out: str) -> DataFrame:
     """Writes the files and returns the manifest (bucket, part, path, docs, ids), one row per file; a range of doc_id has its
-    files in the order of part.  A file is closed at FILE_IDS ids, which is also what a task holds."""
+    files in the order of part.  A file is closed at FILE_IDS ids or FILE_DOCS documents, which is also what a task holds."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -217,7 +219,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str) -> DataFra
 
         for batch in batches:
             for bucket, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("bucket", "doc_id", "text"))):
-                if held and (bucket != at or size >= FILE_IDS):
+                if held and (bucket != at or size >= FILE_IDS or len(held) >= FILE_DOCS):
                     yield flush()
                     part, size, held = (part + 1 if bucket == at else 0), 0, []
                 at = bucket
@@ -243,6 +245,9 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     before = F.coalesce(F.sum("ids").over(Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     where = manifest.withColumn("before", before).join(F.broadcast(starts), "bucket").select("path", (F.col("first") + F.col("before")).alias("first"))
 
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, first in zip(batch.column("path").to_pylist(), batch.column("first").to_pylist()):
@@ -250,7 +255,11 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                 for doc_id, ids in TokenFile(path).documents():
                     rows.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
                     start += len(ids)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                    if len(rows) >= READ_ROWS:
+                        yield batch_of(rows)
+                        rows = []
+                if rows:
+                    yield batch_of(rows)
 
     return where.repartition(min(sum(r["files"] for r in ranges), 20_000)).mapInArrow(read, schema)
 

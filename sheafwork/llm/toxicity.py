@@ -8,7 +8,8 @@ on the training sample.
 
 Labels mark texts, not windows, so training alternates: the window of a toxic text that scores highest stands for it,
 beside random and hardest windows of other texts.  The first choice goes by words whose share of toxic texts is highest.
-The sample is at most MOST labelled texts, chosen by hash.
+The sample is about MOST different labelled texts at most, chosen by hash, and of very long ones a piece.  Texts of any length are
+scored whole, some at a time.
 
 Defined cases: null and empty texts are one window without words, whose logit is the bias; without two classes among the
 training labels every score is the share of toxic labels (0.5 without labels); rows with a null id are never held out and
@@ -25,11 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafwork.llm.shared import fold, hash_sample, table
+from sheafwork.llm.shared import fold, hash_sample, spread, table
 from sheafwork.llm.word_arrays import hashed, words_of
 
 #: Bound of the training sample (labelled texts).
 MOST = 4000
+#: Code points of a training text; of a longer one a piece from a place that its hash says is taken.
+SAMPLE_CHARS = 20_000
 WINDOW, STRIDE, HIDDEN, WORD_DIM, CHAR_DIM = 16, 8, 8, 12, 8
 WORD_BITS, CHAR_BITS = 15, 15
 ROUNDS, STEPS, BATCH = 3, 220, 96
@@ -281,7 +284,11 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: str = "toxic") -> Net:
     """Learns from docs (doc_id, text) whose ids labels (doc_id, toxic) marks 0 or 1."""
     marks = labels.where(F.col("doc_id").isNotNull() & F.col(toxic).isNotNull()).groupBy("doc_id").agg(F.max(toxic).alias("y"))
     sample = hash_sample(marks, F.col("doc_id"), MOST, seed=5)  # at most about MOST rows, so they can be broadcast
-    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id").orderBy("doc_id", "text").collect()
+    text = F.coalesce("text", F.lit(""))
+    spare = F.greatest(F.length(text) - SAMPLE_CHARS, F.lit(0)) + 1
+    piece = F.call_function("substring", text, (F.pmod(F.xxhash64(text), spare) + 1).cast("int"), F.lit(SAMPLE_CHARS))
+    found = docs.select("doc_id", piece.alias("text")).join(F.broadcast(sample), "doc_id").distinct()
+    found = hash_sample(found, F.concat(F.col("doc_id").cast("string"), F.lit(":"), "text"), MOST, seed=6).orderBy("doc_id", "text").collect()
     return train([r["text"] for r in found], np.array([r["y"] > 0 for r in found]))
 
 
@@ -299,4 +306,4 @@ def score(docs: DataFrame, net: Net) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     net = fit(docs, labels.where(fold(F.col("doc_id"), 5) != 0))
-    return score(docs, net).select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+    return score(spread(docs), net).select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")

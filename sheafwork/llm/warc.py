@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from sheafwork.llm.shared import ASCII_LOWER, fresh_path, open_fs, staged, table, write_file
 
 ARCHIVE_BYTES, BLOCK_LINES = 64 << 20, 512
+#: Bytes of records that a reader holds before it hands them on; a larger record is handed on alone.
+HELD = 16 << 20
 DATE = "2000-01-01T00:00:00Z"  # the tables have no capture time
 MAGIC = b"CIX1"
 _URL = re.compile(r"://([^/?#]*)(.*)", re.S)
@@ -233,9 +235,12 @@ def fetch(lookups: DataFrame, index: DataFrame, archives: str) -> DataFrame:
                     index_file = (k, IndexFile(paths[k]))
                 spans += index_file[1].find(wanted)
             spans.sort()
-            for begin in range(0, len(spans), 256):
-                rows = []
-                for archive, offset, length in spans[begin : begin + 256]:
+            at = 0
+            while at < len(spans):
+                rows, held = [], 0
+                while at < len(spans) and len(rows) < 256 and (not rows or held < HELD):
+                    archive, offset, length = spans[at]
+                    at, held = at + 1, held + length
                     if archive not in opened:
                         if len(opened) >= 64:
                             opened.pop(next(iter(opened))).close()

@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import public_tokenizers
 import pytest
 import xxhash
 from tests.conftest import DATA
@@ -441,6 +442,28 @@ def test_pieces_of_random_texts():
         assert p.encode(t).tolist() == p.whole(t), t
 
 
+def test_files_of_many_empty_documents(spark, monkeypatch):
+    """Files are closed by documents too, and rows are handed on in parts."""
+    monkeypatch.setattr(token_ids, "FILE_DOCS", 1000)
+    monkeypatch.setattr(token_ids, "READ_ROWS", 300)
+    docs = spark.range(5000).selectExpr("id AS doc_id", "IF(id % 2 = 0, NULL, '') AS text", "1 AS bucket")
+    manifest = token_ids.write_token_files(docs, str(public_tokenizers.path("byte_bpe_50k.json")), token_ids.fresh_path(spark, "ids-test"))
+    assert manifest.agg(F.max("docs")).first()[0] <= 1000
+    got = sorted(map(tuple, token_ids.read_token_files(manifest).collect()))
+    assert got == [(i, i, 1, zlib.crc32(bytes(4))) for i in range(5000)]
+
+
+def test_ranges_of_texts_that_begin_alike(spark):
+    """Rows without an id whose first code points are a licence are spread by what comes after it."""
+    head = "Permission is hereby granted, free of charge, " * 8
+    docs = spark.range(8000).selectExpr("CAST(IF(id < 100, id, NULL) AS BIGINT) AS doc_id", f"CONCAT('{head}', SHA2(CAST(id AS STRING), 256)) AS text")
+    placed = in_ranges(docs, 8)
+    sizes = [r["count"] for r in placed.groupBy("bucket").count().collect()]
+    assert len(sizes) >= 7 and max(sizes) < 3000
+    rows = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["text"], r["bucket"]) for r in placed.collect())
+    assert [r[-1] for r in rows] == sorted(r[-1] for r in rows)
+
+
 def test_random_access_by_block(tmp_path):
     docs = [(5, np.arange(3000) % 700), (6, np.array([0])), (None, np.array([1 << 40, 3]))]
     (tmp_path / "x").write_bytes(b"".join(token_ids.pack_file(docs)))
@@ -470,6 +493,12 @@ def test_warc(spark):
     assert warc.archive_pages(df.limit(0)).count() == 0
 
 
+def test_records_are_handed_on_by_their_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "HELD", 1000)
+    pages = spark.range(40).selectExpr("id AS page_id", "CONCAT('http://a.org/', id) AS url", "SHA2(CAST(id AS STRING), 512) AS html")
+    assert warc.archive_pages(pages).count() == 40
+
+
 def test_index_lookup(spark):
     folder = warc.fresh_path(spark, "warc-test")
     pages = spark.range(3000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), F.col("id") % 50, F.lit(".org/"), "id").alias("url"), F.col("id").cast("string").alias("html"))
