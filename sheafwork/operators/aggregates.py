@@ -113,3 +113,24 @@ def throughput(df: DataFrame, by: Sequence[str], at: str, size: str) -> DataFram
     seconds = (F.unix_micros(F.max(at)) - F.unix_micros(F.min(at))) / 1e6
     out = df.groupBy(*by).agg(F.count("*").alias("rows"), F.sum(size).alias("size"), seconds.alias("seconds"))
     return out.withColumn("rate", F.col("size") / F.nullif(F.col("seconds"), F.lit(0.0)))
+
+
+def counts_by_place(rows: DataFrame, place: str, names: DataFrame, unknown: str = "unknown") -> DataFrame:
+    """(id, n): rows counted by the name (place, id) of their place; places without one count as unknown.  Rows are added up before
+    they are joined."""
+    sums = rows.groupBy(place).agg(F.count("*").alias("_n"))
+    known = names.select(F.col("place").alias("_place"), "id")
+    return sums.join(known, F.col(place) == F.col("_place"), "left").groupBy(F.coalesce("id", F.lit(unknown)).alias("id")).agg(F.sum("_n").alias("n"))
+
+
+def classified(rows: DataFrame, root: Column, families: DataFrame, other: str = "other") -> DataFrame:
+    """rows with the family (root, family) of their root, else ``other``."""
+    at = rows.withColumn("_root", root).join(families.select(F.col("root").alias("_of"), "family"), F.col("_root") == F.col("_of"), "left")
+    return at.withColumn("family", F.coalesce("family", F.lit(other))).drop("_root", "_of")
+
+
+def coverage_by(used: DataFrame, by: str, key: str, bridge: DataFrame) -> DataFrame:
+    """(by, used, bridged, beyond): how many different keys each group uses, and how many of them a bridge (key) has and lacks."""
+    have = bridge.select(F.col(key).alias("_key")).distinct()
+    at = used.select(by, key).distinct().join(have, F.col(key) == F.col("_key"), "left")
+    return at.groupBy(by).agg(F.count("*").alias("used"), F.count("_key").alias("bridged"), F.count_if(F.col("_key").isNull()).alias("beyond"))

@@ -1,4 +1,4 @@
-"""Graphs: frontier loops, chains of parents, taxonomies, control flow.
+"""Graphs: frontier loops, chains of parents, taxonomies.
 
 Loops run on the driver over DataFrames; each round is written with checkpoint(), so that a round's plan does not hold all rounds
 before it."""
@@ -9,7 +9,6 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import count
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -154,76 +153,6 @@ def propagate_frames(roots: DataFrame, edges: DataFrame) -> DataFrame:
         found = cut_lineage(found.unionByName(now))
 
 
-# -- control flow -------------------------------------------------------------------------------------------------------
-
-def flow_metrics(ops: DataFrame, function: str = "function") -> DataFrame:
-    """Blocks, edges, reachable blocks, loops, dominator depth and cyclomatic complexity of each function.
-
-    ops (function, pc, targets ARRAY<INT>, falls BOOLEAN): where an operation may jump to, and whether the next one may
-    follow.  A function is one group, so its size is bounded by the source it was compiled from."""
-
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pc")
-        pcs, targets, falls = pdf.pc.tolist(), [list(t) if t is not None else [] for t in pdf.targets], pdf.falls.tolist()
-        leaders = {pcs[0]} | {t for ts in targets for t in ts} | {pcs[i + 1] for i in range(len(pcs) - 1) if targets[i] or not falls[i]}
-        order = sorted(leaders & set(pcs))
-        block_of, b = {}, -1
-        for pc in pcs:
-            b += pc in leaders
-            block_of[pc] = b
-        out: dict[int, set[int]] = {k: set() for k in range(len(order))}
-        for i, pc in enumerate(pcs):
-            last = i + 1 == len(pcs) or pcs[i + 1] in leaders
-            if last:
-                out[block_of[pc]] |= {block_of[t] for t in targets[i] if t in block_of}
-                if falls[i] and i + 1 < len(pcs):
-                    out[block_of[pc]].add(block_of[pcs[i + 1]])
-        post, seen, stack = [], {0}, [(0, iter(sorted(out[0])))]
-        while stack:
-            node, it = stack[-1]
-            nxt = next((x for x in it if x not in seen), None)
-            if nxt is None:
-                post.append(node)
-                stack.pop()
-            else:
-                seen.add(nxt)
-                stack.append((nxt, iter(sorted(out[nxt]))))
-        rank = {n: i for i, n in enumerate(reversed(post))}
-        before: dict[int, list[int]] = {n: [] for n in seen}
-        for n in seen:
-            for m in out[n]:
-                before[m].append(n)
-        idom = {0: 0}
-        changed = True
-        while changed:  # the nearest common dominator of all ways in, until nothing changes
-            changed = False
-            for n in sorted(seen - {0}, key=rank.__getitem__):
-                ways = [p for p in before[n] if p in idom]
-                new = ways[0]
-                for p in ways[1:]:
-                    a = p
-                    while a != new:
-                        if rank[a] > rank[new]:
-                            a = idom[a]
-                        else:
-                            new = idom[new]
-                if idom.get(n) != new:
-                    idom[n], changed = new, True
-
-        def above(n: int) -> list[int]:
-            chain = [n]
-            while chain[-1] != 0:
-                chain.append(idom[chain[-1]])
-            return chain
-
-        loops = sum(m in above(n) for n in seen for m in out[n])
-        edges = sum(map(len, out.values()))
-        return pd.DataFrame({function: [pdf[function].iloc[0]], "ops": [len(pcs)], "blocks": [len(order)], "edges": [edges], "reachable": [len(seen)], "loops": [loops], "dominator_depth": [max(len(above(n)) - 1 for n in seen)], "complexity": [edges - len(order) + 2]})
-
-    kind = dict(ops.dtypes)[function]
-    return ops.groupBy(function).applyInPandas(work, f"{function} {kind}, ops bigint, blocks bigint, edges bigint, reachable bigint, loops bigint, dominator_depth bigint, complexity bigint")
-
-
 def rollup_metrics(metrics: DataFrame, by: Sequence[str]) -> DataFrame:
     """Package and file totals with the largest complexity."""
     return metrics.rollup(*by).agg(F.count("*").alias("functions"), F.sum("ops").alias("ops"), F.sum("blocks").alias("blocks"), F.sum("edges").alias("edges"), F.max("complexity").alias("max_complexity"))

@@ -15,20 +15,20 @@ from sheafwork.sources import archive, extraction, promotion
 # -- archives --------------------------------------------------------------------------------------------------------------
 
 
-def _archives(spark: SparkSession, d: str) -> DataFrame:
-    """(uri) of archives of customers, one for each nation and thousand keys: a member for each, and of every nineteenth the stored
-    bytes are not those of the checksum.  Each is written by the task that has its rows."""
+def written_archives(spark: SparkSession, d: str, harmed: bool = True) -> tuple[str, DataFrame]:
+    """(folder, (uri)) of archives of customers, one for each nation and thousand keys: a member for each, and with harmed of every
+    nineteenth the stored bytes are not those of the checksum.  Each is written by the task that has its rows."""
     folder = fresh_folder(spark, "archives")
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
         uri = f"{folder}/n{pdf.c_nationkey.iloc[0]}-{pdf.part.iloc[0]}.pak"
         files = {f"c/n{n}/{k}.txt": text.encode() for n, k, text in zip(pdf.c_nationkey, pdf.c_custkey, pdf.text)}
-        bad = {f"c/n{n}/{k}.txt" for n, k in zip(pdf.c_nationkey, pdf.c_custkey) if k % 19 == 0}
+        bad = {f"c/n{n}/{k}.txt" for n, k in zip(pdf.c_nationkey, pdf.c_custkey) if harmed and k % 19 == 0}
         archive.write_pak(uri, files, wide=frozenset(x for x in files if x.endswith("7.txt")), harmed=frozenset(bad))
         return pd.DataFrame({"uri": [uri]})
 
     rows = table(spark, d, "customer").select("c_nationkey", F.expr("c_custkey DIV 1000").alias("part"), "c_custkey", F.concat_ws(" ", "c_name", "c_mktsegment").alias("text"))
-    return staged(rows.groupBy("c_nationkey", "part").applyInPandas(write, "uri string"), "archive-names")
+    return folder, staged(rows.groupBy("c_nationkey", "part").applyInPandas(write, "uri string"), "archive-names")
 
 
 @query("""WITH t AS (SELECT *, c_name || ' ' || c_mktsegment AS t FROM customer)
@@ -37,7 +37,7 @@ SELECT 'c/n' || c_nationkey || '/' || c_custkey || '.txt' AS path, CAST(CASE WHE
   CAST((length(t) + list_sum(list_transform(range(length(t)), lambda i: (length(t) - i) * ascii(t[i + 1])))) % 65521 * 65536 + (1 + list_sum(list_transform(range(length(t)), lambda i: ascii(t[i + 1])))) % 65521 AS BIGINT) AS adler FROM t""")
 def entries_of_archives(spark: SparkSession, d: str) -> DataFrame:
     """The indexes of archives, read in tasks: paths, flags, places, sizes and checksums of all members."""
-    return extraction.entries_of(_archives(spark, d)).where("problem IS NULL").select("path", "flags", "size", "pos", "adler")
+    return extraction.entries_of(written_archives(spark, d)[1]).where("problem IS NULL").select("path", "flags", "size", "pos", "adler")
 
 
 @query("""SELECT 'c/n' || c_nationkey || '/' || c_custkey || '.txt' AS path, CASE WHEN c_custkey % 19 = 0 THEN 'refused' WHEN c_custkey % 2 = 0 THEN 'kept' ELSE 'written' END AS action,
@@ -45,7 +45,7 @@ def entries_of_archives(spark: SparkSession, d: str) -> DataFrame:
 def extracted_members(spark: SparkSession, d: str) -> DataFrame:
     """An extraction that got half-way and is run again: what is there and right is kept, members that fail their checksum are
     refused; then some files are harmed, and the check against the manifest finds just those."""
-    entries = staged(extraction.entries_of(_archives(spark, d)), "members")
+    entries = staged(extraction.entries_of(written_archives(spark, d)[1]), "members")
     folder = fresh_folder(spark, "members")
     key = F.regexp_extract("path", r"(\d+)\.txt$", 1).cast("bigint")
     extraction.extract(entries.where(key % 2 == 0), folder)

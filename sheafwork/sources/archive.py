@@ -122,7 +122,16 @@ class PakReader(DataSourceReader):
         self.split = int(options.get("split", 64 << 20))
 
     def partitions(self) -> list[Run]:
-        entries, base, _ = load_index(self.uri, self.strict)
+        """The runs of one archive, or of all ``.pak`` files below a folder, whose indexes then are read here one after the other;
+        for very many archives, extraction.entries_of reads them in tasks."""
+        fs, path = pafs.FileSystem.from_uri(full_uri(self.uri))
+        if fs.get_file_info(path).type != pafs.FileType.Directory:
+            return self.runs_of(self.uri)
+        found = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(path, recursive=True)) if f.path.endswith(".pak"))
+        return [run for f in found for run in self.runs_of(full_uri(self.uri).rstrip("/") + f.removeprefix(path.rstrip("/")))]
+
+    def runs_of(self, uri: str) -> list[Run]:
+        entries, base, _ = load_index(uri, self.strict)
         runs: list[list[Entry]] = [[]]
         size = 0
         for e in sorted(entries, key=lambda e: e.pos):
@@ -131,7 +140,7 @@ class PakReader(DataSourceReader):
                 size = 0
             runs[-1].append(e)
             size += e.size
-        return [Run(self.uri, base, r) for r in runs]
+        return [Run(uri, base, r) for r in runs]
 
     def read(self, part: Run) -> Iterator[tuple]:
         if not self.payload:
@@ -193,4 +202,5 @@ def directories(entries: DataFrame) -> DataFrame:
 
 
 def with_prefix(entries: DataFrame, prefix: str) -> DataFrame:
-    return entries.where(F.col("path").startswith(prefix)).select("size", "path").orderBy("path")
+    """(size, path) of the members below a prefix, in no order."""
+    return entries.where(F.col("path").startswith(prefix)).select("size", "path")

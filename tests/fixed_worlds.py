@@ -1,4 +1,4 @@
-"""Sources and operators whose inputs the driver's tables don't have, on small worlds made here; the SQL is the known answer."""
+"""Small fixed worlds whose answers are known; the SQL is the answer.  Queries of the library do the same over the tables."""
 
 from __future__ import annotations
 
@@ -14,10 +14,20 @@ from pyspark.sql import functions as F
 
 from sheafwork.functions.decode import is_media, type_label
 from sheafwork.functions.text import collapse_lines, render_path, render_template, safe_path
-from sheafwork.operators import graph, locale, relations, sheets, spatial, walk
-from sheafwork.plans.registry import query
+from sheafwork.operators import flow, graph, locale, relations, sheets, spatial, walk
 from sheafwork.sources import archive, binary, markup
 
+QUERIES, ORACLE = {}, {}
+
+
+def query(sql):
+    def put(f):
+        QUERIES[f.__name__], ORACLE[f.__name__] = f, sql
+        return f
+
+    return put
+
+
 DICTIONARY = [("item", "id", "0", False, None), ("item", "name", "1", False, "localizable"), ("item", "maker", "6:guild", True, None), ("item", "parts", "8", True, None), ("item@parts", "of", "6:item", False, None), ("item@parts", "place", "6:place", True, None), ("guild", "id", "0", False, None), ("note", "text", "1", False, None), ("place", "id", "0", False, None)]
 LINES = [
     ("item", 0, {"id": "I1", "name": "Oar", "maker": "G1", "parts": [{"of": "I2", "place": "P1"}, {"of": "I9"}]}), ("item", 1, {"id": "I2", "name": "Hull", "maker": "G2", "odd": 3}),
@@ -104,7 +114,7 @@ def cfg_metrics(spark: SparkSession, d: str) -> DataFrame:
         ("dead", 0, [], False), ("dead", 1, [], False),
     ]
     df = spark.createDataFrame(ops, "function string, pc int, targets array<int>, falls boolean")
-    return graph.flow_metrics(df).select("function", "blocks", "edges", "complexity", "loops")
+    return flow.flow_metrics(df).select("function", "blocks", "edges", "complexity", "loops")
 
 
 @query("""SELECT * FROM (VALUES ('root', 10.0::DOUBLE, 0.0::DOUBLE, 90.0::DOUBLE), ('a', 10.0, 5.0, 90.0), ('b', 8.0, 5.0, 180.0)) t(node, x, y, angle)""")
