@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheafwork.operators.graph import cut_lineage
+from sheafwork.operators.graph import cut_lineage, places
 
 EDGE = ["from_kind", "to_kind", "from_id", "to_id", "column", "mechanism", "valid"]
 
@@ -305,3 +305,47 @@ def surfaces(universe: DataFrame, mapped: DataFrame, key: str) -> DataFrame:
     """Every member of a universe with its surface, or ``deferred`` where mapped (key, surface) has none: no silent rest."""
     m = mapped.groupBy(key).agg(F.min("surface").alias("surface"))
     return universe.select(key).distinct().join(m, key, "left").select(key, F.coalesce("surface", F.lit("deferred")).alias("surface"))
+
+
+def allocated_ids(owners: DataFrame, width: int = 4) -> DataFrame:
+    """owners (folder, owner, ...) with id: the stem of the owner's path, or ``unowned``, and a number by folder within it."""
+    stem = F.regexp_replace(F.regexp_extract("owner", r"([^/]*)$", 1), r"\.[^.]*$", "")
+    named = owners.withColumn("_stem", F.coalesce(stem, F.lit("unowned")))
+    n = F.col("_n").cast("string")
+    numbered_ = places(named, ["_stem"], ["folder"], "_n")
+    return numbered_.withColumn("id", F.concat("_stem", F.lit("-"), F.lpad(n, F.greatest(F.length(n), F.lit(width)), F.lit("0")))).drop("_stem", "_n")
+
+
+def ledger_classes(directions: DataFrame, derived: DataFrame, declared: DataFrame, residual: DataFrame, terminal: DataFrame, top: int = 3) -> DataFrame:
+    """(from_kind, to_kind, class, unblock) of the directions (from_kind, to_kind, status) without edges of their own, each by the first rule
+    that holds: ``derived-evidence`` for a direction of derived; ``schema-empty`` where declared (from_kind, to_kind) has a column for
+    it; ``unadjudicated-name-hits`` where residual (from_kind, to_kind, norm_path, hits) has equal names, with their sum and the
+    ``top`` paths; the class of a terminal (from_kind, class, reason) kind; else ``no-carrier``.  Every direction has one."""
+    pair = ["from_kind", "to_kind"]
+    flag = lambda df, name: df.select(*pair, F.lit(True).alias(name)).distinct()
+    rank = F.row_number().over(Window.partitionBy(*pair).orderBy(F.desc("hits"), "norm_path"))
+    shown = F.when(F.col("_rn") <= top, F.concat("norm_path", F.lit("×"), F.col("hits").cast("string")))
+    by_path = residual.groupBy(*pair, "norm_path").agg(F.sum("hits").alias("hits")).withColumn("_rn", rank)
+    hits = by_path.groupBy(*pair).agg(F.sum("hits").alias("_hits"), F.array_join(F.transform(F.sort_array(F.collect_list(F.when(shown.isNotNull(), F.struct("_rn", shown.alias("t"))))), lambda x: x["t"]), "; ").alias("_paths"))
+    out = directions.where("status NOT IN ('modeled', 'partial')").select(*pair)
+    out = out.join(flag(derived, "_derived"), pair, "left").join(flag(declared, "_declared"), pair, "left").join(hits, pair, "left").join(terminal.select("from_kind", F.col("class").alias("_class"), "reason"), "from_kind", "left")
+    found = F.concat(F.col("_hits").cast("string"), F.lit(" equal names; "), "_paths")
+    kind = F.when(F.col("_derived"), "derived-evidence").when(F.col("_declared"), "schema-empty").when(F.col("_hits").isNotNull(), "unadjudicated-name-hits").when(F.col("_class").isNotNull(), F.col("_class")).otherwise("no-carrier")
+    text = F.when(kind == "schema-empty", F.concat(F.lit("a column of "), "from_kind", F.lit(" names "), "to_kind", F.lit(" and is never filled"))).when(kind == "unadjudicated-name-hits", found).when(kind == F.col("_class"), F.col("reason")).when(kind == "no-carrier", "find a carrier")
+    return out.select(*pair, kind.alias("class"), text.alias("unblock"))
+
+
+def deferred_ledger(columns: DataFrame, edges: DataFrame, rows: DataFrame, residual: DataFrame) -> DataFrame:
+    """(class, entries, cells, detail) of what a catalog does not say, in six classes: ``negated-polarity``, ``compound`` and
+    ``schema-empty`` columns of columns (schema, column, cells, class), ``unresolved`` and ``no-target`` references of edges (to_kind,
+    valid), and ``anonymous`` rows (kind, id null); and ``residual-names`` that residual (target, hits) adds.  detail lists what is
+    in a class by name, a class without entries has none of it and is there all the same."""
+    tagged = columns.select(F.when(F.col("class") == "negated", "negated-polarity").when(F.col("class").startswith("compound"), "compound").when(F.col("class") == "schema_empty", "schema-empty").alias("kind"), F.concat_ws(".", "schema", "column").alias("name"), "cells").where("kind IS NOT NULL")
+    bad = edges.where("valid IS NULL OR NOT valid").groupBy(F.when(F.col("valid").isNull(), "no-target").otherwise("unresolved").alias("kind"), F.col("to_kind").alias("name")).agg(F.count("*").alias("cells"))
+    nameless = rows.where("id IS NULL").groupBy(F.lit("anonymous").alias("kind"), F.col("kind").alias("name")).agg(F.count("*").alias("cells"))
+    names = residual.groupBy(F.lit("residual-names").alias("kind"), F.col("target").alias("name")).agg(F.sum("hits").alias("cells"))
+    every = tagged.unionByName(bad).unionByName(nameless).unionByName(names)
+    sums = every.groupBy("kind").agg(F.count("*").alias("entries"), F.sum("cells").alias("cells"), F.array_join(F.sort_array(F.collect_set("name")), ",").alias("detail"))
+    classes = columns.sparkSession.createDataFrame([(c,) for c in ("negated-polarity", "compound", "schema-empty", "unresolved", "no-target", "anonymous", "residual-names")], "class string")
+    out = classes.join(sums, F.col("class") == F.col("kind"), "left")
+    return out.select("class", F.coalesce("entries", F.lit(0)).alias("entries"), F.coalesce("cells", F.lit(0)).alias("cells"), F.coalesce("detail", F.lit("")).alias("detail"))

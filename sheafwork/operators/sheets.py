@@ -60,9 +60,9 @@ def sheet_edges(dictionary: DataFrame, lines: DataFrame, kind_of: DataFrame | No
     return out.select(*EDGE)
 
 
-def unadmitted(dictionary: DataFrame, cells: DataFrame, admitted: DataFrame) -> DataFrame:
-    """Columns that no carrier admits, by class: schema_empty (never filled), compound (a list or custom column that is
-    filled) or plain."""
+def unadmitted(dictionary: DataFrame, cells: DataFrame, admitted: DataFrame, negated: DataFrame | None = None) -> DataFrame:
+    """Columns that no carrier admits, by class: negated (listed in negated (schema, column): its references say what must not be, and
+    are no relations), schema_empty (never filled), compound_empty and compound_filled (a list or custom column) or plain."""
     filled = cells.groupBy("schema", "column").agg(F.count("*").alias("_n"))
     below = cells.select(F.explode(F.transform(F.sequence(F.lit(1), F.size(F.split("schema", "@"))), lambda n: F.array_join(F.slice(F.split("schema", "@"), F.lit(1), n), "@"))).alias("_s")).groupBy("_s").agg(F.count("*").alias("_below"))
     d = dictionary.select(F.col("sheet").alias("schema"), F.col("name").alias("column"), type_code(F.col("type_str")).alias("code"))
@@ -70,4 +70,8 @@ def unadmitted(dictionary: DataFrame, cells: DataFrame, admitted: DataFrame) ->
     d = d.withColumn("_s", F.concat_ws("@", "schema", "column")).join(below, "_s", "left").drop("_s")
     compound = F.col("code").isin("8", "9", "17")
     n = F.coalesce(F.col("_n"), F.lit(0)) + F.coalesce(F.col("_below"), F.lit(0))
-    return d.select("schema", "column", "code", n.alias("cells"), F.when(n == 0, F.when(compound, "compound_empty").otherwise("schema_empty")).when(compound, "compound_filled").otherwise("plain").alias("class"))
+    says_not = F.lit(False)
+    if negated is not None:
+        d = d.join(negated.select("schema", "column", F.lit(True).alias("_not")).distinct(), ["schema", "column"], "left")
+        says_not = F.col("_not").isNotNull()
+    return d.select("schema", "column", "code", n.alias("cells"), F.when(says_not, "negated").when(n == 0, F.when(compound, "compound_empty").otherwise("schema_empty")).when(compound, "compound_filled").otherwise("plain").alias("class"))

@@ -169,3 +169,19 @@ def members_of_parts(spark: SparkSession, d: str) -> DataFrame:
     """Each part's brand as a member that its descendants inherit or declare again."""
     p = table(spark, d, "part").select("p_partkey", F.when(F.col("p_partkey") > 1, F.expr("p_partkey DIV 3")).alias("up"), F.col("p_brand").alias("name"), F.lit(0).alias("ord"))
     return graph.flattened_members(graph.ancestors(p, "p_partkey", "up"), p, "p_partkey", "name", "ord").select("child", "name", "owner", F.col("slot").cast("int").alias("slot"))
+
+
+@query("""WITH c AS (SELECT count(*) AS n, count(*) FILTER (WHERE c_custkey % 5 = 0) AS p FROM customer), b AS (SELECT count(*) AS n FROM nation WHERE n_nationkey < 20),
+u AS (SELECT 'nation' AS name, count(*) AS n FROM customer WHERE c_nationkey >= 20 HAVING count(*) > 0 UNION ALL SELECT 'customer', count(*) FROM customer x WHERE NOT EXISTS (SELECT 1 FROM customer y WHERE y.c_custkey = x.c_custkey // 2) HAVING count(*) > 0)
+SELECT 'negated-polarity' AS class, CAST(1 AS BIGINT) AS entries, p AS cells, 'customer@parts.place' AS detail FROM c UNION ALL SELECT 'compound', 1, n + p, 'customer.parts' FROM c UNION ALL SELECT 'schema-empty', 1, 0, 'place.id'
+UNION ALL SELECT 'unresolved', count(*), CAST(coalesce(sum(n), 0) AS BIGINT), coalesce(string_agg(name, ',' ORDER BY name), '') FROM u
+UNION ALL SELECT 'no-target', 2, p + b.n, 'place,region' FROM c, b UNION ALL SELECT 'anonymous', 1, (SELECT count(*) FROM benchmark), 'note' UNION ALL SELECT 'residual-names', 0, 0, ''""")
+def deferred_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """What a sheet database's catalog does not say, in its classes; one typed column says what must not be."""
+    dictionary, lines = _sheets(spark, d)
+    negated = spark.createDataFrame([("customer@parts", "place")], "schema string, column string")
+    admitted = dictionary.where("type_str LIKE '6:%'").select(F.col("sheet").alias("schema"), F.col("name").alias("column")).join(negated, ["schema", "column"], "left_anti")
+    columns = sheets.unadmitted(dictionary, sheets.declared_cells(dictionary, lines), admitted, negated)
+    edges = sheets.sheet_edges(dictionary, lines).select("to_kind", "valid")
+    rows = lines.select(F.col("sheet").alias("kind"), F.get_json_object("row", "$.id").alias("id"))
+    return relations.deferred_ledger(columns, edges, rows, spark.createDataFrame([], "target string, hits bigint"))

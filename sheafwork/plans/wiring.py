@@ -9,8 +9,8 @@ from sheafwork.functions import decode
 from sheafwork.functions import text as T
 from sheafwork.operators import aggregates, quality, relations, spatial
 from sheafwork.plans.registry import query
-from sheafwork.session import table
-from sheafwork.sources import writers
+from sheafwork.session import fresh_folder, table
+from sheafwork.sources import records, writers
 
 _WORLD_SQL = """k AS (SELECT 'r' || r_regionkey AS kind FROM region),
 cat AS (SELECT 'r' || (c_nationkey % 5) AS f, 'r' || (c_custkey % 2) AS t, count(*) AS edges FROM customer GROUP BY ALL),
@@ -191,3 +191,60 @@ def stamps_and_selections(spark: SparkSession, d: str) -> DataFrame:
     """Stamps to the second, and modules by name, prefix and needle."""
     kind = F.col("event_type")
     return table(spark, d, "events").select("event_id", T.iso_seconds(F.col("ts")).alias("stamp"), T.selected(kind, ["view"], ["si", "c"]).alias("selected"), F.contains(kind, F.lit("ur")).alias("needle"))
+
+
+@query(f"""WITH {_WORLD_SQL}, de AS (SELECT DISTINCT from_kind, to_kind FROM cl WHERE class = 'derived' AND family = 'BUILDING'), sc AS (SELECT DISTINCT 'r' || (p_partkey % 5) AS from_kind, 'r' || (p_size % 5) AS to_kind FROM part WHERE p_size < 3),
+rs AS (SELECT 'r' || (s_nationkey % 5) AS from_kind, 'r' || (s_suppkey % 3) AS to_kind, 'p' || (s_suppkey % 4) AS path, count(*) AS hits FROM supplier WHERE s_nationkey % 5 < 2 GROUP BY ALL),
+rk AS (SELECT *, row_number() OVER (PARTITION BY from_kind, to_kind ORDER BY hits DESC, path) AS rn FROM rs),
+rt AS (SELECT from_kind, to_kind, CAST(sum(hits) AS BIGINT) AS hits, string_agg(path || '×' || hits, '; ' ORDER BY rn) FILTER (rn <= 3) AS paths FROM rk GROUP BY ALL)
+SELECT d.from_kind, d.to_kind, CASE WHEN de.from_kind IS NOT NULL THEN 'derived-evidence' WHEN sc.from_kind IS NOT NULL THEN 'schema-empty' WHEN rt.hits IS NOT NULL THEN 'unadjudicated-name-hits' WHEN d.from_kind = 'r4' THEN 'terminal' ELSE 'no-carrier' END AS class,
+  CASE WHEN de.from_kind IS NOT NULL THEN NULL WHEN sc.from_kind IS NOT NULL THEN 'a column of ' || d.from_kind || ' names ' || d.to_kind || ' and is never filled' WHEN rt.hits IS NOT NULL THEN rt.hits || ' equal names; ' || paths WHEN d.from_kind = 'r4' THEN 'names nothing' ELSE 'find a carrier' END AS unblock
+FROM dirs d LEFT JOIN de USING (from_kind, to_kind) LEFT JOIN sc USING (from_kind, to_kind) LEFT JOIN rt USING (from_kind, to_kind) WHERE d.status = 'missing'""")
+def ledger_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Why each direction without edges has none, by ordered rules."""
+    dirs, classed, _ = _world(spark, d)
+    p, s = table(spark, d, "part").where("p_size < 3"), table(spark, d, "supplier").where("s_nationkey % 5 < 2")
+    declared = p.select(_r(F.col("p_partkey") % 5, "from_kind"), _r(F.col("p_size") % 5, "to_kind"))
+    residual = s.groupBy(_r(F.col("s_nationkey") % 5, "from_kind"), _r(F.col("s_suppkey") % 3, "to_kind"), F.concat(F.lit("p"), (F.col("s_suppkey") % 4).cast("string")).alias("norm_path")).agg(F.count("*").alias("hits"))
+    terminal = spark.createDataFrame([("r4", "terminal", "names nothing")], "from_kind string, class string, reason string")
+    return relations.ledger_classes(dirs, classed.where("class = 'derived' AND family = 'BUILDING'"), declared, residual, terminal)
+
+
+@query("""WITH f AS (SELECT DISTINCT 'n' || c_nationkey || '/d' || c_custkey AS folder, CASE WHEN c_custkey % 4 <> 0 THEN 'n' || c_nationkey || '/s' || (c_custkey % 3) || '.v.prefab' END AS owner FROM customer),
+k AS (SELECT *, CASE WHEN owner IS NULL THEN 'unowned' ELSE regexp_extract(owner, '/(s[0-9]+\\.v)\\.prefab', 1) END AS stem FROM f)
+SELECT folder, stem || '-' || CASE WHEN length(CAST(row_number() OVER w - 1 AS VARCHAR)) < 4 THEN lpad(CAST(row_number() OVER w - 1 AS VARCHAR), 4, '0') ELSE CAST(row_number() OVER w - 1 AS VARCHAR) END AS id FROM k WINDOW w AS (PARTITION BY stem ORDER BY folder)""")
+def allocated_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Ids of folders from their owners' names, in the order of their paths."""
+    k = F.col("c_custkey")
+    owner = F.when(k % 4 != 0, F.format_string("n%d/s%d.v.prefab", "c_nationkey", k % 3))
+    folders = table(spark, d, "customer").select(F.format_string("n%d/d%d", "c_nationkey", k).alias("folder"), owner.alias("owner")).distinct()
+    return relations.allocated_ids(folders).select("folder", "id")
+
+
+@query("""WITH e AS (SELECT 'r' || (c_nationkey % 5) AS from_kind, 'r' || (c_custkey % 3) AS to_kind, c_mktsegment AS family, 'C' || c_custkey AS from_id, 'N' || c_nationkey AS to_id, CASE WHEN c_custkey % 2 = 0 THEN 'path' ELSE 'token' END AS m FROM customer)
+SELECT from_kind, to_kind, family, count(*) AS edges, count(DISTINCT from_id) AS from_ids, count(DISTINCT to_id) AS to_ids, string_agg(DISTINCT m, '+' ORDER BY m) AS methods, (SELECT count(*) FROM e x WHERE x.from_kind = e.from_kind AND x.to_kind = e.to_kind) AS written FROM e GROUP BY ALL""")
+def family_files(spark: SparkSession, d: str) -> DataFrame:
+    """Evidence written by direction with its families' statistics, and the rows that are read back of each direction."""
+    k = F.col("c_custkey")
+    id_ = lambda letter, c: F.concat(F.lit(letter), c.cast("string"))
+    edges = table(spark, d, "customer").select(_r(F.col("c_nationkey") % 5, "from_kind"), _r(k % 3, "to_kind"), F.col("c_mktsegment").alias("family"), id_("C", k).alias("from_id"), id_("N", F.col("c_nationkey")).alias("to_id"), F.concat(F.when(k % 2 == 0, "path").otherwise("token"), F.lit(":"), k.cast("string")).alias("method"))
+    path = fresh_folder(spark, "families")
+    stats = writers.write_families(edges, path)
+    written = spark.read.schema("from_id string, from_kind string, to_kind string").json(f"{path}/edges").groupBy("from_kind", "to_kind").agg(F.count("from_id").alias("written"))
+    return stats.join(written, ["from_kind", "to_kind"])
+
+
+@query("""SELECT 'orders' AS "table", count(*) + 1 AS wanted, count(*) AS found FROM orders UNION ALL SELECT 'strings', 5, NULL UNION ALL SELECT 'part', NULL, count(*) FROM part""")
+def snapshot_counts(spark: SparkSession, d: str) -> DataFrame:
+    """A snapshot of five tables written as JSON lines with a header, read back: a count planted wrong, a table that only the header
+    has and one that it lacks are in the ledger."""
+    path, names = fresh_folder(spark, "snapshot"), ["orders", "customer", "nation", "region", "part"]
+    tables = {n: table(spark, d, n).select(F.col(c).cast("bigint").alias("key")) for n, c in zip(names, ("o_orderkey", "c_custkey", "n_nationkey", "r_regionkey", "p_partkey"))}
+    counts = None
+    for name, df in tables.items():
+        df.write.json(f"{path}/{name}")
+        one = df.agg(F.lit(name).alias("table"), (F.count("*") + F.lit(int(name == "orders"))).alias("rows"))
+        counts = one if counts is None else counts.unionByName(one)
+    counts.where("table <> 'part'").unionByName(spark.createDataFrame([("strings", 5)], "table string, rows bigint")).coalesce(1).write.json(f"{path}/header")
+    read, ledger = records.read_snapshot(spark, path, dict.fromkeys(names, "key bigint"), "the snapshot")
+    return ledger

@@ -202,5 +202,5 @@ def directories(entries: DataFrame) -> DataFrame:
 
 
 def with_prefix(entries: DataFrame, prefix: str) -> DataFrame:
-    """(size, path) of the members below a prefix, in no order."""
-    return entries.where(F.col("path").startswith(prefix)).select("size", "path")
+    """The listing (size, path) of the members below a prefix, by path."""
+    return entries.where(F.col("path").startswith(prefix)).select("size", "path").orderBy("path")

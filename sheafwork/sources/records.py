@@ -109,3 +109,25 @@ def terrain_repeats(files: DataFrame, roles: str = "hniw") -> DataFrame:
     """The ledger beside terrain_index: (dir, tx, ty, role, times, lengths differ) of roles that several files give."""
     one = terrain_files(files, roles).groupBy("dir", "tx", "ty", "role")
     return one.agg(F.count("*").alias("times"), (F.min("length") < F.max("length")).alias("differ")).where("times > 1")
+
+
+def required(spark: SparkSession, path: str, owner: str) -> str:
+    """path, if it is there and not empty; else an error that names the stage that makes it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(where) or not fs.getContentSummary(where).getLength():
+        raise FileNotFoundError(f"{path} is missing or empty: run {owner} first")
+    return path
+
+
+def read_snapshot(spark: SparkSession, folder: str, tables: dict[str, str], owner: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """(the tables, a ledger) of a snapshot: one folder of JSON lines for each table (name: schema), and ``header`` with the rows (table,
+    rows) that each should have.  The ledger (table, wanted, found) has the tables of which that isn't true, missing ones too."""
+    header = spark.read.schema("table string, rows bigint").json(required(spark, f"{folder}/header", owner))
+    read = {name: spark.read.schema(schema).json(required(spark, f"{folder}/{name}", owner)) for name, schema in tables.items()}
+    counts = None
+    for name, df in read.items():
+        one = df.agg(F.lit(name).alias("table"), F.count("*").alias("found"))
+        counts = one if counts is None else counts.unionByName(one)
+    both = header.select("table", F.col("rows").alias("wanted")).join(counts, "table", "full_outer")
+    return read, both.where(~F.col("wanted").eqNullSafe(F.col("found")))

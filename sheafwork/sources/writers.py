@@ -84,3 +84,12 @@ def registry_document(layers: DataFrame, header: dict[str, str], order: Sequence
         raise ValueError(f"more than {most} layers: canonical_json takes any number")
     rows = F.sort_array(F.collect_list(F.struct(F.struct(*order).alias("o"), F.struct(*layers.columns).alias("row"))))
     return layers.agg(F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in header.items()], F.transform(rows, lambda r: r["row"]).alias("layers"))).alias("value"))
+
+
+def write_families(edges: DataFrame, path: str, order: Sequence[str] = ("from_id", "to_id")) -> DataFrame:
+    """Writes evidence (from_kind, to_kind, family, from_id, to_id, method, ...) by direction, in order within each file, and returns the
+    families' statistics (from_kind, to_kind, family, edges, from_ids, to_ids, methods), which are written beside as ``statistics``."""
+    write_by(edges, f"{path}/edges", ["from_kind", "to_kind"], list(order))
+    stats = edges.groupBy("from_kind", "to_kind", "family").agg(F.count("*").alias("edges"), F.count_distinct("from_id").alias("from_ids"), F.count_distinct("to_id").alias("to_ids"), F.array_join(F.sort_array(F.collect_set(F.substring_index("method", ":", 1))), "+").alias("methods"))
+    stats.write.mode("overwrite").parquet(f"{path}/statistics")
+    return edges.sparkSession.read.parquet(f"{path}/statistics")
