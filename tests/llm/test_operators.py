@@ -442,6 +442,12 @@ def test_pieces_of_random_texts():
         assert p.encode(t).tolist() == p.whole(t), t
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from("ab \n\t\u2009\u3000\u0085é\u1680\x1f"), min_size=1, max_size=6))
+def test_irregular_white_space(text):
+    assert token_ids.irregular(text) == bool(token_ids.IRREGULAR.search(text))
+
+
 def test_files_of_many_empty_documents(spark, monkeypatch):
     """Files are closed by documents too, and rows are handed on in parts."""
     monkeypatch.setattr(token_ids, "FILE_DOCS", 1000)
