@@ -263,7 +263,14 @@ def repaired_conversations(conversations: DataFrame) -> DataFrame:
     small = small_conversations(rows.join(ids, same_conv("conv_id", "_large"), "left_anti"))
     found = large_conversations(rows.join(ids, same_conv("conv_id", "_large"), "left_semi"), int(all_large[1]), int(all_large[2]))
     zero = F.lit(0).cast("bigint")
-    every = ids.join(found, same_conv("conv_id", "_large"), "left").select(F.col("_large").alias("conv_id"), *[F.coalesce(c, zero).alias(c) if c != "gaps" else F.when(F.col("cost").isNull(), zero).otherwise(F.col("gaps")).alias("gaps") for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")], F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(EMPTY_HASH)).alias("repaired_sha256"))
+    numbers = [F.coalesce(c, zero).alias(c) for c in ("blank", "duplicate", "truncated", "illegal", "cost")]
+    every = ids.join(found, same_conv("conv_id", "_large"), "left").select(
+        F.col("_large").alias("conv_id"),
+        F.when(F.col("cost").isNull(), zero).otherwise(F.col("gaps")).alias("gaps"),
+        *numbers,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.lit(EMPTY_HASH)).alias("repaired_sha256"),
+    )
     return small.unionByName(every)
 
 
