@@ -134,3 +134,10 @@ def coverage_by(used: DataFrame, by: str, key: str, bridge: DataFrame) -> DataFr
     have = bridge.select(F.col(key).alias("_key")).distinct()
     at = used.select(by, key).distinct().join(have, F.col(key) == F.col("_key"), "left")
     return at.groupBy(by).agg(F.count("*").alias("used"), F.count("_key").alias("bridged"), F.count_if(F.col("_key").isNull()).alias("beyond"))
+
+
+def group_reach(points: DataFrame, by: str, distance: str, land: str) -> DataFrame:
+    """(by, points, low, mid, high, on_land) of points with a distance: its range and median, and the share of all points of the group
+    that are known to be on land."""
+    on = F.avg(F.coalesce(F.col(land), F.lit(False)).cast("double"))
+    return points.groupBy(by).agg(F.count("*").alias("points"), F.min(distance).alias("low"), F.median(distance).alias("mid"), F.max(distance).alias("high"), on.alias("on_land"))

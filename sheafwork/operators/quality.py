@@ -215,3 +215,13 @@ def preconditions(facts: DataFrame, expected: DataFrame) -> DataFrame:
     at = expected.join(facts, "fact", "left").where(~F.col("found").eqNullSafe(F.col("wanted")))
     said = F.format_string("%s needs %s = %s, found %s: run %s first", "stage", "fact", F.col("wanted").cast("string"), F.coalesce(F.col("found").cast("string"), F.lit("nothing")), "owner")
     return at.select("stage", "fact", "found", "wanted", said.alias("message"))
+
+
+def subset_residue(part: DataFrame, whole: DataFrame, residue: DataFrame, on: Sequence[str]) -> DataFrame:
+    """(…on, rule) of the keys that break ``part is within whole, and what it lacks is just the residue``: ``stray`` (in part, not in
+    whole), ``unexplained`` (lacking, but not in the residue) and ``present`` (in the residue, but not lacking)."""
+    keyed = lambda df, name: df.select(*on).distinct().withColumn(name, F.lit(True))
+    every = keyed(whole, "_w").join(keyed(part, "_p"), list(on), "full_outer").join(keyed(residue, "_r"), list(on), "full_outer")
+    w, p, r = (F.coalesce(c, F.lit(False)) for c in ("_w", "_p", "_r"))
+    rule = F.when(p & ~w, "stray").when(w & ~p & ~r, "unexplained").when(r & (p | ~w), "present")
+    return every.withColumn("rule", rule).where("rule IS NOT NULL").select(*on, "rule")

@@ -33,6 +33,11 @@ def floor_cell(v: Column, unit: float) -> Column:
     return F.floor(v / F.lit(float(unit))).cast("bigint")
 
 
+def truncated_cell(v: Column, unit: float) -> Column:
+    """Index of the cell a value is in, cut towards zero: the cells on both sides of zero are one."""
+    return (v / F.lit(float(unit))).cast("bigint")
+
+
 def within(x: Column, y: Column, box: Sequence[float]) -> Column:
     return x.between(box[0], box[2]) & y.between(box[1], box[3])
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sheafwork.functions import formulas
 from sheafwork.functions import text as T
-from sheafwork.operators import aggregates, flow, graph, search, spatial
+from sheafwork.operators import aggregates, flow, graph, quality, search, spatial, walk
 from sheafwork.plans.audits import written_archives
 from sheafwork.plans.registry import query
 from sheafwork.session import fresh_folder, table
@@ -209,3 +209,45 @@ def bridge_coverage(spark: SparkSession, d: str) -> DataFrame:
     nation = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").alias("region"))
     used = table(spark, d, "customer").join(nation, "c_nationkey").select("region", "c_custkey", "c_nationkey")
     return aggregates.coverage_by(used, "region", "c_custkey", used.where("c_nationkey % 2 = 0").select("c_custkey"))
+
+
+@query("""WITH c AS (SELECT CAST(floor(c_acctbal / 500) AS BIGINT) AS col, CAST(c_nationkey AS BIGINT) AS row, count(*) AS n FROM customer GROUP BY ALL)
+SELECT CAST(s_nationkey AS BIGINT) AS nation, count(*) AS points, round(min(abs(s_acctbal)), 6) AS low, round(median(abs(s_acctbal)), 6) AS mid, round(max(abs(s_acctbal)), 6) AS high, round(avg(CASE WHEN n % 2 = 0 THEN 1.0 ELSE 0.0 END), 6) AS on_land
+FROM supplier LEFT JOIN c ON c.row = s_nationkey AND c.col = CAST(floor(s_acctbal / 500) AS BIGINT) GROUP BY 1""")
+def land_shares(spark: SparkSession, d: str) -> DataFrame:
+    """How far suppliers of a nation lie, and the share of them whose cell is land; cells that are not there are none."""
+    cells = table(spark, d, "customer").groupBy(spatial.floor_cell(F.col("c_acctbal"), 500).alias("col"), F.col("c_nationkey").cast("bigint").alias("row")).agg((F.count("*") % 2 == 0).alias("land"))
+    points = table(spark, d, "supplier").select(F.col("s_nationkey").cast("bigint").alias("nation"), F.abs("s_acctbal").cast("double").alias("far"), F.col("s_nationkey").cast("bigint").alias("row"), spatial.floor_cell(F.col("s_acctbal"), 500).alias("col"))
+    out = aggregates.group_reach(points.join(cells, ["row", "col"], "left"), "nation", "far", "land")
+    return out.select("nation", "points", *[F.round(c, 6).alias(c) for c in ("low", "mid", "high", "on_land")])
+
+
+@query("""SELECT 'C' || c_custkey AS id, 'unexplained' AS rule FROM customer WHERE c_custkey % 10 = 3 AND c_custkey % 4 <> 0 UNION ALL SELECT 'C' || c_custkey, 'present' FROM customer WHERE c_custkey % 10 <> 3 AND c_custkey % 4 = 0 AND c_custkey % 100 = 8 UNION ALL SELECT 'S' || s_suppkey, 'stray' FROM supplier WHERE s_suppkey % 25 = 0""")
+def subset_residue(spark: SparkSession, d: str) -> DataFrame:
+    """A part of the customers and the residue that it should lack, with strays, gaps and false residue planted."""
+    k = F.col("c_custkey")
+    name = lambda letter, c: F.concat(F.lit(letter), c.cast("string")).alias("id")
+    whole = table(spark, d, "customer").select(k, name("C", k))
+    strays = table(spark, d, "supplier").where("s_suppkey % 25 = 0").select(name("S", F.col("s_suppkey")))
+    part = whole.where("c_custkey % 10 <> 3").select("id").unionByName(strays)
+    residue = whole.where("c_custkey % 4 = 0 AND (c_custkey % 10 = 3 OR c_custkey % 100 = 8)").select("id")
+    return quality.subset_residue(part, whole.select("id"), residue, ["id"])
+
+
+@query("""SELECT CASE c_custkey % 3 WHEN 0 THEN 'mesh' WHEN 1 THEN 'light' ELSE 'reference' END AS type, 1 AS depth, count(*) AS n FROM customer GROUP BY 1 UNION ALL SELECT 'leaf', 2, count(*) FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT 'scene', 0, count(*) FROM customer""")
+def child_types(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes of nested scenes by their type and depth, in one walk."""
+    k = F.col("c_custkey")
+    kind = F.when(k % 3 == 0, "mesh").when(k % 3 == 1, "light").otherwise("reference")
+    leaf = F.when(k % 2 == 0, F.array(F.struct(F.lit("leaf").alias("type"))))
+    scene = F.to_json(F.struct(F.lit("scene").alias("type"), F.array(F.struct(kind.alias("type"), F.col("c_name").alias("name"), leaf.alias("children"))).alias("children")))
+    cells = walk.walk_json(table(spark, d, "customer").select(k, scene.alias("row")), ["c_custkey"], "row", 6)
+    nodes = walk.typed_nodes(cells, ["c_custkey"], "type")
+    return nodes.select(F.col("node_type").alias("type"), F.regexp_count("node", F.lit("children")).alias("depth")).groupBy("type", "depth").agg(F.count("*").alias("n"))
+
+
+@query("SELECT c_custkey, CAST(floor(c_acctbal / 500) AS BIGINT) AS floored, CAST(trunc(c_acctbal / 500) AS BIGINT) AS cut FROM customer")
+def cell_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Cells of balances by both rules; they differ below zero."""
+    v = F.col("c_acctbal").cast("double")
+    return table(spark, d, "customer").select("c_custkey", spatial.floor_cell(v, 500).alias("floored"), spatial.truncated_cell(v, 500).alias("cut"))

@@ -302,7 +302,10 @@ def grid_stats(pixels: DataFrame, by: list[str], pin: float, tolerance: float =
     """Finite share, range and plateau share of each grid, and a verdict."""
     v = F.col("value")
     finite = ~(F.isnan(v) | (F.abs(v) == float("inf")))
-    return pixels.groupBy(*by).agg(F.avg(finite.cast("double")).alias("finite"), F.min(F.when(finite, v)).alias("low"), F.max(F.when(finite, v)).alias("high"), F.avg((F.abs(v - pin) < tolerance).cast("double")).alias("plateau")).withColumn("verdict", F.when(F.col("finite") < 1, "broken").when(F.col("plateau") > 0.99, "flat").otherwise("terrain"))
+    share = lambda c: F.avg(c.cast("double"))
+    known = F.when(finite, v)
+    stats = pixels.groupBy(*by).agg(share(finite).alias("finite"), F.min(known).alias("low"), F.max(known).alias("high"), share(F.abs(v - pin) < tolerance).alias("plateau"))
+    return stats.withColumn("verdict", F.when(F.col("finite") < 1, "broken").when(F.col("plateau") > 0.99, "flat").otherwise("terrain"))
 
 
 def crop_icons(descriptors: DataFrame, atlases: DataFrame) -> DataFrame:
