@@ -44,10 +44,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_folder(spark: SparkSession, tag: str) -> str:
     """The name of a new folder below the shared one; what is written there goes when the driver's JVM ends."""
-    path = f"{shared_folder(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(where)
-    return path
+    above = f"{shared_folder(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(above)
+    fs = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.mkdirs(where)
+    fs.deleteOnExit(where)  # of a folder that is there; what is below goes with it
+    return f"{above}/data"
 
 
 def staged(df: DataFrame, tag: str = "stage") -> DataFrame:
