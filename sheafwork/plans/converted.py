@@ -9,7 +9,7 @@ from sheafwork.functions import text as T
 from sheafwork.functions.decode import is_media, type_label
 from sheafwork.operators import graph, locale, relations, sheets, spatial, walk
 from sheafwork.plans.registry import query
-from sheafwork.session import table
+from sheafwork.session import dealt, table
 from sheafwork.sources import binary, markup
 
 DICTIONARY = [
@@ -94,7 +94,7 @@ def leaves_of_exports(spark: SparkSession, d: str) -> DataFrame:
     """Leaves of an export for each customer, repeated tags counted."""
     k = F.col("c_custkey")
     xml = F.format_string('<cdb version="1"><sheet name="item"><I%d><name>%s <br/></name><list><line%d><col>%d</col></line%d></list><name/></I%d></sheet></cdb>', k, "c_name", k % 4, "c_nationkey", k % 4, k)
-    return markup.read_export(table(spark, d, "customer").select(_id("l", k % 3).alias("locale"), xml.alias("value")))
+    return markup.read_export(dealt(table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")).select(_id("l", k % 3).alias("locale"), xml.alias("value")))
 
 
 @query("""SELECT 'en' AS locale, 'menu/m' || c_custkey || '/open' AS key, 'Open <b>' || c_mktsegment || '</b>' AS value FROM customer UNION ALL SELECT 'en', 'menu/q' || c_custkey, '' FROM customer""")

@@ -66,6 +66,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """df dealt evenly over all cores, for work that costs much a row: a file's rows may all lie in one row group, and so in one of its
+    partitions, however many these are."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """A table of the driver's layout: one Parquet file or folder for each name."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
