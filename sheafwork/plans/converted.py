@@ -100,7 +100,7 @@ def leaves_of_exports(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT 'en' AS locale, 'menu/m' || c_custkey || '/open' AS key, 'Open <b>' || c_mktsegment || '</b>' AS value FROM customer UNION ALL SELECT 'en', 'menu/q' || c_custkey, '' FROM customer""")
 def texts_of_exports(spark: SparkSession, d: str) -> DataFrame:
     xml = F.format_string('<r><g id="menu"><g id="m%d"><t id="open">Open <b>%s</b></t></g><t id="q%d"/></g></r>', "c_custkey", "c_mktsegment", "c_custkey")
-    return markup.read_texts(table(spark, d, "customer").select(F.lit("en").alias("locale"), xml.alias("value")))
+    return markup.read_texts(dealt(table(spark, d, "customer").select("c_custkey", "c_mktsegment")).select(F.lit("en").alias("locale"), xml.alias("value")))
 
 
 @query("""SELECT 'C' || c_custkey AS id, l AS locale, CASE WHEN c_custkey % 4 = CASE l WHEN 'en' THEN 0 ELSE 1 END THEN 'missing' WHEN c_custkey % 5 = 0 THEN 'empty' ELSE 'ok' END AS state FROM customer, (SELECT unnest(['en', 'fr']) AS l)""")

@@ -25,3 +25,9 @@ def test_leaves_are_handed_on_in_large_batches(monkeypatch, spark):
     monkeypatch.setattr(markup, "MOST_ROWS", 300)
     out = list(work(iter([rows])))
     assert max(b.num_rows for b in out) == 300 and pa.Table.from_batches(out).column("value").to_pylist()[:3] == ["x0", "", "x1"]
+
+
+def test_texts_are_handed_on_in_large_batches():
+    rows = pa.RecordBatch.from_pydict({"locale": ["en"] * 500, "value": [f'<g id="m"><t id="k{i}">x{i}</t><t id="q{i}"/></g>' for i in range(500)]})
+    (out,) = markup.read_texts(Caught())(iter([rows]))
+    assert out.num_rows == 1000 and out.to_pylist()[999] == {"locale": "en", "key": "m/q499", "value": ""}
