@@ -12,7 +12,7 @@ from sheafwork.functions import text as T
 from sheafwork.operators import aggregates, flow, graph, quality, search, spatial, walk
 from sheafwork.plans.audits import written_archives
 from sheafwork.plans.registry import query
-from sheafwork.session import fresh_folder, table
+from sheafwork.session import dealt, fresh_folder, table
 from sheafwork.sources import archive, binary, records
 
 
@@ -70,7 +70,7 @@ def raster_proof(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("c_custkey")
     bits = F.array(*[F.lit(struct.pack("<f", v).hex()) for v in _FLOATS])
     raw = F.unhex(F.concat(*[F.element_at(bits, ((k + j) % 16 + 1).cast("int")) for j in range(4)]))
-    pixels = binary.float_grid(table(spark, d, "customer").select(k.alias("grid"), raw.alias("content")), "content", ["grid"])
+    pixels = binary.float_grid(dealt(table(spark, d, "customer").select(k)).select(k.alias("grid"), raw.alias("content")), "content", ["grid"])
     return binary.grid_stats(pixels, ["grid"], pin=0.0).select("grid", "finite", F.col("low").cast("double").alias("low"), F.col("high").cast("double").alias("high"), "plateau", "verdict")
 
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 
-from sheafwork.sources import markup
+from sheafwork.sources import binary, markup
 
 
 class Caught:
     """Stands for a DataFrame and keeps the function that would run in its tasks."""
 
+    dtypes = [("k", "bigint")]
+
     def select(self, *_):
         return self
 
@@ -31,3 +34,15 @@ def test_texts_are_handed_on_in_large_batches():
     rows = pa.RecordBatch.from_pydict({"locale": ["en"] * 500, "value": [f'<g id="m"><t id="k{i}">x{i}</t><t id="q{i}"/></g>' for i in range(500)]})
     (out,) = markup.read_texts(Caught())(iter([rows]))
     assert out.num_rows == 1000 and out.to_pylist()[999] == {"locale": "en", "key": "m/q499", "value": ""}
+
+
+def test_float_grids_are_handed_on_together(monkeypatch):
+    grids = [np.arange(n * n, dtype="<f4") + n for n in (2, 1, 3) * 100]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array([g.tobytes() for g in grids], pa.binary())], names=["k", "content"])
+    work = binary.float_grid(Caught(), "content", ["k"])
+    want = [{"k": k, "row": i // n, "col": i % n, "value": float(v)} for k, g in enumerate(grids) for n in [int(len(g) ** 0.5)] for i, v in enumerate(g)]
+    (out,) = work(iter([rows]))  # one a grid before
+    assert out.to_pylist() == want
+    monkeypatch.setattr(binary, "MOST_PIXELS", 8)
+    out = list(work(iter([rows])))
+    assert max(b.num_rows for b in out) == 9 and pa.Table.from_batches(out).to_pylist() == want
