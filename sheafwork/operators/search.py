@@ -5,8 +5,11 @@ and id.  Names are normalised once when the index is made, not at every query.""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +21,8 @@ from sheafwork.operators.relations import containing
 LEAST_QUERY = 2
 #: Queries that search_all broadcasts at most.
 FEW_QUERIES = 64
+#: Characters of ids in a piece of ordered_manifest.
+PIECE = 1 << 16
 
 
 def tier(name: Column, query: Column) -> Column:
@@ -92,3 +97,56 @@ def manifest(index: DataFrame) -> DataFrame:
     part = lambda at: F.sum(F.conv(F.substring(hash_, at, 15), 16, 10).cast("decimal(38,0)"))
     sums = index.groupBy("locale").agg(F.count("*").alias("rows"), part(1).alias("_a"), part(16).alias("_b"))
     return sums.select("locale", "rows", F.sha2(F.concat_ws(",", "rows", "_a", "_b").cast("binary"), 256).alias("ids_digest"))
+
+
+def ordered_manifest(index: DataFrame) -> DataFrame:
+    """Rows of each locale and the SHA-256 of its ids (kind/id) in order, one a line; ids that are null are rows only.
+
+    Ids are sorted in ranges over all tasks and packed into pieces of about PIECE characters; one task for each locale then streams
+    its pieces, in order, through the hash.  No row or task holds a locale's ids, though one hash has to read them in turn."""
+    kind = index.schema["locale"].dataType.simpleString()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seq, piece, size, rows, now, locales = TaskContext.get().partitionId(), 0, [], 0, 0, None, None
+
+        def full() -> pa.RecordBatch:
+            data = "\n".join(piece).encode() if piece else None
+            return pa.RecordBatch.from_arrays([pa.array([now], locales), pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([rows], pa.int64()), pa.array([data], pa.binary())], names=["locale", "part", "seq", "n", "data"])
+
+        for batch in batches:
+            locales = batch.column("locale").type
+            for locale, id_ in zip(batch.column("locale").to_pylist(), batch.column("id").to_pylist()):
+                if rows and (locale != now or size >= PIECE):
+                    yield full()
+                    seq, piece, size, rows = seq + 1, [], 0, 0
+                now, rows = locale, rows + 1
+                if id_ is not None:
+                    piece.append(id_)
+                    size += len(id_)
+        if rows:
+            yield full()
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows, sha, locales = None, 0, None, None
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([now], locales), pa.array([rows], pa.int64()), pa.array([sha and sha.hexdigest()], pa.string())], names=["locale", "rows", "ids_sha256"])
+
+        for batch in batches:
+            locales = batch.column("locale").type
+            for locale, n, data in zip(batch.column("locale").to_pylist(), batch.column("n").to_pylist(), batch.column("data").to_pylist()):
+                if rows and locale != now:
+                    yield done()
+                    rows, sha = 0, None
+                now, rows = locale, rows + n
+                if data is not None:
+                    if sha is None:
+                        sha = hashlib.sha256(data)
+                    else:
+                        sha.update(b"\n" + data)
+        if rows:
+            yield done()
+
+    ids = index.select("locale", F.concat("kind", F.lit("/"), "id").alias("id")).repartitionByRange("locale", "id").sortWithinPartitions("locale", "id")
+    pieces = ids.mapInArrow(pack, f"locale {kind}, part int, seq bigint, n bigint, data binary")
+    return pieces.repartition("locale").sortWithinPartitions("locale", "part", "seq").mapInArrow(digest, f"locale {kind}, rows bigint, ids_sha256 string")

@@ -144,14 +144,12 @@ def role_audit(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "conversations").groupBy("role").agg(F.count("*").alias("n"), F.count_if(F.length("text") >= 100).alias("ok"))
 
 
-@query("""WITH h AS (SELECT lang AS locale, md5('doc/' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
-n AS (SELECT locale, CAST(('0x' || left(h, 15)) AS BIGINT) AS a, CAST(('0x' || substr(h, 16, 15)) AS BIGINT) AS b FROM h)
-SELECT locale, count(*) AS "rows", sha256(concat_ws(',', count(*), CAST(sum(a) AS HUGEINT), CAST(sum(b) AS HUGEINT))) AS ids_digest FROM n GROUP BY locale""")
+@query("""SELECT locale, count(*) AS "rows", sha256(string_agg(id, chr(10) ORDER BY id)) AS ids_sha256 FROM (SELECT lang AS locale, 'doc/' || CAST(doc_id AS VARCHAR) AS id FROM documents) GROUP BY locale""")
 def id_manifest(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of each language and a digest of its ids."""
-    from sheafwork.operators.search import manifest
+    """Rows of each language and a digest of its ordered ids."""
+    from sheafwork.operators.search import ordered_manifest
 
-    return manifest(table(spark, d, "documents").select(F.col("lang").alias("locale"), F.lit("doc").alias("kind"), F.col("doc_id").cast("string").alias("id")))
+    return ordered_manifest(table(spark, d, "documents").select(F.col("lang").alias("locale"), F.lit("doc").alias("kind"), F.col("doc_id").cast("string").alias("id")))
 
 
 @query("""SELECT CAST(-count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS INT) AS off FROM customer""")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
+from sheafwork.operators import search
 from sheafwork.sources import binary, markup
 
 
@@ -46,3 +49,14 @@ def test_float_grids_are_handed_on_together(monkeypatch):
     monkeypatch.setattr(binary, "MOST_PIXELS", 8)
     out = list(work(iter([rows])))
     assert max(b.num_rows for b in out) == 9 and pa.Table.from_batches(out).to_pylist() == want
+
+
+def test_ordered_manifest_hashes_the_sorted_ids(spark, monkeypatch):
+    monkeypatch.setattr(search, "PIECE", 100)
+    rows = [(None if i % 5 == 0 else "en" if i % 3 else "fr", "doc", None if i % 97 == 0 else str(i * 7919 % 20011)) for i in range(5000)] + [("en", "doc", "7")] * 3 + [("xx", "doc", None)]
+    out = search.ordered_manifest(spark.createDataFrame(rows, "locale string, kind string, id string").repartition(5))
+    want = {}
+    for locale, k, i in rows:
+        want.setdefault(locale, []).append(i and f"{k}/{i}")
+    digest = lambda ids: hashlib.sha256("\n".join(ids).encode()).hexdigest() if ids else None
+    assert {r["locale"]: (r["rows"], r["ids_sha256"]) for r in out.collect()} == {g: (len(v), digest(sorted(filter(None, v)))) for g, v in want.items()}
