@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sheafwork.operators.types import type_display
 from sheafwork.plans.registry import query
-from sheafwork.session import fresh_folder, table
+from sheafwork.session import dealt, fresh_folder, staged, table
 from sheafwork.sources import binary, markup, terrain, textures
 
 
@@ -43,8 +43,8 @@ def texture_texels(spark: SparkSession, d: str) -> DataFrame:
     """Block-compressed textures of 8 x 4 texels out of each part's digest, decoded; every eleventh is cut short."""
     k = F.col("p_partkey")
     whole = F.concat(F.lit(texture_head(8, 4, b"DXT1").hex()), F.md5(F.col("p_name").cast("binary")))
-    files = table(spark, d, "part").select(k.cast("string").alias("path"), F.unhex(F.when(k % 11 == 0, F.substring(whole, 1, 280)).otherwise(whole)).alias("content"))
-    images = textures.decoded(files)
+    files = dealt(table(spark, d, "part").select("p_partkey", "p_name")).select(k.cast("string").alias("path"), F.unhex(F.when(k % 11 == 0, F.substring(whole, 1, 280)).otherwise(whole)).alias("content"))
+    images = staged(textures.decoded(files), "textures")  # decoded once for both uses
     sums = textures.texels(images).groupBy("path").agg(*[F.sum(c).alias(c) for c in "rgb"], F.count_if(F.col("a") == 255).alias("texels"))
     return images.select("path", "problem").join(sums, "path", "left").select(F.col("path").cast("bigint").alias("p_partkey"), "r", "g", "b", F.coalesce("texels", F.lit(0)).alias("texels"), "problem")
 

@@ -8,7 +8,8 @@ import numpy as np
 import pyarrow as pa
 
 from sheafwork.operators import search
-from sheafwork.sources import binary, markup
+from sheafwork.plans.payloads import texture_head
+from sheafwork.sources import binary, markup, textures
 
 
 class Caught:
@@ -60,3 +61,18 @@ def test_ordered_manifest_hashes_the_sorted_ids(spark, monkeypatch):
         want.setdefault(locale, []).append(i and f"{k}/{i}")
     digest = lambda ids: hashlib.sha256("\n".join(ids).encode()).hexdigest() if ids else None
     assert {r["locale"]: (r["rows"], r["ids_sha256"]) for r in out.collect()} == {g: (len(v), digest(sorted(filter(None, v)))) for g, v in want.items()}
+
+
+def test_textures_are_handed_on_together(monkeypatch):
+    files = [texture_head(4, 4, b"DXT1") + bytes([i % 256] * (8 if i % 11 else 7)) for i in range(400)]
+    rows = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(400)]), pa.array(files, pa.binary())], names=["path", "content"])
+    work = textures.decoded(Caught())
+    (out,) = work(iter([rows]))  # one an image before
+    for i, got in enumerate(out.to_pylist()):
+        if i % 11:
+            assert got == {"path": str(i), "width": 4, "height": 4, "rgba": textures.decode_texture(files[i]).tobytes(), "problem": None}
+        else:
+            assert got == {"path": str(i), "width": None, "height": None, "rgba": None, "problem": "shorter than its texels"}
+    monkeypatch.setattr(textures, "MOST_BYTES", 64 * 10)
+    parts = list(work(iter([rows])))
+    assert max(sum(len(x or b"") for x in b.column("rgba").to_pylist()) for b in parts) == 640 and pa.Table.from_batches(parts).to_pylist() == out.to_pylist()
