@@ -4,8 +4,9 @@ An edge is (from_kind, to_kind, from_id, to_id, column, mechanism, valid).  ``va
 target has, false for a dangling one, and null where the target has no rows at all, so that nothing can be said; null is
 never folded into false.
 
-Dimensions that callers give (carriers, pins, prefixes, ledgers) are joined without a hint: Spark broadcasts them by their measured
-size.  Hints stand only where rows are bounded by the number of kinds.
+Dimensions that callers give (pins, ledgers, surfaces) are joined without a hint: Spark broadcasts them by their measured size.  Hints
+stand where rows are bounded by the number of kinds, and for carriers, prefixes and read positions: these are declared by hand and have
+few different keys, so without a hint all rows of a key would be dealt to one task before the size is known.
 """
 
 from __future__ import annotations
@@ -126,7 +127,7 @@ def carrier_edges(cells: DataFrame, carriers: DataFrame, ids: DataFrame) -> tupl
     """Edges of all declared carriers in one join, and the values that no target has.
 
     cells (kind, id, path, norm_path, value), carriers (kind, norm_path, target, method), ids (kind, id)."""
-    typed = cells.join(carriers, ["kind", "norm_path"]).where("value IS NOT NULL AND value <> ''")
+    typed = cells.join(F.broadcast(carriers), ["kind", "norm_path"]).where("value IS NOT NULL AND value <> ''")
     known = ids.select(F.col("kind").alias("target"), F.col("id").cast("string").alias("value")).distinct()
     hit = typed.join(known, ["target", "value"])
     edges = first_k(hit, ["kind", "id", "target", "value", "method"], [F.col("path")], 3, "path")
@@ -146,11 +147,23 @@ def residual_values(cells: DataFrame, ids: DataFrame, pinned: DataFrame | None =
     return by_path.withColumn("rank", rank).where("rank <= 3")
 
 
-def token_references(texts: DataFrame, id_: str, text: str, pattern: str, prefixes: DataFrame, ids: DataFrame) -> DataFrame:
-    """References like ``Prefix.Name`` in scripts: the prefix picks the target kind.  prefixes (prefix, kind)."""
+def token_targets(texts: DataFrame, id_: str, text: str, pattern: str, prefixes: DataFrame) -> DataFrame:
+    """(from_id, to_kind, to_id) of tokens like ``Prefix.Name`` in scripts: the prefix picks the target kind.  prefixes (prefix, kind)."""
     found = texts.select(F.col(id_).alias("from_id"), F.explode(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("token"))
     cut = found.select("from_id", F.substring_index("token", ".", 1).alias("prefix"), F.substring_index("token", ".", -1).alias("to_id"))
-    return resolve(cut.join(prefixes, "prefix").select("from_id", F.col("kind").alias("to_kind"), "to_id"), ids)
+    return cut.join(F.broadcast(prefixes), "prefix").select("from_id", F.col("kind").alias("to_kind"), "to_id")
+
+
+def token_references(texts: DataFrame, id_: str, text: str, pattern: str, prefixes: DataFrame, ids: DataFrame) -> DataFrame:
+    """token_targets with their verdicts."""
+    return resolve(token_targets(texts, id_, text, pattern, prefixes), ids)
+
+
+def token_reference_counts(texts: DataFrame, id_: str, text: str, pattern: str, prefixes: DataFrame, ids: DataFrame) -> DataFrame:
+    """(to_kind, valid, refs): token_references counted.  Tokens are added up by target in every task before they are resolved, so a
+    target that very many tokens name is one row in the join."""
+    targets = token_targets(texts, id_, text, pattern, prefixes).groupBy("to_kind", "to_id").agg(F.count("*").alias("n"))
+    return resolve(targets, ids).groupBy("to_kind", "valid").agg(F.sum("n").alias("refs"))
 
 
 GRAM = 3
@@ -296,7 +309,7 @@ def scene_owners(folders: DataFrame, scenes: DataFrame, folder: str, scene: str,
 
 def operands_read(ops: DataFrame, keys: Sequence[str], op: str, args: str, reads: DataFrame) -> DataFrame:
     """(…keys, place, register): the operands that each operation reads, by a table reads (op, places: 0-based positions)."""
-    at = ops.join(reads.select(F.col("op").alias("_op"), "places"), F.col(op) == F.col("_op"))
+    at = ops.join(F.broadcast(reads.select(F.col("op").alias("_op"), "places")), F.col(op) == F.col("_op"))
     found = at.select(*keys, args, F.explode("places").alias("place"))
     return found.select(*keys, "place", F.get(args, F.col("place")).alias("register")).where("register IS NOT NULL")
 

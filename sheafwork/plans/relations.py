@@ -236,8 +236,8 @@ def script_token_references(spark: SparkSession, d: str) -> DataFrame:
     ids = table(spark, d, "part").where("p_partkey > 8").select(F.lit("part").alias("kind"), F.col("p_partkey").cast("string").alias("id"))
     ids = ids.unionByName(table(spark, d, "nation").where("n_nationkey > 2").select(F.lit("nation").alias("kind"), F.col("n_nationkey").cast("string").alias("id")))
     prefixes = spark.createDataFrame([("Part", "part"), ("Nation", "nation")], "prefix string, kind string")
-    found = R.token_references(docs.select("doc_id", script.alias("script")), "doc_id", "script", r"[A-Z][a-z]+\.\d+", prefixes, ids)
-    return found.groupBy("to_kind", F.col("valid").cast("string").alias("valid")).agg(F.count("*").alias("refs"))
+    found = R.token_reference_counts(docs.select("doc_id", script.alias("script")), "doc_id", "script", r"[A-Z][a-z]+\.\d+", prefixes, ids)
+    return found.select("to_kind", F.col("valid").cast("string").alias("valid"), "refs")
 
 
 @query("""SELECT c_custkey, 'c_mktsegment' AS "column", c_mktsegment AS name FROM customer WHERE lower(trim(c_mktsegment)) IN ('building', 'none')""")

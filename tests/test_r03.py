@@ -7,7 +7,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 
-from sheafwork.operators import search
+from sheafwork.operators import relations, search
 from sheafwork.plans.payloads import texture_head
 from sheafwork.sources import binary, markup, textures
 
@@ -34,7 +34,7 @@ def test_leaves_are_handed_on_in_large_batches(monkeypatch, spark):
     assert max(b.num_rows for b in out) == 300 and pa.Table.from_batches(out).column("value").to_pylist()[:3] == ["x0", "", "x1"]
 
 
-def test_texts_are_handed_on_in_large_batches():
+def test_texts_are_handed_on_in_large_batches(spark):
     rows = pa.RecordBatch.from_pydict({"locale": ["en"] * 500, "value": [f'<g id="m"><t id="k{i}">x{i}</t><t id="q{i}"/></g>' for i in range(500)]})
     (out,) = markup.read_texts(Caught())(iter([rows]))
     assert out.num_rows == 1000 and out.to_pylist()[999] == {"locale": "en", "key": "m/q499", "value": ""}
@@ -63,7 +63,7 @@ def test_ordered_manifest_hashes_the_sorted_ids(spark, monkeypatch):
     assert {r["locale"]: (r["rows"], r["ids_sha256"]) for r in out.collect()} == {g: (len(v), digest(sorted(filter(None, v)))) for g, v in want.items()}
 
 
-def test_textures_are_handed_on_together(monkeypatch):
+def test_textures_are_handed_on_together(monkeypatch, spark):
     files = [texture_head(4, 4, b"DXT1") + bytes([i % 256] * (8 if i % 11 else 7)) for i in range(400)]
     rows = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(400)]), pa.array(files, pa.binary())], names=["path", "content"])
     work = textures.decoded(Caught())
@@ -76,3 +76,15 @@ def test_textures_are_handed_on_together(monkeypatch):
     monkeypatch.setattr(textures, "MOST_BYTES", 64 * 10)
     parts = list(work(iter([rows])))
     assert max(sum(len(x or b"") for x in b.column("rgba").to_pylist()) for b in parts) == 640 and pa.Table.from_batches(parts).to_pylist() == out.to_pylist()
+
+
+def planned(df) -> str:
+    """The plan before anything has run: a join that waits for measured sizes is a sort merge join there."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_read_positions_are_broadcast(spark):
+    ops = spark.createDataFrame([("A", [1, 2, 3])] * 50 + [("N", [4, 5, 6]), ("X", [7])], "op string, args array<bigint>")
+    out = relations.operands_read(ops, ["op"], "op", "args", spark.createDataFrame([("A", [0, 2]), ("N", [1, 9])], "op string, places array<int>"))
+    assert "BroadcastHashJoin" in planned(out) and "SortMergeJoin" not in planned(out)
+    assert sorted(map(tuple, out.collect())) == [("A", 0, 1)] * 50 + [("A", 2, 3)] * 50 + [("N", 1, 5)]
