@@ -88,3 +88,11 @@ def test_read_positions_are_broadcast(spark):
     out = relations.operands_read(ops, ["op"], "op", "args", spark.createDataFrame([("A", [0, 2]), ("N", [1, 9])], "op string, places array<int>"))
     assert "BroadcastHashJoin" in planned(out) and "SortMergeJoin" not in planned(out)
     assert sorted(map(tuple, out.collect())) == [("A", 0, 1)] * 50 + [("A", 2, 3)] * 50 + [("N", 1, 5)]
+
+
+def test_carriers_are_broadcast(spark):
+    cells = spark.createDataFrame([("event", str(i), f"k[{j}]", "k", str(j)) for i in range(40) for j in range(3)] + [("event", "9", "z", "z", "1")], "kind string, id string, path string, norm_path string, value string")
+    carriers = spark.createDataFrame([("event", "k", "part", "path:k")], "kind string, norm_path string, target string, method string")
+    edges, rest = relations.carrier_edges(cells, carriers, spark.createDataFrame([("part", "0"), ("part", "2")], "kind string, id string"))
+    assert "BroadcastHashJoin" in planned(edges)  # two sort merge joins before, the first of them by one key
+    assert edges.count() == 80 and rest.count() == 40
