@@ -96,3 +96,11 @@ def test_carriers_are_broadcast(spark):
     edges, rest = relations.carrier_edges(cells, carriers, spark.createDataFrame([("part", "0"), ("part", "2")], "kind string, id string"))
     assert "BroadcastHashJoin" in planned(edges)  # two sort merge joins before, the first of them by one key
     assert edges.count() == 80 and rest.count() == 40
+
+
+def test_tokens_are_added_up_before_they_are_resolved(spark):
+    texts = spark.createDataFrame([(i, "Part.1 Part.2 Nation.7 Nope.3 x") for i in range(30)], "id int, script string")
+    prefixes = spark.createDataFrame([("Part", "part"), ("Nation", "nation")], "prefix string, kind string")
+    out = relations.token_reference_counts(texts, "id", "script", r"[A-Z][a-z]+\.\d+", prefixes, spark.createDataFrame([("part", "1")], "kind string, id string"))
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, [("part", True, 30), ("part", False, 30), ("nation", None, 30)]))
+    assert "BroadcastHashJoin" in planned(relations.token_targets(texts, "id", "script", r"[A-Z][a-z]+\.\d+", prefixes))
