@@ -156,17 +156,25 @@ def filled(template: Column, **values: Column) -> Column:
 
 
 def signature_parts(signature: Column) -> Column:
-    """(arguments, result) of ``(a,(b)->c)->r``: arguments are cut at commas of the outermost level only."""
+    """(arguments, result) of ``(a,(b)->c)->r``: arguments are cut at commas of the outermost level only.
+
+    A text is read by brackets, commas and what lies between them, and what was read is bound once by a transform over one row: a
+    column that is named several times within another is worked out anew each time."""
+    once = lambda c, f: F.transform(F.array(c), f)[0]
     step = lambda acc, c: F.struct(
-        (acc["depth"] + F.when(c == "(", 1).when(c == ")", -1).otherwise(0)).alias("depth"), (acc["at"] + 1).alias("at"),
+        (acc["depth"] + F.when(c == "(", 1).when(c == ")", -1).otherwise(0)).alias("depth"), (acc["at"] + F.length(c)).alias("at"),
         F.when((c == ")") & (acc["depth"] == 1) & (acc["close"] == 0), acc["at"]).otherwise(acc["close"]).alias("close"),
         F.when((c == ",") & (acc["depth"] == 1) & (acc["close"] == 0), F.array_append(acc["cuts"], acc["at"])).otherwise(acc["cuts"]).alias("cuts"),
     )
     zero = F.struct(F.lit(0).alias("depth"), F.lit(1).alias("at"), F.lit(0).alias("close"), F.array().cast("array<int>").alias("cuts"))
-    seen = F.aggregate(F.split(signature, ""), zero, step)
-    edges = F.concat(F.array(F.lit(1)), seen["cuts"], F.array(seen["close"]))
-    arguments = F.transform(F.sequence(F.lit(1), F.size(edges) - 1), lambda i: F.substring(signature, F.element_at(edges, i) + 1, F.element_at(edges, i + 1) - F.element_at(edges, i) - 1))
-    return F.when(seen["close"] > 0, F.struct(F.array_remove(arguments, "").alias("arguments"), F.substring(signature, seen["close"] + 3, F.length(signature)).alias("result")))
+    seen = F.aggregate(F.regexp_extract_all(signature, F.lit(r"[(),]|[^(),]+"), F.lit(0)), zero, step)
+
+    def parts(seen: Column) -> Column:
+        edges = F.concat(F.array(F.lit(1)), seen["cuts"], F.array(seen["close"]))
+        cut = lambda e: F.transform(F.sequence(F.lit(1), F.size(e) - 1), lambda i: F.substring(signature, F.element_at(e, i) + 1, F.element_at(e, i + 1) - F.element_at(e, i) - 1))
+        return F.when(seen["close"] > 0, F.struct(F.array_remove(once(edges, cut), "").alias("arguments"), F.substring(signature, seen["close"] + 3, F.length(signature)).alias("result")))
+
+    return once(seen, parts)
 
 
 def iso_seconds(at: Column) -> Column:

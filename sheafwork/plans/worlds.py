@@ -163,7 +163,7 @@ def signature_texts(spark: SparkSession, d: str) -> DataFrame:
     """Signatures with a function among their arguments, without arguments, and texts that are none."""
     k = F.col("p_partkey")
     text = F.when(k % 8 == 4, F.col("p_name")).when(k % 8 == 0, "()->void").otherwise(F.concat(F.lit("("), "p_brand", F.lit(",("), "p_type", F.lit(")->i32)->T"), F.col("p_size").cast("string")))
-    parts = table(spark, d, "part").select("p_partkey", T.signature_parts(text).alias("s"))
+    parts = dealt(table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")).select("p_partkey", T.signature_parts(text).alias("s"))
     get = lambda n: F.try_element_at("s.arguments", F.lit(n))
     return parts.select("p_partkey", F.when(F.col("s").isNotNull(), F.size("s.arguments")).alias("n"), get(1).alias("first"), get(2).alias("second"), F.col("s.result").alias("result"))
 

@@ -6,7 +6,9 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
+from sheafwork.functions import text as T
 from sheafwork.operators import relations, search
 from sheafwork.plans.payloads import texture_head
 from sheafwork.sources import binary, markup, textures
@@ -104,3 +106,10 @@ def test_tokens_are_added_up_before_they_are_resolved(spark):
     out = relations.token_reference_counts(texts, "id", "script", r"[A-Z][a-z]+\.\d+", prefixes, spark.createDataFrame([("part", "1")], "kind string, id string"))
     assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, [("part", True, 30), ("part", False, 30), ("nation", None, 30)]))
     assert "BroadcastHashJoin" in planned(relations.token_targets(texts, "id", "script", r"[A-Z][a-z]+\.\d+", prefixes))
+
+
+def test_a_signature_is_read_once(spark):
+    df = spark.createDataFrame([("(a,(b,é)->c)->r",), ("()->void",), ("none",), ("",), (None,), ("(a)->(b,c)->d",)], "s string").select(T.signature_parts(F.col("s")).alias("x"))
+    got = [r[0] and (list(r[0]["arguments"]), r[0]["result"]) for r in df.collect()]
+    assert got == [(["a", "(b,é)->c"], "r"), ([], "void"), None, None, None, (["a"], "(b,c)->d")]
+    assert df._jdf.queryExecution().analyzed().toString().count("aggregate(") == 1
