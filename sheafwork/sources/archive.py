@@ -4,8 +4,8 @@ Layout: ``PAK``, version (1 byte), header size and data size (i32) | index tree
 name (u8 length and bytes), flags (u8) and, for a directory (bit 0), a child count (i32) with the children, for a file its
 position (i32, or f64 with bit 1), size (u32) and Adler-32 (u32).
 
-Rows are (path, flags, pos, size, adler) and, with option payload=true, content.  The index is read where the plan is made,
-entries are dealt out in runs of about ``split`` bytes, and payloads are read by range inside the tasks."""
+Rows are (path, flags, pos, size, adler) and, with option payload=true, content.  Files are dealt out in runs of about
+``split`` bytes where the plan is made; indexes, and payloads by range, are read inside the tasks."""
 
 from __future__ import annotations
 
@@ -107,11 +107,15 @@ def load_index(uri: str, strict: bool = True) -> tuple[list[Entry], int, int]:
         return entries, header, dirs
 
 
+#: Tasks that a read is dealt to at most.
+MOST_TASKS = 512
+
+
 @dataclass
-class Run(InputPartition):
-    uri: str
-    base: int
-    entries: list[Entry]
+class Files(InputPartition):
+    """Archives (uri, this run, of so many) whose members a task reads."""
+
+    runs: list[tuple[str, int, int]]
 
 
 class PakReader(DataSourceReader):
@@ -121,34 +125,43 @@ class PakReader(DataSourceReader):
         self.payload = options.get("payload", "false").lower() == "true"
         self.split = int(options.get("split", 64 << 20))
 
-    def partitions(self) -> list[Run]:
-        """The runs of one archive, or of all ``.pak`` files below a folder, whose indexes then are read here one after the other;
-        for very many archives, extraction.entries_of reads them in tasks."""
+    def partitions(self) -> list[Files]:
+        """The runs of one archive, or of all ``.pak`` files below a folder.  The plan has the files' names and lengths; indexes are read
+        in tasks.  A file of over ``split`` bytes is dealt to several tasks, each with the members that begin in its run; smaller
+        ones share tasks, and where there would be more than MOST_TASKS, a task has more than ``split`` bytes."""
         fs, path = pafs.FileSystem.from_uri(full_uri(self.uri))
-        if fs.get_file_info(path).type != pafs.FileType.Directory:
-            return self.runs_of(self.uri)
-        found = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(path, recursive=True)) if f.path.endswith(".pak"))
-        return [run for f in found for run in self.runs_of(full_uri(self.uri).rstrip("/") + f.removeprefix(path.rstrip("/")))]
-
-    def runs_of(self, uri: str) -> list[Run]:
-        entries, base, _ = load_index(uri, self.strict)
-        runs: list[list[Entry]] = [[]]
-        size = 0
-        for e in sorted(entries, key=lambda e: e.pos):
-            if runs[-1] and size + e.size > self.split or len(runs[-1]) >= 100_000:
-                runs.append([])
-                size = 0
-            runs[-1].append(e)
-            size += e.size
-        return [Run(uri, base, r) for r in runs]
-
-    def read(self, part: Run) -> Iterator[tuple]:
+        info = fs.get_file_info(path)
+        if info.type != pafs.FileType.Directory:
+            files = [(self.uri, info.size)]
+        else:
+            found = sorted((f.path, f.size) for f in fs.get_file_info(pafs.FileSelector(path, recursive=True)) if f.path.endswith(".pak"))
+            files = [(full_uri(self.uri).rstrip("/") + f.removeprefix(path.rstrip("/")), size) for f, size in found]
+        most = max(self.split, -(-sum(size or 0 for _, size in files) // MOST_TASKS))
+        tasks: list[list[tuple[str, int, int]]] = [[]]
+        held = 0
+        for uri, size in files:
+            n = max(1, -(-(size or 0) // most))
+            for k in range(n):
+                if tasks[-1] and held + (size or 0) / n > most:
+                    tasks.append([])
+                    held = 0
+                tasks[-1].append((uri, k, n))
+                held += (size or 0) / n
+        return [Files(t) for t in tasks]
+
+    def read(self, part: Files) -> Iterator[tuple]:
+        for uri, k, n in part.runs:
+            entries, base, _ = load_index(uri, self.strict)
+            end = max((e.pos for e in entries), default=0) + 1
+            yield from self.members(uri, base, [e for e in sorted(entries, key=lambda e: e.pos) if min(max(e.pos * n // end, 0), n - 1) == k])
+
+    def members(self, uri: str, base: int, entries: list[Entry]) -> Iterator[tuple]:
         if not self.payload:
-            yield from ((e.path, e.flags, e.pos, e.size, e.adler) for e in part.entries)
+            yield from ((e.path, e.flags, e.pos, e.size, e.adler) for e in entries)
             return
-        with opened(part.uri) as f:
-            for e in part.entries:
-                content = f.read_at(e.size, part.base + e.pos)
+        with opened(uri) as f:
+            for e in entries:
+                content = f.read_at(e.size, base + e.pos)
                 if len(content) != e.size:
                     raise FormatError(f"{e.path} goes beyond the end of the archive")
                 if self.strict and zlib.adler32(content) != e.adler:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sheafwork.functions import text as T
 from sheafwork.operators import relations, search
 from sheafwork.plans.payloads import texture_head
-from sheafwork.sources import binary, markup, textures
+from sheafwork.sources import archive, binary, markup, textures
 
 
 class Caught:
@@ -113,3 +113,16 @@ def test_a_signature_is_read_once(spark):
     got = [r[0] and (list(r[0]["arguments"]), r[0]["result"]) for r in df.collect()]
     assert got == [(["a", "(b,é)->c"], "r"), ([], "void"), None, None, None, (["a"], "(b,c)->d")]
     assert df._jdf.queryExecution().analyzed().toString().count("aggregate(") == 1
+
+
+def test_small_archives_share_tasks(tmp_path, monkeypatch):
+    files = {f"a/{i}.txt": bytes([i]) * (i * 7) for i in range(40)}
+    for i in range(30):
+        archive.write_pak(str(tmp_path / f"{i}.pak"), {f"{i}/{k}": v for k, v in files.items()})
+    members = sorted((f"{i}/{k}", v) for i in range(30) for k, v in files.items())
+    for split, most, tasks in ((100, 10, 10), (1 << 20, 10, 1), (2000, 512, None)):
+        monkeypatch.setattr(archive, "MOST_TASKS", most)
+        reader = archive.PakReader({"path": str(tmp_path), "payload": "true", "split": str(split)})
+        parts = reader.partitions()
+        assert tasks is None or len(parts) <= 2 * tasks  # thirty or more before, with all members' entries
+        assert sorted((r[0], r[5]) for p in parts for r in reader.read(p)) == members
