@@ -139,14 +139,15 @@ def propagate_frames(roots: DataFrame, edges: DataFrame) -> DataFrame:
     """World frame of every node: roots (node, x, y, angle), edges (a, b, x, y, angle, scale) place b within a.
 
     The first frame of a node is that of the lowest depth, then of the smallest path (the reference goes depth first; a
-    total order is the same at every run).  Edges with a scale other than 1 are not followed."""
+    total order is the same at every run).  Edges with a scale other than 1 are not followed.  Rounds are joined by shuffles: a round
+    that is broadcast goes through the driver, and over all rounds that is every frame."""
     placed = [F.col(c).cast("double").alias(c) for c in ("x", "y", "angle")]
     now = cut_lineage(roots.select("node", *placed, F.col("node").cast("string").alias("path"), F.lit(0).alias("depth")))
     found = now
     e = edges.where("scale = 1").select(F.col("a").alias("node"), F.col("b").alias("_b"), F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("angle").alias("_angle"))
     for d in count(1):  # each round places new nodes, or is the last
         c, s = F.cos(F.radians("angle")), F.sin(F.radians("angle"))
-        moved = now.join(e, "node").select(
+        moved = now.hint("merge").join(e, "node").select(
             F.col("_b").alias("node"),
             (F.col("x") + c * F.col("_x") - s * F.col("_y")).alias("x"),
             (F.col("y") + s * F.col("_x") + c * F.col("_y")).alias("y"),
@@ -154,7 +155,7 @@ def propagate_frames(roots: DataFrame, edges: DataFrame) -> DataFrame:
             F.concat_ws("/", "path", F.col("_b").cast("string")).alias("path"),
         )
         first = F.row_number().over(Window.partitionBy("node").orderBy("path", "x", "y"))
-        new = moved.join(found.select("node"), "node", "left_anti").withColumn("_rn", first).where("_rn = 1").drop("_rn")
+        new = moved.join(found.select("node").hint("merge"), "node", "left_anti").withColumn("_rn", first).where("_rn = 1").drop("_rn")
         now = cut_lineage(new.withColumn("depth", F.lit(d)))
         if now.isEmpty():
             return found

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from sheafwork.functions import text as T
-from sheafwork.operators import relations, search
+from sheafwork.operators import graph, relations, search
 from sheafwork.plans.payloads import texture_head
 from sheafwork.sources import archive, binary, markup, textures
 
@@ -126,3 +126,23 @@ def test_small_archives_share_tasks(tmp_path, monkeypatch):
         parts = reader.partitions()
         assert tasks is None or len(parts) <= 2 * tasks  # thirty or more before, with all members' entries
         assert sorted((r[0], r[5]) for p in parts for r in reader.read(p)) == members
+
+
+def joins_without_shuffle_hint(monkeypatch, module, name) -> list[str]:
+    """The joins of all rounds that module's ``name`` writes that Spark might broadcast."""
+    found, write = [], getattr(module, name)
+
+    def watched(df, *args):
+        found.extend(x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in x and "strategy=merge" not in x)
+        return write(df, *args)
+
+    monkeypatch.setattr(module, name, watched)
+    return found
+
+
+def test_rounds_of_frames_are_not_broadcast(spark, monkeypatch):
+    loose = joins_without_shuffle_hint(monkeypatch, graph, "cut_lineage")
+    roots = spark.createDataFrame([(1, 0.0, 0.0, 0.0)], "node bigint, x double, y double, angle double")
+    edges = spark.createDataFrame([(1, 2, 1.0, 0.0, 90.0, 1.0), (2, 3, 1.0, 0.0, 0.0, 1.0), (3, 4, 1.0, 0.0, 0.0, 2.0)], "a bigint, b bigint, x double, y double, angle double, scale double")
+    assert sorted((r["node"], round(r["x"], 6), round(r["y"], 6)) for r in graph.propagate_frames(roots, edges).collect()) == [(1, 0, 0), (2, 1, 0), (3, 1, 1)]
+    assert loose == []
