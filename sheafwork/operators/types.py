@@ -23,29 +23,30 @@ def type_display(types: DataFrame) -> DataFrame:
 
     Types are shown from those without parts upwards, each once however many refer to it, in as many rounds as they are nested.
     What remains goes round in cycles or refers to such types: those are opened from the top, and a type below itself is ``#id``.  A
-    part that no type has is ``?id``.  A text is as long as its type, so shared parts within cycles repeat in it."""
+    part that no type has is ``?id``.  A text is as long as its type, so shared parts within cycles repeat in it.  Rounds are joined by
+    shuffles: one that is broadcast goes through the driver, and over all rounds that is every text, some of them several times."""
     types = staged(types.select("id", "kind", "name", F.when(F.col("kind").isin("fun", "null"), F.coalesce("parts", F.expr("slice(array(id), 1, 0)"))).otherwise(F.expr("slice(array(id), 1, 0)")).alias("parts")), "types")
     uses = staged(types.select("id", F.posexplode("parts").alias("place", "part")), "type-uses")
     named = types.where(F.size("parts") == 0).select("id", shown(F.col("kind"), F.coalesce("name", F.lit("")), F.array(F.lit("void"))).alias("display"))
-    absent = uses.join(types.select(F.col("id").alias("part")), "part", "left_anti").select(F.col("part").alias("id")).distinct().select("id", F.concat(F.lit("?"), F.col("id").cast("string")).alias("display"))
+    absent = uses.join(types.select(F.col("id").alias("part")).hint("merge"), "part", "left_anti").select(F.col("part").alias("id")).distinct().select("id", F.concat(F.lit("?"), F.col("id").cast("string")).alias("display"))
     known = [staged(named.unionByName(absent), "type-texts")]
     todo = types.where(F.size("parts") > 0)
     for _ in count():
         every = reduce(DataFrame.unionByName, known)
-        told = uses.join(todo.select("id"), "id", "left_semi").join(every.select(F.col("id").alias("part"), "display"), "part")
+        told = uses.join(todo.select("id").hint("merge"), "id", "left_semi").join(every.select(F.col("id").alias("part"), "display").hint("merge"), "part")
         whole = told.groupBy("id").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "display"))), lambda x: x["display"]).alias("texts"))
-        new = todo.join(whole, "id").where(F.size("texts") == F.size("parts")).select("id", shown(F.col("kind"), F.col("name"), F.col("texts")).alias("display"))
+        new = todo.join(whole.hint("merge"), "id").where(F.size("texts") == F.size("parts")).select("id", shown(F.col("kind"), F.col("name"), F.col("texts")).alias("display"))
         new = staged(new, "type-texts")
         if new.isEmpty():
             break
         known.append(new)
         if len(known) > 12:
             known = [staged(reduce(DataFrame.unionByName, known), "type-texts")]
-        todo = staged(todo.join(new.select("id"), "id", "left_anti"), "types")
+        todo = staged(todo.join(new.select("id").hint("merge"), "id", "left_anti"), "types")
     every = staged(reduce(DataFrame.unionByName, known), "type-texts")
     if not todo.isEmpty():
         every = every.unionByName(opened(todo, uses, every))
-    return every.join(types.select("id"), "id", "left_semi")
+    return every.join(types.select("id").hint("merge"), "id", "left_semi")
 
 
 def opened(types: DataFrame, uses: DataFrame, known: DataFrame) -> DataFrame:
@@ -56,7 +57,7 @@ def opened(types: DataFrame, uses: DataFrame, known: DataFrame) -> DataFrame:
     open_ = types.select(F.col("id").alias("_open"), F.col("kind").alias("_kind"), F.col("name").alias("_name"))
     while True:
         up = levels[-1].where("kind IS NOT NULL").select("root", F.col("key").alias("_key"), F.col("way").alias("_way"), "id")
-        below = up.join(uses, "id").join(open_, F.col("part") == F.col("_open"), "left").join(texts, F.col("part") == F.col("_id"), "left")
+        below = up.join(uses.hint("merge"), "id").join(open_.hint("merge"), F.col("part") == F.col("_open"), "left").join(texts.hint("merge"), F.col("part") == F.col("_id"), "left")
         again = F.array_contains("_way", F.col("part"))
         below = below.select("root", F.array_append("_key", F.col("place")).alias("key"), F.array_append("_way", F.col("part")).alias("way"), F.col("part").alias("id"),
                              F.when(~again, F.col("_kind")).alias("kind"), F.when(again, F.concat(F.lit("#"), F.col("part").cast("string"))).otherwise(F.coalesce("_known", "_name")).alias("name"))
@@ -70,6 +71,6 @@ def opened(types: DataFrame, uses: DataFrame, known: DataFrame) -> DataFrame:
         if done is not None:
             above = done.select("root", F.slice("key", F.lit(1), F.size("key") - 1).alias("key"), F.element_at("key", -1).alias("place"), "display")
             parts = above.groupBy("root", "key").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "display"))), lambda x: x["display"]).alias("texts"))
-            leaf = leaf.unionByName(level.where("kind IS NOT NULL").join(parts, ["root", "key"]).select("root", "key", shown(F.col("kind"), F.col("name"), F.col("texts")).alias("display")))
+            leaf = leaf.unionByName(level.where("kind IS NOT NULL").join(parts.hint("merge"), ["root", "key"]).select("root", "key", shown(F.col("kind"), F.col("name"), F.col("texts")).alias("display")))
         done = staged(leaf, "type-folded")
     return done.select(F.col("root").alias("id"), "display")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from sheafwork.functions import text as T
-from sheafwork.operators import graph, relations, search
+from sheafwork.operators import graph, relations, search, types
 from sheafwork.plans.payloads import texture_head
 from sheafwork.sources import archive, binary, markup, textures
 
@@ -146,3 +146,11 @@ def test_rounds_of_frames_are_not_broadcast(spark, monkeypatch):
     edges = spark.createDataFrame([(1, 2, 1.0, 0.0, 90.0, 1.0), (2, 3, 1.0, 0.0, 0.0, 1.0), (3, 4, 1.0, 0.0, 0.0, 2.0)], "a bigint, b bigint, x double, y double, angle double, scale double")
     assert sorted((r["node"], round(r["x"], 6), round(r["y"], 6)) for r in graph.propagate_frames(roots, edges).collect()) == [(1, 0, 0), (2, 1, 0), (3, 1, 1)]
     assert loose == []
+
+
+def test_rounds_of_types_are_not_broadcast(spark, monkeypatch):
+    loose = joins_without_shuffle_hint(monkeypatch, types, "staged")
+    rows = [(1, "base", "i32", None), (2, "null", None, [1]), (3, "fun", None, [2, 3, 9]), (4, "fun", None, [2, 1])]
+    out = types.type_display(spark.createDataFrame(rows, "id bigint, kind string, name string, parts array<bigint>"))
+    assert {r["id"]: r["display"] for r in out.collect()} == {1: "i32", 2: "?i32", 3: "(?i32,#3)->?9", 4: "(?i32)->i32"}
+    assert loose == []
