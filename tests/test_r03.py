@@ -154,3 +154,10 @@ def test_rounds_of_types_are_not_broadcast(spark, monkeypatch):
     out = types.type_display(spark.createDataFrame(rows, "id bigint, kind string, name string, parts array<bigint>"))
     assert {r["id"]: r["display"] for r in out.collect()} == {1: "i32", 2: "?i32", 3: "(?i32,#3)->?9", 4: "(?i32)->i32"}
     assert loose == []
+
+
+def test_first_values_are_not_added_up_by_group(spark):
+    rows = [(g, n, None if n == 2 else f"v{n}") for g in (None, "a", "b") for n in (3, 1, 2, 5, 4)] + [("c", 1, "x"), ("d", None, None)]
+    out = relations.first_k(spark.createDataFrame(rows, "g string, n int, v string"), ["g"], [F.col("n")], 3, "v")
+    assert "Aggregate" not in planned(out) and planned(out).count(" Sort [") == 2  # each aggregate sorted all rows once more
+    assert {r["g"]: r["evidence"] for r in out.collect()} == {None: "v1,v3", "a": "v1,v3", "b": "v1,v3", "c": "x", "d": ""}
