@@ -32,6 +32,18 @@ def refs_of(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [R.all_references(tables[k], k, F.concat_ws("/", *next(ids for x, ids, *_ in REFERENCES if x == k)), [(to, c) for x, _, to, c in REFERENCES if x == k]) for k in kinds])
 
 
+def counts_of(tables: dict[str, DataFrame]) -> DataFrame:
+    """All references, added up by target."""
+    kinds = list(dict.fromkeys(k for k, *_ in REFERENCES))
+    return reduce(DataFrame.unionByName, [R.target_counts(tables[k], k, [(to, c) for x, _, to, c in REFERENCES if x == k]) for k in kinds])
+
+
+def sources_of(tables: dict[str, DataFrame]) -> DataFrame:
+    """How many different ids refer to each kind."""
+    kinds = {k: ids for k, ids, *_ in REFERENCES}
+    return reduce(DataFrame.unionByName, [R.source_counts(tables[k], k, ids, [(to, c) for x, _, to, c in REFERENCES if x == k]) for k, ids in kinds.items()])
+
+
 def tables_of(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """Each table is opened once a query."""
     return {k: table(spark, d, k) for k in dict.fromkeys([*KINDS, *(k for k, *_ in REFERENCES)])}
@@ -44,7 +56,7 @@ def edges_of(spark: SparkSession, d: str) -> DataFrame:
 
 def catalog_of(spark: SparkSession, d: str) -> DataFrame:
     tables = tables_of(spark, d)
-    return R.reference_catalog(refs_of(tables), ids_of(tables))
+    return R.counted_catalog(counts_of(tables), sources_of(tables), ids_of(tables))
 
 
 _IDS_SQL = " UNION ALL ".join(f"SELECT '{k}' AS kind, CAST({c} AS VARCHAR) AS id FROM {k}" for k, c in KINDS.items())
@@ -74,8 +86,7 @@ def fk_resolve_valid(spark: SparkSession, d: str) -> DataFrame:
     """Every reference of every table with its three-valued verdict, counted."""
     verdict = F.coalesce(F.col("valid").cast("string"), F.lit("unknown")).alias("valid")
     tables = tables_of(spark, d)
-    targets = refs_of(tables).groupBy("from_kind", "to_kind", "column", "to_id").agg(F.count("*").alias("n"))
-    return R.resolve(targets, ids_of(tables)).groupBy("from_kind", "to_kind", "column", verdict).agg(F.sum("n").alias("edges"))
+    return R.resolve(counts_of(tables), ids_of(tables)).groupBy("from_kind", "to_kind", "column", verdict).agg(F.sum("n").alias("edges"))
 
 
 @query(f"WITH {_CATALOG_SQL} SELECT * FROM catalog")

@@ -161,3 +161,28 @@ def test_first_values_are_not_added_up_by_group(spark):
     out = relations.first_k(spark.createDataFrame(rows, "g string, n int, v string"), ["g"], [F.col("n")], 3, "v")
     assert "Aggregate" not in planned(out) and planned(out).count(" Sort [") == 2  # each aggregate sorted all rows once more
     assert {r["g"]: r["evidence"] for r in out.collect()} == {None: "v1,v3", "a": "v1,v3", "b": "v1,v3", "c": "x", "d": ""}
+
+
+def test_references_are_added_up_before_they_are_spread_out(spark):
+    from tests.conftest import DATA
+
+    from sheafwork.plans import relations as plans
+
+    plan = plans.catalog_of(spark, str(DATA))._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Generate explode" in x and "to_id" in x]  # a row a reference before
+    assert not [x for x in plan.splitlines() if "Aggregate" in x and "to_id" in x and "collect_set" in x]  # sets of each target before
+
+
+def test_counted_catalog_is_that_of_the_edges(spark):
+    rows = [(1, 2, 5, 5, "u"), (1, 2, 6, None, "v"), (1, None, 5, 7, "1"), (None, 1, 6, 5, "1/1"), (1, None, None, None, "z"), (None, None, 9, 5, None), (12, 3, 5, 9, "u"), (1, 23, 5, 9, "v")]
+    df = spark.createDataFrame(rows, "a int, b bigint, x int, y bigint, s string")
+    ids = spark.createDataFrame([("k", "5"), ("k", "5"), ("k", "9"), ("m", "u"), ("m", None)], "kind string, id string")
+    columns = [("k", "x"), ("k", "y"), ("m", "s"), ("none", "x")]
+    for by in (["a", "b"], ["b"], ["a", "s"], ["s"]):
+        refs = relations.all_references(df, "f", F.concat_ws("/", *by), columns)
+        want = sorted(map(tuple, relations.pair_catalog(relations.resolve(refs, ids)).collect()))
+        got = relations.counted_catalog(relations.target_counts(df, "f", columns), relations.source_counts(df, "f", by, columns), ids)
+        names = relations.pair_catalog(relations.resolve(refs, ids)).columns
+        assert len(want) == 3 and sorted(map(tuple, got.select(*names).collect())) == want == sorted(map(tuple, relations.reference_catalog(refs, ids).select(*names).collect()))
+    none = df.where("false")
+    assert relations.counted_catalog(relations.target_counts(none, "f", columns), relations.source_counts(none, "f", ["a", "b"], columns), ids).collect() == []
