@@ -186,3 +186,12 @@ def test_counted_catalog_is_that_of_the_edges(spark):
         assert len(want) == 3 and sorted(map(tuple, got.select(*names).collect())) == want == sorted(map(tuple, relations.reference_catalog(refs, ids).select(*names).collect()))
     none = df.where("false")
     assert relations.counted_catalog(relations.target_counts(none, "f", columns), relations.source_counts(none, "f", ["a", "b"], columns), ids).collect() == []
+
+
+def test_the_ladder_has_no_row_a_reference(spark):
+    from tests.conftest import DATA
+
+    from sheafwork.plans import relations as plans
+
+    plan = plans.direction_ladder(spark, str(DATA))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" in plan and not [x for x in plan.splitlines() if "Generate explode" in x and "to_id" in x]
