@@ -59,16 +59,49 @@ def dominators(edges: DataFrame, entries: DataFrame, function: str = "function")
             return now
 
 
-def flow_metrics(ops: DataFrame, function: str = "function") -> DataFrame:
-    """(function, ops, blocks, edges, reachable, loops, dominator_depth, complexity) of each function.  A loop is an edge back to a block
-    that dominates its begin; depth counts the dominators above a block."""
-    blocks = staged(blocks_of(ops, function), "flow-blocks")
-    edges = staged(edges_of(blocks, function), "flow-edges")
-    sizes = blocks.groupBy(function).agg(F.count("*").alias("ops"), (F.max("block") + 1).cast("bigint").alias("blocks"))
+#: Blocks of a function whose sets are bits of one number each; larger functions go by rounds.
+MOST_BLOCKS = 62
+
+
+def metrics_in_a_row(sizes: DataFrame, edges: DataFrame, function: str) -> DataFrame:
+    """flow_metrics of functions of up to MOST_BLOCKS blocks, each a row with its edges.  A block's set is a number with a bit for each
+    block above it, -1 (all bits) as long as no way to it is known.  After k rounds it is what all ways of up to k edges share; if some
+    way leaves a block out, one without repeats does, so as many rounds as there are blocks are enough."""
+    ways = edges.groupBy(function).agg(F.collect_list(F.struct("a", "b")).alias("_edges"))
+    rows = sizes.where(F.col(function).isNotNull()).join(ways, function, "left")
+    rows = rows.withColumn("_edges", F.coalesce("_edges", F.array().cast("array<struct<a:int,b:int>>")))
+    rows = rows.withColumn("_before", F.expr("transform(sequence(0, CAST(blocks - 1 AS INT)), i -> transform(filter(_edges, e -> e.b = i), e -> e.a))"))
+    once = "transform(_before, (p, i) -> if(i = 0, 1L, aggregate(p, -1L, (x, a) -> x & m[a]) | shiftleft(1L, i)))"
+    rows = rows.withColumn("_by", F.expr(f"aggregate(sequence(1, CAST(blocks AS INT)), transform(_before, (p, i) -> if(i = 0, 1L, -1L)), (m, k) -> {once})"))
+    return rows.select(
+        function, "ops", "blocks", F.size("_edges").cast("bigint").alias("edges"), F.expr("CAST(size(filter(_by, x -> x <> -1)) AS BIGINT)").alias("reachable"),
+        F.expr("CAST(size(filter(_edges, e -> _by[e.a] <> -1 AND (_by[e.a] & shiftleft(1L, e.b)) <> 0)) AS BIGINT)").alias("loops"),
+        F.expr("CAST(array_max(transform(filter(_by, x -> x <> -1), x -> bit_count(x))) - 1 AS BIGINT)").alias("dominator_depth"),
+    )
+
+
+def metrics_by_rounds(sizes: DataFrame, edges: DataFrame, function: str) -> DataFrame:
+    """flow_metrics of functions of any size, from the table of their dominators."""
     over = dominators(edges, sizes, function)
     deep = over.groupBy(function).agg(F.count("*").alias("reachable"), F.max(F.size("by") - 1).cast("bigint").alias("dominator_depth"))
     back = edges.join(over.withColumnRenamed("block", "a"), [function, "a"]).groupBy(function).agg(F.count_if(F.array_contains("by", F.col("b"))).alias("loops"))
     n = edges.groupBy(function).agg(F.count("*").alias("edges"))
     out = sizes.join(n, function, "left").join(deep, function).join(back, function, "left")
     count = lambda c: F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
-    return out.select(function, "ops", "blocks", count("edges"), "reachable", count("loops"), "dominator_depth", (F.coalesce("edges", F.lit(0)) - F.col("blocks") + 2).cast("bigint").alias("complexity"))
+    return out.select(function, "ops", "blocks", count("edges"), "reachable", count("loops"), "dominator_depth")
+
+
+def flow_metrics(ops: DataFrame, function: str = "function", most: int = MOST_BLOCKS) -> DataFrame:
+    """(function, ops, blocks, edges, reachable, loops, dominator_depth, complexity) of each function.  A loop is an edge back to a block
+    that dominates its begin; depth counts the dominators above a block.  Functions of up to ``most`` blocks are a row each, larger
+    ones go by rounds of joins."""
+    blocks = staged(blocks_of(ops, function), "flow-blocks")
+    edges = staged(edges_of(blocks, function), "flow-edges")
+    sizes = staged(blocks.groupBy(function).agg(F.count("*").alias("ops"), (F.max("block") + 1).cast("bigint").alias("blocks")), "flow-sizes")
+    large = sizes.where(F.col("blocks") > most)
+    if large.isEmpty():
+        out = metrics_in_a_row(sizes, edges, function)
+    else:
+        small = metrics_in_a_row(sizes.where(F.col("blocks") <= most), edges.join(large.select(function), function, "left_anti"), function)
+        out = small.unionByName(metrics_by_rounds(large, edges.join(large.select(function), function, "left_semi"), function))
+    return out.withColumn("complexity", (F.col("edges") - F.col("blocks") + 2).cast("bigint")).select(function, "ops", "blocks", "edges", "reachable", "loops", "dominator_depth", "complexity")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from sheafwork.functions import text as T
-from sheafwork.operators import graph, relations, search, types
+from sheafwork.operators import flow, graph, relations, search, types
 from sheafwork.plans.payloads import texture_head
 from sheafwork.sources import archive, binary, markup, textures
 
@@ -195,3 +196,14 @@ def test_the_ladder_has_no_row_a_reference(spark):
 
     plan = plans.direction_ladder(spark, str(DATA))._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate explode" in plan and not [x for x in plan.splitlines() if "Generate explode" in x and "to_id" in x]
+
+
+def test_small_functions_need_no_rounds(spark, monkeypatch):
+    draw = random.Random(3)
+    ops = [(f, pc, [draw.randrange(0, 8) for _ in range(draw.choice([0, 0, 1, 2]))], draw.random() < 0.7) for f in range(60) for pc in range(draw.randrange(1, 7))]
+    df = spark.createDataFrame(ops, "function int, pc int, targets array<int>, falls boolean")
+    split = sorted(map(tuple, flow.flow_metrics(df, most=2).collect()))
+    monkeypatch.setattr(flow, "dominators", None)  # each function went through it before
+    assert split == sorted(map(tuple, flow.flow_metrics(df).collect())) and len(split) == 60
+    chain = spark.createDataFrame([(100, pc, [pc + 1] if pc < 61 else [0, 30], False) for pc in range(62)], df.schema)  # and back
+    assert list(map(tuple, flow.flow_metrics(chain).collect())) == [(100, 62, 62, 63, 62, 2, 61, 3)]
