@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafwork.operators.graph import cut_lineage, places
+from sheafwork.session import staged
 
 EDGE = ["from_kind", "to_kind", "from_id", "to_id", "column", "mechanism", "valid"]
 
@@ -37,14 +38,14 @@ def all_references(df: DataFrame, from_kind: str, from_id: Column, columns: Sequ
     return out.select(F.lit(from_kind).alias("from_kind"), "x.to_kind", "from_id", "x.to_id", "x.column", F.lit("hard").alias("mechanism"))
 
 
-def resolve(refs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Adds valid to refs (to_kind, to_id, ...) from ids (kind, id).
+def resolve(refs: DataFrame, ids: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
+    """Adds valid to refs (to_kind, to_id, ...) from ids (kind, id); kinds (kind) has the kinds with rows where ids has not all rows.
 
     The ids are made distinct before they are joined, so a repeated id multiplies no edge; the left join lets adaptive
     execution split a hot target.  Whether a kind has rows is one small aggregate, broadcast by its size of one row a kind."""
     ids = ids.where("id IS NOT NULL")
     known = ids.select(F.col("kind").alias("_kind"), F.col("id").cast("string").alias("_id")).distinct()
-    has_rows = ids.select(F.col("kind").alias("_has")).distinct()  # added up in each task, so only kinds are sent
+    has_rows = (ids if kinds is None else kinds).select(F.col("kind").alias("_has")).distinct()  # added up in each task, so only kinds are sent
     joined = refs.join(known, (F.col("to_kind") == F.col("_kind")) & (F.col("to_id") == F.col("_id")), "left")
     joined = joined.join(F.broadcast(has_rows), F.col("to_kind") == F.col("_has"), "left")
     return joined.withColumn("valid", F.when(F.col("_has").isNull(), F.lit(None).cast("boolean")).otherwise(F.col("_id").isNotNull())).drop("_kind", "_id", "_has")
@@ -202,9 +203,12 @@ def token_references(texts: DataFrame, id_: str, text: str, pattern: str, prefix
 
 def token_reference_counts(texts: DataFrame, id_: str, text: str, pattern: str, prefixes: DataFrame, ids: DataFrame) -> DataFrame:
     """(to_kind, valid, refs): token_references counted.  Tokens are added up by target in every task before they are resolved, so a
-    target that very many tokens name is one row in the join."""
-    targets = token_targets(texts, id_, text, pattern, prefixes).groupBy("to_kind", "to_id").agg(F.count("*").alias("n"))
-    return resolve(targets, ids).groupBy("to_kind", "valid").agg(F.sum("n").alias("refs"))
+    target that very many tokens name is one row in the join.  The targets are written, as they are used twice: only ids that are
+    named are made distinct and joined, so a task does not hold its share of all ids."""
+    targets = staged(token_targets(texts, id_, text, pattern, prefixes).groupBy("to_kind", "to_id").agg(F.count("*").alias("n")), "targets")
+    ids = ids.where("id IS NOT NULL").select("kind", F.col("id").cast("string").alias("id"))
+    named = ids.join(targets.select(F.col("to_kind").alias("kind"), F.col("to_id").alias("id")), ["kind", "id"], "left_semi")
+    return resolve(targets, named, ids.select("kind").distinct()).groupBy("to_kind", "valid").agg(F.sum("n").alias("refs"))
 
 
 GRAM = 3

@@ -207,3 +207,14 @@ def test_small_functions_need_no_rounds(spark, monkeypatch):
     assert split == sorted(map(tuple, flow.flow_metrics(df).collect())) and len(split) == 60
     chain = spark.createDataFrame([(100, pc, [pc + 1] if pc < 61 else [0, 30], False) for pc in range(62)], df.schema)  # and back
     assert list(map(tuple, flow.flow_metrics(chain).collect())) == [(100, 62, 62, 63, 62, 2, 61, 3)]
+
+
+def test_only_ids_that_tokens_name_are_resolved(spark, monkeypatch):
+    met, resolve = [], relations.resolve
+    monkeypatch.setattr(relations, "resolve", lambda refs, ids, *kinds: met.append(ids) or resolve(refs, ids, *kinds))
+    texts = spark.createDataFrame([(i, "Part.1 Part.2 Nation.7 Nope.3 Other.1 x") for i in range(30)], "id int, script string")
+    prefixes = spark.createDataFrame([("Part", "part"), ("Nation", "nation"), ("Other", "other")], "prefix string, kind string")
+    ids = spark.createDataFrame([("part", str(i % 500 + 1)) for i in range(1000)] + [("nation", "9"), ("nation", None), ("other", None)], "kind string, id string")
+    out = relations.token_reference_counts(texts, "id", "script", r"[A-Z][a-z]+\.\d+", prefixes, ids)
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, [("part", True, 60), ("nation", False, 30), ("other", None, 30)]))
+    assert met[0].count() == 4  # parts 1 and 2 twice; 1003 before
