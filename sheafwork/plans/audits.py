@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sheafwork.functions import reports
 from sheafwork.operators import ordinals, placement, quality, spatial
 from sheafwork.plans.registry import query
-from sheafwork.session import fresh_folder, staged, table
+from sheafwork.session import fresh_folder, staged, table, tasks_of
 from sheafwork.sources import archive, extraction, promotion
 
 # -- archives --------------------------------------------------------------------------------------------------------------
@@ -28,7 +28,8 @@ def written_archives(spark: SparkSession, d: str, harmed: bool = True) -> tuple[
         return pd.DataFrame({"uri": [uri]})
 
     rows = table(spark, d, "customer").select("c_nationkey", F.expr("c_custkey DIV 1000").alias("part"), "c_custkey", F.concat_ws(" ", "c_name", "c_mktsegment").alias("text"))
-    return folder, staged(rows.groupBy("c_nationkey", "part").applyInPandas(write, "uri string"), "archive-names")
+    by = ["c_nationkey", "part"]
+    return folder, staged(rows.repartition(tasks_of(rows), *by).groupBy(*by).applyInPandas(write, "uri string"), "archive-names")
 
 
 @query("""WITH t AS (SELECT *, c_name || ' ' || c_mktsegment AS t FROM customer)
@@ -57,7 +58,7 @@ def extracted_members(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _harm(paths: DataFrame, folder: str) -> None:
-    """Overwrites files by as many other bytes, in tasks."""
+    """Replaces files by as many other bytes, in tasks.  A file is made anew, as file systems may flush one that is cut and written again."""
 
     def work(parts):
         import pyarrow.fs as pafs
@@ -66,6 +67,7 @@ def _harm(paths: DataFrame, folder: str) -> None:
         for pdf in parts:
             for path in pdf.path:
                 size = fs.get_file_info(f"{below}/{path}").size
+                fs.delete_file(f"{below}/{path}")
                 with fs.open_output_stream(f"{below}/{path}") as f:
                     f.write(b"?" * size)
             yield pdf

@@ -66,10 +66,16 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def tasks_of(df: DataFrame) -> int:
+    """The number of tasks for work that costs much a row: given with repartition(), it stands, where adaptive execution would put few
+    bytes into one task."""
+    return 4 * df.sparkSession.sparkContext.defaultParallelism
+
+
 def dealt(df: DataFrame) -> DataFrame:
     """df dealt evenly over all cores, for work that costs much a row: a file's rows may all lie in one row group, and so in one of its
     partitions, however many these are."""
-    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(tasks_of(df))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str):

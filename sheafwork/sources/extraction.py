@@ -16,7 +16,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafwork.session import staged
+from sheafwork.session import staged, tasks_of
 from sheafwork.sources.archive import FormatError, full_uri, load_index, opened
 
 CHUNK = 4 << 20
@@ -90,11 +90,12 @@ def put_member(source, base: int, pos: int, size: int, adler: int, fs: pafs.File
 def extract(entries: DataFrame, folder: str) -> DataFrame:
     """Puts the members (entries_of) of archives below a folder; returns the run's report (uri, path, size, adler, sha256, action,
     problem), made once.  Members lie in tasks by runs of their archive; a folder has each path once, so of several archives with
-    one path the first by name wins and the others are refused."""
+    one path the first by name wins and the others are refused.  The number of tasks is given, as rows of few bytes stand for files,
+    and archives come in another order than their names', so that tasks do not all make files in the same folder at a time."""
     good = entries.where("problem IS NULL")
     first = good.groupBy("path").agg(F.min(F.struct("uri", "pos")).alias("_first"))
     owned = good.join(first, "path").withColumn("taken", (F.col("_first.uri") != F.col("uri")) | (F.col("_first.pos") != F.col("pos"))).drop("_first")
-    dealt = owned.repartition("uri", F.expr("pos DIV (64 * 1024 * 1024)")).sortWithinPartitions("uri", "pos")
+    dealt = owned.repartition(tasks_of(entries), "uri", F.expr("pos DIV (64 * 1024 * 1024)")).sortWithinPartitions(F.xxhash64("uri"), "uri", "pos")
     root = full_uri(folder)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sheafwork.functions import text as T
 from sheafwork.operators import flow, graph, relations, search, types
 from sheafwork.plans.payloads import texture_head
-from sheafwork.sources import archive, binary, markup, textures
+from sheafwork.sources import archive, binary, extraction, markup, textures
 
 
 class Caught:
@@ -218,3 +218,16 @@ def test_only_ids_that_tokens_name_are_resolved(spark, monkeypatch):
     out = relations.token_reference_counts(texts, "id", "script", r"[A-Z][a-z]+\.\d+", prefixes, ids)
     assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, [("part", True, 60), ("nation", False, 30), ("other", None, 30)]))
     assert met[0].count() == 4  # parts 1 and 2 twice; 1003 before
+
+
+def test_members_are_dealt_over_tasks_whatever_their_bytes(spark):
+    from tests.conftest import DATA
+
+    from sheafwork.plans import audits
+    from sheafwork.session import fresh_folder
+
+    archives = audits.written_archives(spark, str(DATA))[1]
+    assert len(archives.inputFiles()) > 4  # each was one file of one task before, as adaptive execution put few bytes together
+    report = extraction.extract(extraction.entries_of(archives), fresh_folder(spark, "members"))
+    assert len(report.where("action = 'written'").select(F.input_file_name()).distinct().collect()) > 4
+    assert extraction.manifest_of(report).count() > 100
