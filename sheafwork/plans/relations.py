@@ -32,10 +32,11 @@ def refs_of(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [R.all_references(tables[k], k, F.concat_ws("/", *next(ids for x, ids, *_ in REFERENCES if x == k)), [(to, c) for x, _, to, c in REFERENCES if x == k]) for k in kinds])
 
 
-def counts_of(tables: dict[str, DataFrame]) -> DataFrame:
-    """All references, added up by target."""
-    kinds = list(dict.fromkeys(k for k, *_ in REFERENCES))
-    return reduce(DataFrame.unionByName, [R.target_counts(tables[k], k, [(to, c) for x, _, to, c in REFERENCES if x == k]) for k in kinds])
+def verdicts_of(tables: dict[str, DataFrame]) -> DataFrame:
+    """All references with their verdicts, added up by column; those to a kind meet its ids in one aggregate."""
+    kinds = list(dict.fromkeys(to for *_, to, _ in REFERENCES))
+    known = {k: (tables[k], c) for k, c in KINDS.items()}
+    return reduce(DataFrame.unionByName, [R.target_verdicts(k, [(x, tables[x], c) for x, _, to, c in REFERENCES if to == k], known.get(k)) for k in kinds])
 
 
 def sources_of(tables: dict[str, DataFrame]) -> DataFrame:
@@ -56,7 +57,7 @@ def edges_of(spark: SparkSession, d: str) -> DataFrame:
 
 def catalog_of(spark: SparkSession, d: str) -> DataFrame:
     tables = tables_of(spark, d)
-    return R.counted_catalog(counts_of(tables), sources_of(tables), ids_of(tables))
+    return R.verdict_catalog(verdicts_of(tables), sources_of(tables))
 
 
 _IDS_SQL = " UNION ALL ".join(f"SELECT '{k}' AS kind, CAST({c} AS VARCHAR) AS id FROM {k}" for k, c in KINDS.items())
@@ -84,9 +85,9 @@ catalog AS (
 @query(f"WITH {_EDGES_SQL} SELECT from_kind, to_kind, \"column\", coalesce(CAST(valid AS VARCHAR), 'unknown') AS valid, count(*) AS edges FROM edges GROUP BY ALL")
 def fk_resolve_valid(spark: SparkSession, d: str) -> DataFrame:
     """Every reference of every table with its three-valued verdict, counted."""
-    verdict = F.coalesce(F.col("valid").cast("string"), F.lit("unknown")).alias("valid")
-    tables = tables_of(spark, d)
-    return R.resolve(counts_of(tables), ids_of(tables)).groupBy("from_kind", "to_kind", "column", verdict).agg(F.sum("n").alias("edges"))
+    verdicts = {"true": "valid_true", "false": "valid_false", "unknown": "valid_null"}
+    each = F.inline(F.array(*[F.struct(F.lit(v).alias("valid"), F.col(c).alias("edges")) for v, c in verdicts.items()]))
+    return verdicts_of(tables_of(spark, d)).select("from_kind", "to_kind", "column", each).where("edges > 0")
 
 
 @query(f"WITH {_CATALOG_SQL} SELECT * FROM catalog")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import random
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafwork.functions import text as T
@@ -231,3 +233,62 @@ def test_members_are_dealt_over_tasks_whatever_their_bytes(spark):
     report = extraction.extract(extraction.entries_of(archives), fresh_folder(spark, "members"))
     assert len(report.where("action = 'written'").select(F.input_file_name()).distinct().collect()) > 4
     assert extraction.manifest_of(report).count() > 100
+
+
+def test_references_meet_ids_in_one_aggregate(spark):
+    from tests.conftest import DATA
+
+    from sheafwork.plans import relations as plans
+
+    for df in (plans.direction_ladder(spark, str(DATA)), plans.fk_resolve_valid(spark, str(DATA))):
+        plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        assert not [x for x in plan if "Join" in x and "_id" in x]  # all targets, as texts, met all ids in a join before
+        reads = [x for x in plan if "Relation [" in x and "l_orderkey" in x]
+        assert len(reads) <= 5  # three columns and the ids, those with a null apart; columns were read twice, 8 times in all, before
+    number = "bit_or(CASE WHEN isnotnull(l_orderkey"
+    assert number in plans.sources_of(plans.tables_of(spark, str(DATA)))._jdf.queryExecution().optimizedPlan().toString()  # a row an id before
+
+
+def test_verdicts_by_kind_are_those_of_the_edges(spark):
+    low, high = -(2**63), 2**63 - 1
+    rows = [(1, 5, 5, "u", 5), (1, 6, None, "v", 9), (2, 5, 7, "5", None), (None, 6, 5, "", 5), (None, None, None, "z", 7), (-1, -5, low, None, 0), (-1, -5, high, "u", -1)] * 2
+    a = spark.createDataFrame(rows, "a int, x int, y bigint, s string, z smallint")
+    b = spark.createDataFrame([("p", 5.0, 5), ("q", None, 9), (None, 7.5, None)], "b string, f double, x tinyint")
+    k = spark.createDataFrame([(5,), (5,), (low,), (-5,), (None,), (100,)], "id bigint")
+    m = spark.createDataFrame([("u",), ("5",), ("5",), ("",), ("5.0",)], "id string")
+    empty = spark.createDataFrame([(None,)], "id int")
+    known = {"k": (k, "id"), "m": (m, "id"), "e": (empty, "id")}
+    declared = [("a", ["a"], "k", "x"), ("a", ["a"], "k", "y"), ("b", ["b"], "k", "x"), ("a", ["a"], "m", "s"), ("a", ["a"], "m", "z"), ("b", ["b"], "m", "f"), ("a", ["a"], "e", "x"), ("b", ["b"], "gone", "f")]
+    tables = {"a": a, "b": b}
+    refs = [relations.all_references(tables[f], f, F.concat_ws("/", *by), [(to, c)]) for f, by, to, c in declared]
+    ids = [df.select(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("id")) for kind, (df, c) in known.items()]
+    refs, ids = reduce(DataFrame.unionByName, refs), reduce(DataFrame.unionByName, ids)
+    want = relations.pair_catalog(relations.resolve(refs, ids))
+
+    def of(declared, tables):
+        verdicts = [relations.target_verdicts(to, [(f, tables[f], c) for f, _, t, c in declared if t == to], known.get(to)) for to in ("k", "m", "e", "gone")]
+        sources = [relations.source_counts(tables[f], f, [f], [(to, c) for x, _, to, c in declared if x == f]) for f in tables]
+        return reduce(DataFrame.unionByName, verdicts), reduce(DataFrame.unionByName, sources)
+
+    verdicts, sources = of(declared, tables)
+    got = relations.verdict_catalog(verdicts, sources)
+    assert got.count() == 6 and sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+    by_column = relations.resolve(refs, ids).groupBy("from_kind", "to_kind", "column").agg(F.count("*").alias("n"), *[F.count_if(c).alias(f"n{i}") for i, c in enumerate([F.col("valid"), ~F.col("valid"), F.col("valid").isNull()])])
+    assert sorted(map(tuple, verdicts.drop("ends").collect())) == sorted(map(tuple, by_column.collect()))
+    none = {f: df.where("false") for f, df in tables.items()}
+    assert relations.verdict_catalog(*of(declared, none)).collect() == []
+
+
+def test_ids_are_counted_by_bits(spark):
+    draw = random.Random(5)
+    ends = [-(2**63), 2**63 - 1, -1, 0, 63, 64, -64, -65, 2**31]
+    one = lambda: draw.choice(ends) if draw.random() < 0.3 else draw.randrange(-20, 200)
+    names = [f"c{i}" for i in range(7)]
+    for width in range(1, 8):
+        rows = [(*[one() if draw.random() < 0.97 else None for _ in range(width)], draw.choice([None, 1]), draw.choice([None, 2])) for _ in range(300)]
+        rows += rows[:150]
+        df = spark.createDataFrame(rows, ", ".join(f"{c} bigint" for c in [*names[:width], "x", "y"]))
+        got = relations.source_counts(df, "f", names[:width], [("k", "x"), ("m", "y"), ("k", "y")])
+        text = F.concat_ws("/", *names[:width])
+        want = df.agg(F.count_distinct(F.when(F.col("x").isNotNull() | F.col("y").isNotNull(), text)), F.count_distinct(F.when(F.col("y").isNotNull(), text))).first()
+        assert {r["to_kind"]: r["from_ids"] for r in got.collect()} == {"k": want[0], "m": want[1]}
